@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("regression", "sampling", "preparation")
+MODULES = ("regression", "sampling", "preparation", "clustering", "neighbours")
 
 
 def load():
