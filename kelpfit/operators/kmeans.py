@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from kelpfit.checks import (
     is_array, require_choice, require_columns, require_numeric, require_positive_int, usable_rows,
 )
-from kelpfit.functions.distance import METRICS, check_metric, distance, pairwise
+from kelpfit.functions.distance import check_metric, pairwise
 from kelpfit.functions.hashing import key_hash
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
 from kelpfit.session import hold
 
 INIT_METHODS = ("kmeans++", "random")
-MAX_LITERALS = 2000
+# beyond this many literals generated methods grow too large to be compiled well
+MAX_LITERALS = 256
 MAX_UNROLLED = 128
 
 Centroids = list[list[float]]
@@ -161,9 +162,28 @@ def _slots(vector: str, d: int) -> list[Column]:
     return [F.col(vector)[i] for i in range(d)]
 
 
-def _distances(vector: str, centroids: Centroids, metric: str) -> list[Column]:
-    slots = _slots(vector, len(centroids[0]))
-    return [distance(metric, slots, [F.lit(float(v)) for v in c]) for c in centroids]
+def _gaps(vector: str, centroids: Centroids, metric: str) -> list[str]:
+    """SQL text of the distance to each centroid; parsed at once, unlike built columns."""
+    check_metric(metric)
+    out = []
+    for centroid in centroids:
+        terms = []
+        for i, value in enumerate(centroid):
+            x, c = f"{vector}[{i}]", f"({float(value)!r}D)"
+            if metric == "manhattan":
+                terms.append(f"abs({x} - {c})")
+            elif metric == "canberra":
+                terms.append(f"coalesce(try_divide(abs({x} - {c}), abs({x}) + abs({c})), 0D)")
+            else:
+                terms.append(f"({x} - {c}) * ({x} - {c})")
+        total = " + ".join(terms)
+        out.append(f"sqrt({total})" if metric == "euclidean" else f"({total})")
+    return out
+
+
+def _least_gap(vector: str, centroids: Centroids, metric: str) -> Column:
+    gaps = _gaps(vector, centroids, metric)
+    return F.expr(f"least({', '.join(gaps)})" if len(gaps) > 1 else gaps[0])
 
 
 def nearest(vector: str, centroids: Centroids, metric: str) -> Column:
@@ -173,8 +193,8 @@ def nearest(vector: str, centroids: Centroids, metric: str) -> Column:
     as a broadcast matrix and are compared in Arrow batches.
     """
     if len(centroids) * len(centroids[0]) <= MAX_LITERALS:
-        d = F.array(*_distances(vector, centroids, metric))
-        return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+        gaps = f"array({', '.join(_gaps(vector, centroids, metric))})"
+        return F.expr(f"cast(array_position({gaps}, array_min({gaps})) - 1 as int)")
     spark = SparkSession.getActiveSession()
     matrix = spark.sparkContext.broadcast(np.array(centroids))
 
@@ -202,8 +222,7 @@ def starting_centroids(base: DataFrame, settings: KMeans) -> Centroids:
         raise ValueError("there are no rows to cluster")
     chosen = [list(first)]
     while len(chosen) < settings.k:
-        gaps = _distances("_x", chosen, settings.distance_metric)
-        gap = F.least(*gaps) if len(gaps) > 1 else gaps[0]
+        gap = _least_gap("_x", chosen, settings.distance_metric)
         farthest = base.agg(F.min(F.struct((-gap).alias("d"), "_key", "_x")).alias("s")).first()["s"]
         chosen.append(list(farthest["_x"]))
     return chosen
@@ -238,8 +257,7 @@ def _iterate(base: DataFrame, metric: str, centroids: Centroids, previous: Centr
 
 def cost(df: DataFrame, vector: str, centroids: Centroids, metric: str) -> float:
     """Total distance of all rows to their nearest centroid."""
-    gaps = _distances(vector, centroids, metric)
-    return df.agg(F.sum(F.least(*gaps) if len(gaps) > 1 else gaps[0])).first()[0]
+    return df.agg(F.sum(_least_gap(vector, centroids, metric))).first()[0]
 
 
 def without_points(df: DataFrame, columns: Sequence[str], points: Centroids) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("regression", "sampling", "preparation", "clustering", "neighbours")
+MODULES = ("regression", "sampling", "preparation", "clustering", "neighbours", "trees",
+           "neurons", "networks")
 
 
 def load():
