@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +17,14 @@ from kelpfit.checks import (
 from kelpfit.functions.distance import check_metric, pairwise
 from kelpfit.functions.hashing import key_hash
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
-from kelpfit.session import hold
+from kelpfit.session import held
 
 INIT_METHODS = ("kmeans++", "random")
 # beyond this many literals generated methods grow too large to be compiled well
 MAX_LITERALS = 256
-MAX_UNROLLED = 128
+# below this many coordinate comparisons compiling new literals costs more than it saves
+SMALL_WORK = 100_000_000
+ARROW_ROWS = 2048
 
 Centroids = list[list[float]]
 
@@ -56,7 +56,6 @@ class KMeans:
         key: str,
         scaling_method: str | None = None,
         scope: str = "matrix",
-        keep_in_memory: bool = True,
     ) -> "KMeansModel":
         """Cluster the rows of ``df`` by named columns or one array column.
 
@@ -73,21 +72,19 @@ class KMeans:
         scaler = fit_scaler(rows, columns, scaling_method, scope) if scaling_method else None
         base = (scaler.transform(rows) if scaler else rows).select(
             F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
-        if keep_in_memory:
-            base = hold(base)
-        try:
+        with held(base) as base:
+            n = base.count()
             start = starting_centroids(base, self)
+            values = self.k * len(start[0])
+            step = _iterate_in_arrow if values > MAX_LITERALS or n * values < SMALL_WORK else _iterate
             trace, previous, centroids = [], None, start
             for iteration in range(1, self.max_iter + 1):
                 used = centroids
-                centroids, sizes, changed = _iterate(base, self.distance_metric, used, previous)
+                centroids, sizes, changed = step(base, self.distance_metric, used, previous)
                 trace += [(iteration, c, used[c], sizes[c], changed[c]) for c in range(self.k)]
                 if previous is not None and sum(changed) == 0:
                     break
                 previous = used
-        finally:
-            if keep_in_memory:
-                base.unpersist()
         return KMeansModel(tuple(columns), self.distance_metric, centroids, used, start, scaler, trace)
 
 
@@ -202,8 +199,8 @@ def nearest(vector: str, centroids: Centroids, metric: str) -> Column:
     def assign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
             out = [
-                pairwise(metric, np.stack(x.iloc[i:i + 1024].to_numpy()), matrix.value).argmin(axis=1)
-                for i in range(0, len(x), 1024)
+                pairwise(metric, np.stack(x.iloc[i:i + ARROW_ROWS].to_numpy()), matrix.value).argmin(axis=1)
+                for i in range(0, len(x), ARROW_ROWS)
             ]
             yield pd.Series(np.concatenate(out) if out else np.array([], dtype=int), dtype="int32")
 
@@ -234,25 +231,55 @@ def _iterate(base: DataFrame, metric: str, centroids: Centroids, previous: Centr
     The former assignment is recomputed from the former centroids, so nothing
     is carried from one iteration's plan to the next.
     """
-    d = len(centroids[0])
     assigned = base.withColumn("cluster", nearest("_x", centroids, metric))
     if previous is None:
         moved = F.lit(1)
     else:
         assigned = assigned.withColumn("_was", nearest("_x", previous, metric))
         moved = (F.col("_was") != F.col("cluster")).cast("int")
-    counts = [F.count(F.lit(1)).alias("n"), F.sum(moved).alias("changed")]
-    if d <= MAX_UNROLLED:
-        means = F.array(*[F.avg(x) for x in _slots("_x", d)])
-    else:
-        means = vector_to_array(Summarizer.mean(array_to_vector(F.col("_x"))))
-    rows = assigned.groupBy("cluster").agg(*counts, means.alias("mean")).collect()
-    # a cluster that lost all its rows keeps its centroid
-    moved_to, sizes, changed = list(centroids), [0] * len(centroids), [0] * len(centroids)
-    for r in rows:
-        moved_to[r["cluster"]] = list(r["mean"])
-        sizes[r["cluster"]], changed[r["cluster"]] = r["n"], r["changed"]
-    return moved_to, sizes, changed
+    means = F.array(*[F.avg(F.col("_x")[i]) for i in range(len(centroids[0]))])
+    rows = assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(moved).alias("changed"), means.alias("mean")).collect()
+    return _updated(centroids, [(r["cluster"], r["n"], r["changed"], r["mean"]) for r in rows])
+
+
+def _iterate_in_arrow(base: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None):
+    """The same step as partial sums of Arrow batches: one row per cluster and task."""
+    k, d = len(centroids), len(centroids[0])
+    sent = base.sparkSession.sparkContext.broadcast(
+        (np.array(centroids), None if previous is None else np.array(previous)))
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, before = sent.value
+        n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
+        for batch in batches:
+            for i in range(0, len(batch), ARROW_ROWS):
+                x = np.stack(batch["_x"].iloc[i:i + ARROW_ROWS].to_numpy())
+                cluster = pairwise(metric, x, now).argmin(axis=1)
+                moved = cluster if before is None else cluster[
+                    pairwise(metric, x, before).argmin(axis=1) != cluster]
+                n += np.bincount(cluster, minlength=k)
+                changed += np.bincount(moved, minlength=k)
+                for j in range(d):
+                    sums[:, j] += np.bincount(cluster, weights=x[:, j], minlength=k)
+        yield pd.DataFrame({"cluster": np.arange(k), "n": n, "changed": changed,
+                            "total": list(sums)})
+
+    partial = base.select("_x").mapInPandas(
+        add_up, "cluster int, n long, changed long, total array<double>")
+    counts = partial.where("n > 0").groupBy("cluster")
+    sums = F.array(*[F.sum(F.col("total")[j]) for j in range(d)])
+    rows = counts.agg(F.sum("n").alias("n"), F.sum("changed").alias("changed"), sums.alias("total")).collect()
+    return _updated(centroids, [
+        (r["cluster"], r["n"], r["changed"], [v / r["n"] for v in r["total"]]) for r in rows])
+
+
+def _updated(centroids: Centroids, rows: list):
+    """New centroids; a cluster that lost all its rows keeps its own."""
+    means, sizes, changed = list(centroids), [0] * len(centroids), [0] * len(centroids)
+    for cluster, n, moved, mean in rows:
+        means[cluster], sizes[cluster], changed[cluster] = list(mean), n, moved
+    return means, sizes, changed
 
 
 def cost(df: DataFrame, vector: str, centroids: Centroids, metric: str) -> float:

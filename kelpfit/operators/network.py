@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kelpfit.checks import is_array, require_choice, require_numeric, require_positive_int, usable_rows
 from kelpfit.functions.hashing import normal_draw
 from kelpfit.operators.aggregates import more_than_two_values
-from kelpfit.session import hold
+from kelpfit.session import held
 
 MAX_SEARCH_VALUES = 4_000_000
 
@@ -233,26 +233,22 @@ def search_descent(df: DataFrame, features: str | Sequence[str], label: str, net
     """
     require_positive_int("epochs", epochs)
     require_positive_int("branch_factor", branch_factor)
-    examples = hold(_examples(df, features, label))
-    try:
-        current = network.parameters
-        held, log = None, []
+    current, best_row, log = network.parameters, None, []
+    with held(_examples(df, features, label)) as examples:
         for epoch in range(1, epochs + 1):
             branches = []
             for branch in range(branch_factor):
                 noise = random_parameters(network.layers, seed, epoch, branch)
                 branches.append([(w + learning_rate * nw, b + learning_rate * nb)
                                  for (w, b), (nw, nb) in zip(current, noise)])
-            tried = branches if held is not None else [current, *branches]
+            tried = branches if best_row is not None else [current, *branches]
             rows = sorted(_score(examples, network, tried).collect(), key=lambda r: r["candidate"])
-            if held is None:
-                held, rows, tried = rows[0], rows[1:], tried[1:]
+            if best_row is None:
+                best_row, rows, tried = rows[0], rows[1:], tried[1:]
             best = min(range(len(rows)), key=lambda i: (rows[i]["loss"], i))
-            if rows[best]["loss"] < held["loss"]:
-                held, current = rows[best], tried[best]
-            log.append((epoch, *held[1:]))
-    finally:
-        examples.unpersist()
+            if rows[best]["loss"] < best_row["loss"]:
+                best_row, current = rows[best], tried[best]
+            log.append((epoch, *best_row[1:]))
     return SearchResult(network.with_parameters(current), log, _metric_names(network))
 
 

@@ -18,7 +18,7 @@ from kelpfit.functions.loss import hit, row_loss
 from kelpfit.operators.aggregates import more_than_two_values
 from kelpfit.operators.ranking import row_order
 from kelpfit.operators.split import batch_cutoffs
-from kelpfit.session import hold
+from kelpfit.session import held
 
 PROBLEMS = ("classification", "regression")
 INITIAL = ("uniform", "scaled_normal", "zeros")
@@ -109,8 +109,8 @@ class Neuron:
             raise ValueError("mini-batches need a key column")
         require_columns(df, keys)
         names = [features] if isinstance(features, str) else list(features)
-        rows = hold(usable_rows(df.select(*dict.fromkeys([*keys, *names, label])), [*names, label]))
-        try:
+        rows = usable_rows(df.select(*dict.fromkeys([*keys, *names, label])), [*names, label])
+        with held(rows) as rows:
             model = self.start(rows, names, label, weights)
             history = []
             for epoch in range(1, self.epochs + 1):
@@ -119,8 +119,6 @@ class Neuron:
                     model, value = _step(model, batch, self.learning_rate, self.gradient)
                     losses.append(value)
                 history.append((epoch, sum(losses) / len(losses)))
-        finally:
-            rows.unpersist()
         return replace(model, history=history)
 
     def _batches(self, rows: DataFrame, keys: list[str], epoch: int) -> list[DataFrame]:

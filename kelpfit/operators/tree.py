@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
 from kelpfit.operators.aggregates import squared_residuals, weighted_gini
-from kelpfit.session import hold
+from kelpfit.session import held
 from kelpfit.sources.reshape import feature_kinds
 
 RANGES = 128
@@ -80,26 +81,29 @@ class _Grower:
         features = list(features)
         require_columns(df, [label])
         kinds = feature_kinds(df, features)
-        rows = hold(usable_rows(df.select(*features, label), [*features, label]).select(
+        rows = usable_rows(df.select(*features, label), [*features, label]).select(
             *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
-            self._target(df, label).alias("_y")))
-        try:
-            job = _Fit(self, rows, features, self._kinds(rows, kinds), *self._measures(rows))
+            self._target(df, label).alias("_y"))
+        with held(rows) as rows:
+            kinds, cuts = self._profile(rows, kinds)
+            job = _Fit(self, rows, features, kinds, cuts, *self._measures(rows))
             nodes = job.grow()
-        finally:
-            rows.unpersist()
         return TreeModel(tuple(features), label, nodes, self.positive, self.negative,
                          self._prediction_type(df, label), tuple(str(c) for c in job.classes))
 
-    def _kinds(self, rows: DataFrame, kinds: dict[str, str]) -> dict[str, str]:
-        """Strings that only say positive or negative become binary features."""
-        texts = [c for c, kind in kinds.items() if kind == "categorical"]
-        if not texts:
-            return kinds
+    def _profile(self, rows: DataFrame, kinds: dict[str, str]):
+        """Which strings only say positive or negative, and where numbers are cut into ranges."""
         pair = [self.positive, self.negative]
-        other = rows.agg(*[F.max((~F.col(c).isin(pair)).cast("int")).alias(c) for c in texts]).first()
-        return {c: "binary" if kind == "categorical" and other[c] == 0 else kind
-                for c, kind in kinds.items()}
+        shares = [i / self.ranges for i in range(1, self.ranges)]
+        aggs = [
+            F.max((~F.col(c).isin(pair)).cast("int")).alias(c) if kind == "categorical"
+            else F.percentile_approx(c, shares, 10_000).alias(c)
+            for c, kind in kinds.items() if kind == "categorical" or shares
+        ]
+        found = rows.agg(*aggs).first().asDict() if aggs else {}
+        binary = {c: "binary" for c, kind in kinds.items() if kind == "categorical" and found[c] == 0}
+        cuts = {c: sorted(set(found.get(c) or [])) for c, kind in kinds.items() if kind == "continuous"}
+        return {**kinds, **binary}, cuts
 
 
 @dataclass(frozen=True)
@@ -204,28 +208,22 @@ class SquaresMeasure:
 class _Fit:
     """One growing run: routes rows to the frontier and asks for its best splits."""
 
-    def __init__(self, settings, rows, features, kinds, measure, root_stats):
+    def __init__(self, settings, rows, features, kinds, cuts, measure, root_stats):
         self.settings, self.rows, self.features, self.kinds = settings, rows, features, kinds
         self.measure, self.classes = measure, measure.classes
         self.max_depth = settings.max_depth or len(features)
         self.continuous = [c for c in features if kinds[c] == "continuous"]
         self.nodes = {"": self._node("", root_stats)}
         if self.continuous:
-            self.rows = self._with_ranges(rows)
+            self.rows = self._with_ranges(rows, cuts)
 
     def _node(self, path: str, stats: tuple) -> Node:
         m = self.measure
         return Node(path, int(m.size(stats)), tuple(stats), m.prediction(stats), m.impurity(stats))
 
-    def _with_ranges(self, rows: DataFrame) -> DataFrame:
+    def _with_ranges(self, rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
         """Add each continuous value's coarse range number, about equally filled."""
-        shares = [i / self.settings.ranges for i in range(1, self.settings.ranges)]
-        inner = []
-        if shares:
-            cuts = rows.agg(*[F.percentile_approx(c, shares, 10_000) for c in self.continuous]).first()
-            inner = [sorted(set(cut or [])) for cut in cuts]
-        splits = [[float("-inf"), *(cut or [0.0]), float("inf")]
-                  for cut in (inner or [[]] * len(self.continuous))]
+        splits = [[float("-inf"), *(cuts[c] or [0.0]), float("inf")] for c in self.continuous]
         names = [f"_r{i}" for i in range(len(self.continuous))]
         return Bucketizer(splitsArray=splits, inputCols=self.continuous, outputCols=names).transform(rows)
 
@@ -283,29 +281,24 @@ class _Fit:
         number = {p: i for i, p in enumerate(frontier)}
         route = _route(self.nodes, lambda node: F.lit(number[node.path]) if node.path in number
                        else F.lit(None).cast("int"), self.settings.positive, self.settings.negative)
-        offers = []
+        offers, closed = [], F.lit(False)
         for c in features:
             f = self.features.index(c)
-            nodes = [number[p] for p in frontier if c in self._open_features(p)]
-            if not nodes:
-                continue
             numeric = self.kinds[c] == "continuous"
-            item = F.struct(
-                F.lit(f).alias("f"),
-                (F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric
-                 else F.lit(None).cast("int")).alias("range"),
-                (F.col(c) if numeric else F.lit(None).cast("double")).alias("x"),
-                (F.lit(None).cast("string") if numeric else F.col(c)).alias("category"),
-            )
-            offers.append(item if len(nodes) == len(frontier)
-                          else F.when(F.col("node").isin(nodes), item))
-        if not offers:
-            return None
+            offers += [
+                F.lit(f),
+                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric else F.lit(None).cast("int"),
+                F.col(c) if numeric else F.lit(None).cast("double"),
+                F.lit(None).cast("string") if numeric else F.col(c),
+            ]
+            used = [number[p] for p in frontier if c not in self._open_features(p)]
+            if used:
+                closed = closed | ((F.col("f") == f) & F.col("node").isin(used))
         return (
             self.rows.withColumn("node", route).where(F.col("node").isNotNull())
             .select("node", F.col("_y").alias("y"),
-                    F.explode(F.array_compact(F.array(*offers))).alias("o"))
-            .select("node", "y", "o.*")
+                    F.stack(F.lit(len(features)), *offers).alias("f", "range", "x", "category"))
+            .where(~closed)
         )
 
     def _with_totals(self, df: DataFrame, frontier: list[str]) -> DataFrame:
@@ -337,9 +330,9 @@ class _Fit:
         offered = [c for c in self.features if any(c in self._open_features(p) for p in frontier)]
         if not offered:
             return {}
-        first = self._long_rows(frontier, offered)
-        coarse = hold(first.groupBy("node", "f", "range", "category").agg(
-            *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high")))
+        coarse = self._long_rows(frontier, offered).groupBy("node", "f", "range", "category").agg(
+            *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return self._search(frontier, offered, coarse)
         finally:
@@ -361,7 +354,7 @@ class _Fit:
             known.append(self._between_ranges(cuts))
         best = _lowest(known)
         if numbers:
-            best = _merge(best, self._inside_ranges(frontier, numbers, cuts, best))
+            best = _merge(best, self._inside_ranges(frontier, numbers, coarse, cuts, best))
         return {frontier[i]: row for i, row in best.items()}
 
     def _one_against_rest(self, df: DataFrame) -> DataFrame:
@@ -399,7 +392,7 @@ class _Fit:
         """Midpoint for class trees; regression trees cut at the upper value."""
         return high if isinstance(self.measure, SquaresMeasure) else (low + high) / 2
 
-    def _inside_ranges(self, frontier, numbers, cuts: DataFrame, best: dict) -> dict:
+    def _inside_ranges(self, frontier, numbers, coarse: DataFrame, cuts: DataFrame, best: dict) -> dict:
         """Thresholds between values of one range, where they may beat the known best.
 
         Splitting a range's rows off entirely can only lower the score, so the
@@ -415,34 +408,32 @@ class _Fit:
         rows = [(i, float(limits.get(i, float("inf")))) for i in range(len(frontier))]
         limit = cuts.sparkSession.createDataFrame(rows, "node int, limit double")
         room = 1e-9 * (F.abs(F.col("limit")) + 1.0)
-        open_ranges = hold(
+        keys = ["node", "f", "range"]
+        open_ranges = (
             cuts.join(F.broadcast(limit), "node")
             .where((F.col("low") < F.col("high")) & (bound <= F.col("limit") + room))
-            .select("node", "f", "range", "low", "high", self.measure.size(self._stats()).alias("rows"),
-                    *[f"b_{n}" for n in self.measure.names], *[f"t_{n}" for n in self.measure.names]))
-        try:
-            count, most = open_ranges.agg(F.count(F.lit(1)), F.max("rows")).first()
-            if count == 0:
-                return {}
-            keys = ["node", "f", "range"]
-            side = F.broadcast(open_ranges) if count <= MAX_BROADCAST_RANGES else open_ranges
-            parts = F.ceil(F.col("rows") / F.lit(RANGE_ROWS))
-            width = F.try_divide(F.col("x") - F.col("low"), F.col("high") - F.col("low"))
-            values = (
-                self._long_rows(frontier, numbers)
-                .join(side.select(*keys, "low", "high", "rows"), keys)
-                .withColumn("part", F.least(F.floor(width * parts), parts - 1).cast("int"))
-                .groupBy(*keys, "part", "x").agg(*self.measure.aggregates())
-            )
-            sums = _running(values, keys, "part", "x", self.measure.names, most > RANGE_ROWS)
-            placed = sums.join(side.drop("low", "high", "rows"), keys)
-            left = [b + r for b, r in zip(self._stats("b_"), self._stats("run_"))]
-            right = [t - x for t, x in zip(self._stats("t_"), left)]
-            return _lowest([self._candidates(
-                placed.where(F.col("next_x").isNotNull()), left, right,
-                self._cut(F.col("x"), F.col("next_x")), F.lit(None))])
-        finally:
-            open_ranges.unpersist()
+            .select(*keys, "low", "high", self.measure.size(self._stats()).alias("rows"),
+                    *[f"b_{n}" for n in self.measure.names], *[f"t_{n}" for n in self.measure.names])
+        )
+        crowded = max(self.nodes[p].n for p in frontier) > RANGE_ROWS and not coarse.where(
+            (F.col("low") < F.col("high")) & (self.measure.size(self._stats()) > RANGE_ROWS)).isEmpty()
+        # at most one row per node, feature and range
+        bounded = len(frontier) * len(numbers) * self.settings.ranges <= MAX_BROADCAST_RANGES
+        side = F.broadcast(open_ranges) if bounded else open_ranges
+        parts = F.ceil(F.col("rows") / F.lit(RANGE_ROWS))
+        width = F.try_divide(F.col("x") - F.col("low"), F.col("high") - F.col("low"))
+        carried = [F.first(c).alias(c) for c in side.columns if c[:2] in ("b_", "t_")]
+        values = (
+            self._long_rows(frontier, numbers).join(side, keys)
+            .withColumn("part", F.least(F.floor(width * parts), parts - 1).cast("int"))
+            .groupBy(*keys, "part", "x").agg(*self.measure.aggregates(), *carried)
+        )
+        sums = _running(values, keys, "part", "x", self.measure.names, crowded)
+        left = [b + r for b, r in zip(self._stats("b_"), self._stats("run_"))]
+        right = [t - x for t, x in zip(self._stats("t_"), left)]
+        return _lowest([self._candidates(
+            sums.where(F.col("next_x").isNotNull()), left, right,
+            self._cut(F.col("x"), F.col("next_x")), F.lit(None))])
 
 
 def _running(values: DataFrame, keys: list[str], part: str, order: str, names: list[str],

@@ -150,7 +150,7 @@ def other_points(t: Tables) -> DataFrame:
 def converged(t: Tables) -> DataFrame:
     """Line items to their final clusters, run until no row moves or 25 passes."""
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    items = t.lineitem.withColumn(
+    items = t.spread("lineitem").withColumn(
         "item", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     model = KMeans(k=8, max_iter=25, random_state=SEED).fit(
         items, features, "item", "min_max", scope="column")

@@ -25,6 +25,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
 
+    def spread(self, name: str) -> DataFrame:
+        """A table about to be passed over many times."""
+        return read_table(self.spark, self.folder, name, spread=True)
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of :class:`Tables` under ``name``."""

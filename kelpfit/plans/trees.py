@@ -158,7 +158,7 @@ def flags(t: Tables) -> DataFrame:
         return F.when(condition, "Yes").otherwise("No").alias(name)
 
     c = F.col
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         says(c("l_returnflag") == "R", "returned"), says(c("l_linestatus") == "O", "still_open"),
         says(c("l_quantity") > 25, "bulky"), says(c("l_discount") > 0.05, "discounted"),
@@ -214,7 +214,7 @@ def predict(t: Tables) -> DataFrame:
     PRICE_SQL, [("l_extendedprice", "number"), ("l_quantity", "number")], ["'A'", "'N'", "'R'"], 2, 20,
     node_answer(3)))
 def many_values(t: Tables) -> DataFrame:
-    model = DecisionTree(max_depth=2).fit(t.lineitem, ["l_extendedprice", "l_quantity"], "l_returnflag")
+    model = DecisionTree(max_depth=2).fit(t.spread("lineitem"), ["l_extendedprice", "l_quantity"], "l_returnflag")
     return _nodes(t, model)
 
 
@@ -241,7 +241,7 @@ def part_predict(t: Tables) -> DataFrame:
     ORDER_SQL, [("o_custkey", "number"), ("o_orderpriority", "text"), ("o_orderstatus", "text")], None, 2, 2,
     node_answer(None)))
 def order_nodes(t: Tables) -> DataFrame:
-    df = t.orders.select("o_custkey", "o_orderpriority", "o_orderstatus",
+    df = t.spread("orders").select("o_custkey", "o_orderpriority", "o_orderstatus",
                          (F.col("o_totalprice") / 1000).alias("y"))
     model = RegressionTree(max_depth=2).fit(df, ["o_custkey", "o_orderpriority", "o_orderstatus"], "y")
     return _nodes(t, model, numeric=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +66,11 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
-def hold(df: DataFrame) -> DataFrame:
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a projected training table in memory, spilling to disk, between passes."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()

@@ -30,8 +30,16 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
         path, header=True, enforceSchema=False, mode="FAILFAST")
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """A Parquet table.
+
+    ``spread`` deals the rows out to all cores when the scan has fewer tasks than
+    that, as with one file; it pays before repeated passes and shuffles nothing
+    where there are files enough.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> None:

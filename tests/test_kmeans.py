@@ -31,8 +31,9 @@ def run_numpy(x, start, metric, steps):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("method", km.INIT_METHODS)
-def test_runs_match_a_plain_loop(spark, metric, method):
+@pytest.mark.parametrize("method, small", [("kmeans++", 0), ("random", 10**9)])
+def test_runs_match_a_plain_loop(spark, monkeypatch, metric, method, small):
+    monkeypatch.setattr(km, "SMALL_WORK", small)
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.normal(loc, 1.0, size=(40, 2)) for loc in (0.0, 3.0, 9.0)])
     df = table(spark, x).repartition(3)
@@ -75,7 +76,6 @@ def test_large_models_travel_as_a_matrix(spark, monkeypatch):
     df = table(spark, x).select("id", F.array(*names(x)).alias("v"))
     small = KMeans(k=4, max_iter=6, random_state=4).fit(df, "v", "id")
     monkeypatch.setattr(km, "MAX_LITERALS", 0)
-    monkeypatch.setattr(km, "MAX_UNROLLED", 0)
     wide = KMeans(k=4, max_iter=6, random_state=4).fit(df, "v", "id")
     assert np.allclose(small.centroids, wide.centroids)
     assert [r["cluster"] for r in small.transform(df).orderBy("id").collect()] == [
