@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelpfit.session import cut_lineage
+
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
@@ -40,11 +42,43 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 
 
 def weighted_median(df: DataFrame, groups: Sequence[str], value: str, weight: str,
-                    order: str, name: str = "median") -> DataFrame:
+                    order: Sequence[str], name: str = "median") -> DataFrame:
     """First value, walking in ``order``, where the running weight reaches half.
 
-    Meant for small groups such as the neighbours of one query.
+    Rows are range-partitioned by group and order, so even one group holding
+    most rows is spread out: each slice sorts its own rows and adds the weight of
+    the group's slices before it.
     """
+    row = df.select(*groups, F.struct(*order).alias("_o"), F.col(value).alias("_v"),
+                    F.col(weight).alias("_w"))
+    # slice numbers must not change between passes, so they are written down once
+    placed = cut_lineage(
+        row.repartitionByRange(*groups, "_o").withColumn("_slice", F.spark_partition_id()))
+    by_slice = Window.partitionBy(*groups).orderBy("_slice")
+    slices = (
+        placed.groupBy(*groups, "_slice").agg(F.sum("_w").alias("_part"))
+        .withColumns({
+            "_before": F.coalesce(
+                F.sum("_part").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_all": F.sum("_part").over(Window.partitionBy(*groups)),
+        })
+        # only the slice in which half the weight is reached matters
+        .where((F.col("_before") + F.col("_part") >= F.col("_all") / 2))
+        .withColumn("_nth", F.row_number().over(by_slice)).where("_nth = 1")
+    )
+    inside = Window.partitionBy(*groups, "_slice").orderBy("_o").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    reached = (
+        placed.join(slices, [*groups, "_slice"])
+        .withColumn("_run", F.col("_before") + F.sum("_w").over(inside))
+        .where(F.col("_run") >= F.col("_all") / 2)
+    )
+    return reached.groupBy(*groups).agg(F.min_by("_v", "_o").alias(name))
+
+
+def weighted_median_of_few(df: DataFrame, groups: Sequence[str], value: str, weight: str,
+                           order: str, name: str = "median") -> DataFrame:
+    """:func:`weighted_median` for groups of bounded size, such as one query's neighbours."""
     running = Window.partitionBy(*groups).orderBy(order)
     whole = Window.partitionBy(*groups)
     reached = (
@@ -57,8 +91,9 @@ def weighted_median(df: DataFrame, groups: Sequence[str], value: str, weight: st
 
 
 def distinct_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted distinct values of each column, for label lists of a few entries."""
-    return df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns])
+    """Distinct values of each string column, as rows ``(feature, value)``."""
+    pairs = [part for c in columns for part in (F.lit(c), F.col(c))]
+    return df.select(F.stack(F.lit(len(columns)), *pairs).alias("feature", "value")).distinct()
 
 
 def more_than_two_values(df: DataFrame, column: str) -> bool:

@@ -23,13 +23,14 @@ from kelpfit.checks import (
 )
 from kelpfit.functions.distance import check_metric, pairwise
 from kelpfit.functions.hashing import key_hash
-from kelpfit.operators.aggregates import heaviest, mode, weighted_mean, weighted_median
+from kelpfit.operators.aggregates import heaviest, mode, weighted_mean, weighted_median_of_few
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
 from kelpfit.session import cut_lineage
 
 AGGREGATIONS = ("mean", "median", "mode")
-BLOCK_ROWS = 8192
-MAX_PIVOTS = 512
+# training rows per block; query blocks hold a quarter of that, to keep more tasks busy
+BLOCK_ROWS = 32768
+MAX_PIVOTS = 1024
 WEIGHT_FLOOR = 1e-6
 # rows measured exactly beyond k before near-ties are looked at one by one
 SHORTLIST = 8
@@ -147,7 +148,7 @@ def _join_cells(visits: DataFrame, train: DataFrame, metric: str, k: int,
                 label_type: str, query_type: str, key_type: str) -> DataFrame:
     """Top k of every (query, visited cell block); at most k rows per query and block."""
     t_blocks = _block_counts(train_rows, block_rows)
-    q_blocks = _block_counts(query_rows, block_rows)
+    q_blocks = _block_counts(query_rows, max(1, block_rows // 4))
     left = _spread(visits, "qb", "tb", q_blocks, t_blocks, "_q")
     right = _spread(train, "tb", "qb", t_blocks, q_blocks, "_t")
 
@@ -384,4 +385,4 @@ class KNNRegressorModel(KNNModel):
         if by_value:
             near = near.withColumn("_o", F.struct("label", "rank"))
             order = "_o"
-        return weighted_median(near, [query_key], "label", "weight", order, "prediction")
+        return weighted_median_of_few(near, [query_key], "label", "weight", order, "prediction")

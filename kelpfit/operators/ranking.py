@@ -115,8 +115,7 @@ def with_position(df: DataFrame, order: Column, name: str = "position") -> DataF
     offset table holds at most one row per prefix.
     """
     hashed = df.withColumn("_h", order)
-    counts = _prefix_counts(hashed.select(F.col("_h").alias("h")), PREFIX_DIGITS)
-    digits = 2 if sum(counts.values()) < 256 * BUCKET_ROWS else 5
+    digits = 2 if df.count() < 256 * BUCKET_ROWS else 5
     hashed = hashed.withColumn("_p", F.substring("_h", 1, digits))
     offsets = (
         hashed.groupBy("_p")

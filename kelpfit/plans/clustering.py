@@ -146,12 +146,49 @@ def other_points(t: Tables) -> DataFrame:
     return without_points(scaled, FEATURES, model.start).select("c_custkey")
 
 
-@query("kmeans_converged")
+ITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ITEM_K, ITEM_STEPS = 8, 25
+
+
+def _item_gap(c: str) -> str:
+    return "sqrt(" + " + ".join(f"(x{j} - {c}_{j}) * (x{j} - {c}_{j})" for j in range(4)) + ")"
+
+
+def _item_sql() -> str:
+    """Centroids travel as one wide row per step; every step reads the one before."""
+    lows = ", ".join(f"min({c}) AS lo{j}, max({c}) AS hi{j}" for j, c in enumerate(ITEM_FEATURES))
+    scaled = ", ".join(f"({c} - lo{j}) / (hi{j} - lo{j}) AS x{j}" for j, c in enumerate(ITEM_FEATURES))
+    sql = f"""
+WITH s AS (SELECT {lows} FROM lineitem), p AS MATERIALIZED (
+  SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS item, {scaled} FROM lineitem, s)
+, f0 AS MATERIALIZED (
+  SELECT x0 AS c0_0, x1 AS c0_1, x2 AS c0_2, x3 AS c0_3 FROM p ORDER BY md5('{SEED}:' || item) LIMIT 1)"""
+    for i in range(1, ITEM_K):
+        gaps = ", ".join(_item_gap(f"c{c}") for c in range(i))
+        gap = f"least({gaps})" if i > 1 else gaps
+        sql += f""", f{i} AS MATERIALIZED (
+  SELECT f{i - 1}.*, x0 AS c{i}_0, x1 AS c{i}_1, x2 AS c{i}_2, x3 AS c{i}_3
+  FROM p, f{i - 1} ORDER BY {gap} DESC, item LIMIT 1)"""
+    sql += f", m0 AS (SELECT * FROM f{ITEM_K - 1})"
+    gaps = ", ".join(f"{_item_gap(f'c{c}')} AS g{c}" for c in range(ITEM_K))
+    least = "least(" + ", ".join(f"g{c}" for c in range(ITEM_K)) + ")"
+    pick = "CASE " + " ".join(f"WHEN g{c} = {least} THEN {c}" for c in range(ITEM_K)) + " END"
+    for i in range(1, ITEM_STEPS + 1):
+        sql += f""", a{i} AS MATERIALIZED (
+  SELECT *, {pick} AS cluster FROM (SELECT item, x0, x1, x2, x3, {gaps} FROM p, m{i - 1}))"""
+        if i < ITEM_STEPS:
+            means = ", ".join(
+                f"coalesce(avg(a.x{j}) FILTER (cluster = {c}), any_value(m.c{c}_{j})) AS c{c}_{j}"
+                for c in range(ITEM_K) for j in range(4))
+            sql += f", m{i} AS MATERIALIZED (SELECT {means} FROM a{i} a, m{i - 1} m)"
+    return sql + f" SELECT item, CAST(cluster AS INTEGER) AS cluster FROM a{ITEM_STEPS}"
+
+
+@query("kmeans_converged", _item_sql())
 def converged(t: Tables) -> DataFrame:
     """Line items to their final clusters, run until no row moves or 25 passes."""
-    features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     items = t.spread("lineitem").withColumn(
         "item", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    model = KMeans(k=8, max_iter=25, random_state=SEED).fit(
-        items, features, "item", "min_max", scope="column")
+    model = KMeans(k=ITEM_K, max_iter=ITEM_STEPS, random_state=SEED).fit(
+        items, ITEM_FEATURES, "item", "min_max", scope="column")
     return model.assignments(items).select("item", "cluster")

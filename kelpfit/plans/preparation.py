@@ -139,9 +139,25 @@ WITH r AS (
 SELECT l_orderkey, l_extendedprice AS median FROM r WHERE run >= total / 2
 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""")
 def weighted_median(t: Tables) -> DataFrame:
-    ordered = t.lineitem.withColumn("place", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
     return aggregates.weighted_median(
-        ordered, ["l_orderkey"], "l_extendedprice", "l_quantity", "place")
+        t.lineitem, ["l_orderkey"], "l_extendedprice", "l_quantity",
+        ["l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@query("weighted_median_by_flag", """
+WITH r AS (
+  SELECT l_returnflag, l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         sum(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_orderkey, l_linenumber,
+                               l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS run,
+         sum(l_quantity) OVER (PARTITION BY l_returnflag) AS total
+  FROM lineitem
+)
+SELECT l_returnflag, min(l_extendedprice) AS median FROM r WHERE run >= total / 2 GROUP BY l_returnflag""")
+def weighted_median_by_flag(t: Tables) -> DataFrame:
+    """Three groups over the whole table, each far larger than one task should sort."""
+    return aggregates.weighted_median(
+        t.lineitem, ["l_returnflag"], "l_extendedprice", "l_quantity",
+        ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
 @query("value_counts", "SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL")
@@ -153,10 +169,7 @@ def value_counts(t: Tables) -> DataFrame:
 SELECT DISTINCT 'lang' AS feature, lang AS value FROM documents
 UNION ALL SELECT DISTINCT 'source', source FROM documents""")
 def label_lists(t: Tables) -> DataFrame:
-    lists = aggregates.distinct_labels(t.documents, ["lang", "source"])
-    return lists.select(F.explode(F.create_map(
-        F.lit("lang"), "lang", F.lit("source"), "source")).alias("feature", "values")).select(
-        "feature", F.explode("values").alias("value"))
+    return aggregates.distinct_labels(t.documents, ["lang", "source"])
 
 
 @query("gini_by_group", """

@@ -127,15 +127,29 @@ def test_weighted_aggregates(spark):
         aggregates.weighted_mean(F.col("v"), F.col("w")).alias("m")).collect()}
     assert math.isclose(means[1], 20.5 / 4.5) and means[2] == 0.0
     # walking in the given order, half of 4.5 is reached at the second value
-    walked = {r["g"]: r["median"] for r in aggregates.weighted_median(df, ["g"], "v", "w", "o").collect()}
-    assert walked == {1: 1.0, 2: 4.0}
-    by_value = df.withColumn("o", F.struct("v", "o"))
-    sorted_ = {r["g"]: r["median"] for r in aggregates.weighted_median(by_value, ["g"], "v", "w", "o").collect()}
-    assert sorted_[1] == 5.0
+    for few in (True, False):
+        walk = aggregates.weighted_median_of_few if few else aggregates.weighted_median
+        walked = walk(df, ["g"], "v", "w", "o" if few else ["o"])
+        assert {r["g"]: r["median"] for r in walked.collect()} == {1: 1.0, 2: 4.0}
+        by_value = df.withColumn("s", F.struct("v", "o"))
+        sorted_ = walk(by_value, ["g"], "v", "w", "s" if few else ["v", "o"])
+        assert {r["g"]: r["median"] for r in sorted_.collect()}[1] == 5.0
     heavy = {r["g"]: r["mode"] for r in aggregates.heaviest(df, ["g"], "v", "w", "o").collect()}
     assert heavy == {1: 1.0, 2: 4.0}
 
 
+def test_weighted_median_of_one_hot_group(spark):
+    rng = np.random.default_rng(5)
+    v, w = rng.normal(size=3000), rng.integers(1, 9, 3000)
+    rows = [("hot" if i < 2900 else f"g{i % 7}", float(a), float(b), i) for i, (a, b) in enumerate(zip(v, w))]
+    df = spark.createDataFrame(rows, "g string, v double, w double, o int").repartition(6)
+    got = {r["g"]: r["median"] for r in aggregates.weighted_median(df, ["g"], "v", "w", ["o"]).collect()}
+    for g in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == g]
+        run = np.cumsum([r[2] for r in mine])
+        assert got[g] == mine[int((run >= run[-1] / 2).argmax())][1]
+
+
 def test_gini(spark):
     df = spark.createDataFrame([(0, 0), (5, 5), (4, 0)], "a long, b long")
     got = [r[0] for r in df.select(aggregates.gini([F.col("a"), F.col("b")])).collect()]
