@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from kelpfit.functions.hashing import key_hash
 
-PREFIX_DIGITS = 4
-BUCKET_ROWS = 100_000
+PREFIX_DIGITS = 3
+BUCKET_ROWS = 1_000_000
 NONE_BELOW = ""
 ALL_BELOW = "g"  # sorts after every hex digit
 
@@ -30,7 +30,7 @@ def rank_cutoffs(
     """Row count and, for every rank ``r``, the hash of the r-th row in order.
 
     ``ranks`` may be a function of the row count. Every pass collects at most
-    65,536 prefix counts per boundary; only the few rows that share a boundary's
+    4,096 prefix counts per boundary; only the rows that share a boundary's
     prefix are ever ranked.
     """
     hashed = df.select(order.alias("h"))

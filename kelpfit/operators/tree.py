@@ -1,10 +1,12 @@
 """Decision and regression trees grown level by level.
 
-A level costs two passes over the rows, whatever the number of nodes. The first
-counts every node's rows per category and per coarse value range; the second
-looks at single values, but only inside ranges that can still hold a better
-threshold than the best one already known. Both passes combine on the map side,
-and no window holds more than one value range of one node.
+A level of a large table costs two passes over the rows, whatever the number of
+nodes. The first counts every node's rows per category and per coarse value
+range; the second looks at single values, but only inside ranges that can still
+hold a better threshold than the best one already known. A table of up to
+``RANGE_ROWS`` rows has its values counted in the first pass already. Passes
+combine on the map side, and no window holds more than one slice of one value
+range of one node.
 """
 
 from __future__ import annotations
@@ -85,16 +87,17 @@ class _Grower:
             *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
             self._target(df, label).alias("_y"))
         with held(rows) as rows:
-            kinds, cuts = self._profile(rows, kinds)
-            job = _Fit(self, rows, features, kinds, cuts, *self._measures(rows))
+            measure, stats = self._measures(rows)
+            kinds, cuts = self._profile(rows, kinds, measure.size(stats) > RANGE_ROWS)
+            job = _Fit(self, rows, features, kinds, cuts, measure, stats)
             nodes = job.grow()
         return TreeModel(tuple(features), label, nodes, self.positive, self.negative,
                          self._prediction_type(df, label), tuple(str(c) for c in job.classes))
 
-    def _profile(self, rows: DataFrame, kinds: dict[str, str]):
+    def _profile(self, rows: DataFrame, kinds: dict[str, str], large: bool):
         """Which strings only say positive or negative, and where numbers are cut into ranges."""
         pair = [self.positive, self.negative]
-        shares = [i / self.ranges for i in range(1, self.ranges)]
+        shares = [i / self.ranges for i in range(1, self.ranges)] if large else []
         aggs = [
             F.max((~F.col(c).isin(pair)).cast("int")).alias(c) if kind == "categorical"
             else F.percentile_approx(c, shares, 10_000).alias(c)
@@ -214,7 +217,9 @@ class _Fit:
         self.max_depth = settings.max_depth or len(features)
         self.continuous = [c for c in features if kinds[c] == "continuous"]
         self.nodes = {"": self._node("", root_stats)}
-        if self.continuous:
+        # so few rows that one window may order all values of a feature
+        self.small = self.nodes[""].n <= RANGE_ROWS
+        if self.continuous and not self.small:
             self.rows = self._with_ranges(rows, cuts)
 
     def _node(self, path: str, stats: tuple) -> Node:
@@ -287,7 +292,8 @@ class _Fit:
             numeric = self.kinds[c] == "continuous"
             offers += [
                 F.lit(f),
-                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric else F.lit(None).cast("int"),
+                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric and not self.small
+                else F.lit(None).cast("int"),
                 F.col(c) if numeric else F.lit(None).cast("double"),
                 F.lit(None).cast("string") if numeric else F.col(c),
             ]
@@ -330,9 +336,12 @@ class _Fit:
         offered = [c for c in self.features if any(c in self._open_features(p) for p in frontier)]
         if not offered:
             return {}
-        coarse = self._long_rows(frontier, offered).groupBy("node", "f", "range", "category").agg(
-            *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        place = "x" if self.small else "range"
+        coarse = self._long_rows(frontier, offered).groupBy("node", "f", place, "category").agg(
+            *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high"))
+        if self.small:
+            return self._search(frontier, offered, coarse)
+        coarse = coarse.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return self._search(frontier, offered, coarse)
         finally:
@@ -350,10 +359,10 @@ class _Fit:
             known.append(self._positive_against_negative(coarse.where(F.col("f").isin(pairs))))
         cuts = None
         if numbers:
-            cuts = self._range_sums(self._with_totals(coarse.where(F.col("range").isNotNull()), frontier))
+            cuts = self._range_sums(self._with_totals(coarse.where(F.col("low").isNotNull()), frontier))
             known.append(self._between_ranges(cuts))
         best = _lowest(known)
-        if numbers:
+        if numbers and not self.small:
             best = _merge(best, self._inside_ranges(frontier, numbers, coarse, cuts, best))
         return {frontier[i]: row for i, row in best.items()}
 
@@ -373,8 +382,8 @@ class _Fit:
         return self._candidates(sides, left, right, F.lit(None), F.lit(s.positive))
 
     def _range_sums(self, df: DataFrame) -> DataFrame:
-        """Statistics of the ranges before each range; one row per range in each window."""
-        w = Window.partitionBy("node", "f").orderBy("range")
+        """Statistics of what lies before each range, or each value of a small table."""
+        w = Window.partitionBy("node", "f").orderBy("low")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns({
             **{f"b_{n}": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in self.measure.names},

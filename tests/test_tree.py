@@ -93,7 +93,7 @@ def mixed(spark):
     return columns, drug, score, df.repartition(5).cache()
 
 
-@pytest.mark.parametrize("ranges, rows", [(128, 100_000), (4, 100_000), (1, 20), (3, 7)])
+@pytest.mark.parametrize("ranges, rows", [(128, 100_000), (128, 390), (4, 390), (1, 20), (3, 7)])
 def test_classes_match_exhaustive_growth(mixed, monkeypatch, ranges, rows):
     columns, drug, _, df = mixed
     monkeypatch.setattr(tree, "RANGE_ROWS", rows)
