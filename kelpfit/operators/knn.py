@@ -4,7 +4,8 @@ Both sides are cut into cells around seeded pivot rows. A query first meets the
 training rows of its own cell, which bounds how far its k-th neighbour can be;
 by the triangle inequality it then visits only those other cells that can hold
 anything closer. Crowded cells are cut further into blocks of bounded size on
-both sides, so no task grows with the data or with a hot cell.
+both sides, so no task grows with the data or with a hot cell. Where the bounds
+rule out little, every block of queries meets every block of training rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,12 @@ from kelpfit.session import cut_lineage
 AGGREGATIONS = ("mean", "median", "mode")
 # training rows per block; query blocks hold a quarter of that, to keep more tasks busy
 BLOCK_ROWS = 32768
+# cells aim at a sixteenth of a block, so that ruling one out is likely
+CELLS_PER_BLOCK = 16
 MAX_PIVOTS = 1024
+# share of all cells a query may visit on average before plain blocks are cheaper
+MAX_VISITED = 0.5
+CHUNK = 1024
 WEIGHT_FLOOR = 1e-6
 # rows measured exactly beyond k before near-ties are looked at one by one
 SHORTLIST = 8
@@ -59,8 +65,9 @@ def top_block(metric: str, queries: np.ndarray, train: np.ndarray, keys: np.ndar
     Euclidean distances are first estimated by a matrix product; the shortlist
     that can still be among the k nearest is then measured exactly.
     """
-    by_key = np.argsort(keys, kind="stable")
+    by_key = _first_copies(train, np.argsort(keys, kind="stable"), k)
     train = train[by_key]
+    queries, place = np.unique(queries, axis=0, return_inverse=True)
     k, width = min(k, len(train)), min(k + SHORTLIST, len(train))
     squared = metric in ("euclidean", "squared_euclidean")
     norms = (train * train).sum(axis=1)
@@ -89,7 +96,23 @@ def top_block(metric: str, queries: np.ndarray, train: np.ndarray, keys: np.ndar
             rows[i], dist[i] = all_near[order], exact[order]
         rows_out.append(by_key[rows])
         dist_out.append(dist)
-    return np.concatenate(rows_out), np.concatenate(dist_out)
+    place = place.ravel()
+    return np.concatenate(rows_out)[place], np.concatenate(dist_out)[place]
+
+
+def _first_copies(train: np.ndarray, by_key: np.ndarray, k: int) -> np.ndarray:
+    """Leave out copies of a point beyond its k lowest keys.
+
+    Copies are equally far from any query and ties go by key, so later ones can
+    never be among its k nearest.
+    """
+    _, group = np.unique(train[by_key], axis=0, return_inverse=True)
+    group = group.ravel()
+    order = np.argsort(group, kind="stable")
+    counts = np.bincount(group)
+    nth = np.empty(len(group), dtype=int)
+    nth[order] = np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return by_key[nth < k]
 
 
 def _paired(metric: str, q: np.ndarray, train: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -118,15 +141,18 @@ def _assign_cells(df: DataFrame, metric: str, pivots: np.ndarray) -> DataFrame:
     @F.pandas_udf("cell int, gap double")
     def assign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            d = pairwise(measure, _stack(x), pivots)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype("int32"), "gap": d[np.arange(len(d)), cell]})
+            cells, gaps = [np.empty(0, dtype="int32")], [np.empty(0)]
+            for i in range(0, len(x), CHUNK):
+                d = pairwise(measure, _stack(x.iloc[i:i + CHUNK]), pivots)
+                cells.append(d.argmin(axis=1).astype("int32"))
+                gaps.append(d.min(axis=1))
+            yield pd.DataFrame({"cell": np.concatenate(cells), "gap": np.concatenate(gaps)})
 
     return df.withColumn("_a", assign("_x")).select("*", "_a.cell", "_a.gap").drop("_a")
 
 
 def _pivots(train: DataFrame, n: int, block_rows: int) -> np.ndarray:
-    wanted = min(MAX_PIVOTS, max(1, n // block_rows))
+    wanted = 1 if n <= block_rows else min(MAX_PIVOTS, n // max(1, block_rows // CELLS_PER_BLOCK))
     rows = train.orderBy(key_hash("pivot", "_t")).limit(wanted).select("_x").collect()
     return np.array([r["_x"] for r in rows], dtype=float)
 
@@ -139,7 +165,10 @@ def _spread(side: DataFrame, own: str, other: str, own_blocks: Column, other_blo
 
 
 def _block_counts(counts: dict[int, int], block_rows: int) -> Column:
-    pairs = [v for c, n in sorted(counts.items()) for v in (F.lit(c), F.lit(math.ceil(n / block_rows)))]
+    pairs = [v for c, n in sorted(counts.items())
+             for v in (F.lit(c), F.lit(max(1, math.ceil(n / block_rows))))]
+    if not pairs:
+        return F.lit(1)
     return F.coalesce(F.create_map(*pairs)[F.col("cell")], F.lit(1))
 
 
@@ -182,23 +211,28 @@ def _other_cells(metric: str, cells: Cells, features: Column, home: Column, reac
     euclid = measure == "euclidean"
     between = pairwise(measure, cells.pivots, cells.pivots)
 
+    def keep(q: np.ndarray, h: np.ndarray, r: np.ndarray) -> list[np.ndarray]:
+        d = pairwise(measure, q, cells.pivots)
+        low = np.maximum(d - cells.outer[None, :], cells.inner[None, :] - d)
+        if euclid:
+            own = d[np.arange(len(q)), h]
+            gap = between[h]
+            plane = np.divide(d * d - (own * own)[:, None], 2 * gap,
+                              out=np.zeros_like(d), where=gap > 0)
+            low = np.maximum(low, plane)
+        room = SLACK * (1.0 + d + np.where(np.isfinite(r), r, 0.0)[:, None])
+        open_cells = (low - room <= r[:, None]) & (cells.rows > 0)[None, :]
+        open_cells[np.arange(len(q)), h] = False
+        return [np.flatnonzero(row).astype("int32") for row in open_cells]
+
     @F.pandas_udf("array<int>")
     def visit(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for x, home_cell, limit in batches:
-            q, h = _stack(x), home_cell.to_numpy()
-            d = pairwise(measure, q, cells.pivots)
-            low = np.maximum(d - cells.outer[None, :], cells.inner[None, :] - d)
-            if euclid:
-                own = d[np.arange(len(q)), h]
-                gap = between[h]
-                plane = np.divide(d * d - (own * own)[:, None], 2 * gap,
-                                  out=np.zeros_like(d), where=gap > 0)
-                low = np.maximum(low, plane)
-            r = limit.to_numpy()
-            room = SLACK * (1.0 + d + np.where(np.isfinite(r), r, 0.0)[:, None])
-            keep = (low - room <= r[:, None]) & (cells.rows > 0)[None, :]
-            keep[np.arange(len(q)), h] = False
-            yield pd.Series([np.flatnonzero(row).astype("int32") for row in keep])
+        for x, h, r in batches:
+            yield pd.Series([
+                visited for i in range(0, len(x), CHUNK)
+                for visited in keep(_stack(x.iloc[i:i + CHUNK]), h.to_numpy()[i:i + CHUNK],
+                                    r.to_numpy()[i:i + CHUNK])
+            ], dtype=object)
 
     return visit(features, home, reach)
 
@@ -258,16 +292,25 @@ def nearest(
         reach = F.coalesce(F.col("reach"), F.lit(float("inf")))
         if metric == "squared_euclidean":
             reach = F.sqrt(reach)
-        visits = cut_lineage(
+        lists = cut_lineage(
             q.join(kth, "_q", "left")
-            .withColumn("cell", F.explode(
-                _other_cells(metric, cells, F.col("_x"), F.col("cell"), reach)))
-            .select("_q", "_x", "cell"))
-        visited = _count_by_cell(visits)
-        away = _join_cells(
-            visits, t.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
-            block_rows, **types)
-        found = home.drop("rank").unionByName(away)
+            .withColumn("cells", _other_cells(metric, cells, F.col("_x"), F.col("cell"), reach))
+            .select("_q", "_x", "cells"))
+        queries_n, share = lists.agg(
+            F.count(F.lit(1)), F.avg(F.size("cells") / len(in_cell))).first()
+        if queries_n and share > MAX_VISITED:
+            # bounds rule out too little here, as with many dimensions
+            one = F.lit(0).alias("cell")
+            found = _join_cells(
+                q.select("_q", "_x", one), t.select("_t", "_y", "_x", one), metric, k, {0: n},
+                {0: queries_n}, block_rows, **types)
+        else:
+            visits = lists.select("_q", "_x", F.explode("cells").alias("cell"))
+            visited = _count_by_cell(visits)
+            away = _join_cells(
+                visits, t.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
+                block_rows, **types)
+            found = home.drop("rank").unionByName(away)
     return _best(found, k).select(
         F.col("_q").alias(query_key), "rank", "neighbour", "distance", "label")
 

@@ -37,8 +37,9 @@ def skewed(rng, n, d):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("block_rows", [8192, 12])
-def test_neighbours_match_brute_force(spark, metric, block_rows):
+@pytest.mark.parametrize("block_rows, most", [(8192, 0.5), (48, 1.0), (48, 0.0)])
+def test_neighbours_match_brute_force(spark, monkeypatch, metric, block_rows, most):
+    monkeypatch.setattr(knn, "MAX_VISITED", most)
     rng = np.random.default_rng(2)
     t, q = skewed(rng, 240, 3), skewed(rng, 60, 3)
     q[0] = t[0]
@@ -50,7 +51,8 @@ def test_neighbours_match_brute_force(spark, metric, block_rows):
 
 
 @pytest.mark.parametrize("k", [1, 50, 130])
-def test_many_neighbours_across_cells(spark, k):
+def test_many_neighbours_across_cells(spark, monkeypatch, k):
+    monkeypatch.setattr(knn, "MAX_VISITED", 1.0)
     rng = np.random.default_rng(4)
     t, q = rng.normal(size=(130, 2)), rng.normal(size=(20, 2)) * 3
     rows, _ = found(nearest(table(spark, q), table(spark, t), "id", "id", ["v"], "y", k, "euclidean", 10), k)
@@ -146,6 +148,13 @@ def test_string_labels_and_keys(spark):
     assert [(r["id"], r["prediction"]) for r in got] == [("a", "red"), ("b", "blue")]
 
 
+def test_no_queries(spark):
+    train = table(spark, np.arange(60.0).reshape(-1, 1))
+    for block_rows in (8192, 16):
+        near = nearest(train.limit(0), train, "id", "id", ["v"], "y", 2, "euclidean", block_rows)
+        assert near.count() == 0
+
+
 def test_bad_settings_and_input(spark):
     for bad in (dict(n_neighbors=0), dict(n_neighbors=1.5), dict(distance_metric="cosine")):
         with pytest.raises(ValueError):
