@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from kelpfit.session import cut_lineage
 
+# rows of one group that a single task may sort
+FEW_ROWS = 100_000
+
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
@@ -45,10 +48,14 @@ def weighted_median(df: DataFrame, groups: Sequence[str], value: str, weight: st
                     order: Sequence[str], name: str = "median") -> DataFrame:
     """First value, walking in ``order``, where the running weight reaches half.
 
-    Rows are range-partitioned by group and order, so even one group holding
-    most rows is spread out: each slice sorts its own rows and adds the weight of
-    the group's slices before it.
+    Where a group is too large for one task, rows are range-partitioned by group
+    and order, so even a group holding most rows is spread out: each slice sorts
+    its own rows and adds the weight of the group's slices before it.
     """
+    largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    if largest <= FEW_ROWS:
+        return weighted_median_of_few(
+            df.withColumn("_o", F.struct(*order)), groups, value, weight, "_o", name)
     row = df.select(*groups, F.struct(*order).alias("_o"), F.col(value).alias("_v"),
                     F.col(weight).alias("_w"))
     # slice numbers must not change between passes, so they are written down once

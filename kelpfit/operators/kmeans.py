@@ -25,6 +25,7 @@ MAX_LITERALS = 256
 # below this many coordinate comparisons compiling new literals costs more than it saves
 SMALL_WORK = 100_000_000
 ARROW_ROWS = 2048
+MAX_UNROLLED = 64
 
 Centroids = list[list[float]]
 
@@ -69,11 +70,11 @@ class KMeans:
         if scaling_method is not None:
             require_choice("scaling_method", scaling_method, METHODS)
         rows = usable_rows(df.select(key, *columns), columns)
-        scaler = fit_scaler(rows, columns, scaling_method, scope) if scaling_method else None
-        base = (scaler.transform(rows) if scaler else rows).select(
-            F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
-        with held(base) as base:
-            n = base.count()
+        with held(rows) as rows:
+            n = rows.count()
+            scaler = fit_scaler(rows, columns, scaling_method, scope) if scaling_method else None
+            base = (scaler.transform(rows) if scaler else rows).select(
+                F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
             start = starting_centroids(base, self)
             values = self.k * len(start[0])
             step = _iterate_in_arrow if values > MAX_LITERALS or n * values < SMALL_WORK else _iterate
@@ -219,12 +220,35 @@ def starting_centroids(base: DataFrame, settings: KMeans) -> Centroids:
         raise ValueError("there are no rows to cluster")
     chosen = [list(first)]
     while len(chosen) < settings.k:
-        gap = _least_gap("_x", chosen, settings.distance_metric)
-        farthest = base.agg(F.min(F.struct((-gap).alias("d"), "_key", "_x")).alias("s")).first()["s"]
+        if len(chosen) * len(chosen[0]) <= MAX_LITERALS:
+            gap = _least_gap("_x", chosen, settings.distance_metric)
+            rows = base.select((-gap).alias("d"), "_key", "_x")
+        else:
+            rows = _farthest_per_task(base, chosen, settings.distance_metric)
+        farthest = rows.agg(F.min(F.struct("d", "_key", "_x")).alias("s")).first()["s"]
         chosen.append(list(farthest["_x"]))
     return chosen
 
 
+def _farthest_per_task(base: DataFrame, chosen: Centroids, metric: str) -> DataFrame:
+    """Each task's farthest row, by negated distance to its nearest chosen row, then key."""
+    sent = base.sparkSession.sparkContext.broadcast(np.array(chosen))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for batch in batches:
+            for i in range(0, len(batch), ARROW_ROWS):
+                part = batch.iloc[i:i + ARROW_ROWS]
+                d = -pairwise(metric, np.stack(part["_x"].to_numpy()), sent.value).min(axis=1)
+                part = part.assign(d=d)[d == d.min()].sort_values("_key").iloc[:1]
+                best = part if best is None else pd.concat([best, part]).sort_values(["d", "_key"]).iloc[:1]
+        if best is not None:
+            yield best[["d", "_key", "_x"]]
+
+    key = base.schema["_key"].dataType.simpleString()
+    return base.select("_key", "_x").mapInPandas(search, f"d double, _key {key}, _x array<double>")
+
+
 def _iterate(base: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None):
     """Assign, average, and count the rows whose cluster changed, in one job.
 
@@ -246,6 +270,8 @@ def _iterate(base: DataFrame, metric: str, centroids: Centroids, previous: Centr
 def _iterate_in_arrow(base: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None):
     """The same step as partial sums of Arrow batches: one row per cluster and task."""
     k, d = len(centroids), len(centroids[0])
+    # scalar columns turn into a matrix much faster than arrays do
+    unrolled = d <= MAX_UNROLLED
     sent = base.sparkSession.sparkContext.broadcast(
         (np.array(centroids), None if previous is None else np.array(previous)))
 
@@ -254,7 +280,8 @@ def _iterate_in_arrow(base: DataFrame, metric: str, centroids: Centroids, previo
         n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
         for batch in batches:
             for i in range(0, len(batch), ARROW_ROWS):
-                x = np.stack(batch["_x"].iloc[i:i + ARROW_ROWS].to_numpy())
+                part = batch.iloc[i:i + ARROW_ROWS]
+                x = part.to_numpy() if unrolled else np.stack(part["_x"].to_numpy())
                 cluster = pairwise(metric, x, now).argmin(axis=1)
                 moved = cluster if before is None else cluster[
                     pairwise(metric, x, before).argmin(axis=1) != cluster]
@@ -265,7 +292,8 @@ def _iterate_in_arrow(base: DataFrame, metric: str, centroids: Centroids, previo
         yield pd.DataFrame({"cluster": np.arange(k), "n": n, "changed": changed,
                             "total": list(sums)})
 
-    partial = base.select("_x").mapInPandas(
+    coordinates = [F.col("_x")[j].alias(f"x{j}") for j in range(d)] if unrolled else ["_x"]
+    partial = base.select(*coordinates).mapInPandas(
         add_up, "cluster int, n long, changed long, total array<double>")
     counts = partial.where("n > 0").groupBy("cluster")
     sums = F.array(*[F.sum(F.col("total")[j]) for j in range(d)])

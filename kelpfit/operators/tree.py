@@ -26,7 +26,7 @@ from kelpfit.session import held
 from kelpfit.sources.reshape import feature_kinds
 
 RANGES = 128
-RANGE_ROWS = 100_000
+RANGE_ROWS = 1_000_000
 DIGITS = 10
 MAX_CLASSES = 1000
 MAX_BROADCAST_RANGES = 500_000

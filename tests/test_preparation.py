@@ -138,7 +138,9 @@ def test_weighted_aggregates(spark):
     assert heavy == {1: 1.0, 2: 4.0}
 
 
-def test_weighted_median_of_one_hot_group(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_weighted_median_of_one_hot_group(spark, monkeypatch, few):
+    monkeypatch.setattr(aggregates, "FEW_ROWS", few)
     rng = np.random.default_rng(5)
     v, w = rng.normal(size=3000), rng.integers(1, 9, 3000)
     rows = [("hot" if i < 2900 else f"g{i % 7}", float(a), float(b), i) for i, (a, b) in enumerate(zip(v, w))]
