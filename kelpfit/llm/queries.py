@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import exact_dedup, mixing, sharding
+from kelpfit.llm import exact_dedup, mixing, quality, sharding
 from kelpfit.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def shard_query(spark, sf_dir):
 def mix_query(spark, sf_dir):
     return mixing.sampled_copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query("op4_quality_rules")
+def quality_query(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents")).drop("_rid")
