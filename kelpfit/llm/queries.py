@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import exact_dedup, mixing, quality, sharding
+from kelpfit.llm import exact_dedup, line_dedup, mixing, quality, sharding
+from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,18 @@ def mix_query(spark, sf_dir):
 @query("op4_quality_rules")
 def quality_query(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents")).drop("_rid")
+
+
+@query("op9_line_dedup", """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c USING (key) GROUP BY doc_id
+""")
+def line_dedup_query(spark, sf_dir):
+    rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_count=10, min_chars=1)
+    return rows.select("doc_id", "n_lines", "n_dropped", hex_sha256(F.col("kept_text")).alias("kept_sha256"))
