@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import exact_dedup, line_dedup, mixing, quality, sharding
+from kelpfit.llm import bpe, exact_dedup, line_dedup, mixing, quality, sharding
 from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
@@ -29,6 +29,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,3 +89,11 @@ FROM k LEFT JOIN c USING (key) GROUP BY doc_id
 def line_dedup_query(spark, sf_dir):
     rows = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_count=10, min_chars=1)
     return rows.select("doc_id", "n_lines", "n_dropped", hex_sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
+@query("op6_bpe_encode")
+def bpe_query(spark, sf_dir):
+    rows = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_file(), decode=True)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        hex_sha256(bpe.id_text("ids")).alias("ids_sha256"), hex_sha256(F.col("decoded")).alias("decoded_sha256"))
