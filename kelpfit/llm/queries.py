@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, exact_dedup, line_dedup, mixing, quality, sharding
+from kelpfit.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding
 from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
@@ -97,3 +97,9 @@ def bpe_query(spark, sf_dir):
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         hex_sha256(bpe.id_text("ids")).alias("ids_sha256"), hex_sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query("op1_ngram_join")
+def ngram_query(spark, sf_dir):
+    rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return rows.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")
