@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, sharding
+from kelpfit.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ngram_join, quality, sharding
 from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
@@ -103,3 +103,14 @@ def bpe_query(spark, sf_dir):
 def ngram_query(spark, sf_dir):
     rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
     return rows.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")
+
+
+@query("op10_language_id")
+def language_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 4
+    learned = docs.where((fold != 2) & F.col("lang").isNotNull()).select(
+        "doc_id", "lang", F.coalesce("text", F.lit("")).alias("_text"), (fold == 3).alias("_calibrate"))
+    model = language_id.fit(learned, F.col("_calibrate"))
+    held_out = (F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 4 == 2).alias("held_out")
+    return language_id.predicted(docs, model).select("doc_id", held_out, "lang_pred", "score", "bits", "accepted")
