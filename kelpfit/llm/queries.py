@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ngram_join, quality, sharding
+from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, quality, sharding
 from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
@@ -114,3 +114,18 @@ def language_query(spark, sf_dir):
     model = language_id.fit(learned, F.col("_calibrate"))
     held_out = (F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 4 == 2).alias("held_out")
     return language_id.predicted(docs, model).select("doc_id", held_out, "lang_pred", "score", "bits", "accepted")
+
+
+@query("op7_chat_format")
+def chat_query(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    lines = F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n")))
+    return chat.formatted_conversations(turns).select(
+        "conv_id", F.size("roles").cast("long").alias("n_turns"),
+        hex_sha256(F.array_join(lines, "")).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), hex_sha256(F.col("loss_text")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
