@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, quality, sharding
+from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality, sharding
 from kelpfit.llm.common import hex_sha256
 from kelpfit.session import ship_package
 
@@ -129,3 +129,9 @@ def chat_query(spark, sf_dir):
         hex_sha256(F.array_join(lines, "")).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), hex_sha256(F.col("loss_text")).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op2_pack_tokens")
+def packing_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed_tokens(docs, tokenizer_file(), width=2048, end_id=50256, pad_id=50256)
