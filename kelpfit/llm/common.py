@@ -57,9 +57,14 @@ def numbered(df: DataFrame, name: str = "_rid") -> DataFrame:
     """Add a row number that tells repeated rows apart.
 
     It is the place of the row in its input partition, so it repeats when a task
-    runs again on files or on a stored table. Rows that come from a shuffle have
-    no fixed order: pass them through :func:`stored` first.
+    runs again, or another job reads the same files or the same stored table. Rows
+    that come from a shuffle have no fixed order: pass them through :func:`stored`
+    first. How files are split must not follow the number of cores, which falls when
+    executors are lost, so the session's number is pinned on first use.
     """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.files.minPartitionNum", None) is None:
+        conf.set("spark.sql.files.minPartitionNum", str(df.sparkSession.sparkContext.defaultParallelism))
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
