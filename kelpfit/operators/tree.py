@@ -1,12 +1,14 @@
 """Decision and regression trees grown level by level.
 
-A level of a large table costs two passes over the rows, whatever the number of
+A level costs two passes over the rows, whatever their number and that of the
 nodes. The first counts every node's rows per category and per coarse value
 range; the second looks at single values, but only inside ranges that can still
-hold a better threshold than the best one already known. A table of up to
-``RANGE_ROWS`` rows has its values counted in the first pass already. Passes
-combine on the map side, and no window holds more than one slice of one value
-range of one node.
+hold a better threshold than the best one already known. Passes combine on the map
+side, and no window holds more than one slice of a node's values.
+
+Regression sums are centred on the mean of the node they belong to, and candidates
+of a node are ranked by their share of that node's own squares, so a split far up
+that removes most of the variance does not blur the ones below.
 """
 
 from __future__ import annotations
@@ -21,12 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
-from kelpfit.operators.aggregates import squared_residuals, weighted_gini
-from kelpfit.session import held
+from kelpfit.operators.aggregates import gini, squared_residuals, weighted_gini
+from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
 RANGES = 128
-RANGE_ROWS = 1_000_000
 DIGITS = 10
 MAX_CLASSES = 1000
 MAX_BROADCAST_RANGES = 500_000
@@ -88,16 +89,16 @@ class _Grower:
             self._target(df, label).alias("_y"))
         with held(rows) as rows:
             measure, stats = self._measures(rows)
-            kinds, cuts = self._profile(rows, kinds, measure.size(stats) > RANGE_ROWS)
+            kinds, cuts = self._profile(rows, kinds)
             job = _Fit(self, rows, features, kinds, cuts, measure, stats)
             nodes = job.grow()
         return TreeModel(tuple(features), label, nodes, self.positive, self.negative,
                          self._prediction_type(df, label), tuple(str(c) for c in job.classes))
 
-    def _profile(self, rows: DataFrame, kinds: dict[str, str], large: bool):
+    def _profile(self, rows: DataFrame, kinds: dict[str, str]):
         """Which strings only say positive or negative, and where numbers are cut into ranges."""
         pair = [self.positive, self.negative]
-        shares = [i / self.ranges for i in range(1, self.ranges)] if large else []
+        shares = [i / self.ranges for i in range(1, self.ranges)]
         aggs = [
             F.max((~F.col(c).isin(pair)).cast("int")).alias(c) if kind == "categorical"
             else F.percentile_approx(c, shares, 10_000).alias(c)
@@ -145,7 +146,7 @@ class RegressionTree(_Grower):
         r = rows.agg(F.count("_y"), F.avg("_y"), F.var_pop("_y")).first()
         if r[0] == 0:
             raise ValueError("there are no rows to grow a tree from")
-        return SquaresMeasure(r[1], r[2] * r[0]), (r[0], 0.0, r[2] * r[0])
+        return SquaresMeasure(r[1]), (r[0], 0.0, r[2] * r[0])
 
 
 class GiniMeasure:
@@ -155,7 +156,6 @@ class GiniMeasure:
 
     def __init__(self, classes: list):
         self.classes = classes
-        self.scale = 1.0
         self.names = [f"s{i}" for i in range(len(classes))]
 
     def aggregates(self) -> list[Column]:
@@ -165,47 +165,69 @@ class GiniMeasure:
     def score(self, left: Sequence[Column], right: Sequence[Column]) -> Column:
         return weighted_gini(left, right)
 
+    def own(self, total: Sequence[Column]) -> Column:
+        return gini(total)
+
+    def rank(self, score: Column, own: Column) -> Column:
+        return F.round(score, DIGITS)
+
     def size(self, stats):
         return sum(stats[1:], stats[0])
 
-    def impurity(self, stats: tuple) -> float:
+    def node(self, path: str, stats: tuple, parent: Node | None) -> Node:
         n = sum(stats)
-        return 1.0 - sum(c * c for c in stats) / (n * n) if n else 0.0
+        impurity = 1.0 - sum(c * c for c in stats) / (n * n) if n else 0.0
+        most = self.classes[max(range(len(stats)), key=lambda i: (stats[i], -i))]
+        return Node(path, n, tuple(stats), most, impurity)
+
+    def centre(self, node: Node) -> float:
+        return 0.0
 
-    def prediction(self, stats: tuple):
-        return self.classes[max(range(len(stats)), key=lambda i: (stats[i], -i))]
+    def centred(self, y: Column, centre: Column) -> Column:
+        return y
 
 
 class SquaresMeasure:
-    """Count, sum and sum of squares of the target, centred on the overall mean.
+    """Count, sum and sum of squares of the target, centred on the node's mean.
 
     Thresholds are observed values and belong to the right.
     """
 
     inclusive = False
 
-    def __init__(self, mean: float, squares: float):
+    def __init__(self, mean: float):
         self.classes = []
         self.mean = mean
-        self.scale = 1.0 / squares if squares > 0 else 1.0
         self.names = ["s0", "s1", "s2"]
 
     def aggregates(self) -> list[Column]:
-        y = F.col("y") - F.lit(self.mean)
+        y = F.col("y")
         return [F.count(y).alias("s0"), F.sum(y).alias("s1"), F.sum(y * y).alias("s2")]
 
     def score(self, left: Sequence[Column], right: Sequence[Column]) -> Column:
         return squared_residuals(*left) + squared_residuals(*right)
 
+    def own(self, total: Sequence[Column]) -> Column:
+        return squared_residuals(*total)
+
+    def rank(self, score: Column, own: Column) -> Column:
+        return F.when(own > 0, F.round(score / own, DIGITS)).otherwise(0.0)
+
     def size(self, stats):
         return stats[0]
 
-    def impurity(self, stats: tuple) -> float:
+    def node(self, path: str, stats: tuple, parent: Node | None) -> Node:
+        """A node from sums about its parent's mean; its own squares are measured again later."""
         n, total, squares = stats
-        return squares - total * total / n if n else 0.0
+        mean = (parent.prediction if parent else self.mean) + total / n
+        left = max(0.0, squares - total * total / n)
+        return Node(path, int(n), (n, 0.0, left), mean, left)
 
-    def prediction(self, stats: tuple) -> float:
-        return self.mean + stats[1] / stats[0]
+    def centre(self, node: Node) -> float:
+        return node.prediction
+
+    def centred(self, y: Column, centre: Column) -> Column:
+        return y - centre
 
 
 class _Fit:
@@ -216,15 +238,13 @@ class _Fit:
         self.measure, self.classes = measure, measure.classes
         self.max_depth = settings.max_depth or len(features)
         self.continuous = [c for c in features if kinds[c] == "continuous"]
-        self.nodes = {"": self._node("", root_stats)}
-        # so few rows that one window may order all values of a feature
-        self.small = self.nodes[""].n <= RANGE_ROWS
-        if self.continuous and not self.small:
+        self.nodes = {}
+        self.nodes[""] = self._node("", root_stats)
+        if self.continuous:
             self.rows = self._with_ranges(rows, cuts)
 
     def _node(self, path: str, stats: tuple) -> Node:
-        m = self.measure
-        return Node(path, int(m.size(stats)), tuple(stats), m.prediction(stats), m.impurity(stats))
+        return self.measure.node(path, tuple(stats), self.nodes[path[:-1]] if path else None)
 
     def _with_ranges(self, rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
         """Add each continuous value's coarse range number, about equally filled."""
@@ -242,6 +262,8 @@ class _Fit:
             frontier = []
             for path in ready:
                 frontier += self._split(path, best.get(path))
+        if isinstance(self.measure, SquaresMeasure):
+            self._measure_leaves()
         return sorted(self.nodes.values(), key=lambda node: node.path)
 
     def _may_split(self, path: str) -> bool:
@@ -258,13 +280,14 @@ class _Fit:
 
     def _split(self, path: str, found) -> list[str]:
         node = self.nodes[path]
-        if found is None or round(node.impurity * self.measure.scale, DIGITS) < found["rank"]:
+        if found is None or found["own_rank"] < found["rank"]:
             self.nodes[path] = replace(node, stop="no better split")
             return []
         name = self.features[found["f"]]
         self.nodes[path] = replace(
             node, feature=name, kind=self.kinds[name], threshold=found["threshold"],
-            value=found["value"], score=found["score"], inclusive=self.measure.inclusive)
+            value=found["value"], score=found["score"], impurity=found["own"],
+            inclusive=self.measure.inclusive)
         children = []
         for step, side in (("L", "left"), ("R", "right")):
             stats = tuple(found[side])
@@ -279,21 +302,43 @@ class _Fit:
         used = {self.nodes[path[:i]].feature for i in range(len(path))}
         return [c for c in self.features if c not in used]
 
+    def _placed(self, wanted: list[str]) -> DataFrame:
+        """Rows of some nodes, with the node's number and the target centred for it."""
+        number = {p: i for i, p in enumerate(wanted)}
+
+        def answer(node: Node) -> Column:
+            if node.path not in number:
+                return F.lit(None).cast("struct<node:int,centre:double>")
+            return F.struct(F.lit(number[node.path]).alias("node"),
+                            F.lit(float(self.measure.centre(node))).alias("centre"))
+
+        route = _route(self.nodes, answer, self.settings.positive, self.settings.negative)
+        return (
+            self.rows.withColumn("_at", route).where(F.col("_at").isNotNull())
+            .withColumns({"node": F.col("_at.node"),
+                          "y": self.measure.centred(F.col("_y"), F.col("_at.centre"))})
+        )
+
+    def _measure_leaves(self) -> None:
+        """Squares of the leaves about their own means, in one pass."""
+        leaves = [p for p, node in self.nodes.items() if node.feature is None]
+        rows = self._placed(leaves).groupBy("node").agg(*self.measure.aggregates()).collect()
+        for r in rows:
+            squares = max(0.0, r["s2"] - r["s1"] * r["s1"] / r["s0"])
+            self.nodes[leaves[r["node"]]] = replace(self.nodes[leaves[r["node"]]], impurity=squares)
+
     # ---- statistics of one level ------------------------------------------------
 
     def _long_rows(self, frontier: list[str], features: list[str]) -> DataFrame:
         """One row per frontier row and feature still open to its node."""
         number = {p: i for i, p in enumerate(frontier)}
-        route = _route(self.nodes, lambda node: F.lit(number[node.path]) if node.path in number
-                       else F.lit(None).cast("int"), self.settings.positive, self.settings.negative)
         offers, closed = [], F.lit(False)
         for c in features:
             f = self.features.index(c)
             numeric = self.kinds[c] == "continuous"
             offers += [
                 F.lit(f),
-                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric and not self.small
-                else F.lit(None).cast("int"),
+                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric else F.lit(None).cast("int"),
                 F.col(c) if numeric else F.lit(None).cast("double"),
                 F.lit(None).cast("string") if numeric else F.col(c),
             ]
@@ -301,22 +346,18 @@ class _Fit:
             if used:
                 closed = closed | ((F.col("f") == f) & F.col("node").isin(used))
         return (
-            self.rows.withColumn("node", route).where(F.col("node").isNotNull())
-            .select("node", F.col("_y").alias("y"),
+            self._placed(frontier)
+            .select("node", "y",
                     F.stack(F.lit(len(features)), *offers).alias("f", "range", "x", "category"))
             .where(~closed)
         )
 
-    def _with_totals(self, df: DataFrame, frontier: list[str]) -> DataFrame:
-        """Attach the node's own statistics; one row per frontier node."""
+    def _totals(self, coarse: DataFrame) -> DataFrame:
+        """Statistics of whole nodes: every open feature sees all rows of its node, so one will do."""
         names = self.measure.names
-        rows = [(i, *self.nodes[p].stats) for i, p in enumerate(frontier)]
-        kind = "double" if isinstance(self.measure, SquaresMeasure) else "long"
-        rows = [(r[0], *[float(v) if kind == "double" else int(v) for v in r[1:]]) for r in rows]
-        totals = df.sparkSession.createDataFrame(
-            rows, "node int, " + ", ".join(f"t_{n} {kind}" for n in names))
-        # one small row per frontier node, made on the driver
-        return df.join(F.broadcast(totals), "node")
+        by_feature = coarse.groupBy("node", "f").agg(*[F.sum(n).alias(n) for n in names])
+        one = by_feature.groupBy("node").agg(F.min_by(F.struct(*names), "f").alias("t"))
+        return one.select("node", *[F.col(f"t.{n}").alias(f"t_{n}") for n in names])
 
     def _stats(self, prefix: str = "") -> list[Column]:
         return [F.col(prefix + n) for n in self.measure.names]
@@ -324,23 +365,21 @@ class _Fit:
     def _candidates(self, df: DataFrame, left: list[Column], right: list[Column],
                     threshold: Column, value: Column) -> DataFrame:
         score = self.measure.score(left, right)
+        own = self.measure.own([a + b for a, b in zip(left, right)])
         # ties are judged on rounded scores, as sums in another order differ in the last digits
         return df.select(
             "node",
-            F.struct(F.round(score * self.measure.scale, DIGITS).alias("rank"), F.col("f"),
+            F.struct(self.measure.rank(score, own).alias("rank"), F.col("f"),
                      threshold.cast("double").alias("threshold"), value.cast("string").alias("value"),
-                     score.alias("score"), F.array(*left).alias("left"),
-                     F.array(*right).alias("right")).alias("best"))
+                     score.alias("score"), F.array(*left).alias("left"), F.array(*right).alias("right"),
+                     own.alias("own"), self.measure.rank(own, own).alias("own_rank")).alias("best"))
 
     def _best_splits(self, frontier: list[str]) -> dict:
         offered = [c for c in self.features if any(c in self._open_features(p) for p in frontier)]
         if not offered:
             return {}
-        place = "x" if self.small else "range"
-        coarse = self._long_rows(frontier, offered).groupBy("node", "f", place, "category").agg(
+        coarse = self._long_rows(frontier, offered).groupBy("node", "f", "range", "category").agg(
             *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high"))
-        if self.small:
-            return self._search(frontier, offered, coarse)
         coarse = coarse.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return self._search(frontier, offered, coarse)
@@ -349,21 +388,22 @@ class _Fit:
 
     def _search(self, frontier, offered, coarse) -> dict:
         known = []
+        # one small row per frontier node
+        whole = F.broadcast(self._totals(coarse))
         texts = [self.features.index(c) for c in offered if self.kinds[c] == "categorical"]
         pairs = [self.features.index(c) for c in offered if self.kinds[c] == "binary"]
         numbers = [c for c in offered if self.kinds[c] == "continuous"]
         if texts:
-            known.append(self._one_against_rest(
-                self._with_totals(coarse.where(F.col("f").isin(texts)), frontier)))
+            known.append(self._one_against_rest(coarse.where(F.col("f").isin(texts)).join(whole, "node")))
         if pairs:
             known.append(self._positive_against_negative(coarse.where(F.col("f").isin(pairs))))
         cuts = None
         if numbers:
-            cuts = self._range_sums(self._with_totals(coarse.where(F.col("low").isNotNull()), frontier))
+            cuts = self._range_sums(coarse.where(F.col("low").isNotNull()).join(whole, "node"))
             known.append(self._between_ranges(cuts))
         best = _lowest(known)
-        if numbers and not self.small:
-            best = _merge(best, self._inside_ranges(frontier, numbers, coarse, cuts, best))
+        if numbers:
+            best = _merge(best, self._inside_ranges(frontier, numbers, cuts, best))
         return {frontier[i]: row for i, row in best.items()}
 
     def _one_against_rest(self, df: DataFrame) -> DataFrame:
@@ -382,7 +422,7 @@ class _Fit:
         return self._candidates(sides, left, right, F.lit(None), F.lit(s.positive))
 
     def _range_sums(self, df: DataFrame) -> DataFrame:
-        """Statistics of what lies before each range, or each value of a small table."""
+        """Statistics of what lies before each range."""
         w = Window.partitionBy("node", "f").orderBy("low")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns({
@@ -401,7 +441,7 @@ class _Fit:
         """Midpoint for class trees; regression trees cut at the upper value."""
         return high if isinstance(self.measure, SquaresMeasure) else (low + high) / 2
 
-    def _inside_ranges(self, frontier, numbers, coarse: DataFrame, cuts: DataFrame, best: dict) -> dict:
+    def _inside_ranges(self, frontier, numbers, cuts: DataFrame, best: dict) -> dict:
         """Thresholds between values of one range, where they may beat the known best.
 
         Splitting a range's rows off entirely can only lower the score, so the
@@ -416,28 +456,23 @@ class _Fit:
         limits = {i: row["score"] for i, row in best.items()}
         rows = [(i, float(limits.get(i, float("inf")))) for i in range(len(frontier))]
         limit = cuts.sparkSession.createDataFrame(rows, "node int, limit double")
-        room = 1e-9 * (F.abs(F.col("limit")) + 1.0)
+        # scores closer than this are ties
+        room = 10.0 ** -DIGITS * F.greatest(self.measure.own(self._stats("t_")), F.lit(1e-300))
         keys = ["node", "f", "range"]
         open_ranges = (
             cuts.join(F.broadcast(limit), "node")
             .where((F.col("low") < F.col("high")) & (bound <= F.col("limit") + room))
-            .select(*keys, "low", "high", self.measure.size(self._stats()).alias("rows"),
-                    *[f"b_{n}" for n in self.measure.names], *[f"t_{n}" for n in self.measure.names])
+            .select(*keys, *[f"b_{n}" for n in self.measure.names], *[f"t_{n}" for n in self.measure.names])
         )
-        crowded = max(self.nodes[p].n for p in frontier) > RANGE_ROWS and not coarse.where(
-            (F.col("low") < F.col("high")) & (self.measure.size(self._stats()) > RANGE_ROWS)).isEmpty()
         # at most one row per node, feature and range
         bounded = len(frontier) * len(numbers) * self.settings.ranges <= MAX_BROADCAST_RANGES
         side = F.broadcast(open_ranges) if bounded else open_ranges
-        parts = F.ceil(F.col("rows") / F.lit(RANGE_ROWS))
-        width = F.try_divide(F.col("x") - F.col("low"), F.col("high") - F.col("low"))
         carried = [F.first(c).alias(c) for c in side.columns if c[:2] in ("b_", "t_")]
-        values = (
-            self._long_rows(frontier, numbers).join(side, keys)
-            .withColumn("part", F.least(F.floor(width * parts), parts - 1).cast("int"))
-            .groupBy(*keys, "part", "x").agg(*self.measure.aggregates(), *carried)
-        )
-        sums = _running(values, keys, "part", "x", self.measure.names, crowded)
+        values = self._long_rows(frontier, numbers).join(side, keys).groupBy(*keys, "x").agg(
+            *self.measure.aggregates(), *carried)
+        # slices of equal size; their numbers must not change between passes, so they are written down
+        values = written(values.repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
+        sums = _running(values, keys, "part", "x", self.measure.names)
         left = [b + r for b, r in zip(self._stats("b_"), self._stats("run_"))]
         right = [t - x for t, x in zip(self._stats("t_"), left)]
         return _lowest([self._candidates(
@@ -445,18 +480,14 @@ class _Fit:
             self._cut(F.col("x"), F.col("next_x")), F.lit(None))])
 
 
-def _running(values: DataFrame, keys: list[str], part: str, order: str, names: list[str],
-             several_parts: bool) -> DataFrame:
+def _running(values: DataFrame, keys: list[str], part: str, order: str, names: list[str]) -> DataFrame:
     """Running sums in ``order`` over each key, one window per (key, part).
 
     Parts follow the order, so each part adds the totals of the parts before it.
     """
     w = Window.partitionBy(*keys, part).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = {f"run_{n}": F.sum(n).over(run) for n in names}
-    following = F.lead(order).over(w)
-    if not several_parts:
-        return values.withColumns({**running, f"next_{order}": following})
+    running = {n: F.sum(n).over(run) for n in names}
     by_key = Window.partitionBy(*keys).orderBy(part)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -468,8 +499,8 @@ def _running(values: DataFrame, keys: list[str], part: str, order: str, names: l
             F.lead("_first").over(by_key).alias("_next_first"))
     )
     return values.join(offsets, [*keys, part]).withColumns({
-        **{f"run_{n}": running[f"run_{n}"] + F.col(f"_off_{n}") for n in names},
-        f"next_{order}": F.coalesce(following, F.col("_next_first")),
+        **{f"run_{n}": running[n] + F.col(f"_off_{n}") for n in names},
+        f"next_{order}": F.coalesce(F.lead(order).over(w), F.col("_next_first")),
     })
 
 

@@ -53,6 +53,19 @@ def rounded(column: str | Column, places: int = 6, name: str | None = None) -> C
     return F.round(c, places).alias(name or column)
 
 
+def significant(column: str | Column, name: str, digits: int = 8) -> Column:
+    """A number that is not negative, to so many significant digits; below 1e-6 it counts as 0."""
+    c = F.col(column) if isinstance(column, str) else column
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(c)))
+    return F.when(c < 1e-6, 0.0).otherwise(F.round(c / unit, digits - 1) * unit).alias(name)
+
+
+def sql_significant(text: str, digits: int = 8) -> str:
+    """SQL for :func:`significant`."""
+    unit = f"pow(10.0::DOUBLE, floor(log10({text})))"
+    return f"CASE WHEN {text} < 1e-6 THEN 0.0::DOUBLE ELSE round({text} / {unit}, {digits - 1}) * {unit} END"
+
+
 def sql_uniform(seed: str, key: str) -> str:
     """SQL for the seeded uniform of a key expression."""
     return f"((('0x'||substr(md5('{seed}:'||{key}),1,8))::BIGINT + 0.5::DOUBLE)/4294967296.0::DOUBLE)"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kelpfit.operators import metrics
 from kelpfit.operators.tree import DecisionTree, RegressionTree, TreeModel
-from kelpfit.plans.registry import Tables, query, rounded
+from kelpfit.plans.registry import Tables, query, rounded, significant, sql_significant
 
 FLAGS = ["returned", "still_open", "bulky", "discounted", "taxed"]
 FLAG_SQL = """
@@ -58,12 +58,13 @@ def tree_sql(rows: str, features: Sequence[tuple[str, str]], classes: Sequence[s
     score = f"({spread('l_')} + {spread('r_')})" + (
         f" / ({size('l_')} + {size('r_')})" if gini else "")
     own = f"{spread('')}" + (f" / ({size('')})" if gini else "")
-    scale = "1" if gini else "(SELECT s2 FROM node0)"
-    mean = "0" if gini else "(SELECT avg(y) FROM src)"
+    # squared residuals are ranked by their share of the node's own
+    rank = (lambda e: f"round({e}, 10)") if gini else (lambda e: f"CASE WHEN own > 0 THEN round({e} / own, 10) ELSE 0 END")
+    mean = "0" if gini else "avg(y) OVER (PARTITION BY path)"
     sql = f"""
 WITH src AS MATERIALIZED ({rows}), r0 AS MATERIALIZED (
-  SELECT *, '' AS path, {mean} AS m, {', '.join(f'FALSE AS u_{f}' for f in names)} FROM src)
-, node0 AS MATERIALIZED (SELECT path, {agg} FROM r0 GROUP BY path)"""
+  SELECT *, {mean} AS m FROM (SELECT *, '' AS path, {', '.join(f'FALSE AS u_{f}' for f in names)} FROM src))
+, node0 AS MATERIALIZED (SELECT path, any_value(m) AS m, {agg} FROM r0 GROUP BY path)"""
     for level in range(depth):
         options = []
         for at, (f, kind) in enumerate(features):
@@ -95,12 +96,12 @@ WITH src AS MATERIALIZED ({rows}), r0 AS MATERIALIZED (
                     f"WHERE c.t IS NOT NULL")
         sql += f"""
 , open{level} AS MATERIALIZED (
-  SELECT *, round({own} / {scale}, 10) AS own FROM node{level} WHERE {size('')} >= {min_samples})
+  SELECT *, {own} AS own FROM node{level} WHERE {size('')} >= {min_samples})
 , best{level} AS MATERIALIZED (
-  SELECT o.*, {score} AS score FROM ({' UNION ALL '.join(options)}) o JOIN open{level} USING (path)
-  QUALIFY row_number() OVER (PARTITION BY path ORDER BY round({score} / {scale}, 10), f, threshold, value) = 1)
+  SELECT o.*, {score} AS score, own FROM ({' UNION ALL '.join(options)}) o JOIN open{level} USING (path)
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY {rank(score)}, f, threshold, value) = 1)
 , split{level} AS MATERIALIZED (
-  SELECT b.* FROM best{level} b JOIN open{level} o USING (path) WHERE round(score / {scale}, 10) <= own)"""
+  SELECT * FROM best{level} WHERE {rank('score')} <= {rank('own')})"""
         below = "<=" if gini else "<"
         turn = " ".join(
             f"WHEN feature = '{f}' THEN " + (
@@ -108,21 +109,22 @@ WITH src AS MATERIALIZED ({rows}), r0 AS MATERIALIZED (
                 else f"CASE WHEN {f} = value THEN 'L' ELSE 'R' END")
             for f, kind in features)
         used = ", ".join(f"u_{f} OR feature = '{f}' AS u_{f}" for f in names)
-        keep = ", ".join(["id", "y", "m", *names])
+        keep = ", ".join(["id", "y", *names])
         sql += f"""
 , r{level + 1} AS MATERIALIZED (
-  SELECT {keep}, path || CASE {turn} END AS path, {used} FROM r{level} JOIN split{level} USING (path))
-, node{level + 1} AS MATERIALIZED (SELECT path, {agg} FROM r{level + 1} GROUP BY path)"""
+  SELECT *, {mean} AS m FROM (
+    SELECT {keep}, path || CASE {turn} END AS path, {used} FROM r{level} JOIN split{level} USING (path)))
+, node{level + 1} AS MATERIALIZED (SELECT path, any_value(m) AS m, {agg} FROM r{level + 1} GROUP BY path)"""
     if gini:
         label = "CASE greatest(" + ", ".join(keys) + ") " + " ".join(
             f"WHEN {k} THEN {c}" for k, c in zip(keys, classes)) + " END"
     else:
-        label = f"{mean} + s1 / s0"
+        label = "m + s1 / s0"
     every = " UNION ALL ".join(f"SELECT * FROM node{i}" for i in range(depth + 1))
     splits = " UNION ALL ".join(f"SELECT path, feature, threshold, value, score FROM split{i}"
                                 for i in range(depth))
     ends = " UNION ALL ".join(
-        f"SELECT id, path FROM r{i}" + (f" WHERE path NOT IN (SELECT path FROM split{i})" if i < depth else "")
+        f"SELECT id, y, path FROM r{i}" + (f" WHERE path NOT IN (SELECT path FROM split{i})" if i < depth else "")
         for i in range(depth + 1))
     sql += f"""
 , nodes AS MATERIALIZED (SELECT n.*, {own} AS impurity, {label} AS prediction FROM ({every}) n)
@@ -134,23 +136,22 @@ WITH src AS MATERIALIZED ({rows}), r0 AS MATERIALIZED (
 def node_answer(keys: int | None) -> str:
     n = "s0" if keys is None else " + ".join(f"s{i}" for i in range(keys))
     prediction = "round(prediction, 6)" if keys is None else "prediction::VARCHAR"
-    unit, places = ("1e6::DOUBLE", 6) if keys is None else ("1", 9)
+    shown = sql_significant if keys is None else (lambda e: f"round({e}, 9)")
     return f"""
 SELECT path, CAST(length(path) AS INTEGER) AS depth, feature, round(threshold, 6) AS threshold, value,
-       round(score / {unit}, {places}) AS score, round(impurity / {unit}, {places}) AS impurity, CAST({n} AS BIGINT) AS n,
+       {shown('score')} AS score, {shown('impurity')} AS impurity, CAST({n} AS BIGINT) AS n,
        {prediction} AS prediction, feature IS NULL AS is_leaf FROM nodes LEFT JOIN splits USING (path)"""
 
 
 def _nodes(t: Tables, model: TreeModel, numeric: bool = False) -> DataFrame:
-    """The node table; squared residuals are told in millions, as they sum over all rows."""
-    prediction, unit, places = "prediction", 1, 9
+    """The node table; squared residuals are told to eight significant digits."""
+    prediction, shown = "prediction", lambda c: rounded(c, 9)
     if numeric:
         prediction = rounded(F.col("prediction").cast("double"), 6, "prediction")
-        unit, places = 1e6, 6
+        shown = lambda c: significant(c, c)
     return model.node_table(t.spark).select(
-        "path", "depth", "feature", rounded("threshold"), "value",
-        rounded(F.col("score") / unit, places, "score"),
-        rounded(F.col("impurity") / unit, places, "impurity"), "n", prediction, "is_leaf")
+        "path", "depth", "feature", rounded("threshold"), "value", shown("score"), shown("impurity"), "n",
+        prediction, "is_leaf")
 
 
 def flags(t: Tables) -> DataFrame:
@@ -179,7 +180,7 @@ def yesno_nodes(t: Tables) -> DataFrame:
 
 @query("tree_yesno_accuracy", tree_sql(*FLAG_TREE, """
 SELECT round(avg((prediction = y)::INT), 9) AS accuracy, count(*) AS n
-FROM ends JOIN nodes USING (path) JOIN src USING (id)"""))
+FROM ends JOIN nodes USING (path)"""))
 def yesno_accuracy(t: Tables) -> DataFrame:
     scored = flag_tree(t).transform(flags(t))
     return scored.agg(rounded(metrics.accuracy(F.col("y"), F.col("prediction")), 9, "accuracy"),

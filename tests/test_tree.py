@@ -4,7 +4,6 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from kelpfit.operators import tree
 from kelpfit.operators.tree import DecisionTree, RegressionTree
 
 
@@ -93,18 +92,16 @@ def mixed(spark):
     return columns, drug, score, df.repartition(5).cache()
 
 
-@pytest.mark.parametrize("ranges, rows", [(128, 100_000), (128, 390), (4, 390), (1, 20), (3, 7)])
-def test_classes_match_exhaustive_growth(mixed, monkeypatch, ranges, rows):
+@pytest.mark.parametrize("ranges", [128, 4, 1])
+def test_classes_match_exhaustive_growth(mixed, ranges):
     columns, drug, _, df = mixed
-    monkeypatch.setattr(tree, "RANGE_ROWS", rows)
     model = DecisionTree(max_depth=4, num_min_samples=10, ranges=ranges).fit(df, list(columns), "drug")
     same(shape(model), grow(columns, drug, 4, 10))
 
 
-@pytest.mark.parametrize("ranges, rows", [(128, 100_000), (3, 7)])
-def test_values_match_exhaustive_growth(mixed, monkeypatch, ranges, rows):
+@pytest.mark.parametrize("ranges", [128, 3])
+def test_values_match_exhaustive_growth(mixed, ranges):
     columns, _, score, df = mixed
-    monkeypatch.setattr(tree, "RANGE_ROWS", rows)
     model = RegressionTree(max_depth=3, ranges=ranges).fit(df, list(columns), "score")
     same(shape(model), grow(columns, score, 3, 2, regression=True))
 
@@ -200,3 +197,21 @@ def test_bad_settings(spark):
         DecisionTree().fit(df.limit(0), ["x"], "y")
     with pytest.raises(TypeError):
         DecisionTree().fit(df.withColumn("t", F.current_timestamp()), ["t"], "y")
+
+
+def test_splits_below_a_heavy_tail_are_the_best_ones(spark):
+    rows = [(float(i < 20), float(i % 40), float(i % 10), 1e7 if i < 20 else float(i % 10 >= 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g double, x1 double, x2 double, y double")
+    nodes = {n.path: n for n in RegressionTree(max_depth=2).fit(df, ["g", "x1", "x2"], "y").nodes}
+    assert (nodes[""].feature, nodes["L"].feature, nodes["L"].threshold) == ("g", "x2", 5.0)
+    assert nodes["L"].score == pytest.approx(0.0, abs=1e-6)
+    assert nodes["L"].impurity == pytest.approx(95.0)
+    assert nodes["LL"].impurity == nodes["LR"].impurity == pytest.approx(0.0, abs=1e-6)
+
+
+def test_a_heavy_tailed_feature(spark):
+    x = np.concatenate([np.arange(2000) / 1e6, 10.0 ** np.arange(0, 40, 2)])
+    y = (x > 0.0015).astype(float)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(4)
+    root = RegressionTree(max_depth=1, ranges=4).fit(df, ["x"], "y").nodes[0]
+    assert root.threshold == 0.001501 and root.score == pytest.approx(0.0, abs=1e-9)
