@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelpfit.session import cut_lineage
-
-# rows of one group that a single task may sort
-FEW_ROWS = 100_000
+from kelpfit.session import written
 
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
@@ -48,18 +45,14 @@ def weighted_median(df: DataFrame, groups: Sequence[str], value: str, weight: st
                     order: Sequence[str], name: str = "median") -> DataFrame:
     """First value, walking in ``order``, where the running weight reaches half.
 
-    Where a group is too large for one task, rows are range-partitioned by group
-    and order, so even a group holding most rows is spread out: each slice sorts
-    its own rows and adds the weight of the group's slices before it.
+    Rows are range-partitioned by group and order, so even a group holding most
+    rows is spread out: each slice sorts its own rows and adds the weight of the
+    group's slices before it.
     """
-    largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-    if largest <= FEW_ROWS:
-        return weighted_median_of_few(
-            df.withColumn("_o", F.struct(*order)), groups, value, weight, "_o", name)
     row = df.select(*groups, F.struct(*order).alias("_o"), F.col(value).alias("_v"),
                     F.col(weight).alias("_w"))
     # slice numbers must not change between passes, so they are written down once
-    placed = cut_lineage(
+    placed = written(
         row.repartitionByRange(*groups, "_o").withColumn("_slice", F.spark_partition_id()))
     by_slice = Window.partitionBy(*groups).orderBy("_slice")
     slices = (
@@ -69,9 +62,10 @@ def weighted_median(df: DataFrame, groups: Sequence[str], value: str, weight: st
                 F.sum("_part").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "_all": F.sum("_part").over(Window.partitionBy(*groups)),
         })
-        # only the slice in which half the weight is reached matters
+        # only the slice in which half the weight is reached matters, and the one after
+        # it, for running sums of rows add up in another order than sums of slices
         .where((F.col("_before") + F.col("_part") >= F.col("_all") / 2))
-        .withColumn("_nth", F.row_number().over(by_slice)).where("_nth = 1")
+        .withColumn("_nth", F.row_number().over(by_slice)).where("_nth <= 2")
     )
     inside = Window.partitionBy(*groups, "_slice").orderBy("_o").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

@@ -88,6 +88,15 @@ def coefficients(
     return rows.agg(slope.alias("slope")).select((my - F.col("slope") * mx).alias("intercept"), "slope")
 
 
+def coefficients_by(df: DataFrame, groups: list[str], x: str, y: str) -> DataFrame:
+    """A line with intercept per group: the groups, ``n``, ``intercept`` and ``slope``."""
+    require_numeric(df, [x, y])
+    xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
+    return usable_rows(df.select(*groups, x, y), [x, y]).groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.regr_intercept(ys, xs).alias("intercept"),
+        F.regr_slope(ys, xs).alias("slope"))
+
+
 def fit(
     df: DataFrame,
     x: str,

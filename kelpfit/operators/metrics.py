@@ -9,6 +9,7 @@ from kelpfit.checks import require_choice, require_positive_int
 from kelpfit.functions import loss
 
 ERRORS = ("mse", "mae", "rmse")
+# Accepted names of the measures of a fit.
 FIT_METRICS = {
     "MSE": "mse", "mean_squared_error": "mse", "R2": "r2", "R_squared": "r2",
 }
@@ -57,7 +58,7 @@ def confusion(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
-    """Equal-width bins between the observed extremes; empty bins are left out."""
+    """Equal-width bins between the observed extremes, one row each; empty ones count 0."""
     require_positive_int("bins", bins)
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None:
@@ -66,9 +67,9 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
     width = (float(high) - float(low)) / bins
     number = F.lit(1) if width == 0 else F.least(
         F.floor((x - F.lit(float(low))) / F.lit(width)) + 1, F.lit(bins))
-    return (
-        df.where(x.isNotNull())
-        .groupBy(number.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("bin", (F.lit(float(low)) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"), "n")
-    )
+    counted = df.where(x.isNotNull()).groupBy(number.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    # both sides have one row per bin at most
+    return every.join(F.broadcast(counted), "bin", "left").select(
+        "bin", (F.lit(float(low)) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"))

@@ -21,10 +21,11 @@ def exact_quantiles(
     Each pass counts equal-width bins inside the value interval that holds a
     wanted rank and narrows it to one bin's observed extremes, until a single
     value is left. A pass returns at most ``BINS`` rows per rank, so neither a
-    task nor the driver ever holds a column's distinct values.
+    task nor the driver ever holds a column's distinct values. NULL and NaN count
+    as missing; infinite values have no place between others and are refused.
     """
     require_numeric(df, columns)
-    x = {c: F.col(c).cast("double") for c in columns}
+    x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     aggs = []
     for i, c in enumerate(columns):
         aggs += [F.count(x[c]).alias(f"n{i}"), F.min(x[c]).alias(f"l{i}"), F.max(x[c]).alias(f"h{i}")]
@@ -34,6 +35,8 @@ def exact_quantiles(
     for i, c in enumerate(columns):
         if row[f"n{i}"] == 0:
             raise ValueError(f"column {c!r} has no values")
+        if math.isinf(row[f"l{i}"]) or math.isinf(row[f"h{i}"]):
+            raise ValueError(f"column {c!r} has infinite values")
         for p in probabilities:
             at = p * (row[f"n{i}"] - 1)
             wanted |= {(c, math.floor(at)), (c, math.ceil(at))}

@@ -95,6 +95,22 @@ class _Grower:
         return TreeModel(tuple(features), label, nodes, self.positive, self.negative,
                          self._prediction_type(df, label), tuple(str(c) for c in job.classes))
 
+    def candidate_splits(self, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+        """Every split of the whole table with its score, one row each.
+
+        Columns: feature, threshold or value, score, own (the impurity or the squared
+        residuals without a split), n_left and n_right.
+        """
+        features = list(features)
+        require_columns(df, [label])
+        kinds = feature_kinds(df, features)
+        rows = usable_rows(df.select(*features, label), [*features, label]).select(
+            *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
+            self._target(df, label).alias("_y"))
+        measure, stats = self._measures(rows)
+        kinds, cuts = self._profile(rows, kinds)
+        return _Fit(self, rows, features, kinds, cuts, measure, stats).candidates()
+
     def _profile(self, rows: DataFrame, kinds: dict[str, str]):
         """Which strings only say positive or negative, and where numbers are cut into ranges."""
         pair = [self.positive, self.negative]
@@ -266,6 +282,27 @@ class _Fit:
             self._measure_leaves()
         return sorted(self.nodes.values(), key=lambda node: node.path)
 
+    def candidates(self) -> DataFrame:
+        """All splits of the root."""
+        keys, found = ["node", "f"], []
+        values = written(self._long_rows([""], self.features).groupBy(*keys, "x", "category").agg(
+            *self.measure.aggregates()).repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
+        whole = F.broadcast(self._totals(values))
+        of_kind = lambda kind: [i for i, c in enumerate(self.features) if self.kinds[c] == kind]
+        found.append(self._one_against_rest(values.where(F.col("f").isin(of_kind("categorical"))).join(whole, "node")))
+        found.append(self._positive_against_negative(values.where(F.col("f").isin(of_kind("binary")))))
+        sums = _running(values.where("x is not null"), keys, "part", "x", self.measure.names).join(whole, "node")
+        left = self._stats("run_")
+        right = [t - x for t, x in zip(self._stats("t_"), left)]
+        found.append(self._candidates(
+            sums.where(F.col("next_x").isNotNull()), left, right, self._cut(F.col("x"), F.col("next_x")), F.lit(None)))
+        name = F.element_at(F.array(*[F.lit(c) for c in self.features]), F.col("best.f") + 1)
+        out = found[0].unionByName(found[1]).unionByName(found[2])
+        size = lambda side: self.measure.size([F.col(f"best.{side}")[i] for i in range(len(self.measure.names))])
+        return out.select(
+            name.alias("feature"), "best.threshold", "best.value", "best.score", "best.own",
+            size("left").cast("long").alias("n_left"), size("right").cast("long").alias("n_right"))
+
     def _may_split(self, path: str) -> bool:
         node = self.nodes[path]
         stop = None

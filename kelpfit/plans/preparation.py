@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpfit.functions.distance import METRICS, array_distance
 from kelpfit.operators import aggregates, metrics, scaling
-from kelpfit.plans.registry import Tables, query, rounded, sql_normal, sql_uniform
+from kelpfit.plans.registry import Tables, broadcast_if_few, query, rounded, sql_normal, sql_uniform
 from kelpfit.sources import generators, reshape
 
 PART_COLUMNS = ["p_size", "p_retailprice"]
@@ -86,7 +86,7 @@ def _distance_query(metric: str):
         vectors = t.embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
         means = vectors.groupBy("label").agg(
             F.array(*[F.avg(F.col("x")[i]) for i in range(width)]).alias("c"))
-        return vectors.join(means, "label").select(
+        return vectors.join(broadcast_if_few(means), "label").select(
             "vec_id", rounded(array_distance(metric, F.col("x"), F.col("c")), 6, "distance"))
 
     return run
@@ -184,10 +184,11 @@ def gini_by_group(t: Tables) -> DataFrame:
 
 
 @query("event_histogram", """
-WITH e AS (SELECT min(value) AS lo, (max(value) - min(value)) / 20 AS width FROM events)
-SELECT CAST(least(floor((value - lo) / width) + 1, 20) AS INTEGER) AS bin,
-       round(lo + (least(floor((value - lo) / width) + 1, 20) - 1) * width, 6) AS bin_start, count(*) AS n
-FROM events, e GROUP BY ALL""")
+WITH e AS (SELECT min(value) AS lo, (max(value) - min(value)) / 20 AS width FROM events),
+c AS (SELECT CAST(least(floor((value - lo) / width) + 1, 20) AS INTEGER) AS bin, count(*) AS n
+      FROM events, e WHERE value IS NOT NULL GROUP BY ALL)
+SELECT b.bin, round(lo + (b.bin - 1) * width, 6) AS bin_start, coalesce(n, 0) AS n
+FROM (SELECT unnest(range(1, 21))::INTEGER AS bin) b LEFT JOIN c USING (bin), e""")
 def event_histogram(t: Tables) -> DataFrame:
     return metrics.histogram(t.events, "value", 20).select("bin", rounded("bin_start"), "n")
 

@@ -48,6 +48,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def broadcast_if_few(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A hint to broadcast a table once it is known to have at most so many rows."""
+    few = df.limit(most + 1).count() <= most
+    return F.broadcast(df) if few else df
+
+
 def rounded(column: str | Column, places: int = 6, name: str | None = None) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.round(c, places).alias(name or column)

@@ -97,10 +97,26 @@ def line_metrics(t: Tables) -> DataFrame:
 
 @query("linreg_residual_hist", ITEM_SQL + """
 , edge AS (SELECT min(r) AS lo, max(r) AS hi, (max(r) - min(r)) / 15 AS width FROM scored)
-SELECT CAST(least(floor((r - lo) / width) + 1, 15) AS INTEGER) AS bin,
-       round(lo + (least(floor((r - lo) / width) + 1, 15) - 1) * width, 6) AS bin_start, count(*) AS n
-FROM scored, edge GROUP BY ALL""")
+, counted AS (SELECT CAST(least(floor((r - lo) / width) + 1, 15) AS INTEGER) AS bin, count(*) AS n
+              FROM scored, edge GROUP BY ALL)
+SELECT b.bin, round(lo + (b.bin - 1) * width, 6) AS bin_start, coalesce(n, 0) AS n
+FROM (SELECT unnest(range(1, 16))::INTEGER AS bin) b LEFT JOIN counted USING (bin), edge""")
 def line_histogram(t: Tables) -> DataFrame:
     df = items(t)
     return linreg.fit(df, "x", "y").residual_histogram(df, "y", 15).select(
         "bin", rounded("bin_start"), "n")
+
+
+@query("linreg_by_group", """
+SELECT l_returnflag, ship_year, count(*) AS n, round(regr_intercept(y, x), 6) AS intercept,
+       round(regr_slope(y, x), 6) AS slope
+FROM (SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ship_year, l_quantity AS x,
+             l_extendedprice / 1000 AS y FROM lineitem)
+GROUP BY ALL""")
+def line_by_group(t: Tables) -> DataFrame:
+    """One line per return flag and year of shipping, all in one aggregate."""
+    df = t.lineitem.select(
+        "l_returnflag", F.year("l_shipdate").alias("ship_year"), F.col("l_quantity").alias("x"),
+        (F.col("l_extendedprice") / 1000).alias("y"))
+    return linreg.coefficients_by(df, ["l_returnflag", "ship_year"], "x", "y").select(
+        "l_returnflag", "ship_year", "n", rounded("intercept"), rounded("slope"))

@@ -246,3 +246,75 @@ def order_nodes(t: Tables) -> DataFrame:
                          (F.col("o_totalprice") / 1000).alias("y"))
     model = RegressionTree(max_depth=2).fit(df, ["o_custkey", "o_orderpriority", "o_orderstatus"], "y")
     return _nodes(t, model, numeric=True)
+
+
+def _candidates_sql(rows: str, features: Sequence[tuple[str, str]], classes: Sequence[str] | None) -> str:
+    """Every split of all rows with its score, from counts or centred sums of both sides."""
+    if classes is not None:
+        stats = {f"s{i}": f"count(*) FILTER (y = {c})" for i, c in enumerate(classes)}
+    else:
+        stats = {"s0": "count(*)", "s1": "sum(y - m)", "s2": "sum((y - m) * (y - m))"}
+    keys = list(stats)
+    agg = ", ".join(f"{e} AS {k}" for k, e in stats.items())
+    n = (lambda p: "(" + " + ".join(p + k for k in keys) + ")") if classes else (lambda p: f"{p}s0")
+
+    def spread(p):
+        if classes:
+            squares = " + ".join(f"{p}{k}::DOUBLE * {p}{k}" for k in keys)
+            return f"({n(p)} - ({squares}) / {n(p)})"
+        return f"({p}s2 - {p}s1 * {p}s1 / {p}s0)"
+
+    score = f"({spread('l_')} + {spread('r_')})" + (f" / ({n('l_')} + {n('r_')})" if classes else "")
+    own = spread("t_") + (f" / {n('t_')}" if classes else "")
+    options = []
+    for f, kind in features:
+        sides = ", ".join(f"c.{k} AS l_{k}, t.{k} - c.{k} AS r_{k}, t.{k} AS t_{k}" for k in keys)
+        if kind == "number":
+            run = ", ".join(f"sum({k}) OVER w AS {k}" for k in keys)
+            cut = f"({f} + lead({f}) OVER w) / 2" if classes else f"lead({f}) OVER w"
+            options.append(f"""
+SELECT '{f}' AS feature, c.cut::DOUBLE AS threshold, NULL AS value, {sides} FROM (
+  SELECT {cut} AS cut, {run} FROM (SELECT {f}, {agg} FROM src GROUP BY {f}) WINDOW w AS (ORDER BY {f})) c, t
+WHERE c.cut IS NOT NULL""")
+        else:
+            only = f"WHERE {f} = 'Yes'" if kind == "yesno" else ""
+            options.append(f"""
+SELECT '{f}' AS feature, NULL::DOUBLE AS threshold, c.{f}::VARCHAR AS value, {sides} FROM (
+  SELECT {f}, {agg} FROM src {only} GROUP BY {f}) c, t WHERE {n('t.')} > {n('c.')}""")
+    shown = (lambda e: f"round({e}, 9)") if classes else sql_significant
+    return f"""
+WITH src AS MATERIALIZED (SELECT *, avg({'0' if classes else 'y'}) OVER () AS m FROM ({rows})),
+t AS (SELECT {agg} FROM src)
+SELECT feature, round(threshold, 6) AS threshold, value, {shown(score)} AS score, {shown(own)} AS own,
+       CAST({n('l_')} AS BIGINT) AS n_left, CAST({n('r_')} AS BIGINT) AS n_right
+FROM ({' UNION ALL '.join(options)})"""
+
+
+def _listed(df: DataFrame, numeric: bool) -> DataFrame:
+    shown = (lambda c: significant(c, c)) if numeric else (lambda c: rounded(c, 9))
+    return df.select("feature", rounded("threshold"), "value", shown("score"), shown("own"), "n_left", "n_right")
+
+
+@query("gini_root", _candidates_sql(FLAG_SQL, [(f, "yesno") for f in FLAGS], ["'No'", "'Yes'"]))
+def gini_root(t: Tables) -> DataFrame:
+    return _listed(DecisionTree().candidate_splits(flags(t), FLAGS, "y"), False)
+
+
+@query("gini_thresholds", _candidates_sql(PRICE_SQL, [("l_extendedprice", "number"), ("l_quantity", "number")],
+                                          ["'A'", "'N'", "'R'"]))
+def gini_thresholds(t: Tables) -> DataFrame:
+    return _listed(DecisionTree().candidate_splits(
+        t.lineitem, ["l_extendedprice", "l_quantity"], "l_returnflag"), False)
+
+
+@query("ssr_thresholds", _candidates_sql(ORDER_SQL, [("o_custkey", "number")], None))
+def ssr_thresholds(t: Tables) -> DataFrame:
+    df = t.orders.select("o_custkey", (F.col("o_totalprice") / 1000).alias("y"))
+    return _listed(RegressionTree().candidate_splits(df, ["o_custkey"], "y"), True)
+
+
+@query("ssr_categorical", _candidates_sql(
+    PART_SQL, [("p_size", "number"), ("p_type", "text"), ("p_brand", "text")], None))
+def ssr_categorical(t: Tables) -> DataFrame:
+    return _listed(RegressionTree().candidate_splits(
+        t.part, ["p_size", "p_type", "p_brand"], "p_retailprice"), True)
