@@ -20,7 +20,8 @@ from kelpfit.functions.hashing import normal_draw
 from kelpfit.operators.aggregates import more_than_two_values
 from kelpfit.session import held
 
-MAX_SEARCH_VALUES = 4_000_000
+# weights that a task holds at once; more candidates take more passes
+ROUND_VALUES = 4_000_000
 
 ArrayFunction = Callable[[np.ndarray], np.ndarray]
 PairFunction = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -170,34 +171,65 @@ def _examples(df: DataFrame, features: str | Sequence[str], label: str) -> DataF
         _input(df, features).alias("x"), F.col(label).cast("double").alias("y"))
 
 
+@dataclass(frozen=True)
+class Drawn:
+    """Parameters told by their seed, so that tasks draw them and nothing large is sent.
+
+    With a ``step`` the draw is a move away from the network's own parameters.
+    """
+
+    seed: tuple
+    weight_scale: float = 1.0
+    bias_scale: float = 1.0
+    step: float | None = None
+
+    def parameters(self, layers: Sequence[Layer], base: Parameters) -> Parameters:
+        drawn = random_parameters(layers, *self.seed, weight_scale=self.weight_scale, bias_scale=self.bias_scale)
+        if self.step is None:
+            return drawn
+        return [(w + self.step * nw, b + self.step * nb) for (w, b), (nw, nb) in zip(base, drawn)]
+
+
 def score_candidates(df: DataFrame, features: str | Sequence[str], label: str, network: Network,
-                     candidates: Sequence[Parameters]) -> DataFrame:
-    """Mean loss and metrics of every candidate's parameters, from one pass."""
+                     candidates: Sequence[Parameters | Drawn]) -> DataFrame:
+    """Mean loss and metrics of every candidate's parameters: candidate, loss, one column per metric."""
     return _score(_examples(df, features, label), network, candidates)
 
 
-def _score(examples: DataFrame, network: Network, candidates: Sequence[Parameters]) -> DataFrame:
-    values = sum(w.size + b.size for w, b in candidates[0]) * len(candidates)
-    if values > MAX_SEARCH_VALUES:
-        raise ValueError("too many candidate weights for one pass; search in smaller rounds")
+def _score(examples: DataFrame, network: Network, candidates: Sequence[Parameters | Drawn]) -> DataFrame:
+    """One pass over the rows for as many candidates as a task may hold."""
+    per_round = max(1, ROUND_VALUES // sum(w.size + b.size for w, b in network.parameters))
+    rounds = [_score_round(examples, network, candidates[i:i + per_round], i)
+              for i in range(0, len(candidates), per_round)]
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def _score_round(examples: DataFrame, network: Network, candidates: Sequence[Parameters | Drawn],
+                 first: int) -> DataFrame:
     layers, functions = network.layers, (network.loss_function, *network.metrics)
     names = ["loss", *_metric_names(network)]
-    sent = examples.sparkSession.sparkContext.broadcast(list(candidates))
+    # the network's own parameters, and seeds or parameters of the round's candidates
+    sent = examples.sparkSession.sparkContext.broadcast((network.parameters, list(candidates)))
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(sent.value), len(functions)))
+        base, wanted = sent.value
+        tried = [c.parameters(layers, base) if isinstance(c, Drawn) else c for c in wanted]
+        sums = np.zeros((len(tried), len(functions)))
         n = 0
         for batch in batches:
             if len(batch) == 0:
                 continue
             x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
             n += len(y)
-            for c, parameters in enumerate(sent.value):
+            for c, parameters in enumerate(tried):
                 p = _forward(layers, parameters, x)
                 for m, f in enumerate(functions):
                     sums[c, m] += f(y, p).sum()
         if n:
-            yield pd.DataFrame({"candidate": np.arange(len(sums)), "n": n,
+            yield pd.DataFrame({"candidate": np.arange(first, first + len(sums)), "n": n,
                                 **{f"s{m}": sums[:, m] for m in range(len(functions))}})
 
     columns = "".join(f", s{m} double" for m in range(len(functions)))
@@ -211,17 +243,17 @@ def search_random(df: DataFrame, features: str | Sequence[str], label: str, netw
                   bias_scale: float = 1.0) -> SearchResult:
     """Fresh random weights per epoch; the lowest loss wins, the start included.
 
-    All epochs are scored in one job; the log holds every candidate's own values.
+    Epochs are scored side by side; the log holds every candidate's own values.
     """
     require_positive_int("epochs", epochs)
-    candidates = [network.parameters] + [
-        random_parameters(network.layers, seed, e, weight_scale=weight_scale, bias_scale=bias_scale)
-        for e in range(1, epochs + 1)]
+    candidates = [network.parameters, *[Drawn((seed, e), weight_scale, bias_scale) for e in range(1, epochs + 1)]]
     scored = score_candidates(df, features, label, network, candidates).collect()
     rows = sorted(scored, key=lambda r: r["candidate"])
     best = min(rows, key=lambda r: (r["loss"], r["candidate"]))
-    return SearchResult(network.with_parameters(candidates[best["candidate"]]),
-                        [tuple(r) for r in rows[1:]], _metric_names(network))
+    winner = candidates[best["candidate"]]
+    if isinstance(winner, Drawn):
+        winner = winner.parameters(network.layers, network.parameters)
+    return SearchResult(network.with_parameters(winner), [tuple(r) for r in rows[1:]], _metric_names(network))
 
 
 def search_descent(df: DataFrame, features: str | Sequence[str], label: str, network: Network,
@@ -233,23 +265,21 @@ def search_descent(df: DataFrame, features: str | Sequence[str], label: str, net
     """
     require_positive_int("epochs", epochs)
     require_positive_int("branch_factor", branch_factor)
-    current, best_row, log = network.parameters, None, []
+    current, best_row, log = network, None, []
     with held(_examples(df, features, label)) as examples:
         for epoch in range(1, epochs + 1):
-            branches = []
-            for branch in range(branch_factor):
-                noise = random_parameters(network.layers, seed, epoch, branch)
-                branches.append([(w + learning_rate * nw, b + learning_rate * nb)
-                                 for (w, b), (nw, nb) in zip(current, noise)])
-            tried = branches if best_row is not None else [current, *branches]
-            rows = sorted(_score(examples, network, tried).collect(), key=lambda r: r["candidate"])
+            tried = [Drawn((seed, epoch, branch), step=learning_rate) for branch in range(branch_factor)]
+            if best_row is None:
+                tried = [current.parameters, *tried]
+            rows = sorted(_score(examples, current, tried).collect(), key=lambda r: r["candidate"])
             if best_row is None:
                 best_row, rows, tried = rows[0], rows[1:], tried[1:]
             best = min(range(len(rows)), key=lambda i: (rows[i]["loss"], i))
             if rows[best]["loss"] < best_row["loss"]:
-                best_row, current = rows[best], tried[best]
+                best_row = rows[best]
+                current = current.with_parameters(tried[best].parameters(current.layers, current.parameters))
             log.append((epoch, *best_row[1:]))
-    return SearchResult(network.with_parameters(current), log, _metric_names(network))
+    return SearchResult(current, log, _metric_names(network))
 
 
 def fit_perceptron(df: DataFrame, features: Sequence[str], label: str,

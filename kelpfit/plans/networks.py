@@ -1,4 +1,4 @@
-"""Dense networks on the first coordinates of the embeddings, label above 4 or not."""
+"""Dense networks on the embeddings, label above 4 or not."""
 
 from __future__ import annotations
 
@@ -12,13 +12,16 @@ from kelpfit.operators.network import (
 from kelpfit.operators.scaling import fit_robust_scaler, principal_components
 from kelpfit.plans.registry import Tables, query, rounded, sql_normal
 
-LAYERS = (Layer(2, 3, "relu"), Layer(3, 4, "relu"), Layer(4, 1, "sigmoid"))
-SHAPE = ((2, 3), (3, 4), (4, 1))
+WIDTH = 64  # coordinates of an embedding
+INPUTS = [f"x{i}" for i in range(WIDTH)]
+SHAPE = ((WIDTH, 3), (3, 4), (4, 1))
+LAYERS = tuple(Layer(a, b, f) for (a, b), f in zip(SHAPE, ("relu", "relu", "sigmoid")))
 SLOTS = [(i, "w", (r, c)) for i, (a, b) in enumerate(SHAPE) for r in range(a) for c in range(b)] + [
     (i, "b", (c,)) for i, (_, b) in enumerate(SHAPE) for c in range(b)]
-SRC_SQL = """
+SRC_SQL = f"""
 WITH src AS MATERIALIZED (
-  SELECT vec_id, embedding[1]::DOUBLE * 5 AS x0, embedding[2]::DOUBLE * 5 AS x1, (label > 4)::INT::DOUBLE AS y
+  SELECT vec_id, {', '.join(f'embedding[{i + 1}]::DOUBLE AS {x}' for i, x in enumerate(INPUTS))},
+         (label > 4)::INT::DOUBLE AS y
   FROM embeddings)"""
 
 
@@ -39,7 +42,7 @@ def weights_sql(prefix: str) -> str:
 
 def forward_sql(source: str) -> str:
     """Layer by layer arithmetic over rows that carry inputs and weights."""
-    names = ["x0", "x1"]
+    names = INPUTS
     out = source
     for layer, (a, b) in enumerate(SHAPE):
         cols = []
@@ -61,7 +64,7 @@ HIT = "avg((y = (p > 0.5)::INT)::INT)"
 def vectors(t: Tables) -> DataFrame:
     x = F.col("embedding")
     return t.embeddings.select(
-        "vec_id", (x[0].cast("double") * 5).alias("x0"), (x[1].cast("double") * 5).alias("x1"),
+        "vec_id", *[x[i].cast("double").alias(name) for i, name in enumerate(INPUTS)],
         (F.col("label") > 4).cast("int").alias("y"))
 
 
@@ -72,14 +75,14 @@ def network(**functions) -> Network:
 @query("mlp_forward", START + f"""
 SELECT vec_id, round(p, 6) AS prediction FROM ({forward_sql('SELECT * FROM src, start')})""")
 def forward(t: Tables) -> DataFrame:
-    return network().transform(vectors(t), ["x0", "x1"]).select("vec_id", rounded("prediction"))
+    return network().transform(vectors(t), INPUTS).select("vec_id", rounded("prediction"))
 
 
 @query("mlp_evaluate", START + f"""
 SELECT round(avg((y - p) * (y - p)), 6) AS loss, round({HIT}, 9) AS accuracy
 FROM ({forward_sql('SELECT * FROM src, start')})""")
 def evaluate(t: Tables) -> DataFrame:
-    return network().evaluate(vectors(t), ["x0", "x1"], "y").select(
+    return network().evaluate(vectors(t), INPUTS, "y").select(
         rounded("loss"), rounded("accuracy", 9))
 
 
@@ -91,7 +94,7 @@ SELECT round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS loss, round({HIT}, 9
 FROM ({forward_sql('SELECT * FROM src, start')})""")
 def cross_entropy_cost(t: Tables) -> DataFrame:
     small = Network.random(LAYERS, 42, weight_scale=0.01, bias_scale=0.00001, loss_function=cross_entropy)
-    return small.evaluate(vectors(t), ["x0", "x1"], "y").select(rounded("loss"), rounded("accuracy", 9))
+    return small.evaluate(vectors(t), INPUTS, "y").select(rounded("loss"), rounded("accuracy", 9))
 
 
 EPOCHS = 30
@@ -103,7 +106,7 @@ CANDIDATE_TEXT = "'41:' || epoch"
 SELECT CAST(epoch AS INTEGER) AS epoch, round(avg((y - p) * (y - p)), 6) AS loss, round({HIT}, 9) AS accuracy
 FROM ({forward_sql('SELECT * FROM src, cand')}) GROUP BY epoch""")
 def random_search(t: Tables) -> DataFrame:
-    result = search_random(vectors(t), ["x0", "x1"], "y", network(), EPOCHS, seed=41)
+    result = search_random(vectors(t), INPUTS, "y", network(), EPOCHS, seed=41)
     return result.log_table(t.spark).select("epoch", rounded("loss"), rounded("accuracy", 9))
 
 
@@ -117,8 +120,8 @@ SELECT vec_id, round(p, 6) AS prediction FROM ({forward_sql(
     'SELECT * FROM src, (SELECT * FROM cand WHERE epoch = (SELECT arg_min(epoch, loss) FROM scored))')})""")
 def random_search_best(t: Tables) -> DataFrame:
     df = vectors(t)
-    best = search_random(df, ["x0", "x1"], "y", network(), EPOCHS, seed=41).network
-    return best.transform(df, ["x0", "x1"]).select("vec_id", rounded("prediction"))
+    best = search_random(df, INPUTS, "y", network(), EPOCHS, seed=41).network
+    return best.transform(df, INPUTS).select("vec_id", rounded("prediction"))
 
 
 BRANCHES = 5
@@ -152,12 +155,12 @@ def _descent_sql(epochs: int) -> str:
 
 @query("search_descent", _descent_sql(3))
 def descent(t: Tables) -> DataFrame:
-    result = search_descent(vectors(t), ["x0", "x1"], "y", network(), 3, BRANCHES, RATE, seed=43)
+    result = search_descent(vectors(t), INPUTS, "y", network(), 3, BRANCHES, RATE, seed=43)
     return result.log_table(t.spark).select("epoch", rounded("loss"), rounded("accuracy", 9))
 
 
 def coordinates(t: Tables) -> tuple[DataFrame, list[str]]:
-    names = [f"e{i}" for i in range(13)]
+    names = [f"e{i}" for i in range(WIDTH)]
     df = t.embeddings.select("vec_id", (F.col("label") > 4).cast("int").alias("y"),
                              *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
     return fit_robust_scaler(df, names).transform(df), names
@@ -175,5 +178,5 @@ def explained(t: Tables) -> DataFrame:
 def gradient(t: Tables) -> DataFrame:
     """Spark's gradient-trained perceptron on the same inputs, for comparison."""
     df = vectors(t)
-    model = fit_perceptron(df, ["x0", "x1"], "y", (3, 4), max_iter=50, seed=7)
+    model = fit_perceptron(df, INPUTS, "y", (3, 4), max_iter=50, seed=7)
     return model.transform(df).select("vec_id", F.col("prediction").cast("int").alias("prediction"))

@@ -104,10 +104,12 @@ def test_parameters_are_copied():
     assert copy.parameters[0][0][0, 0] != net.parameters[0][0][0, 0]
 
 
-def test_oversized_searches_are_refused(spark, data, monkeypatch):
-    monkeypatch.setattr(nn, "MAX_SEARCH_VALUES", 10)
-    with pytest.raises(ValueError, match="rounds"):
-        nn.search_random(data[2], ["a", "b"], "y", Network.random(LAYERS, 1), 5)
+def test_large_searches_take_several_rounds(spark, data, monkeypatch):
+    once = nn.search_random(data[2], ["a", "b"], "y", Network.random(LAYERS, 1), 5, seed=3)
+    monkeypatch.setattr(nn, "ROUND_VALUES", 10)
+    again = nn.search_random(data[2], ["a", "b"], "y", Network.random(LAYERS, 1), 5, seed=3)
+    assert np.allclose([r[1] for r in again.log], [r[1] for r in once.log])
+    assert all(np.array_equal(a[0], b[0]) for a, b in zip(once.network.parameters, again.network.parameters))
 
 
 def test_gradient_trained_comparison(spark, data):
