@@ -1,4 +1,4 @@
-"""K-means with several metrics, one aggregate job per iteration."""
+"""K-means with several metrics, one pass over the rows per iteration."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +23,9 @@ from kelpfit.session import held
 INIT_METHODS = ("kmeans++", "random")
 # beyond this many literals generated methods grow too large to be compiled well
 MAX_LITERALS = 256
-# below this many coordinate comparisons compiling new literals costs more than it saves
-SMALL_WORK = 100_000_000
 ARROW_ROWS = 2048
+# starting rows chosen before the least distances so far are kept as a column
+KEPT_EVERY = 8
 MAX_UNROLLED = 64
 
 Centroids = list[list[float]]
@@ -33,7 +34,9 @@ Centroids = list[list[float]]
 @dataclass(frozen=True)
 class KMeans:
     """Settings. ``kmeans++`` starts from one random row and then takes the row
-    farthest from its nearest chosen centroid; ``random`` takes k random rows."""
+    farthest from its nearest chosen centroid; ``random`` takes k random rows.
+    ``patience`` is accepted and has no effect: the first assignment that repeats
+    ends the fit, as every further one would repeat too."""
 
     k: int = 2
     max_iter: int = 100
@@ -57,12 +60,16 @@ class KMeans:
         key: str,
         scaling_method: str | None = None,
         scope: str = "matrix",
+        trace: bool = False,
     ) -> "KMeansModel":
         """Cluster the rows of ``df`` by named columns or one array column.
 
         Runs one job for scaling, k for farthest-first starts (one for random
         ones) and one per iteration. It stops when two consecutive assignments
-        agree, which is where any further pass would repeat itself.
+        agree, which is where any further pass would repeat itself: when every
+        cluster has as many rows as before and the same checksum of them. With
+        ``trace`` rows that moved are counted, which measures distances to the former
+        centroids as well.
         """
         columns = [features] if isinstance(features, str) else list(features)
         require_columns(df, [key])
@@ -76,17 +83,18 @@ class KMeans:
             base = (scaler.transform(rows) if scaler else rows).select(
                 F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
             start = starting_centroids(base, self)
-            values = self.k * len(start[0])
-            step = _iterate_in_arrow if values > MAX_LITERALS or n * values < SMALL_WORK else _iterate
-            trace, previous, centroids = [], None, start
-            for iteration in range(1, self.max_iter + 1):
-                used = centroids
-                centroids, sizes, changed = step(base, self.distance_metric, used, previous)
-                trace += [(iteration, c, used[c], sizes[c], changed[c]) for c in range(self.k)]
-                if previous is not None and sum(changed) == 0:
-                    break
-                previous = used
-        return KMeansModel(tuple(columns), self.distance_metric, centroids, used, start, scaler, trace)
+            steps, before, previous, centroids = [], None, None, start
+            with held(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))) as points:
+                for iteration in range(1, self.max_iter + 1):
+                    used = centroids
+                    centroids, seen, changed = _iterate(
+                        points, self.distance_metric, used, previous if trace else None, trace)
+                    steps += [(iteration, c, used[c], seen[c][0], changed[c]) for c in range(self.k)]
+                    if seen == before:
+                        break
+                    before, previous = seen, used
+        return KMeansModel(tuple(columns), self.distance_metric, centroids, used, start, scaler,
+                           steps if trace else None)
 
 
 @dataclass(frozen=True)
@@ -97,7 +105,7 @@ class KMeansModel:
     assigning_centroids: Centroids
     start: Centroids
     scaler: Scaler | None
-    trace: list = field(repr=False)
+    trace: list | None = field(repr=False)
 
     def _assign(self, df: DataFrame, centroids: Centroids, name: str) -> DataFrame:
         columns = list(self.columns)
@@ -131,6 +139,8 @@ class KMeansModel:
 
     def iteration_trace(self, spark: SparkSession) -> DataFrame:
         """Per iteration and cluster: the centroid used, its size, and rows that moved in."""
+        if self.trace is None:
+            raise ValueError("fit with trace=True to count moves")
         return spark.createDataFrame(
             self.trace, "iteration int, cluster int, features array<double>, n long, changed long")
 
@@ -156,10 +166,6 @@ def _as_vector(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
-def _slots(vector: str, d: int) -> list[Column]:
-    return [F.col(vector)[i] for i in range(d)]
-
-
 def _gaps(vector: str, centroids: Centroids, metric: str) -> list[str]:
     """SQL text of the distance to each centroid; parsed at once, unlike built columns."""
     check_metric(metric)
@@ -180,8 +186,22 @@ def _gaps(vector: str, centroids: Centroids, metric: str) -> list[str]:
 
 
 def _least_gap(vector: str, centroids: Centroids, metric: str) -> Column:
-    gaps = _gaps(vector, centroids, metric)
-    return F.expr(f"least({', '.join(gaps)})" if len(gaps) > 1 else gaps[0])
+    """Distance to the nearest of some centroids; many travel as a broadcast matrix."""
+    if len(centroids) * len(centroids[0]) <= MAX_LITERALS:
+        gaps = _gaps(vector, centroids, metric)
+        return F.expr(f"least({', '.join(gaps)})" if len(gaps) > 1 else gaps[0])
+    matrix = SparkSession.getActiveSession().sparkContext.broadcast(np.array(centroids))
+
+    @F.pandas_udf("double")
+    def least(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for x in batches:
+            out = [
+                pairwise(metric, np.stack(x.iloc[i:i + ARROW_ROWS].to_numpy()), matrix.value).min(axis=1)
+                for i in range(0, len(x), ARROW_ROWS)
+            ]
+            yield pd.Series(np.concatenate(out) if out else np.array([], dtype=float))
+
+    return least(F.col(vector))
 
 
 def nearest(vector: str, centroids: Centroids, metric: str) -> Column:
@@ -218,96 +238,85 @@ def starting_centroids(base: DataFrame, settings: KMeans) -> Centroids:
     first = base.agg(F.min_by("_x", order).alias("x")).first()["x"]
     if first is None:
         raise ValueError("there are no rows to cluster")
-    chosen = [list(first)]
-    while len(chosen) < settings.k:
-        if len(chosen) * len(chosen[0]) <= MAX_LITERALS:
-            gap = _least_gap("_x", chosen, settings.distance_metric)
-            rows = base.select((-gap).alias("d"), "_key", "_x")
-        else:
-            rows = _farthest_per_task(base, chosen, settings.distance_metric)
-        farthest = rows.agg(F.min(F.struct("d", "_key", "_x")).alias("s")).first()["s"]
-        chosen.append(list(farthest["_x"]))
+    chosen, kept = [list(first)], []
+    near, rows, recent = F.lit(float("inf")), base, chosen[:]
+    try:
+        while len(chosen) < settings.k:
+            if len(recent) > KEPT_EVERY:
+                # distances to all but the newest row stay as a column from here on
+                rows = rows.select("_key", "_x", F.least(near, _least_gap(
+                    "_x", recent[:-1], settings.distance_metric)).alias("_near")).persist()
+                kept.append(rows)
+                near, recent = F.col("_near"), recent[-1:]
+            gap = F.least(near, _least_gap("_x", recent, settings.distance_metric))
+            farthest = rows.select((-gap).alias("d"), "_key", "_x").agg(
+                F.min(F.struct("d", "_key", "_x")).alias("s")).first()["s"]
+            # a column of distances is made from the one before it, which may go once it is full
+            for old in kept[:-1]:
+                old.unpersist()
+            chosen.append(list(farthest["_x"]))
+            recent.append(chosen[-1])
+    finally:
+        for old in kept:
+            old.unpersist()
     return chosen
 
 
-def _farthest_per_task(base: DataFrame, chosen: Centroids, metric: str) -> DataFrame:
-    """Each task's farthest row, by negated distance to its nearest chosen row, then key."""
-    sent = base.sparkSession.sparkContext.broadcast(np.array(chosen))
+def _coordinates(d: int) -> list[Column]:
+    """Scalar columns turn into a matrix much faster than arrays do, while they are not too many."""
+    return [F.col("_x")[j].alias(f"x{j}") for j in range(d)] if d <= MAX_UNROLLED else [F.col("_x")]
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for batch in batches:
-            for i in range(0, len(batch), ARROW_ROWS):
-                part = batch.iloc[i:i + ARROW_ROWS]
-                d = -pairwise(metric, np.stack(part["_x"].to_numpy()), sent.value).min(axis=1)
-                part = part.assign(d=d)[d == d.min()].sort_values("_key").iloc[:1]
-                best = part if best is None else pd.concat([best, part]).sort_values(["d", "_key"]).iloc[:1]
-        if best is not None:
-            yield best[["d", "_key", "_x"]]
 
-    key = base.schema["_key"].dataType.simpleString()
-    return base.select("_key", "_x").mapInPandas(search, f"d double, _key {key}, _x array<double>")
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+    if len(columns) == 1 and pa.types.is_list(columns[0].type):
+        return columns[0].flatten().to_numpy().reshape(batch.num_rows, -1)
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
 
 
-def _iterate(base: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None):
-    """Assign, average, and count the rows whose cluster changed, in one job.
+def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool):
+    """Assign rows and average clusters as partial sums: one row per cluster and task.
 
-    The former assignment is recomputed from the former centroids, so nothing
-    is carried from one iteration's plan to the next.
+    Returns the new centroids, (size, checksum) of every cluster and, with
+    ``trace``, how many rows moved into it.
     """
-    assigned = base.withColumn("cluster", nearest("_x", centroids, metric))
-    if previous is None:
-        moved = F.lit(1)
-    else:
-        assigned = assigned.withColumn("_was", nearest("_x", previous, metric))
-        moved = (F.col("_was") != F.col("cluster")).cast("int")
-    means = F.array(*[F.avg(F.col("_x")[i]) for i in range(len(centroids[0]))])
-    rows = assigned.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(moved).alias("changed"), means.alias("mean")).collect()
-    return _updated(centroids, [(r["cluster"], r["n"], r["changed"], r["mean"]) for r in rows])
-
-
-def _iterate_in_arrow(base: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None):
-    """The same step as partial sums of Arrow batches: one row per cluster and task."""
     k, d = len(centroids), len(centroids[0])
-    # scalar columns turn into a matrix much faster than arrays do
-    unrolled = d <= MAX_UNROLLED
-    sent = base.sparkSession.sparkContext.broadcast(
+    sent = points.sparkSession.sparkContext.broadcast(
         (np.array(centroids), None if previous is None else np.array(previous)))
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = sent.value
         n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
+        checksums = np.zeros(k, dtype=np.uint64)
         for batch in batches:
-            for i in range(0, len(batch), ARROW_ROWS):
-                part = batch.iloc[i:i + ARROW_ROWS]
-                x = part.to_numpy() if unrolled else np.stack(part["_x"].to_numpy())
+            points, hashes = _matrix(batch), batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
+            for i in range(0, len(points), ARROW_ROWS):
+                x = points[i:i + ARROW_ROWS]
                 cluster = pairwise(metric, x, now).argmin(axis=1)
-                moved = cluster if before is None else cluster[
-                    pairwise(metric, x, before).argmin(axis=1) != cluster]
+                if trace:
+                    moved = cluster if before is None else cluster[
+                        pairwise(metric, x, before).argmin(axis=1) != cluster]
+                    changed += np.bincount(moved, minlength=k)
                 n += np.bincount(cluster, minlength=k)
-                changed += np.bincount(moved, minlength=k)
+                np.add.at(checksums, cluster, hashes[i:i + ARROW_ROWS])
                 for j in range(d):
                     sums[:, j] += np.bincount(cluster, weights=x[:, j], minlength=k)
-        yield pd.DataFrame({"cluster": np.arange(k), "n": n, "changed": changed,
-                            "total": list(sums)})
+        # 40 bits of every task's checksum, so that sums of a million tasks stay whole
+        checksums = (checksums & np.uint64((1 << 40) - 1)).astype(np.int64)
+        yield pa.record_batch([
+            pa.array(np.arange(k, dtype=np.int32)), pa.array(n), pa.array(changed), pa.array(checksums),
+            pa.array(list(sums), pa.list_(pa.float64()))], names=["cluster", "n", "changed", "checksum", "total"])
 
-    coordinates = [F.col("_x")[j].alias(f"x{j}") for j in range(d)] if unrolled else ["_x"]
-    partial = base.select(*coordinates).mapInPandas(
-        add_up, "cluster int, n long, changed long, total array<double>")
-    counts = partial.where("n > 0").groupBy("cluster")
+    partial = points.mapInArrow(add_up, "cluster int, n long, changed long, checksum long, total array<double>")
     sums = F.array(*[F.sum(F.col("total")[j]) for j in range(d)])
-    rows = counts.agg(F.sum("n").alias("n"), F.sum("changed").alias("changed"), sums.alias("total")).collect()
-    return _updated(centroids, [
-        (r["cluster"], r["n"], r["changed"], [v / r["n"] for v in r["total"]]) for r in rows])
-
-
-def _updated(centroids: Centroids, rows: list):
-    """New centroids; a cluster that lost all its rows keeps its own."""
-    means, sizes, changed = list(centroids), [0] * len(centroids), [0] * len(centroids)
-    for cluster, n, moved, mean in rows:
-        means[cluster], sizes[cluster], changed[cluster] = list(mean), n, moved
-    return means, sizes, changed
+    rows = partial.where("n > 0").groupBy("cluster").agg(
+        F.sum("n").alias("n"), F.sum("changed").alias("changed"),
+        (F.sum("checksum") % (1 << 40)).alias("checksum"), sums.alias("total")).collect()
+    means, seen, changed = list(centroids), [(0, 0)] * k, [0] * k
+    for r in rows:  # a cluster that lost all its rows keeps its centroid
+        means[r["cluster"]] = [v / r["n"] for v in r["total"]]
+        seen[r["cluster"]], changed[r["cluster"]] = (r["n"], r["checksum"]), r["changed"]
+    return means, seen, changed
 
 
 def cost(df: DataFrame, vector: str, centroids: Centroids, metric: str) -> float:

@@ -62,9 +62,10 @@ def iterations_sql(steps: int, metric: str = "euclidean") -> str:
     return sql
 
 
-def fitted(t: Tables, steps: int, metric: str = "euclidean", method: str = "kmeans++") -> KMeansModel:
+def fitted(t: Tables, steps: int, metric: str = "euclidean", method: str = "kmeans++",
+           trace: bool = False) -> KMeansModel:
     settings = KMeans(k=K, max_iter=steps, cluster_method=method, distance_metric=metric, random_state=SEED)
-    return settings.fit(t.customer, FEATURES, "c_custkey", "standardization", scope="column")
+    return settings.fit(t.customer, FEATURES, "c_custkey", "standardization", scope="column", trace=trace)
 
 
 def _flat(df: DataFrame, *columns: str) -> DataFrame:
@@ -123,7 +124,7 @@ FROM c{i - 1} c LEFT JOIN a{i} a ON a.c = c.c {before} GROUP BY c.c"""
 @query("kmeans_trace", farthest_sql() + iterations_sql(4) + " UNION ALL ".join(
     _trace_part(i) for i in range(1, 5)))
 def trace(t: Tables) -> DataFrame:
-    return _flat(fitted(t, 4).iteration_trace(t.spark), "iteration", "cluster", "n", "changed")
+    return _flat(fitted(t, 4, trace=True).iteration_trace(t.spark), "iteration", "cluster", "n", "changed")
 
 
 @query("kmeans_predict", farthest_sql() + iterations_sql(2) + """

@@ -31,9 +31,8 @@ def run_numpy(x, start, metric, steps):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("method, small", [("kmeans++", 0), ("random", 10**9)])
-def test_runs_match_a_plain_loop(spark, monkeypatch, metric, method, small):
-    monkeypatch.setattr(km, "SMALL_WORK", small)
+@pytest.mark.parametrize("method", ["kmeans++", "random"])
+def test_runs_match_a_plain_loop(spark, metric, method):
     rng = np.random.default_rng(5)
     x = np.concatenate([rng.normal(loc, 1.0, size=(40, 2)) for loc in (0.0, 3.0, 9.0)])
     df = table(spark, x).repartition(3)
@@ -56,6 +55,18 @@ def test_farthest_first_start(spark):
     assert [c[0] for c in model.start] == expected
 
 
+@pytest.mark.parametrize("literals", [256, 4])
+def test_a_long_farthest_first_start(spark, monkeypatch, literals):
+    monkeypatch.setattr(km, "MAX_LITERALS", literals)
+    x = np.random.default_rng(4).normal(size=(300, 3))
+    model = KMeans(k=21, max_iter=1, random_state=1).fit(table(spark, x), names(x), "id")
+    expected = [np.array(model.start[0])]
+    for _ in range(20):
+        gaps = np.min([((x - c) ** 2).sum(axis=1) for c in expected], axis=0)
+        expected.append(x[gaps.argmax()])
+    assert np.allclose(model.start, expected)
+
+
 def test_equidistant_rows_join_the_lowest_cluster(spark):
     df = spark.createDataFrame([(0, [1.0])], "id int, _x array<double>")
     for metric in ("euclidean", "manhattan"):
@@ -87,7 +98,7 @@ def test_cost_never_rises_and_mllib_agrees(spark):
     x = np.concatenate([rng.normal(loc, 0.3, size=(30, 2)) for loc in (0.0, 5.0, 10.0)])
     df = table(spark, x)
     vectors = df.select(F.array(*names(x)).alias("_x"))
-    model = KMeans(k=3, distance_metric="squared_euclidean", random_state=1).fit(df, names(x), "id")
+    model = KMeans(k=3, distance_metric="squared_euclidean", random_state=1).fit(df, names(x), "id", trace=True)
     steps = {}
     for i, c, features, _, _ in model.trace:
         steps.setdefault(i, []).append(features)
@@ -107,7 +118,11 @@ def test_scaled_prediction_uses_fit_time_statistics(spark):
 
 def test_traces(spark):
     x = np.arange(12.0).reshape(-1, 1)
-    model = KMeans(k=2, max_iter=20, random_state=1).fit(table(spark, x), ["x0"], "id")
+    model = KMeans(k=2, max_iter=20, random_state=1).fit(table(spark, x), ["x0"], "id", trace=True)
+    plain = KMeans(k=2, max_iter=20, random_state=1).fit(table(spark, x), ["x0"], "id")
+    assert plain.centroids == model.centroids
+    with pytest.raises(ValueError):
+        plain.iteration_trace(spark)
     trace = model.iteration_trace(spark).groupBy("iteration").agg(
         F.sum("n").alias("n"), F.sum("changed").alias("changed")).orderBy("iteration").collect()
     assert {r["n"] for r in trace} == {12}
