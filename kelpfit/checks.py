@@ -60,6 +60,14 @@ def usable_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def unusable_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The other rows: NULL or NaN in one of ``columns`` at least."""
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | _missing(df, c)
+    return df.where(bad)
+
+
 def missing_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many rows there are and how many the policy drops."""
     bad = F.lit(False)

@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour joins, voting and averaging.
 
-Both sides are cut into cells around seeded pivot rows. A query first meets the
-training rows of its own cell, which bounds how far its k-th neighbour can be;
+Training rows are dealt into cells around seeded pivot rows once, when a model is
+fitted. A query first meets the training rows of its own cell, which bounds how far its k-th neighbour can be;
 by the triangle inequality it then visits only those other cells that can hold
 anything closer. Crowded cells are cut further into blocks of bounded size on
 both sides, so no task grows with the data or with a hot cell. Where the bounds
@@ -20,20 +20,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpfit.checks import (
-    is_array, require_choice, require_columns, require_numeric, require_positive_int, usable_rows,
+    is_array, require_choice, require_columns, require_numeric, require_positive_int, unusable_rows, usable_rows,
 )
 from kelpfit.functions.distance import check_metric, pairwise
 from kelpfit.functions.hashing import key_hash
 from kelpfit.operators.aggregates import heaviest, mode, weighted_mean, weighted_median_of_few
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
-from kelpfit.session import cut_lineage
+from kelpfit.session import cut_lineage, written
 
 AGGREGATIONS = ("mean", "median", "mode")
 # training rows per block; query blocks hold a quarter of that, to keep more tasks busy
 BLOCK_ROWS = 32768
 # cells aim at a sixteenth of a block, so that ruling one out is likely
 CELLS_PER_BLOCK = 16
-MAX_PIVOTS = 1024
+# beyond this many pivots their number follows the square root of the rows
+MANY_PIVOTS = 1024
 # share of all cells a query may visit on average before plain blocks are cheaper
 MAX_VISITED = 0.5
 CHUNK = 1024
@@ -152,7 +153,8 @@ def _assign_cells(df: DataFrame, metric: str, pivots: np.ndarray) -> DataFrame:
 
 
 def _pivots(train: DataFrame, n: int, block_rows: int) -> np.ndarray:
-    wanted = 1 if n <= block_rows else min(MAX_PIVOTS, n // max(1, block_rows // CELLS_PER_BLOCK))
+    """Seeded rows to build cells around: few enough to measure every row against all of them."""
+    wanted = max(1, min(n // max(1, block_rows // CELLS_PER_BLOCK), max(MANY_PIVOTS, math.isqrt(n))))
     rows = train.orderBy(key_hash("pivot", "_t")).limit(wanted).select("_x").collect()
     return np.array([r["_x"] for r in rows], dtype=float)
 
@@ -237,6 +239,94 @@ def _other_cells(metric: str, cells: Cells, features: Column, home: Column, reac
     return visit(features, home, reach)
 
 
+@dataclass(frozen=True)
+class Index:
+    """Training rows in cells, written once and read by every search."""
+
+    rows: DataFrame
+    cells: Cells
+    n: int
+    features: tuple[str, ...]
+    key_type: str
+    label_type: str
+    block_rows: int
+
+    @property
+    def in_cell(self) -> dict[int, int]:
+        return {c: int(v) for c, v in enumerate(self.cells.rows) if v}
+
+
+def build_index(train: DataFrame, key: str, features: Sequence[str], label: str,
+                metric: str = "euclidean", block_rows: int = BLOCK_ROWS) -> Index:
+    """Deal the usable training rows into cells."""
+    check_metric(metric)
+    features = [features] if isinstance(features, str) else list(features)
+    require_columns(train, [key])
+    require_numeric(train, features)
+    t = usable_rows(train, [*features, label]).select(
+        F.col(key).alias("_t"), F.col(label).alias("_y"), _vector(train, features).alias("_x"))
+    n = t.count()
+    pivots = _pivots(t, n, block_rows) if n else np.zeros((1, 1))
+    t = written(_assign_cells(t, metric, pivots) if n else t.withColumns({"cell": F.lit(0), "gap": F.lit(0.0)}))
+    rows, inner, outer = np.zeros(len(pivots)), np.zeros(len(pivots)), np.zeros(len(pivots))
+    for r in t.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("gap").alias("lo"), F.max("gap").alias("hi")).collect():
+        rows[r["cell"]], inner[r["cell"]], outer[r["cell"]] = r["n"], r["lo"], r["hi"]
+    return Index(t, Cells(metric, pivots, rows, inner, outer), n, tuple(features),
+                 train.schema[key].dataType.simpleString(), train.schema[label].dataType.simpleString(),
+                 block_rows)
+
+
+def search(queries: DataFrame, query_key: str, index: Index, k: int) -> DataFrame:
+    """The k nearest indexed rows of every usable query, ranked by distance, then key.
+
+    Columns: the query key, ``rank`` (1-based), ``neighbour``, ``distance``, ``label``.
+    """
+    require_positive_int("k", k)
+    features = list(index.features)
+    require_columns(queries, [query_key])
+    require_numeric(queries, features)
+    if k > index.n:
+        raise ValueError("n_neighbors cannot exceed the number of training rows")
+    metric, in_cell = index.cells.metric, index.in_cell
+    settings = dict(block_rows=index.block_rows, label_type=index.label_type, key_type=index.key_type,
+                    query_type=queries.schema[query_key].dataType.simpleString())
+    q = usable_rows(queries, features).select(
+        F.col(query_key).alias("_q"), _vector(queries, features).alias("_x"))
+    q = cut_lineage(_assign_cells(q, metric, index.cells.pivots))
+    home = _join_cells(q, index.rows, metric, k, in_cell, _count_by_cell(q), **settings)
+    if len(in_cell) == 1:  # there is nowhere else to look
+        found = home
+    else:
+        found = _search_further(q, index, k, cut_lineage(_best(home, k)), settings)
+    return _best(found, k).select(
+        F.col("_q").alias(query_key), "rank", "neighbour", "distance", "label")
+
+
+def _search_further(q: DataFrame, index: Index, k: int, home: DataFrame, settings: dict) -> DataFrame:
+    """Candidates of every query, after the cells that its k-th distance so far cannot rule out."""
+    metric, in_cell = index.cells.metric, index.in_cell
+    kth = home.groupBy("_q").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("reach"))
+    reach = F.coalesce(F.col("reach"), F.lit(float("inf")))
+    if metric == "squared_euclidean":
+        reach = F.sqrt(reach)
+    lists = cut_lineage(
+        q.join(kth, "_q", "left")
+        .withColumn("cells", _other_cells(metric, index.cells, F.col("_x"), F.col("cell"), reach))
+        .select("_q", "_x", "cells"))
+    queries_n, share = lists.agg(F.count(F.lit(1)), F.avg(F.size("cells") / len(in_cell))).first()
+    if queries_n and share > MAX_VISITED:
+        # bounds rule out too little here, as with many dimensions
+        one = F.lit(0).alias("cell")
+        return _join_cells(q.select("_q", "_x", one), index.rows.select("_t", "_y", "_x", one), metric, k,
+                           {0: index.n}, {0: queries_n}, **settings)
+    visits = lists.select("_q", "_x", F.explode("cells").alias("cell"))
+    visited = _count_by_cell(visits)
+    away = _join_cells(visits, index.rows.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
+                       **settings)
+    return home.drop("rank").unionByName(away)
+
+
 def nearest(
     queries: DataFrame,
     train: DataFrame,
@@ -248,71 +338,8 @@ def nearest(
     metric: str = "euclidean",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The k nearest training rows of every query, ranked by distance, then key.
-
-    Columns: the query key, ``rank`` (1-based), ``neighbour``, ``distance``, ``label``.
-    """
-    check_metric(metric)
-    require_positive_int("k", k)
-    features = [features] if isinstance(features, str) else list(features)
-    for side, key in ((queries, query_key), (train, train_key)):
-        require_columns(side, [key])
-        require_numeric(side, features)
-    types = dict(
-        label_type=train.schema[label].dataType.simpleString(),
-        query_type=queries.schema[query_key].dataType.simpleString(),
-        key_type=train.schema[train_key].dataType.simpleString(),
-    )
-    q = usable_rows(queries, features).select(
-        F.col(query_key).alias("_q"), _vector(queries, features).alias("_x"))
-    t = usable_rows(train, [*features, label]).select(
-        F.col(train_key).alias("_t"), F.col(label).alias("_y"), _vector(train, features).alias("_x"))
-
-    n = t.count()
-    if k > n:
-        raise ValueError("n_neighbors cannot exceed the number of training rows")
-    pivots = _pivots(t, n, block_rows)
-    if len(pivots) == 1:
-        q, t = q.withColumn("cell", F.lit(0)), t.withColumn("cell", F.lit(0))
-        found = _join_cells(q, t, metric, k, {0: n}, {0: q.count()}, block_rows, **types)
-    else:
-        q, t = _assign_cells(q, metric, pivots), _assign_cells(t, metric, pivots)
-        q = cut_lineage(q)
-        t = cut_lineage(t)
-        rows, inner, outer = np.zeros(len(pivots)), np.zeros(len(pivots)), np.zeros(len(pivots))
-        for r in t.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("gap").alias("lo"), F.max("gap").alias("hi")).collect():
-            rows[r["cell"]], inner[r["cell"]], outer[r["cell"]] = r["n"], r["lo"], r["hi"]
-        cells = Cells(metric, pivots, rows, inner, outer)
-        in_cell = {c: int(v) for c, v in enumerate(rows) if v}
-        home = _join_cells(q, t, metric, k, in_cell, _count_by_cell(q), block_rows, **types)
-        home = cut_lineage(_best(home, k))
-        kth = home.groupBy("_q").agg(
-            F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("reach"))
-        reach = F.coalesce(F.col("reach"), F.lit(float("inf")))
-        if metric == "squared_euclidean":
-            reach = F.sqrt(reach)
-        lists = cut_lineage(
-            q.join(kth, "_q", "left")
-            .withColumn("cells", _other_cells(metric, cells, F.col("_x"), F.col("cell"), reach))
-            .select("_q", "_x", "cells"))
-        queries_n, share = lists.agg(
-            F.count(F.lit(1)), F.avg(F.size("cells") / len(in_cell))).first()
-        if queries_n and share > MAX_VISITED:
-            # bounds rule out too little here, as with many dimensions
-            one = F.lit(0).alias("cell")
-            found = _join_cells(
-                q.select("_q", "_x", one), t.select("_t", "_y", "_x", one), metric, k, {0: n},
-                {0: queries_n}, block_rows, **types)
-        else:
-            visits = lists.select("_q", "_x", F.explode("cells").alias("cell"))
-            visited = _count_by_cell(visits)
-            away = _join_cells(
-                visits, t.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
-                block_rows, **types)
-            found = home.drop("rank").unionByName(away)
-    return _best(found, k).select(
-        F.col("_q").alias(query_key), "rank", "neighbour", "distance", "label")
+    """:func:`search` in an index made for this one call."""
+    return search(queries, query_key, build_index(train, train_key, features, label, metric, block_rows), k)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -341,10 +368,10 @@ class _Neighbours:
 
 @dataclass(frozen=True)
 class KNNModel:
-    """Training table with its fit-time scaling, which queries share."""
+    """Indexed training rows with their fit-time scaling, which queries share."""
 
     settings: _Neighbours
-    train: DataFrame
+    index: Index
     key: str
     features: tuple[str, ...]
     label: str
@@ -354,9 +381,13 @@ class KNNModel:
         query_key = query_key or self.key
         if self.scaler:
             queries = self.scaler.transform(queries)
-        return nearest(
-            queries, self.train, query_key, self.key, list(self.features), self.label,
-            self.settings.n_neighbors, self.settings.distance_metric, self.settings.block_rows)
+        return search(queries, query_key, self.index, self.settings.n_neighbors)
+
+    def _with_unusable(self, answers: DataFrame, queries: DataFrame, query_key: str) -> DataFrame:
+        """Queries with a missing feature have no neighbours; their answer is NULL."""
+        left_out = unusable_rows(queries, list(self.features)).select(
+            query_key, F.lit(None).cast(answers.schema["prediction"].dataType).alias("prediction"))
+        return answers.select(query_key, "prediction").unionByName(left_out)
 
 
 def _fit(settings, df, features, label, key, scaling_method, scope):
@@ -369,7 +400,8 @@ def _fit(settings, df, features, label, key, scaling_method, scope):
         require_choice("scaling_method", scaling_method, METHODS)
         scaler = fit_scaler(usable_rows(train, features), features, scaling_method, scope)
         train = scaler.transform(train)
-    return train, key, tuple(features), label, scaler
+    index = build_index(train, key, features, label, settings.distance_metric, settings.block_rows)
+    return index, key, tuple(features), label, scaler
 
 
 @dataclass(frozen=True)
@@ -388,8 +420,10 @@ class KNNClassifierModel(KNNModel):
         query_key = query_key or self.key
         near = self.neighbours(queries, query_key)
         if self.settings.weighting:
-            return heaviest(with_weights(near), [query_key], "label", "weight", "rank", "prediction")
-        return mode(near, [query_key], "label", "rank", "prediction")
+            votes = heaviest(with_weights(near), [query_key], "label", "weight", "rank", "prediction")
+        else:
+            votes = mode(near, [query_key], "label", "rank", "prediction")
+        return self._with_unusable(votes, queries, query_key)
 
 
 @dataclass(frozen=True)
@@ -413,6 +447,10 @@ class KNNRegressorModel(KNNModel):
         require_choice("aggregation_function", aggregation_function, AGGREGATIONS)
         query_key = query_key or self.key
         near = self.neighbours(queries, query_key)
+        answers = self._combined(near, query_key, aggregation_function, by_value)
+        return self._with_unusable(answers, queries, query_key)
+
+    def _combined(self, near: DataFrame, query_key: str, aggregation_function: str, by_value: bool) -> DataFrame:
         if not self.settings.weighting:
             if aggregation_function == "mode":
                 return mode(near, [query_key], "label", "rank", "prediction")

@@ -179,3 +179,16 @@ def error(t: Tables) -> DataFrame:
     y, p = F.col("brand"), F.col("prediction")
     return scored.agg(rounded(metrics.mse(y, p), 6, "mse"), rounded(metrics.mae(y, p), 6, "mae"),
                       rounded(metrics.rmse(y, p), 6, "rmse"))
+
+
+@query("knn_many_cells", """
+WITH d AS (
+  SELECT c_custkey, o_orderkey, o_totalprice, abs(c_acctbal - o_totalprice / 40) AS gap FROM customer, orders
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY abs(c_acctbal - o_totalprice / 40), o_orderkey) <= 3)
+SELECT c_custkey, round(avg(o_totalprice), 4) AS prediction FROM d GROUP BY c_custkey""")
+def many_cells(t: Tables) -> DataFrame:
+    """Mean total of the three orders whose fortieth is nearest to each customer's balance."""
+    train = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_totalprice") / 40).alias("amount"))
+    model = KNNRegressor(3, "manhattan").fit(train, ["amount"], "o_totalprice", "o_orderkey")
+    asked = t.customer.select("c_custkey", F.col("c_acctbal").alias("amount"))
+    return model.predict(asked, "c_custkey").select("c_custkey", rounded("prediction", 4))

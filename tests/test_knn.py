@@ -170,3 +170,19 @@ def test_bad_settings_and_input(spark):
         KNNRegressor(1).fit(df, "v", "y", "id").predict(df, aggregation_function="max")
     with pytest.raises(ValueError):
         KNNRegressor(1).fit(df, "v", "y", "id").predict(df.drop("v"))
+
+
+def test_queries_with_missing_features_get_no_answer(spark):
+    train = spark.createDataFrame([(i, float(i), i % 2) for i in range(8)], "id int, a double, y int")
+    asked = spark.createDataFrame([(1, 3.0), (2, None), (3, float("nan"))], "id int, a double")
+    got = {r["id"]: r["prediction"] for r in KNNClassifier(1).fit(train, ["a"], "y", "id").predict(asked).collect()}
+    assert got == {1: 1, 2: None, 3: None}
+
+
+def test_training_rows_are_dealt_into_cells_once(spark, monkeypatch):
+    train = spark.createDataFrame([(i, float(i), i % 2) for i in range(200)], "id int, a double, y int")
+    model = KNNClassifier(3, block_rows=64).fit(train, ["a"], "y", "id")
+    assert len(model.index.cells.pivots) > 1
+    monkeypatch.setattr(knn, "build_index", None)
+    monkeypatch.setattr(knn, "_pivots", None)
+    assert model.predict(train).count() == model.predict(train).count() == 200
