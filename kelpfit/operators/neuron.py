@@ -49,7 +49,7 @@ def initial_weights(d: int, how: str = "uniform", seed: object = 0) -> list[floa
 def choose_functions(problem: str, activation: str | None, loss: str | None) -> tuple[str, str]:
     """Fill in the defaults and reject pairs that do not belong to the problem."""
     require_choice("problem type", problem, PROBLEMS)
-    activation = activation or DEFAULTS[problem][0]
+    activation = {"tan_h": "tanh"}.get(activation, activation) or DEFAULTS[problem][0]
     loss = loss or DEFAULTS[problem][1]
     require_choice(f"activation_function for {problem}", activation, ALLOWED[problem][0])
     require_choice(f"loss_function for {problem}", loss, ALLOWED[problem][1])
@@ -112,14 +112,21 @@ class Neuron:
         rows = usable_rows(df.select(*dict.fromkeys([*keys, *names, label])), [*names, label])
         with held(rows) as rows:
             model = self.start(rows, names, label, weights)
-            history = []
-            for epoch in range(1, self.epochs + 1):
-                losses = []
-                for batch in self._batches(rows, keys, epoch):
-                    model, value = _step(model, batch, self.learning_rate, self.gradient)
-                    losses.append(value)
-                history.append((epoch, sum(losses) / len(losses)))
-        return replace(model, history=history)
+            return self._train(rows, keys, model, [self.learning_rate])[0]
+
+    def _train(self, rows: DataFrame, keys: list[str], start: "NeuronModel",
+               rates: Sequence[float]) -> list["NeuronModel"]:
+        """One model per learning rate, trained side by side: every step is one job for all of them."""
+        models, histories = [start] * len(rates), [[] for _ in rates]
+        for epoch in range(1, self.epochs + 1):
+            losses = [[] for _ in rates]
+            for batch in self._batches(rows, keys, epoch):
+                models, values = _step(models, batch, rates, self.gradient)
+                for own, value in zip(losses, values):
+                    own.append(value)
+            for history, own in zip(histories, losses):
+                history.append((epoch, sum(own) / len(own)))
+        return [replace(m, history=h) for m, h in zip(models, histories)]
 
     def _batches(self, rows: DataFrame, keys: list[str], epoch: int) -> list[DataFrame]:
         if not self.batches:
@@ -186,30 +193,44 @@ class NeuronModel:
         return self.transform(grid)
 
 
-def _step(model: NeuronModel, batch: DataFrame, rate: float, gradient: str) -> tuple[NeuronModel, float]:
-    """Loss and gradient sums of one batch in one job, then the weight update."""
-    y, p = F.col("_y"), F.col("_p")
-    error = p - y
-    if gradient == "exact" and model.problem == "regression":
-        error = F.signum(error) if model.loss == "mae" else error
-        error = error * derivative(model.activation, p)
+def _step(models: list[NeuronModel], batch: DataFrame, rates: Sequence[float],
+          gradient: str) -> tuple[list[NeuronModel], list[float]]:
+    """Loss and gradient sums of one batch for all models in one job, then their weight updates."""
+    first = models[0]
+    d, y = len(first.weights), F.col("_y")
     scored = batch.select(
-        F.col(model.label).cast("double").alias("_y"), model.activated().alias("_p"),
-        *[x.alias(f"_x{j}") for j, x in enumerate(model.slots())])
-    row = scored.agg(
-        F.avg(row_loss(model.loss, y, p)).alias("loss"), F.sum(error).alias("b"),
-        *[F.sum(error * F.col(f"_x{j}")).alias(f"w{j}") for j in range(len(model.weights))]).first()
-    weights = tuple(w - rate * row[f"w{j}"] for j, w in enumerate(model.weights))
-    return replace(model, weights=weights, bias=model.bias - rate * row["b"]), row["loss"]
+        F.col(first.label).cast("double").alias("_y"),
+        *[m.activated().alias(f"_p{i}") for i, m in enumerate(models)],
+        *[x.alias(f"_x{j}") for j, x in enumerate(first.slots())])
+    sums = []
+    for i, model in enumerate(models):
+        p = F.col(f"_p{i}")
+        error = p - y
+        if gradient == "exact" and model.problem == "regression":
+            error = F.signum(error) if model.loss == "mae" else error
+            error = error * derivative(model.activation, p)
+        sums += [F.avg(row_loss(model.loss, y, p)), F.sum(error), *[F.sum(error * F.col(f"_x{j}")) for j in range(d)]]
+    row, out, losses = scored.agg(*sums).first(), [], []
+    for i, (model, rate) in enumerate(zip(models, rates)):
+        loss, bias, *gradients = row[i * (d + 2):(i + 1) * (d + 2)]
+        weights = tuple(w - rate * g for w, g in zip(model.weights, gradients))
+        out.append(replace(model, weights=weights, bias=model.bias - rate * bias))
+        losses.append(loss)
+    return out, losses
 
 
 def grid_search(df: DataFrame, features: str | Sequence[str], label: str,
                 epochs: Sequence[int], learning_rates: Sequence[float],
-                settings: Neuron = Neuron(), key: str | None = None) -> DataFrame:
-    """Final loss for every setting; a run serves all its shorter epoch counts."""
-    rows = []
-    for rate in learning_rates:
-        run = replace(settings, learning_rate=rate, epochs=max(epochs))
-        model = run.fit(df, features, label, key)
-        rows += [(e, float(rate), model.history[e - 1][1]) for e in sorted(epochs)]
+                settings: Neuron = Neuron(), key: str | Sequence[str] | None = None) -> DataFrame:
+    """Final loss for every setting; a run serves all its shorter epoch counts, and all rates share its jobs."""
+    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    if settings.batches and not keys:
+        raise ValueError("mini-batches need a key column")
+    names = [features] if isinstance(features, str) else list(features)
+    rates = [replace(settings, learning_rate=r).learning_rate for r in learning_rates]  # each is checked
+    settings = replace(settings, epochs=max(epochs))
+    used = usable_rows(df.select(*dict.fromkeys([*keys, *names, label])), [*names, label])
+    with held(used) as used:
+        models = settings._train(used, keys, settings.start(used, names, label), rates)
+    rows = [(e, float(rate), m.history[e - 1][1]) for rate, m in zip(rates, models) for e in sorted(epochs)]
     return df.sparkSession.createDataFrame(rows, "epochs int, learning_rate double, loss double")

@@ -115,7 +115,9 @@ def with_position(df: DataFrame, order: Column, name: str = "position") -> DataF
     offset table holds at most one row per prefix.
     """
     hashed = df.withColumn("_h", order)
-    digits = 2 if df.count() < 256 * BUCKET_ROWS else 5
+    n, digits = df.count(), 1
+    while 16 ** digits * max(1, BUCKET_ROWS // 16) < n:
+        digits += 1
     hashed = hashed.withColumn("_p", F.substring("_h", 1, digits))
     offsets = (
         hashed.groupBy("_p")
@@ -130,10 +132,12 @@ def with_position(df: DataFrame, order: Column, name: str = "position") -> DataF
         .drop("_n")
     )
     inside = F.row_number().over(Window.partitionBy("_p").orderBy("_h")) - 1
-    # at most 16**digits offset rows, about a million of a few bytes each
+    # one offset row per prefix: a few bytes each, sent to all tasks while there are few
+    if digits <= 4:
+        offsets = F.broadcast(offsets)
     return (
         hashed.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_p")
+        .join(offsets, "_p")
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_h", "_p", "_inside", "_before")
     )

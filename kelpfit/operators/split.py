@@ -167,8 +167,10 @@ def permute(df: DataFrame, key: str | Sequence[str], random_state: int | None =
 
 def sample_rows(df: DataFrame, key: str | Sequence[str], k: int,
                 random_state: int | None = None) -> DataFrame:
-    """``k`` rows drawn without replacement."""
-    return df.orderBy(row_order(_seed(random_state), key)).limit(k)
+    """``k`` rows drawn without replacement: those up to the k-th in the seeded order."""
+    order = row_order(_seed(random_state), key)
+    n, ends = rank_cutoffs(df, order, lambda n: [min(k, n)] if min(k, n) > 0 else [])
+    return df.where(order <= ends[0]) if ends else df.limit(0)
 
 
 def batch_cutoffs(df: DataFrame, key: str | Sequence[str], seed: int, epoch: int,

@@ -53,7 +53,3 @@ def feature_kinds(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
             raise TypeError(f"feature {c!r} is {t.simpleString()}")
     return kinds
 
-
-def append_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union of two tables with the same columns, matched by name."""
-    return a.unionByName(b)

@@ -10,9 +10,12 @@ from pyspark.sql.streaming import DataStreamWriter
 from kelpfit.operators.knn import KNNClassifierModel, KNNRegressorModel
 
 
-def score_stream(model, stream: DataFrame, name: str = "prediction") -> DataFrame:
-    """Lines, clusterings, trees and neurons are stateless columns, so they just apply."""
-    return model.transform(stream, name)
+def score_stream(model, stream: DataFrame, name: str = "prediction", features=None) -> DataFrame:
+    """Lines, clusterings, trees, neurons and networks are stateless columns, so they just apply.
+
+    A network does not know its inputs: name its ``features``.
+    """
+    return model.transform(stream, name) if features is None else model.transform(stream, features, name)
 
 
 def knn_stream(
