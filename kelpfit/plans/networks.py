@@ -166,7 +166,31 @@ def coordinates(t: Tables) -> tuple[DataFrame, list[str]]:
     return fit_robust_scaler(df, names).transform(df), names
 
 
-@query("pca_explained")
+POWER_STEPS = 10_000
+# the covariance matrix, and its two largest eigenvectors by repeated multiplication
+PCA_SQL = f"""
+WITH RECURSIVE
+s AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+q AS (SELECT i, quantile_cont(x, 0.25) AS a, quantile_cont(x, 0.5) AS m, quantile_cont(x, 0.75) AS b FROM s GROUP BY i),
+z AS MATERIALIZED (SELECT vec_id, i, (x - m) / (b - a) AS z FROM s JOIN q USING (i)),
+d AS MATERIALIZED (SELECT vec_id, i, z, z - avg(z) OVER (PARTITION BY i) AS d FROM z),
+cov AS (SELECT l.i, r.i AS j, sum(l.d * r.d) / (count(*) - 1) AS v FROM d l JOIN d r USING (vec_id) GROUP BY ALL),
+c1 AS MATERIALIZED (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(v ORDER BY j) AS r FROM cov GROUP BY i)),
+p1 AS (SELECT 0 AS t, list_transform(range({WIDTH}), lambda k: 1 + 0.001::DOUBLE * k) AS v
+  UNION ALL SELECT t + 1, list_transform(w, lambda e: e / sqrt(list_dot_product(w, w)))
+  FROM (SELECT t, list_transform(c, lambda r: list_dot_product(r, v)) AS w FROM p1, c1 WHERE t < {POWER_STEPS})),
+v1 AS MATERIALIZED (SELECT v, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) AS e FROM p1, c1 WHERE t = {POWER_STEPS}),
+c2 AS MATERIALIZED (SELECT list_transform(c, lambda r, k: list_transform(r, lambda x, l: x - e * v[k] * v[l])) AS c FROM c1, v1),
+p2 AS (SELECT 0 AS t, list_transform(range({WIDTH}), lambda k: 1 + 0.001::DOUBLE * k) AS v
+  UNION ALL SELECT t + 1, list_transform(w, lambda e: e / sqrt(list_dot_product(w, w)))
+  FROM (SELECT t, list_transform(c, lambda r: list_dot_product(r, v)) AS w FROM p2, c2 WHERE t < {POWER_STEPS})),
+v2 AS MATERIALIZED (SELECT v, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) AS e FROM p2, c2 WHERE t = {POWER_STEPS})
+"""
+
+
+@query("pca_explained", PCA_SQL + """
+SELECT vec_id, round(abs(sum(d * v1.v[i])), 4) AS first, round(abs(sum(d * v2.v[i])), 4) AS second
+FROM d, v1, v2 GROUP BY vec_id""")
 def explained(t: Tables) -> DataFrame:
     """Two principal components of robust-scaled coordinates, per row."""
     projected, _ = principal_components(*coordinates(t), 2)
@@ -174,6 +198,18 @@ def explained(t: Tables) -> DataFrame:
     return projected.select("vec_id", rounded(F.abs(xy[0]), 4, "first"), rounded(F.abs(xy[1]), 4, "second"))
 
 
+@query("pca_variance", PCA_SQL + """
+, total AS (SELECT list_sum(list_transform(c, lambda r, k: r[k])) AS t FROM c1)
+SELECT 1 AS component, round(e / t, 8) AS explained FROM v1, total
+UNION ALL SELECT 2, round(e / t, 8) FROM v2, total""")
+def explained_variance(t: Tables) -> DataFrame:
+    """Share of the variance that each of the two components explains."""
+    _, model = principal_components(*coordinates(t), 2)
+    shares = [float(v) for v in model.explainedVariance]
+    return t.spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double").select(
+        "component", rounded("explained", 8))
+
+
 @query("mlp_gradient")
 def gradient(t: Tables) -> DataFrame:
     """Spark's gradient-trained perceptron on the same inputs, for comparison."""
