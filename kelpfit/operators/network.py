@@ -282,6 +282,69 @@ def search_descent(df: DataFrame, features: str | Sequence[str], label: str, net
     return SearchResult(current, log, _metric_names(network))
 
 
+# derivatives in terms of the activation's own output
+SLOPES: dict[str, ArrayFunction] = {
+    "relu": lambda a: (a > 0).astype(float), "sigmoid": lambda a: a * (1 - a), "tanh": lambda a: 1 - a * a,
+    "identity": np.ones_like,
+}
+
+
+def _gradients(layers: Sequence[Layer], parameters: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Summed gradients of the squared error, flattened in the order of the parameters."""
+    outputs = [x]
+    for layer, (w, b) in zip(layers, parameters):
+        outputs.append(layer.apply(outputs[-1] @ w + b))
+    delta = 2 * (outputs[-1] - y[:, None]) * SLOPES[layers[-1].activation_function](outputs[-1])
+    parts = []
+    for i in reversed(range(len(layers))):
+        parts[:0] = [(outputs[i].T @ delta).ravel(), delta.sum(axis=0)]
+        if i:
+            delta = (delta @ parameters[i][0].T) * SLOPES[layers[i - 1].activation_function](outputs[i])
+    return np.concatenate(parts)
+
+
+def fit_gradient(df: DataFrame, features: str | Sequence[str], label: str, network: Network,
+                 epochs: int, learning_rate: float = 0.1) -> SearchResult:
+    """Full-batch gradient descent on the mean squared error, from the network's own parameters.
+
+    One job per epoch: tasks add up gradients over their Arrow batches, and the
+    sums come back as one row per parameter. The log has the loss before each step.
+    """
+    require_positive_int("epochs", epochs)
+    if network.loss_function is not squared_error or any(
+            layer.activation_function not in SLOPES for layer in network.layers) or network.layers[-1].output_size != 1:
+        raise ValueError("gradients are known for named activations, one output and the squared error only")
+    current, log, layers = network, [], network.layers
+    with held(_examples(df, features, label)) as examples:
+        for epoch in range(1, epochs + 1):
+            sent = examples.sparkSession.sparkContext.broadcast(current.parameters)
+
+            def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                total, loss, n = None, 0.0, 0
+                for batch in batches:
+                    if len(batch):
+                        x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
+                        part = _gradients(layers, sent.value, x, y)
+                        total = part if total is None else total + part
+                        loss += squared_error(y, _forward(layers, sent.value, x)).sum()
+                        n += len(y)
+                if n:
+                    values = np.concatenate([[n, loss], total])
+                    yield pd.DataFrame({"place": np.arange(len(values)), "value": values})
+
+            sums = examples.mapInPandas(add_up, "place int, value double").groupBy("place").agg(
+                F.sum("value").alias("value")).orderBy("place").collect()
+            n, loss, *gradient = [r["value"] for r in sums]
+            moved, at = [], 0
+            for w, b in current.parameters:
+                step = np.array(gradient[at:at + w.size + b.size]) * (learning_rate / n)
+                moved.append((w - step[:w.size].reshape(w.shape), b - step[w.size:]))
+                at += w.size + b.size
+            log.append((epoch, loss / n))
+            current = current.with_parameters(moved)
+    return SearchResult(current, log, ())
+
+
 def fit_perceptron(df: DataFrame, features: Sequence[str], label: str,
                    hidden_layer_sizes: Sequence[int] = (3, 4), max_iter: int = 1000, seed: int = 0):
     """Gradient-trained network for comparison, by Spark's own multilayer perceptron."""

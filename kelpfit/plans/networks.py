@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.operators.network import (
-    Layer, Network, accuracy, cross_entropy, fit_perceptron, search_descent, search_random, squared_error,
+    Layer, Network, accuracy, cross_entropy, fit_gradient, search_descent, search_random, squared_error,
 )
 from kelpfit.operators.scaling import fit_robust_scaler, principal_components
 from kelpfit.plans.registry import Tables, query, rounded, sql_normal
@@ -210,9 +210,35 @@ def explained_variance(t: Tables) -> DataFrame:
         "component", rounded("explained", 8))
 
 
-@query("mlp_gradient")
+GRADIENT_RATE = 0.5
+
+
+def _gradient_sql(epochs: int) -> str:
+    """Forward and backward pass of every epoch, written out."""
+    names = [slot_name(s) for s in SLOTS]
+    sql = START + f", k0 AS MATERIALIZED (SELECT {', '.join(names)} FROM start)"
+    for e in range(1, epochs + 1):
+        top = len(SHAPE) - 1
+        deltas = f"SELECT *, 2 * (p - y) * p * (1 - p) AS d{top}_0 FROM ({forward_sql(f'SELECT * FROM src, k{e - 1}')})"
+        for layer in range(top - 1, -1, -1):
+            back = ", ".join(
+                f"CASE WHEN h{layer}_{c} > 0 THEN "
+                + " + ".join(f"d{layer + 1}_{j} * w{layer + 1}_{c}_{j}" for j in range(SHAPE[layer + 1][1]))
+                + f" ELSE 0 END AS d{layer}_{c}" for c in range(SHAPE[layer][1]))
+            deltas = f"SELECT *, {back} FROM ({deltas})"
+        moved = []
+        for layer, kind, place in SLOTS:
+            name = slot_name((layer, kind, place))
+            out = f"d{layer}_{place[-1]}"
+            inner = out if kind == "b" else f"{INPUTS[place[0]] if layer == 0 else f'h{layer - 1}_{place[0]}'} * {out}"
+            moved.append(f"any_value({name}) - {GRADIENT_RATE}::DOUBLE * avg({inner}) AS {name}")
+        sql += f", k{e} AS MATERIALIZED (SELECT {', '.join(moved)} FROM ({deltas}))"
+    return sql + f" SELECT vec_id, round(p, 6) AS prediction FROM ({forward_sql(f'SELECT * FROM src, k{epochs}')})"
+
+
+@query("mlp_gradient", _gradient_sql(3))
 def gradient(t: Tables) -> DataFrame:
-    """Spark's gradient-trained perceptron on the same inputs, for comparison."""
+    """Predictions after three full-batch gradient steps from hash-drawn weights."""
     df = vectors(t)
-    model = fit_perceptron(df, INPUTS, "y", (3, 4), max_iter=50, seed=7)
-    return model.transform(df).select("vec_id", F.col("prediction").cast("int").alias("prediction"))
+    trained = fit_gradient(df, INPUTS, "y", network(), 3, GRADIENT_RATE).network
+    return trained.transform(df, INPUTS).select("vec_id", rounded("prediction"))

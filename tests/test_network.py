@@ -117,3 +117,28 @@ def test_gradient_trained_comparison(spark, data):
     model = nn.fit_perceptron(df, ["a", "b"], "y", (3, 4), max_iter=60, seed=1)
     hits = model.transform(df).where(F.col("prediction") == F.col("y")).count()
     assert hits > 70
+
+
+def test_gradients_lower_the_loss_and_match_differences(spark, data):
+    layers = (Layer(2, 3, "tanh"), Layer(3, 2, "relu"), Layer(2, 1, "sigmoid"))
+    net = Network.random(layers, 5)
+    r = np.random.default_rng(1)
+    x, y = r.normal(size=(20, 2)), r.integers(0, 2, 20).astype(float)
+    got = nn._gradients(layers, net.parameters, x, y)
+
+    def loss(parameters):
+        return nn.squared_error(y, nn._forward(layers, parameters, x)).sum()
+
+    want = []
+    for i, pair in enumerate(net.parameters):
+        for j, values in enumerate(pair):
+            for at in np.ndindex(values.shape):
+                sides = []
+                for step in (1e-6, -1e-6):
+                    moved = net.with_parameters(net.parameters).parameters
+                    moved[i][j][at] += step
+                    sides.append(loss(moved))
+                want.append((sides[0] - sides[1]) / 2e-6)
+    assert np.allclose(got, want, atol=1e-5)
+    log = nn.fit_gradient(data[2], ["a", "b"], "y", Network.random(LAYERS, 1), 6, 0.05).log
+    assert log[-1][1] <= log[0][1]
