@@ -68,7 +68,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["source", "size", "_h", "doc_id", "_rid"]
     rows = stored(
-        rows.withColumn("_h", F.xxhash64("doc_id")).repartitionByRange(parts, *order)
+        rows.withColumn("_h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).repartitionByRange(parts, *order)
         .withColumn("_part", F.spark_partition_id()), "by_size")
     earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_n"))

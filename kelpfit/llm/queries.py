@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality, sharding
 from kelpfit.llm.common import hex_sha256
+from kelpfit.plans.registry import sql_uniform
 from kelpfit.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,7 +66,25 @@ def shard_query(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
-@query("op8_mix_sources")
+@query("op8_mix_sources", f"""
+WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
+           FROM documents),
+z AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM s GROUP BY source),
+w AS (SELECT *, [5::DOUBLE, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+             2::DOUBLE * source_size AS room FROM z),
+l AS (SELECT *, ((SELECT sum(source_size) * 1.5::DOUBLE FROM z) - coalesce(sum(room) OVER b, 0))
+                / ((SELECT sum(w) FROM w) - coalesce(sum(w) OVER b, 0)) AS level
+      FROM w WINDOW b AS (ORDER BY room / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(room, coalesce(
+        w * (SELECT level FROM l WHERE level * w <= room ORDER BY room / w, level LIMIT 1), room)) AS target FROM l),
+r AS (SELECT s.*, source_size, target,
+             CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS e,
+             {sql_uniform('mix-0', "coalesce('=' || s.source, 'null')")} AS u,
+             row_number() OVER (PARTITION BY s.source ORDER BY size, md5(doc_id::VARCHAR), doc_id) AS i
+      FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(floor(e * i + u) - floor(e * (i - 1) + u) AS BIGINT) * size AS taken,
+       source, CAST(floor(e * i + u) - floor(e * (i - 1) + u) AS BIGINT) AS copies FROM r
+""")
 def mix_query(spark, sf_dir):
     return mixing.sampled_copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -99,7 +118,20 @@ def bpe_query(spark, sf_dir):
         hex_sha256(bpe.id_text("ids")).alias("ids_sha256"), hex_sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
-@query("op1_ngram_join")
+@query("op1_ngram_join", """
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id
+                   WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+FROM r JOIN w ON x = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""")
 def ngram_query(spark, sf_dir):
     rows = ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
     return rows.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")
@@ -116,7 +148,23 @@ def language_query(spark, sf_dir):
     return language_id.predicted(docs, model).select("doc_id", held_out, "lang_pred", "score", "bits", "accepted")
 
 
-@query("op7_chat_format")
+CONTROL_SQL = r"\\|\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</SYS>>|<<:>>"
+
+
+@query("op7_chat_format", f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, length(text) + len(regexp_extract_all(text, '{CONTROL_SQL}')) + CASE role
+        WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
+        ELSE 20 + length(role) + len(regexp_extract_all(role, '{CONTROL_SQL}')) END AS chars FROM c),
+g AS (SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss
+      FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars FROM g
+""")
 def chat_query(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
