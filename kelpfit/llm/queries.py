@@ -90,9 +90,64 @@ def mix_query(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-@query("op4_quality_rules")
+def _quality_sql() -> str:
+    """Counts, histograms, references and distances, row by row."""
+    removed, n = "SELECT *, t AS r0 FROM d", len(quality.CLASSES)
+    for k, (_, pattern) in enumerate(quality.CLASSES):
+        literal = pattern.replace("'", "''")
+        removed = f"SELECT *, regexp_replace(r{k}, '{literal}', '', 'g') AS r{k + 1} FROM ({removed})"
+    at = {name: k for k, (name, _) in enumerate(quality.CLASSES)}
+    spent = lambda name: f"(length(r{at[name]}) - length(r{at[name] + 1}))"
+    classes = ", ".join([*[spent(name) for name in at], f"length(r{n})"])
+    words = ", ".join(f"('{w}', {i})" for i, w in enumerate(quality.vocabulary()))
+    languages = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
+    plogp = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0 END)"
+    return f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+c AS MATERIALIZED (
+  SELECT doc_id, lang, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, length(t) AS chars,
+         length(t) - {spent('blank')} AS word_chars, {spent('symbol')} AS n_symbols, [{classes}] AS classes,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM ({removed})),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS again
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM c)),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE again > 1)
+      GROUP BY doc_id),
+b AS MATERIALIZED (
+  SELECT c.*, len(ws) AS n_words, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words,
+         len(ws) < {quality.MIN_WORDS} OR 100 * coalesce(r.n, 0) > {quality.MAX_REPEAT_PERCENT} * len(ws) AS base_failed
+  FROM c LEFT JOIN r USING (doc_id)),
+v(word, i) AS (VALUES {words}),
+m AS (SELECT doc_id, i, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM b) JOIN v USING (word) GROUP BY ALL),
+h AS MATERIALIZED (
+  SELECT doc_id, 'class' AS kind, unnest(range(0, {n + 1})) AS i, unnest(classes) AS n, chars AS total FROM b
+  UNION ALL SELECT b.doc_id, 'word', v.i, coalesce(m.n, 0), n_words
+            FROM b CROSS JOIN v LEFT JOIN m ON m.doc_id = b.doc_id AND m.i = v.i
+  UNION ALL SELECT b.doc_id, 'word', -1, n_words - coalesce(sum(m.n), 0), n_words
+            FROM b LEFT JOIN m USING (doc_id) GROUP BY b.doc_id, n_words),
+q AS MATERIALIZED (
+  SELECT lang, kind, i, sum(n)::DOUBLE / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q
+  FROM h JOIN b USING (doc_id) WHERE NOT base_failed AND lang IN ({languages}) GROUP BY lang, kind, i),
+j AS (SELECT doc_id, kind, lang, sqrt(greatest(sum(
+        {plogp('p')} / 2 + {plogp('q')} / 2 - {plogp('((p + q) / 2)')}), 0)) AS distance
+      FROM (SELECT doc_id, kind, i, n / total AS p FROM h WHERE total > 0) JOIN q USING (kind, i) GROUP BY ALL),
+e AS (SELECT doc_id, min(distance) FILTER (kind = 'class') AS cd, min(distance) FILTER (kind = 'word') AS wd
+      FROM j GROUP BY doc_id),
+f AS (SELECT b.*, CASE WHEN chars >= {quality.MIN_CLASS_CHARS} THEN cd END AS cd,
+             CASE WHEN n_words >= {quality.MIN_COMMON_WORDS} THEN wd END AS wd FROM b LEFT JOIN e USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       round(cd, 6) AS class_distance, round(wd, 6) AS word_distance,
+       NOT base_failed AND coalesce(cd, 0) <= {quality.MAX_CLASS_DISTANCE}
+       AND coalesce(wd, 0) <= {quality.MAX_WORD_DISTANCE} AS kept
+FROM f"""
+
+
+@query("op4_quality_rules", _quality_sql())
 def quality_query(spark, sf_dir):
-    return quality.judged(table(spark, sf_dir, "documents")).drop("_rid")
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
 @query("op9_line_dedup", """
