@@ -34,10 +34,10 @@ def test_queries_with_sql(run, folder, name):
     found = con.execute(queries.ORACLES[name])
     columns = sorted(d[0] for d in found.description)
     at = [[d[0] for d in found.description].index(c) for c in columns]
-    want = sorted(tuple(r[i] for i in at) for r in found.fetchall())
+    want = sorted((tuple(r[i] for i in at) for r in found.fetchall()), key=str)
     df = run(name)
     assert sorted(df.columns) == columns
-    assert sorted(tuple(r) for r in df.select(*columns).collect()) == want
+    assert sorted((tuple(r) for r in df.select(*columns).collect()), key=str) == want
 
 
 def test_ngram_join(run, documents):
