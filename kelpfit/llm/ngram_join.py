@@ -8,7 +8,10 @@ looks at a segment's content only: first the smallest ones (up to m1), then the
 ones that most documents have (up to m2 = m - m1). A pair that links still shares a
 segment that both keep. Segments hold several n-grams, so unlike single n-grams
 they stay rare as the corpus grows, and what is common (boilerplate, passages)
-is what gets dropped. Documents that share a kept segment form candidate clusters.
+is what gets dropped. Documents that share a kept segment form clusters. Inside a
+cluster, sketches with one byte of every segment are compared place by place: linked
+sets differ in few places, texts with a passage in common in many. What is left
+connected are the candidate clusters.
 
 **Who links.** The sets of a cluster meet in one task. There they are sorted in one
 global order, rare n-grams first, and stored in a tree that shares common
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 import bisect
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,9 @@ from kelpfit.llm.graph import components
 #: Most documents and n-grams of one task's tree (one document may exceed the second).
 BLOCK_DOCS = 128
 BLOCK_NGRAMS = 200_000
+#: The same for sketches, which are about a third of a byte per n-gram.
+SKETCH_DOCS = 2048
+SKETCH_NGRAMS = 20_000_000
 #: Size classes grow by this factor; it must exceed 1 / similarity.
 CLASS_RATIO = 1.4
 #: Length of the broadcast membership table used to skip texts early.
@@ -88,8 +94,17 @@ class Scheme:
         other = bisect.bisect_left(self.limits, 100 * n // self.percent)
         return [c for c in range(own, other + 1) if self.differ[c] > 0]
 
-    def segments(self, hashes: np.ndarray, c: int) -> np.ndarray:
-        """Signatures of the segments that a set of distinct hashes keeps in class c."""
+    def allowed(self, n: int, c: int) -> int:
+        """Most common segments that a set of n may drop in class c.
+
+        It may differ from a partner in fewer n-grams than sets of the class's limit.
+        """
+        partner = min(self.limits[c], 100 * n // self.percent)
+        own = (n + partner) * (100 - self.percent) // (100 + self.percent)
+        return self.common[c] + self.differ[c] - own
+
+    def segments(self, hashes: np.ndarray, c: int) -> tuple[np.ndarray, bytes]:
+        """Signatures of the segments that a set of distinct hashes keeps in class c, and a byte of every one."""
         k = self.differ[c] + 1 + self.small[c] + self.common[c]
         where = (_mix(hashes ^ _U(0x9E3779B97F4A7C15)) % _U(k)).astype(np.int64)
         sizes = np.bincount(where, minlength=k)
@@ -103,7 +118,8 @@ class Scheme:
         upto = np.cumsum(np.bincount(sizes))
         least = int(np.searchsorted(upto, self.small[c], side="right"))
         keep = np.flatnonzero(sizes >= least)
-        return _mix(sums[keep] + _U(c * 0x1F123BB5) + keep.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+        kept = _mix(sums[keep] + _U(c * 0x1F123BB5) + keep.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+        return kept, (sums >> _U(20)).astype(np.uint8).tobytes()
 
 
 def needed(a: int, b: int, percent: int) -> int:
@@ -142,7 +158,8 @@ class _Hasher:
 
 
 def set_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """_rid, doc_id, n_ngrams, set_a, set_b (hash of the whole set), cls and segments of two classes."""
+    """_rid, doc_id, n_ngrams, set_a, set_b (hash of the whole set), cls, and per class of two:
+    how many common segments may go (drops), signatures of segments, and a sketch with a byte of each."""
     scheme = Scheme(percent)
     id_type = dict(docs.dtypes)["doc_id"]
 
@@ -151,7 +168,8 @@ def set_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                sizes, ones, twos, classes, first, second = [], [], [], [], [], []
+                sizes, ones, twos, classes, drops = [], [], [], [], []
+                segments, sketches = ([], []), ([], [])
                 for text in part.column("_text").to_pylist():
                     h = hashed(text)
                     sizes.append(len(h))
@@ -160,36 +178,42 @@ def set_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     twos.append(sums[1])
                     found = scheme.classes(len(h)) if len(h) else []
                     classes.append(found[0] if found else None)
+                    drops.append([scheme.allowed(len(h), c) for c in found])
                     # two classes at most, and the second follows the first
-                    first.append(scheme.segments(h, found[0]).view(np.int64) if found else None)
-                    second.append(scheme.segments(h, found[1]).view(np.int64) if len(found) > 1 else None)
+                    for i in range(2):
+                        kept, sketch = scheme.segments(h, found[i]) if len(found) > i else (None, None)
+                        segments[i].append(None if kept is None else kept.view(np.int64))
+                        sketches[i].append(sketch)
                 longs = pa.list_(pa.int64())
                 yield pa.record_batch([
                     part.column("_rid"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()),
-                    pa.array(twos, pa.int64()), pa.array(classes, pa.int32()), pa.array(first, longs),
-                    pa.array(second, longs)],
-                    names=["_rid", "doc_id", "n_ngrams", "set_a", "set_b", "cls", "segments", "more"])
+                    pa.array(twos, pa.int64()), pa.array(classes, pa.int32()), pa.array(drops, pa.list_(pa.int32())),
+                    pa.array(segments[0], longs), pa.array(segments[1], longs),
+                    pa.array(sketches[0], pa.binary()), pa.array(sketches[1], pa.binary())],
+                    names=["_rid", "doc_id", "n_ngrams", "set_a", "set_b", "cls", "drops", "segments", "more",
+                           "sketch", "more_sketch"])
 
     return docs.mapInArrow(
         scan, f"_rid long, doc_id {id_type}, n_ngrams long, set_a long, set_b long, cls int, "
-              "segments array<long>, more array<long>")
+              "drops array<int>, segments array<long>, more array<long>, sketch binary, more_sketch binary")
 
 
 def _bucket(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int").alias("_bucket")
 
 
-def candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
+def candidate_edges(rows: DataFrame) -> DataFrame:
     """Edges a, b that connect all documents with a common kept segment; one row per distinct set goes in."""
-    scheme = Scheme(percent)
-    posted = rows.select("_rid", "cls", F.explode("segments").alias("sig")).unionByName(
-        rows.where("more is not null").select("_rid", (F.col("cls") + 1).alias("cls"), F.explode("more").alias("sig")))
+    def posts(column: str, i: int) -> DataFrame:
+        return rows.where(F.col(column).isNotNull()).select(
+            "_rid", (F.col("cls") + i).alias("cls"), F.get("drops", F.lit(i)).alias("_drop"), F.explode(column).alias("sig"))
+
+    posted = posts("segments", 0).unionByName(posts("more", 1))
     same = Window.partitionBy("sig")
     shared = posted.withColumn("_n", F.count(F.lit(1)).over(same)).where("_n > 1")
     # a document has few shared segments or is near another; the commonest may go
-    allowed = F.split(F.lit(",".join(map(str, scheme.common))), ",").cast("array<bigint>")
     commoner = F.count(F.lit(1)).over(Window.partitionBy("_rid", "cls").orderBy(F.col("_n").desc()))
-    kept = shared.withColumn("_above", commoner).where(F.col("_above") > F.element_at(allowed, F.col("cls") + 1))
+    kept = shared.withColumn("_above", commoner).where(F.col("_above") > F.col("_drop"))
     first = F.min("_rid").over(same)
     return kept.select(F.col("_rid").alias("b"), first.alias("a")).where("a <> b").distinct()
 
@@ -296,6 +320,66 @@ def links_in_blocks(docs: DataFrame, assigned: DataFrame, n: int, percent: int)
         scan, "a long, b long, overlap long, total long")
 
 
+def sketches_in_blocks(rows: DataFrame, assigned: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs inside blocks whose sketches agree in as many places as linked sets must.
+
+    Two sets that differ in d n-grams differ in d segments at most, so this drops no
+    link; pairs that join nothing new are left out. ``assigned`` is as in :func:`links_in_blocks`.
+    """
+    scheme = Scheme(percent)
+
+    def pairs(block: list[tuple]) -> list[tuple[int, int]]:
+        rids, sizes, classes, own, more, groups = map(list, zip(*block))
+        first: dict[int, int] = {}
+        parent = [first.setdefault(g, i) for i, g in enumerate(groups)]
+
+        def find(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        out = []
+        for c in sorted(set(classes)):
+            here = [(i, own[i]) for i in range(len(rids)) if classes[i] == c]
+            here += [(i, more[i]) for i in range(len(rids)) if classes[i] == c - 1 and more[i] is not None]
+            at = np.array([i for i, _ in here])
+            places = np.frombuffer(b"".join(x for _, x in here), np.uint8).reshape(len(here), -1)
+            n = np.array([sizes[i] for i in at])
+            for x in range(len(here) - 1):
+                root = find(int(at[x]))
+                rest = np.array([y for y in range(x + 1, len(here)) if find(int(at[y])) != root], np.int64)
+                if not len(rest):
+                    continue
+                differ = np.count_nonzero(places[rest] != places[x], axis=1)
+                for y in rest[differ * (100 + scheme.percent) <= (n[rest] + n[x]) * (100 - scheme.percent)]:
+                    i, j = find(int(at[x])), find(int(at[y]))
+                    if i != j:
+                        parent[max(i, j)] = min(i, j)
+                        out.append((rids[at[x]], rids[at[y]]))
+        return out
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("block", "_rid", "n_ngrams", "cls", "sketch", "more_sketch", "group")
+
+        def done(block):
+            found = list(zip(*pairs(block))) if len(block) > 1 else []
+            return pa.record_batch([pa.array(x, pa.int64()) for x in found or ([], [])], names=["a", "b"])
+
+        key, block = None, []
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if row[0] != key:
+                    yield done(block)
+                    key, block = row[0], []
+                block.append(row[1:])
+        yield done(block)
+
+    near = assigned.join(rows.select("_rid", "n_ngrams", "cls", "sketch", "more_sketch"), "_rid").select(
+        "block", "_rid", "n_ngrams", "cls", "sketch", "more_sketch", "group")
+    return near.repartition("block").sortWithinPartitions("block", "_rid").mapInArrow(scan, "a long, b long")
+
+
 def _dealt(members: DataFrame, by: list[str], docs_most: int, ngrams_most: int) -> DataFrame:
     """Add ``part``, which deals the members of each ``by`` into parts of bounded expected size."""
     totals = members.groupBy(*by).agg(F.count(F.lit(1)).alias("_docs"), F.sum("n_ngrams").alias("_ngrams"))
@@ -304,14 +388,16 @@ def _dealt(members: DataFrame, by: list[str], docs_most: int, ngrams_most: int)
     return members.join(totals, by).withColumn("part", F.pmod(F.xxhash64("_rid"), F.col("parts")))
 
 
-def all_links(docs: DataFrame, rows: DataFrame, n: int, percent: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """Links that connect every component: a, b, overlap, total. ``rows``: one per distinct set."""
-    clusters = components(candidate_edges(rows, percent))
-    members = clusters.select(F.col("node").alias("_rid"), F.col("root").alias("cluster")).join(
-        rows.select("_rid", "n_ngrams"), "_rid")
-    members = stored(_dealt(members, ["cluster"], block_docs, BLOCK_NGRAMS), "members")
-    links = stored(links_in_blocks(docs, members.select(
-        "_rid", F.xxhash64("cluster", "part").alias("block"), F.col("_rid").alias("group")), n, percent), "links")
+def _linked_in_clusters(members: DataFrame, join: Callable[[DataFrame], DataFrame], block_docs: int,
+                        block_ngrams: int) -> DataFrame:
+    """Links that connect all that is linked inside each cluster. ``members``: _rid, cluster, n_ngrams.
+
+    ``join`` finds links inside the blocks of a table _rid, block, group, at least
+    enough of them to connect what is linked and in different groups.
+    """
+    members = stored(_dealt(members, ["cluster"], block_docs, block_ngrams), "members")
+    links = stored(join(members.select(
+        "_rid", F.xxhash64("cluster", "part").alias("block"), F.col("_rid").alias("group"))), "links")
     large = members.where("parts > 1").drop("part", "parts")
     if not large.limit(1).count():
         return links
@@ -323,10 +409,8 @@ def all_links(docs: DataFrame, rows: DataFrame, n: int, percent: int, block_docs
         return stored(found.join(several.select("cluster"), "cluster"), "labelled")
 
     # one document of every component first: large groups of near copies fall together here
-    heads = labelled().where("_rid = group")
-    heads = _dealt(heads, ["cluster"], block_docs, BLOCK_NGRAMS)
-    more = links_in_blocks(docs, heads.select(
-        "_rid", F.xxhash64("cluster", "part").alias("block"), "group"), n, percent)
+    heads = _dealt(labelled().where("_rid = group"), ["cluster"], block_docs, block_ngrams)
+    more = join(heads.select("_rid", F.xxhash64("cluster", "part").alias("block"), "group"))
     links = stored(links.unionByName(more), "links")
     rest = labelled()
     if not rest.limit(1).count():
@@ -335,23 +419,39 @@ def all_links(docs: DataFrame, rows: DataFrame, n: int, percent: int, block_docs
     half = max(1, block_docs // 2)
     sizes = rest.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("_size"))
     rest = rest.join(sizes, ["cluster", "group"]).withColumn("pure", F.when(F.col("_size") >= half, F.col("group")))
-    rest = _dealt_pure(rest, half)
+    rest = stored(_dealt_pure(rest, half, block_ngrams // 2), "pieces")
     blocks = rest.select("cluster", "piece", "pure").distinct()
     left, right = blocks.alias("l"), blocks.alias("r")
     pairs = left.join(right, (F.col("l.cluster") == F.col("r.cluster")) & (F.col("l.piece") <= F.col("r.piece"))
                       & ~F.coalesce(F.col("l.pure") == F.col("r.pure"), F.lit(False)))
-    pairs = pairs.select(F.col("l.piece").alias("x"), F.col("r.piece").alias("y"))
-    pairs = stored(pairs.withColumn("block", F.xxhash64("x", "y")), "pairs")
+    pairs = stored(pairs.select(F.col("l.piece").alias("x"), F.col("r.piece").alias("y")).withColumn(
+        "block", F.xxhash64("x", "y")), "pairs")
     sides = pairs.select(F.col("x").alias("piece"), "block").unionByName(
         pairs.where("x <> y").select(F.col("y").alias("piece"), "block"))
-    last = links_in_blocks(docs, rest.join(sides, "piece").select("_rid", "block", "group"), n, percent)
+    last = join(rest.join(sides, "piece").select("_rid", "block", "group"))
     return stored(links.unionByName(last), "links")
 
 
-def _dealt_pure(rest: DataFrame, half: int) -> DataFrame:
+def all_links(docs: DataFrame, rows: DataFrame, n: int, percent: int, block_docs: int = BLOCK_DOCS,
+              sketch_docs: int = SKETCH_DOCS) -> DataFrame:
+    """Links that connect every component: a, b, overlap, total. ``rows``: one per distinct set."""
+    sizes = rows.select("_rid", "n_ngrams")
+
+    def clustered(edges: DataFrame) -> DataFrame:
+        return components(edges.select("a", "b")).select(
+            F.col("node").alias("_rid"), F.col("root").alias("cluster")).join(sizes, "_rid")
+
+    # clusters by shared segments also hold documents that merely have passages in common
+    near = _linked_in_clusters(clustered(candidate_edges(rows)),
+                               lambda b: sketches_in_blocks(rows, b, percent), sketch_docs, SKETCH_NGRAMS)
+    return _linked_in_clusters(clustered(near), lambda b: links_in_blocks(docs, b, n, percent),
+                               block_docs, BLOCK_NGRAMS)
+
+
+def _dealt_pure(rest: DataFrame, half: int, ngrams_most: int) -> DataFrame:
     """Add ``piece``: part of one large component, or a mix of small ones, of one cluster."""
     key = F.coalesce(F.col("pure"), F.lit(-1))
-    rest = _dealt(rest.withColumn("_key", key), ["cluster", "_key"], half, BLOCK_NGRAMS // 2)
+    rest = _dealt(rest.withColumn("_key", key), ["cluster", "_key"], half, ngrams_most)
     return rest.withColumn("piece", F.xxhash64("cluster", "_key", "part")).drop("_key", "part", "parts")
 
 
@@ -379,7 +479,7 @@ def ngram_components(docs: DataFrame, words: int = 3, percent: int = 90, block_d
     unsure = rows.where("n_ngrams > 0").join(doubled, on, "left_semi")
     firsts = unsure.join(classes.select(F.col("class_rid").alias("_rid")), "_rid", "left_semi")
     single = rows.where("n_ngrams > 0").join(doubled, on, "left_anti")
-    links = all_links(texts, single.unionByName(firsts), words, percent, block_docs)
+    links = all_links(texts, single.unionByName(firsts), words, percent, block_docs, 16 * block_docs)
     roots = components(links.select("a", "b")).select(F.col("node").alias("class_rid"), F.col("root").alias("root_rid"))
     classes = stored(classes.join(roots, "class_rid", "left").withColumn(
         "root_rid", F.coalesce("root_rid", "class_rid")), "classes")
