@@ -86,7 +86,7 @@ class Scheme:
         # most n-grams in which two linked sets of up to r each differ
         self.differ = [2 * r * (100 - percent) // (100 + percent) for r in self.limits]
         self.small = [max(1, d // 3) for d in self.differ]
-        self.common = [max(1, d // 4) for d in self.differ]
+        self.common = [max(1, d // 8) for d in self.differ]
 
     def classes(self, n: int) -> list[int]:
         """Class of a set of n, and the next one if a larger partner may be there."""
