@@ -4,6 +4,12 @@ A text's histogram of character classes and its histogram of common words are
 compared with the same histograms of all texts of each language, by the
 Jensen-Shannon distance (base 2, from 0 to 1). A text far from every language is
 rejected. Texts too short for a histogram to mean something are not judged by it.
+
+Words that are not common fill most of every histogram, so a text without a single
+common word is hardly farther away than a short clean one. How many of its words are
+common is therefore judged by itself: against the median share of its language, in
+standard deviations of what a text of its length may have. That needs no length
+guard, and medians do not follow the junk among the texts.
 """
 
 from __future__ import annotations
@@ -39,6 +45,13 @@ MIN_CLASS_CHARS = 200
 MIN_COMMON_WORDS = 150
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.33
+#: Standard deviations by which a text may have fewer common words than its language.
+MAX_SHORTFALL = 3.0
+#: Steps of a share, and of a standard deviation, in the counted histograms.
+SHARE_STEPS = 1000
+DEVIATION_STEPS = 20
+#: Rounds in which shares are taken anew from the texts that the last ones leave.
+SHARE_ROUNDS = 4
 #: Word positions take 24 bits of a packed integer; longer texts use pairs.
 PACKED_WORDS = 1 << 24
 
@@ -145,6 +158,80 @@ def language_references(rows: DataFrame, languages: Sequence[str] = tuple(COMMON
     return out
 
 
+def _own_common(language: str) -> Column:
+    """How many words of a text are common in a listed language."""
+    at = {w: k for k, w in enumerate(vocabulary())}
+    return reduce(lambda a, b: a + b, [F.get("common", F.lit(at[w])) for w in COMMON_WORDS[language]])
+
+
+def _quantile(counts: dict[int, int], q: float) -> int:
+    """First key up to which a share ``q`` of all counted rows lies."""
+    left = q * sum(counts.values())
+    for key in sorted(counts):
+        left -= counts[key]
+        if left <= 0:
+            return key
+    return max(counts)
+
+
+def common_shares(rows: DataFrame) -> dict[str, tuple[float, float]]:
+    """Per language the median share of common words, and how much wider than binomial it spreads.
+
+    ``rows`` has ``lang``, ``n_words`` and ``_own``, the common words of a text's own
+    language, of all texts that pass the base rules. Histograms of fixed width are
+    counted over all of them. Junk has few common words, so the spread is that of
+    the upper half, and texts that fall short are left out of the next round.
+    """
+    found: dict[str, tuple[float, float]] = {}
+    for _ in range(SHARE_ROUNDS):
+        before = found
+        found = _common_shares(rows, before)
+        if found == before:
+            break
+    return found
+
+
+def _by_language(values: dict[str, float]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("lang"))
+
+
+def _common_shares(rows: DataFrame, known: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+    """One round of :func:`common_shares`, over the texts that do not fall short of the ``known`` shares."""
+    if known:
+        share, spread = (_by_language({k: v[i] for k, v in known.items()}) for i in range(2))
+        rows = rows.where(F.coalesce(shortfall(F.col("_own"), share, spread), F.lit(0.0)) <= MAX_SHORTFALL)
+
+    def histograms(value: Column, most: int) -> dict[str, dict[int, int]]:
+        step = F.least(F.greatest(F.floor(value), F.lit(-most)), F.lit(most)).cast("int").alias("step")
+        out: dict[str, dict[int, int]] = {}
+        for r in rows.groupBy("lang", step).agg(F.count(F.lit(1)).alias("n")).collect():
+            out.setdefault(r["lang"], {})[r["step"]] = r["n"]
+        return out
+
+    n = F.greatest(F.col("n_words"), F.lit(1))
+    counted = histograms(F.col("_own") * SHARE_STEPS / n, SHARE_STEPS)
+    medians = {k: (_quantile(v, 0.5) + 0.5) / SHARE_STEPS for k, v in counted.items() if _quantile(v, 0.5) > 0}
+    medians = {k: v for k, v in medians.items() if v < 1}
+    if not medians:
+        return {}
+    share = _by_language(medians)
+    above = (F.col("_own") - n * share) / F.sqrt(n * share * (1 - share)) * DEVIATION_STEPS
+    spread = histograms(F.coalesce(above, F.lit(0.0)), 1000 * DEVIATION_STEPS)
+    # 0.9 of a normal distribution lie below 1.2816 standard deviations
+    wide = {k: (_quantile(v, 0.9) - _quantile(v, 0.5)) / DEVIATION_STEPS / 1.2816 for k, v in spread.items()}
+    return {k: (v, max(1.0, wide[k])) for k, v in medians.items()}
+
+
+def shortfall(common: Column, share: Column | float, spread: Column | float) -> Column:
+    """Standard deviations by which ``common`` of ``n_words`` words lie below a share of them.
+
+    None where a text has half of that share: long texts differ by their subject as well.
+    """
+    n = F.col("n_words")
+    share, spread = (x if isinstance(x, Column) else F.lit(x) for x in (share, spread))
+    return F.when(2 * common >= n * share, 0.0).when(n > 0, (n * share - common) / (spread * F.sqrt(n * share * (1 - share))))
+
+
 def _plogp(x: Column) -> Column:
     return F.when(x > 0, x * F.log2(x)).otherwise(0.0)
 
@@ -161,22 +248,8 @@ def distance(counts: Column, total: Column, shares: Sequence[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(spread, F.lit(0.0))))
 
 
-def judged(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE,
-           max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """Base counts and verdict of every document.
-
-    Takes ``doc_id``, ``text`` and ``lang``; other columns are ignored. Returns one
-    row per input row: _rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, class_distance, word_distance, kept. The distances
-    are those to the nearest language, null where the text is below the length
-    guard or no language has texts. A null text has no words and fails the base
-    rules; ``lang`` only builds the references, so a null or unknown one is judged
-    like any other. Repeated rows are judged one by one. An empty table gives an
-    empty result.
-    """
-    rows = stored(features(docs), "features")
-    references = language_references(rows)
-
+def _measured(rows: DataFrame, references: dict) -> DataFrame:
+    """Base counts and distances of stored :func:`features`, which stay with them."""
     def nearest(column: str, total: Column, guard: Column) -> Column:
         found = [distance(F.col(column), total, r[column]) for r in references.values()]
         if not found:
@@ -185,14 +258,50 @@ def judged(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE,
 
     blank = F.get("classes", F.lit([k for k, _ in CLASSES].index("blank")))
     chars = F.col("_chars")
-    rows = rows.withColumn("_chars", F.col("word_chars") + blank).select(
+    return rows.withColumn("_chars", F.col("word_chars") + blank).select(
         "_rid", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
         nearest("classes", chars, chars >= MIN_CLASS_CHARS).alias("class_distance"),
-        nearest("common", F.col("n_words"), F.col("n_words") >= MIN_COMMON_WORDS).alias("word_distance"))
+        nearest("common", F.col("n_words"), F.col("n_words") >= MIN_COMMON_WORDS).alias("word_distance"), "lang", "common")
+
+
+def _near(max_class_distance: float, max_word_distance: float) -> Column:
     far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > max_class_distance) | (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word_distance)
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far)
+    return ~F.col("base_failed") & ~far
+
+
+def judged_by_distance(docs: DataFrame) -> DataFrame:
+    """As :func:`judged`, by the base rules and the two distances only (the verdict that op4's SQL defines)."""
+    rows = stored(features(docs), "features")
+    rows = _measured(rows, language_references(rows)).drop("lang", "common")
+    return rows.withColumn("kept", _near(MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE))
+
+
+def judged(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE,
+           max_word_distance: float = MAX_WORD_DISTANCE, max_shortfall: float = MAX_SHORTFALL) -> DataFrame:
+    """Base counts and verdict of every document.
+
+    Takes ``doc_id``, ``text`` and ``lang``; other columns are ignored. Returns one
+    row per input row: _rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, class_distance, word_distance, common_shortfall, kept.
+    The distances are those to the nearest language, null where the text is below the
+    length guard or no language has texts; the shortfall is the least of all
+    languages and has no guard. A null text has no words and fails the base
+    rules; ``lang`` only builds the references, so a null or unknown one is judged
+    like any other. Repeated rows are judged one by one. An empty table gives an
+    empty result.
+    """
+    rows = stored(features(docs), "features")
+    references = language_references(rows)
+    own = F.coalesce(*[F.when(F.col("lang") == k, _own_common(k)) for k in COMMON_WORDS])
+    shares = common_shares(rows.where(~base_failed() & F.col("lang").isin(list(references))).select(
+        "lang", "n_words", own.alias("_own"))) if references else {}
+    short = [shortfall(_own_common(k), *v) for k, v in shares.items()]
+    least = (F.least(*short) if len(short) > 1 else short[0]) if short else F.lit(None).cast("double")
+    rows = _measured(rows, references).withColumn("common_shortfall", least).drop("lang", "common")
+    enough = F.coalesce(F.col("common_shortfall"), F.lit(0.0)) <= max_shortfall
+    return rows.withColumn("kept", _near(max_class_distance, max_word_distance) & enough)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -145,7 +145,8 @@ FROM f"""
 
 @query("op4_quality_rules", _quality_sql())
 def quality_query(spark, sf_dir):
-    return quality.judged(table(spark, sf_dir, "documents")).select(
+    # the SQL has no common_shortfall: its verdict is that of the distances alone
+    return quality.judged_by_distance(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
 

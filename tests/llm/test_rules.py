@@ -63,6 +63,26 @@ def test_junk_goes_and_prose_stays(spark):
     assert {x.doc_id for x in quality.judged(df).where("kept").collect()} == set(range(40))
 
 
+@pytest.mark.parametrize("junk_share", [0.1, 0.4])
+def test_word_salad_of_any_length_goes(spark, junk_share):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("aeioulnrst") for _ in range(r.randint(3, 9)))
+    rows = []
+    for lang in ("en", "es"):
+        for n in (60, 100, 140, 160, 300, 2000):
+            for k in range(20):
+                if k < 20 * junk_share:  # no common word at all, between separators
+                    text = " | ".join(word() + "q" for _ in range(n // 2))
+                else:
+                    text = " ".join(r.choice(quality.COMMON_WORDS[lang]) if r.random() < 0.24 else word() + "q" for _ in range(n))
+                rows.append((len(rows), text, lang, k < 20 * junk_share))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, junk boolean")
+    kept = {x.doc_id for x in quality.judged(df).where("kept").collect()}
+    assert not kept & {i for i, _, _, junk in rows if junk}
+    clean = {i for i, _, _, junk in rows if not junk}
+    assert len(clean - kept) <= 0.01 * len(clean)
+
+
 def test_shards_are_even_and_gapless(spark, messy, nothing):
     r = random.Random(3)
     rows = [(i % 50 if i % 3 else 7, "é" * int(r.paretovariate(1))) for i in range(2000)]
