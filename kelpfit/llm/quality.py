@@ -10,6 +10,10 @@ common word is hardly farther away than a short clean one. How many of its words
 common is therefore judged by itself: against the median share of its language, in
 standard deviations of what a text of its length may have. That needs no length
 guard, and medians do not follow the junk among the texts.
+
+Languages without listed words get theirs from counts over all their texts, and
+their texts are compared with them as well. Where a language has too few texts
+for that, or a text has no language, distances decide nothing.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpfit.llm.common import BLANK, numbered, packed, stored, text_of, unpacked
@@ -52,6 +56,10 @@ SHARE_STEPS = 1000
 DEVIATION_STEPS = 20
 #: Rounds in which shares are taken anew from the texts that the last ones leave.
 SHARE_ROUNDS = 4
+#: Texts that pass the base rules from which on a language without listed words has references.
+MIN_REFERENCE_TEXTS = 30
+#: Common words of such a language, as many as are listed for the others.
+COUNTED_WORDS = 24
 #: Word positions take 24 bits of a packed integer; longer texts use pairs.
 PACKED_WORDS = 1 << 24
 
@@ -236,25 +244,81 @@ def _plogp(x: Column) -> Column:
     return F.when(x > 0, x * F.log2(x)).otherwise(0.0)
 
 
-def distance(counts: Column, total: Column, shares: Sequence[float]) -> Column:
+def distance(counts: Column, total: Column, shares: Sequence[float] | Column) -> Column:
     """Jensen-Shannon distance between a histogram of counts and a distribution; null if it is empty.
 
     ``total`` is the sum of the counts.
     """
-    entropy = sum(q * math.log2(q) for q in shares if q > 0)
-    terms = F.zip_with(counts, F.array(*[F.lit(float(q)) for q in shares]), lambda x, q: (
+    if isinstance(shares, Column):
+        entropy = F.aggregate(shares, F.lit(0.0), lambda a, q: a + _plogp(q))
+    else:
+        entropy = F.lit(sum(q * math.log2(q) for q in shares if q > 0))
+        shares = F.array(*[F.lit(float(q)) for q in shares])
+    terms = F.zip_with(counts, shares, lambda x, q: (
         _plogp(x / total) / 2 - _plogp((x / total + q) / 2)))
     spread = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) + entropy / 2
     return F.when(total > 0, F.sqrt(F.greatest(spread, F.lit(0.0))))
 
 
-def _measured(rows: DataFrame, references: dict) -> DataFrame:
-    """Base counts and distances of stored :func:`features`, which stay with them."""
+def counted_references(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Stored features with references of the languages that have no listed words, and these languages.
+
+    Adds ``own_common`` (counts of the language's own common words, then other words),
+    ``own_classes_q`` and ``own_common_q`` (its shares); null for other rows. Collects
+    a fixed number of rows per language.
+    """
+    other = rows.where(~base_failed() & ~F.col("lang").isin(list(COMMON_WORDS)))
+    counts = other.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_REFERENCE_TEXTS)
+    languages = sorted(r["lang"] for r in counts.collect())
+    if not languages:
+        return rows, []
+    texts = numbered(docs.select("doc_id", "text", "lang")).select(
+        "_rid", F.col("lang").cast("string").alias("lang"),
+        F.filter(F.split(text_of("text"), f"{BLANK}+"), lambda w: w != "").alias("_words"))
+    texts = texts.where(F.col("lang").isin(languages))
+    passed = texts.join(other.select("_rid"), "_rid", "left_semi")
+    # separators and figures are no words of a language
+    found = passed.select("lang", F.explode("_words").alias("word")).where(F.col("word").rlike(r"^[\p{L}\p{M}'’-]+$"))
+    found = found.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
+    words: dict[str, list[str]] = {}
+    for r in found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= COUNTED_WORDS).collect():
+        words.setdefault(r["lang"], []).append(r["word"])
+    words = {k: sorted(v) + [""] * (COUNTED_WORDS - len(v)) for k, v in words.items()}  # no word is empty
+    if not words:
+        return rows, []
+    spark = docs.sparkSession
+    listed = spark.createDataFrame(list(words.items()), "lang string, listed array<string>")
+    counted = F.transform("listed", lambda w: F.size(F.filter("_words", lambda x: x == w)).cast("long"))
+    own = texts.join(F.broadcast(listed), "lang").select("_rid", "_words", counted.alias("_counted")).select(
+        "_rid", F.concat("_counted", F.array(
+            F.size("_words") - F.aggregate("_counted", F.lit(0).cast("long"), lambda a, x: a + x))).alias("own_common"))
+    rows = stored(rows.join(own, "_rid", "left"), "features")
+    sums = [F.sum(F.get("own_common", F.lit(k))).alias(f"w{k}") for k in range(COUNTED_WORDS + 1)]
+    sums += [F.sum(F.get("classes", F.lit(k)).cast("long")).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
+    shares = []
+    for r in rows.where(~base_failed() & F.col("lang").isin(list(words))).groupBy("lang").agg(*sums).collect():
+        of = [[r[f"{c}{k}"] for k in range(n)] for c, n in (("c", len(CLASSES) + 1), ("w", COUNTED_WORDS + 1))]
+        shares.append((r["lang"], *[[x / sum(v) for x in v] for v in of]))
+    shares = spark.createDataFrame(shares, "lang string, own_classes_q array<double>, own_common_q array<double>")
+    return rows.join(F.broadcast(shares), "lang", "left"), sorted(words)
+
+
+def _measured(rows: DataFrame, references: dict, counted: Sequence[str]) -> DataFrame:
+    """Base counts and distances of stored :func:`features`, which stay with them.
+
+    ``counted`` are the languages of :func:`counted_references`.
+    """
+    known = F.col("lang").isin([*COMMON_WORDS, *counted])
+
     def nearest(column: str, total: Column, guard: Column) -> Column:
         found = [distance(F.col(column), total, r[column]) for r in references.values()]
+        if counted:
+            own = "own_common" if column == "common" else column
+            found.append(distance(F.col(own), total, F.col(f"own_{column}_q")))
         if not found:
             return F.lit(None).cast("double")
-        return F.when(guard, F.least(*found) if len(found) > 1 else found[0])
+        return F.when(guard & known, F.least(*found) if len(found) > 1 else found[0])
 
     blank = F.get("classes", F.lit([k for k, _ in CLASSES].index("blank")))
     chars = F.col("_chars")
@@ -262,7 +326,8 @@ def _measured(rows: DataFrame, references: dict) -> DataFrame:
         "_rid", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
         nearest("classes", chars, chars >= MIN_CLASS_CHARS).alias("class_distance"),
-        nearest("common", F.col("n_words"), F.col("n_words") >= MIN_COMMON_WORDS).alias("word_distance"), "lang", "common")
+        nearest("common", F.col("n_words"), F.col("n_words") >= MIN_COMMON_WORDS).alias("word_distance"),
+        "lang", "common", *(["own_common"] if counted else []))
 
 
 def _near(max_class_distance: float, max_word_distance: float) -> Column:
@@ -274,7 +339,9 @@ def _near(max_class_distance: float, max_word_distance: float) -> Column:
 def judged_by_distance(docs: DataFrame) -> DataFrame:
     """As :func:`judged`, by the base rules and the two distances only (the verdict that op4's SQL defines)."""
     rows = stored(features(docs), "features")
-    rows = _measured(rows, language_references(rows)).drop("lang", "common")
+    references = language_references(rows)
+    rows, counted = counted_references(docs, rows)
+    rows = _measured(rows, references, counted).drop("lang", "common", "own_common")
     return rows.withColumn("kept", _near(MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE))
 
 
@@ -285,21 +352,30 @@ def judged(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE,
     Takes ``doc_id``, ``text`` and ``lang``; other columns are ignored. Returns one
     row per input row: _rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, class_distance, word_distance, common_shortfall, kept.
-    The distances are those to the nearest language, null where the text is below the
-    length guard or no language has texts; the shortfall is the least of all
-    languages and has no guard. A null text has no words and fails the base
-    rules; ``lang`` only builds the references, so a null or unknown one is judged
-    like any other. Repeated rows are judged one by one. An empty table gives an
+    The distances are those to the nearest of the listed languages and the text's own,
+    null where the text is below the length guard or its language has no references
+    (a null one has none); the shortfall is the least of these languages and has no
+    length guard. What is null rejects no text. A null text has no words and fails
+    the base rules. Repeated rows are judged one by one. An empty table gives an
     empty result.
     """
     rows = stored(features(docs), "features")
     references = language_references(rows)
+    rows, counted = counted_references(docs, rows)
     own = F.coalesce(*[F.when(F.col("lang") == k, _own_common(k)) for k in COMMON_WORDS])
-    shares = common_shares(rows.where(~base_failed() & F.col("lang").isin(list(references))).select(
-        "lang", "n_words", own.alias("_own"))) if references else {}
-    short = [shortfall(_own_common(k), *v) for k, v in shares.items()]
+    if counted:
+        own = F.coalesce(own, F.col("n_words") - F.get("own_common", F.lit(COUNTED_WORDS)))
+    usable = [*references, *counted]
+    shares = common_shares(rows.where(~base_failed() & F.col("lang").isin(usable)).select(
+        "lang", "n_words", own.alias("_own"))) if usable else {}
+    short = [shortfall(_own_common(k), *v) for k, v in shares.items() if k in COMMON_WORDS]
+    theirs = {k: v for k, v in shares.items() if k not in COMMON_WORDS}
+    if theirs:
+        short.append(shortfall(own, *(_by_language({k: v[i] for k, v in theirs.items()}) for i in range(2))))
     least = (F.least(*short) if len(short) > 1 else short[0]) if short else F.lit(None).cast("double")
-    rows = _measured(rows, references).withColumn("common_shortfall", least).drop("lang", "common")
+    judgeable = F.col("lang").isin(list(shares)) if shares else F.lit(False)
+    rows = _measured(rows, references, counted).withColumn("common_shortfall", F.when(judgeable, least)).drop(
+        "lang", "common", "own_common")
     enough = F.coalesce(F.col("common_shortfall"), F.lit(0.0)) <= max_shortfall
     return rows.withColumn("kept", _near(max_class_distance, max_word_distance) & enough)
 

@@ -83,6 +83,26 @@ def test_word_salad_of_any_length_goes(spark, junk_share):
     assert len(clean - kept) <= 0.01 * len(clean)
 
 
+def test_languages_without_listed_words(spark):
+    r = random.Random(9)
+    common = {"ru": "и в не на что он с как это по но они мы из за то".split(),
+              "it": "il di che è per non sono gli nel della ma anche questo alla più dei".split()}
+    letters = {"ru": "аеиостнрвлк", "it": "aeiorntslc"}
+    word = lambda k: "".join(r.choice(letters[k]) for _ in range(r.randint(4, 9)))
+    prose = lambda k, n: " ".join(r.choice(common[k]) if r.random() < 0.3 else word(k) for _ in range(n))
+    rows = [(prose(k, n), k, True) for k in common for n in (70, 200, 400) for _ in range(15)]
+    rows += [(" | ".join(word(k) for _ in range(n)), k, False) for k in common for n in (70, 200) for _ in range(3)]
+    rows += [(prose("ru", 300), k, True) for k in ("bg", None)]  # too few texts, and no language
+    rows += [(" ".join(r.choice(quality.COMMON_WORDS["en"]) if r.random() < 0.3 else word("it") for _ in range(300)),
+              "en", True) for _ in range(20)]
+    df = spark.createDataFrame([(i, *x[:2]) for i, x in enumerate(rows)], "doc_id long, text string, lang string")
+    want = {i for i, x in enumerate(rows) if x[2]}
+    got = quality.judged(df).collect()
+    assert {x.doc_id for x in got if x.kept} == want
+    assert {x.doc_id for x in got if x.class_distance is None} == {i for i, x in enumerate(rows) if x[1] in ("bg", None)}
+    assert want <= {x.doc_id for x in quality.judged_by_distance(df).where("kept").collect()}
+
+
 def test_shards_are_even_and_gapless(spark, messy, nothing):
     r = random.Random(3)
     rows = [(i % 50 if i % 3 else 7, "é" * int(r.paretovariate(1))) for i in range(2000)]
