@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality, sharding
-from kelpfit.llm.common import hex_sha256
+from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, periodic, quality, sharding
+from kelpfit.llm.common import WORD, hex_sha256, text_of
 from kelpfit.plans.registry import sql_uniform
 from kelpfit.session import ship_package
 
@@ -239,3 +239,64 @@ def chat_query(spark, sf_dir):
 def packing_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return packing.packed_tokens(docs, tokenizer_file(), width=2048, end_id=50256, pad_id=50256)
+
+
+#: CRC-32 of the decimal doc_id, bit by bit.
+SQL_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+  string_split(doc_id::VARCHAR, ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384::BIGINT * (xor(c, x) & 1))), 4294967295::BIGINT)"""
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by checksum of its id, goes on from some word in circles."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    ws = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n = F.size("_ws").cast("long")
+    g = F.floor(h / 10)
+    turned = F.array_join(F.transform("_ws", lambda w, i: F.when(i < F.col("_a"), w).otherwise(
+        F.get("_ws", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int")))), " ")
+    docs = docs.select("doc_id", text_of("text").alias("text"))
+    chosen = docs.where(h % 10 == 0).withColumn("_ws", ws).withColumn("_a", F.when(n > 0, g % n)).withColumn(
+        "_p", 1 + F.floor((n - F.col("_a")) / (3 + g % 8))).select(
+        "doc_id", F.when(n > 0, turned).otherwise("").alias("text"))
+    return docs.where(h % 10 != 0).unionByName(chosen)
+
+
+@query("op13_periodic_runs", f"""
+WITH h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {SQL_CRC32} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS d, doc_id, n, CASE WHEN a IS NULL THEN w
+           ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM p),
+g AS MATERIALIZED (
+  SELECT d, i, array_to_string(w[i + 1:i + 16], ' ') AS gram, CASE WHEN i > 0 THEN w[i] END AS before
+  FROM (SELECT d, w, unnest(range(0, n - 15)) AS i FROM d)),
+m AS (SELECT x.d, x.i AS i, y.i - x.i AS q FROM g x JOIN g y ON x.d = y.d AND x.gram = y.gram AND x.i < y.i
+      WHERE x.i = 0 OR x.before <> y.before),
+l AS (SELECT m.d, i, q, coalesce(list_filter(range(0, n - i - q), lambda k: w[i + k + 1] <> w[i + q + k + 1])[1], n - i - q) + q
+             AS length FROM m JOIN d USING (d)),
+s AS (SELECT * FROM l WHERE length >= greatest(24, 3 * q)),
+r AS MATERIALIZED (
+  SELECT * FROM s WHERE NOT EXISTS (
+    SELECT 1 FROM s t WHERE t.d = s.d AND t.q < s.q AND t.i <= s.i AND t.i + t.length >= s.i + s.length)),
+b AS (SELECT d, count(*) AS n_runs, string_agg(i || ',' || length || ',' || q || chr(10), '' ORDER BY i, q) AS runs,
+             list(struct_pack(lo := i + q, hi := i + length)) AS gone FROM r GROUP BY d),
+t AS (SELECT x.* FROM r x WHERE NOT EXISTS (
+        SELECT 1 FROM r y WHERE y.d = x.d AND (y.length * x.q > x.length * y.q OR y.length * x.q = x.length * y.q
+          AND (y.i < x.i OR y.i = x.i AND y.q < x.q))))
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, t.i AS start, t.length, t.q AS period, 1000 * t.length // t.q AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(array_to_string(list_transform(list_filter(range(0, n), lambda k: gone IS NULL OR len(list_filter(
+         gone, lambda z: z.lo <= k AND k < z.hi)) = 0), lambda k: w[k + 1]), ' ')) AS collapsed_sha256
+FROM d LEFT JOIN b USING (d) LEFT JOIN t USING (d)
+""")
+def periodic_query(spark, sf_dir):
+    rows = periodic.collapsed_runs(_planted(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = periodic.highest_exponent("runs")
+    return rows.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(F.expr("1000 * _best.length div _best.period")).alias("exponent_milli"),
+        hex_sha256(F.array_join(line, "")).alias("runs_sha256"), hex_sha256(F.col("collapsed_text")).alias("collapsed_sha256"))
