@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.llm import bpe, chat, exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, periodic, quality, sharding
+from kelpfit.llm import (
+    bpe, chat, exact_dedup, hard_negatives, html_text, language_id, line_dedup, mixing, ngram_join, packing, periodic,
+    quality, sharding)
 from kelpfit.llm.common import WORD, hex_sha256, text_of
 from kelpfit.plans.registry import sql_uniform
 from kelpfit.session import ship_package
@@ -300,3 +302,39 @@ def periodic_query(spark, sf_dir):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
         F.floor(F.expr("1000 * _best.length div _best.period")).alias("exponent_milli"),
         hex_sha256(F.array_join(line, "")).alias("runs_sha256"), hex_sha256(F.col("collapsed_text")).alias("collapsed_sha256"))
+
+
+@query("op12_html_text", """
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS body FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(body, '</?(?:p|h1)>'), lambda x:
+        trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+          regexp_replace(x, '<br>', ' ', 'g'), '</?[a-z][^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'),
+          '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))) AS parts FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), ' ') AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c
+""")
+def html_query(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op11_hard_negatives", """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def hard_negative_query(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
