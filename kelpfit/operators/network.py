@@ -7,17 +7,22 @@ returns one row per candidate.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpfit.checks import is_array, require_choice, require_numeric, require_positive_int, usable_rows
-from kelpfit.functions.hashing import normal_draw
+from kelpfit.checks import (
+    is_array, require_choice, require_columns, require_numeric, require_positive_int, usable_rows,
+)
+from kelpfit.functions.hashing import key_text, normal_draw
 from kelpfit.operators.aggregates import more_than_two_values
+from kelpfit.operators.split import epoch_batches
 from kelpfit.session import held
 
 # weights that a task holds at once; more candidates take more passes
@@ -36,8 +41,13 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _softmax(x):
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
 ACTIVATIONS: dict[str, ArrayFunction] = {
-    "relu": _relu, "sigmoid": _sigmoid, "tanh": np.tanh, "identity": lambda x: x,
+    "relu": _relu, "sigmoid": _sigmoid, "tanh": np.tanh, "identity": lambda x: x, "softmax": _softmax,
 }
 
 
@@ -49,6 +59,15 @@ def cross_entropy(y, p, epsilon=0.0):
     return -(y * np.log(p + epsilon) + (1 - y) * np.log(1 - p + epsilon))
 
 
+def class_cross_entropy(y, p):
+    """For one output per class; ``y`` holds class numbers from 0."""
+    return -np.log(np.take_along_axis(p, y.astype(int)[:, None], axis=1)[:, 0])
+
+
+def class_accuracy(y, p):
+    return (y == p.argmax(axis=1)).astype(float)
+
+
 def accuracy(y, p):
     return (y == (p > 0.5)).astype(float)
 
@@ -164,11 +183,12 @@ def _input(df: DataFrame, features: str | Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
-def _examples(df: DataFrame, features: str | Sequence[str], label: str) -> DataFrame:
+def _examples(df: DataFrame, features: str | Sequence[str], label: str, keys: Sequence[str] = ()) -> DataFrame:
     require_numeric(df, [label])
     names = [features] if isinstance(features, str) else list(features)
     return usable_rows(df, [*names, label]).select(
-        _input(df, features).alias("x"), F.col(label).cast("double").alias("y"))
+        _input(df, features).alias("x"), F.col(label).cast("double").alias("y"),
+        *[key_text(list(keys)).alias("_key")] * bool(keys))
 
 
 @dataclass(frozen=True)
@@ -289,59 +309,143 @@ SLOPES: dict[str, ArrayFunction] = {
 }
 
 
-def _gradients(layers: Sequence[Layer], parameters: Parameters, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Summed gradients of the squared error, flattened in the order of the parameters."""
+def _last_delta(layer: Layer, loss: PairFunction, out: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope of the loss by the last layer's sums before activation."""
+    if loss is class_cross_entropy:
+        target = np.zeros_like(out)
+        target[np.arange(len(y)), y.astype(int)] = 1.0
+        return out - target
+    if loss is cross_entropy:
+        return out - y[:, None]
+    return 2 * (out - y[:, None]) * SLOPES[layer.activation_function](out)
+
+
+def _gradients(layers: Sequence[Layer], parameters: Parameters, loss: PairFunction, x: np.ndarray,
+               y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Summed gradients of the loss, flattened in the order of the parameters, and the summed loss."""
     outputs = [x]
     for layer, (w, b) in zip(layers, parameters):
         outputs.append(layer.apply(outputs[-1] @ w + b))
-    delta = 2 * (outputs[-1] - y[:, None]) * SLOPES[layers[-1].activation_function](outputs[-1])
-    parts = []
+    out = outputs[-1][:, 0] if outputs[-1].shape[1] == 1 else outputs[-1]
+    delta, parts = _last_delta(layers[-1], loss, outputs[-1], y), []
     for i in reversed(range(len(layers))):
         parts[:0] = [(outputs[i].T @ delta).ravel(), delta.sum(axis=0)]
         if i:
             delta = (delta @ parameters[i][0].T) * SLOPES[layers[i - 1].activation_function](outputs[i])
-    return np.concatenate(parts)
+    return np.concatenate(parts), float(loss(y, out).sum())
 
 
-def fit_gradient(df: DataFrame, features: str | Sequence[str], label: str, network: Network,
-                 epochs: int, learning_rate: float = 0.1) -> SearchResult:
-    """Full-batch gradient descent on the mean squared error, from the network's own parameters.
+def _mean_gradient(examples: DataFrame, network: Network) -> tuple[np.ndarray, float]:
+    """Mean gradient and mean loss: one row of sums per task, added up in a tree of two levels."""
+    layers, loss = network.layers, network.loss_function
+    sent = examples.sparkSession.sparkContext.broadcast(network.parameters)
+    schema = "n long, loss double, gradient array<double>"
+
+    def row(n: int, loss: float, gradient: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([n]), pa.array([loss]), pa.array([gradient], pa.list_(pa.float64()))],
+                               names=["n", "loss", "gradient"])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, lost, n = 0.0, 0.0, 0
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                part, part_loss = _gradients(layers, sent.value, loss, x, batch.column("y").to_numpy())
+                total, lost, n = total + part, lost + part_loss, n + batch.num_rows
+        if n:
+            yield row(n, lost, total)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, lost, n = 0.0, 0.0, 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                total, lost, n = total + np.array(r["gradient"]), lost + r["loss"], n + r["n"]
+        if n:
+            yield row(n, lost, total)
 
-    One job per epoch: tasks add up gradients over their Arrow batches, and the
-    sums come back as one row per parameter. The log has the loss before each step.
+    sums = examples.mapInArrow(scored, schema)
+    tasks = math.isqrt(examples.sparkSession.sparkContext.defaultParallelism)
+    if tasks > 1:
+        sums = sums.repartition(tasks).mapInArrow(added, schema)
+    rows = sums.collect()
+    if not rows:
+        raise ValueError("there are no rows to train on")
+    n = sum(r["n"] for r in rows)
+    return sum(np.array(r["gradient"]) for r in rows) / n, sum(r["loss"] for r in rows) / n
+
+
+@dataclass
+class AdaptiveSteps:
+    """Steps scaled by running first and second moments of the gradient, both corrected for their start."""
+
+    learning_rate: float = 0.001
+    first_decay: float = 0.9
+    second_decay: float = 0.999
+    epsilon: float = 1e-8
+
+    def start(self):
+        self._m, self._v, self._t = 0.0, 0.0, 0
+
+    def step(self, gradient: np.ndarray) -> np.ndarray:
+        self._t += 1
+        self._m = self.first_decay * self._m + (1 - self.first_decay) * gradient
+        self._v = self.second_decay * self._v + (1 - self.second_decay) * gradient ** 2
+        m, v = self._m / (1 - self.first_decay ** self._t), self._v / (1 - self.second_decay ** self._t)
+        return self.learning_rate * m / (np.sqrt(v) + self.epsilon)
+
+
+@dataclass
+class PlainSteps:
+    """Steps in proportion to the gradient."""
+
+    learning_rate: float = 0.1
+
+    def start(self):
+        pass
+
+    def step(self, gradient: np.ndarray) -> np.ndarray:
+        return self.learning_rate * gradient
+
+
+def fit_gradient(df: DataFrame, features: str | Sequence[str], label: str, network: Network,
+                 epochs: int, learning_rate: float = 0.1, steps: PlainSteps | AdaptiveSteps | None = None,
+                 batches: int = 0, key: str | Sequence[str] | None = None, seed: int = 0) -> SearchResult:
+    """Gradient training from the network's own parameters.
+
+    The loss is the network's: squared error, cross-entropy after one sigmoid, or
+    ``class_cross_entropy`` after a softmax. ``steps`` are plain ones with
+    ``learning_rate`` unless given. Every step is one job. With ``batches`` an epoch
+    takes one step per mini-batch, drawn by the unique ``key``. The log has the mean loss
+    before each epoch's steps.
     """
     require_positive_int("epochs", epochs)
-    if network.loss_function is not squared_error or any(
-            layer.activation_function not in SLOPES for layer in network.layers) or network.layers[-1].output_size != 1:
-        raise ValueError("gradients are known for named activations, one output and the squared error only")
-    current, log, layers = network, [], network.layers
-    with held(_examples(df, features, label)) as examples:
-        for epoch in range(1, epochs + 1):
-            sent = examples.sparkSession.sparkContext.broadcast(current.parameters)
-
-            def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                total, loss, n = None, 0.0, 0
-                for batch in batches:
-                    if len(batch):
-                        x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
-                        part = _gradients(layers, sent.value, x, y)
-                        total = part if total is None else total + part
-                        loss += squared_error(y, _forward(layers, sent.value, x)).sum()
-                        n += len(y)
-                if n:
-                    values = np.concatenate([[n, loss], total])
-                    yield pd.DataFrame({"place": np.arange(len(values)), "value": values})
-
-            sums = examples.mapInPandas(add_up, "place int, value double").groupBy("place").agg(
-                F.sum("value").alias("value")).orderBy("place").collect()
-            n, loss, *gradient = [r["value"] for r in sums]
-            moved, at = [], 0
-            for w, b in current.parameters:
-                step = np.array(gradient[at:at + w.size + b.size]) * (learning_rate / n)
-                moved.append((w - step[:w.size].reshape(w.shape), b - step[w.size:]))
-                at += w.size + b.size
-            log.append((epoch, loss / n))
-            current = current.with_parameters(moved)
+    last, hidden = network.layers[-1], network.layers[:-1]
+    ends = {squared_error: [a for a in SLOPES], cross_entropy: ["sigmoid"], class_cross_entropy: ["softmax"]}
+    if network.loss_function not in ends or last.activation_function not in ends[network.loss_function] or any(
+            layer.activation_function not in SLOPES for layer in hidden) or (
+                network.loss_function is not class_cross_entropy and last.output_size != 1):
+        raise ValueError("no gradients are known for this loss, last layer and these activations together")
+    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    if batches and not keys:
+        raise ValueError("mini-batches need a key column")
+    require_columns(df, keys)
+    steps = replace(steps) if steps else PlainSteps(learning_rate)
+    steps.start()
+    current, log = network, []
+    with held(_examples(df, features, label, keys)) as examples:
+        passes = epoch_batches(examples, "_key", seed, epochs, batches) if batches else (
+            (epoch, [examples]) for epoch in range(1, epochs + 1))
+        for epoch, tables in passes:
+            losses = []
+            for table in tables:
+                gradient, loss = _mean_gradient(table, current)
+                losses.append(loss)
+                step, moved, at = steps.step(gradient), [], 0
+                for w, b in current.parameters:
+                    moved.append((w - step[at:at + w.size].reshape(w.shape), b - step[at + w.size:at + w.size + b.size]))
+                    at += w.size + b.size
+                current = current.with_parameters(moved)
+            log.append((epoch, sum(losses) / len(losses)))
     return SearchResult(current, log, ())
 
 

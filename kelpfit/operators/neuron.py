@@ -16,8 +16,7 @@ from kelpfit.functions.activation import activate, derivative, linear
 from kelpfit.functions.hashing import normal_draw, uniform_draw
 from kelpfit.functions.loss import hit, row_loss
 from kelpfit.operators.aggregates import more_than_two_values
-from kelpfit.operators.ranking import row_order
-from kelpfit.operators.split import batch_cutoffs
+from kelpfit.operators.split import epoch_batches
 from kelpfit.session import held
 
 PROBLEMS = ("classification", "regression")
@@ -118,9 +117,11 @@ class Neuron:
                rates: Sequence[float]) -> list["NeuronModel"]:
         """One model per learning rate, trained side by side: every step is one job for all of them."""
         models, histories = [start] * len(rates), [[] for _ in rates]
-        for epoch in range(1, self.epochs + 1):
+        epochs = epoch_batches(rows, keys, self.random_state, self.epochs, self.batches) if self.batches else (
+            (epoch, [rows]) for epoch in range(1, self.epochs + 1))
+        for epoch, batches in epochs:
             losses = [[] for _ in rates]
-            for batch in self._batches(rows, keys, epoch):
+            for batch in batches:
                 models, values = _step(models, batch, rates, self.gradient)
                 for own, value in zip(losses, values):
                     own.append(value)
@@ -128,16 +129,6 @@ class Neuron:
                 history.append((epoch, sum(own) / len(own)))
         return [replace(m, history=h) for m, h in zip(models, histories)]
 
-    def _batches(self, rows: DataFrame, keys: list[str], epoch: int) -> list[DataFrame]:
-        if not self.batches:
-            return [rows]
-        h = row_order(f"{self.random_state}:{epoch}", keys)
-        start, out = "", []
-        for end in batch_cutoffs(rows, keys, self.random_state, epoch, self.batches):
-            out.append(rows.where((h > start) & (h <= end)))
-            start = end
-        return out
-
 
 @dataclass(frozen=True)
 class NeuronModel:

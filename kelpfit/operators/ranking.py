@@ -25,16 +25,16 @@ def row_order(seed: object, key: str | Sequence[str], shuffle: int = 0) -> Colum
 
 
 def rank_cutoffs(
-    df: DataFrame, order: Column, ranks: Sequence[int] | Callable[[int], Sequence[int]]
+    df: DataFrame, order: Column, ranks: Sequence[int] | Callable[[int], Sequence[int]], digits: int = PREFIX_DIGITS
 ) -> tuple[int, list[str]]:
     """Row count and, for every rank ``r``, the hash of the r-th row in order.
 
-    ``ranks`` may be a function of the row count. Every pass collects at most
-    4,096 prefix counts per boundary; only the rows that share a boundary's
+    ``ranks`` may be a function of the row count. The first pass collects a count per
+    prefix of ``digits`` digits, every further one at most 4,096 per boundary; only the rows that share a boundary's
     prefix are ever ranked.
     """
     hashed = df.select(order.alias("h"))
-    counts = _prefix_counts(hashed, PREFIX_DIGITS)
+    counts = _prefix_counts(hashed, digits)
     n = sum(counts.values())
     wanted = list(ranks(n) if callable(ranks) else ranks)
     if any(r < 0 or r > n for r in wanted):
@@ -43,8 +43,7 @@ def rank_cutoffs(
 
     # rank -> (prefix, rank inside the prefix, rows in the prefix)
     place = dict(zip(inner, _locate(counts, inner)))
-    digits = PREFIX_DIGITS
-    while any(rows > BUCKET_ROWS for _, _, rows in place.values()) and digits < 32:
+    while any(rows > BUCKET_ROWS for _, _, rows in place.values()) and digits < 36:
         wide = {p for p, _, rows in place.values() if rows > BUCKET_ROWS}
         finer = _prefix_counts(
             hashed.where(F.substring("h", 1, digits).isin(sorted(wide))), digits + PREFIX_DIGITS

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.checks import require_columns
-from kelpfit.operators.ranking import rank_cutoffs, row_order, with_position
+from kelpfit.operators.ranking import ALL_BELOW, PREFIX_DIGITS, rank_cutoffs, row_order, with_position
+from kelpfit.session import dealt
+
+#: Epochs whose batch cuts are looked for together, with one hash per row and epoch.
+EPOCHS_CUT = 8
 
 Size = float | int | None
 
@@ -187,12 +191,52 @@ def batch_cutoffs(df: DataFrame, key: str | Sequence[str], seed: int, epoch: int
     return rank_cutoffs(df, row_order(f"{seed}:{epoch}", key), ranks)[1]
 
 
+def epoch_cutoffs(df: DataFrame, key: str | Sequence[str], seed: int, epochs: Sequence[int],
+                  batches: int = 10) -> dict[int, list[str]]:
+    """:func:`batch_cutoffs` of several epochs, from the same passes over the table."""
+    tags = {epoch: f"{i:02x}" for i, epoch in enumerate(epochs)}
+    if len(tags) > 256:
+        raise ValueError("256 epochs at most")
+    tagged = df.select(F.explode(F.array(*[
+        F.concat(F.lit(tag), row_order(f"{seed}:{epoch}", key)) for epoch, tag in tags.items()])).alias("_order"))
+    ends: list[int] = []
+
+    def ranks(total: int) -> list[int]:
+        n = total // len(tags)
+        size = max(1, n // batches)
+        ends.extend(min(end, n) for end in range(size, n + size, size))
+        return [i * n + end for i in range(len(tags)) for end in ends]
+
+    found = rank_cutoffs(tagged, F.col("_order"), ranks, PREFIX_DIGITS + 2)[1]
+    cut = {epoch: [h[2:] for h in found[i * len(ends):(i + 1) * len(ends)]] for i, epoch in enumerate(tags)}
+    return {epoch: [*own[:-1], ALL_BELOW] if own else [] for epoch, own in cut.items()}
+
+
 def with_batches(df: DataFrame, key: str | Sequence[str], seed: int, epoch: int,
                  batches: int = 10, name: str = "batch") -> DataFrame:
     """Add the 0-based mini-batch number of every row."""
-    ends = batch_cutoffs(df, key, seed, epoch, batches)
+    return numbered_batches(df, key, seed, epoch, batch_cutoffs(df, key, seed, epoch, batches), name)
+
+
+def numbered_batches(df: DataFrame, key: str | Sequence[str], seed: int, epoch: int, ends: Sequence[str],
+                     name: str = "batch") -> DataFrame:
+    """Add the 0-based mini-batch number of every row, from the hashes that end the batches."""
     h = row_order(f"{seed}:{epoch}", key)
     number = F.lit(0)
     for end in ends[:-1]:
         number = number + (h > end).cast("int")
     return df.withColumn(name, number)
+
+
+def epoch_batches(df: DataFrame, key: str | Sequence[str], seed: int, epochs: int,
+                  batches: int = 10) -> Iterator[tuple[int, Iterator[DataFrame]]]:
+    """Epochs, from 1, and their mini-batches as tables; use the batches of one before asking for the next.
+
+    The cuts of several epochs are found together. An epoch then reads the table once, to
+    write it with a folder per batch, and every batch reads its own folder.
+    """
+    for first in range(1, epochs + 1, EPOCHS_CUT):
+        some = range(first, min(epochs + 1, first + EPOCHS_CUT))
+        for epoch, ends in epoch_cutoffs(df, key, seed, some, batches).items():
+            with dealt(numbered_batches(df, key, seed, epoch, ends, "_batch"), "_batch") as table:
+                yield epoch, (table.where(F.col("_batch") == i).drop("_batch") for i in range(len(ends)))

@@ -3,8 +3,13 @@
 A level costs two passes over the rows, whatever their number and that of the
 nodes. The first counts every node's rows per category and per coarse value
 range; the second looks at single values, but only inside ranges that can still
-hold a better threshold than the best one already known. Passes combine on the map
-side, and no window holds more than one slice of a node's values.
+hold a better threshold than the best one already known. Tasks route rows through a
+flat tree and count them in Arrow batches (``tree_batches``); counts are combined
+before the shuffle, and no window holds more than one slice of a node's values.
+
+Classes are rows, not columns: a split needs the two sides' sums of squared class
+counts, and both follow from sums over the classes that occur (n for the left side, its
+products with the node's own counts for the right one). So their number is not bounded.
 
 Regression sums are centred on the mean of the node they belong to, and candidates
 of a node are ranked by their share of that node's own squares, so a split far up
@@ -16,26 +21,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
-from kelpfit.operators.aggregates import gini, squared_residuals, weighted_gini
+from kelpfit.operators.aggregates import squared_residuals
+from kelpfit.operators.tree_batches import Counter, FlatTree
 from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
 RANGES = 128
 DIGITS = 10
-MAX_CLASSES = 1000
-MAX_BROADCAST_RANGES = 500_000
 
 
 @dataclass(frozen=True)
 class Node:
-    """One node. ``path`` spells the way from the root in L and R steps."""
+    """One node. ``path`` spells the way from the root in L and R steps.
+
+    ``stats`` are rows and the sum of squared class counts, or rows, sum and squares.
+    """
 
     path: str
     n: int
@@ -92,8 +102,8 @@ class _Grower:
             kinds, cuts = self._profile(rows, kinds)
             job = _Fit(self, rows, features, kinds, cuts, measure, stats)
             nodes = job.grow()
-        return TreeModel(tuple(features), label, nodes, self.positive, self.negative,
-                         self._prediction_type(df, label), tuple(str(c) for c in job.classes))
+        return TreeModel(tuple(features), label, nodes, kinds, self.positive, self.negative,
+                         self._prediction_type(df, label), job.class_counts)
 
     def candidate_splits(self, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
         """Every split of the whole table with its score, one row each.
@@ -137,13 +147,11 @@ class DecisionTree(_Grower):
         return df.schema[label].dataType
 
     def _measures(self, rows: DataFrame):
-        found = rows.groupBy("_y").count().orderBy("_y").limit(MAX_CLASSES + 1).collect()
-        if len(found) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
-        if not found:
+        n, squares = rows.groupBy("_y").count().agg(
+            F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count"))).first()
+        if not n:
             raise ValueError("there are no rows to grow a tree from")
-        classes = [r["_y"] for r in found]
-        return GiniMeasure(classes), tuple(r["count"] for r in found)
+        return GiniMeasure(rows.schema["_y"].dataType), (n, squares)
 
 
 @dataclass(frozen=True)
@@ -165,43 +173,60 @@ class RegressionTree(_Grower):
         return SquaresMeasure(r[1]), (r[0], 0.0, r[2] * r[0])
 
 
+def _share(squares: Column, n: Column) -> Column:
+    return F.when(n > 0, squares / n).otherwise(0.0)
+
+
 class GiniMeasure:
-    """Class counts, one per class; thresholds are midpoints and belong to the left."""
+    """Rows, squared class counts, and products of class counts with those of the whole node.
+
+    Thresholds are midpoints and belong to the left.
+    """
 
     inclusive = True
+    by_class = True
+    names = ("n", "s", "t")
+
+    def __init__(self, class_type: T.DataType):
+        self.class_type = class_type
+
+    def added(self, df: DataFrame, keys: Sequence[str], classes: DataFrame, *more: Column) -> DataFrame:
+        """Statistics by ``keys`` from counts by class, which come on top of ``_before`` where it is there."""
+        n = F.col("n").cast("double")
+        before = F.col("_before").cast("double") if "_before" in df.columns else F.lit(0.0)
+        return df.join(classes, ["node", "cls"]).groupBy(*keys).agg(
+            F.sum("n").alias("n"), F.sum(n * n + 2 * before * n).alias("s"), F.sum(n * F.col("of_node")).alias("t"), *more)
+
+    def totals(self, classes: DataFrame) -> DataFrame:
+        n = F.col("of_node")
+        return classes.groupBy("node").agg(
+            F.sum(n).cast("long").alias("t_n"), F.sum(n * n).alias("t_s"), F.sum(n * n).alias("t_t"))
 
-    def __init__(self, classes: list):
-        self.classes = classes
-        self.names = [f"s{i}" for i in range(len(classes))]
+    def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
+        (n, s, t), (all_n, all_s, _) = left, total
+        return [all_n - n, all_s - 2 * t + s, all_s - t]
 
-    def aggregates(self) -> list[Column]:
-        return [F.count(F.when(F.col("y") == F.lit(c), 1)).alias(n)
-                for c, n in zip(self.classes, self.names)]
+    def score(self, left: Sequence[Column], right: Sequence[Column], total: Sequence[Column]) -> Column:
+        return 1 - (_share(left[1], left[0]) + _share(right[1], right[0])) / total[0]
 
-    def score(self, left: Sequence[Column], right: Sequence[Column]) -> Column:
-        return weighted_gini(left, right)
+    def outside(self, left: Sequence[Column], right: Sequence[Column], total: Sequence[Column]) -> Column:
+        """What two parts of a node alone add to the score."""
+        return (left[0] - _share(left[1], left[0]) + right[0] - _share(right[1], right[0])) / total[0]
 
     def own(self, total: Sequence[Column]) -> Column:
-        return gini(total)
+        return 1 - _share(total[1], total[0]) / total[0]
 
     def rank(self, score: Column, own: Column) -> Column:
         return F.round(score, DIGITS)
 
-    def size(self, stats):
-        return sum(stats[1:], stats[0])
-
     def node(self, path: str, stats: tuple, parent: Node | None) -> Node:
-        n = sum(stats)
-        impurity = 1.0 - sum(c * c for c in stats) / (n * n) if n else 0.0
-        most = self.classes[max(range(len(stats)), key=lambda i: (stats[i], -i))]
-        return Node(path, n, tuple(stats), most, impurity)
+        """A node whose most frequent class is found at the end."""
+        n, squares = stats[:2]
+        return Node(path, int(n), (int(n), squares), None, 1.0 - squares / n / n)
 
     def centre(self, node: Node) -> float:
         return 0.0
 
-    def centred(self, y: Column, centre: Column) -> Column:
-        return y
-
 
 class SquaresMeasure:
     """Count, sum and sum of squares of the target, centred on the node's mean.
@@ -210,28 +235,30 @@ class SquaresMeasure:
     """
 
     inclusive = False
+    by_class = False
+    class_type = None
+    names = ("n", "s1", "s2")
 
     def __init__(self, mean: float):
-        self.classes = []
         self.mean = mean
-        self.names = ["s0", "s1", "s2"]
 
-    def aggregates(self) -> list[Column]:
-        y = F.col("y")
-        return [F.count(y).alias("s0"), F.sum(y).alias("s1"), F.sum(y * y).alias("s2")]
+    def added(self, df: DataFrame, keys: Sequence[str], classes: DataFrame | None, *more: Column) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.names], *more)
+
+    def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
+        return [t - x for t, x in zip(total, left)]
 
-    def score(self, left: Sequence[Column], right: Sequence[Column]) -> Column:
+    def score(self, left: Sequence[Column], right: Sequence[Column], total: Sequence[Column]) -> Column:
         return squared_residuals(*left) + squared_residuals(*right)
 
+    outside = score
+
     def own(self, total: Sequence[Column]) -> Column:
         return squared_residuals(*total)
 
     def rank(self, score: Column, own: Column) -> Column:
         return F.when(own > 0, F.round(score / own, DIGITS)).otherwise(0.0)
 
-    def size(self, stats):
-        return stats[0]
-
     def node(self, path: str, stats: tuple, parent: Node | None) -> Node:
         """A node from sums about its parent's mean; its own squares are measured again later."""
         n, total, squares = stats
@@ -242,32 +269,21 @@ class SquaresMeasure:
     def centre(self, node: Node) -> float:
         return node.prediction
 
-    def centred(self, y: Column, centre: Column) -> Column:
-        return y - centre
-
 
 class _Fit:
-    """One growing run: routes rows to the frontier and asks for its best splits."""
+    """One growing run: counts the rows of the frontier and asks for its best splits."""
 
     def __init__(self, settings, rows, features, kinds, cuts, measure, root_stats):
         self.settings, self.rows, self.features, self.kinds = settings, rows, features, kinds
-        self.measure, self.classes = measure, measure.classes
+        self.measure, self.class_counts = measure, None
+        self.edges = {c: np.array(v, float) for c, v in cuts.items()}
         self.max_depth = settings.max_depth or len(features)
-        self.continuous = [c for c in features if kinds[c] == "continuous"]
         self.nodes = {}
         self.nodes[""] = self._node("", root_stats)
-        if self.continuous:
-            self.rows = self._with_ranges(rows, cuts)
 
     def _node(self, path: str, stats: tuple) -> Node:
         return self.measure.node(path, tuple(stats), self.nodes[path[:-1]] if path else None)
 
-    def _with_ranges(self, rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-        """Add each continuous value's coarse range number, about equally filled."""
-        splits = [[float("-inf"), *(cuts[c] or [0.0]), float("inf")] for c in self.continuous]
-        names = [f"_r{i}" for i in range(len(self.continuous))]
-        return Bucketizer(splitsArray=splits, inputCols=self.continuous, outputCols=names).transform(rows)
-
     def grow(self) -> list[Node]:
         frontier = [""]
         while frontier:
@@ -278,30 +294,31 @@ class _Fit:
             frontier = []
             for path in ready:
                 frontier += self._split(path, best.get(path))
-        if isinstance(self.measure, SquaresMeasure):
+        if self.measure.by_class:
+            self._count_classes()
+        else:
             self._measure_leaves()
         return sorted(self.nodes.values(), key=lambda node: node.path)
 
     def candidates(self) -> DataFrame:
         """All splits of the root."""
-        keys, found = ["node", "f"], []
-        values = written(self._long_rows([""], self.features).groupBy(*keys, "x", "category").agg(
-            *self.measure.aggregates()).repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
-        whole = F.broadcast(self._totals(values))
-        of_kind = lambda kind: [i for i, c in enumerate(self.features) if self.kinds[c] == kind]
-        found.append(self._one_against_rest(values.where(F.col("f").isin(of_kind("categorical"))).join(whole, "node")))
-        found.append(self._positive_against_negative(values.where(F.col("f").isin(of_kind("binary")))))
-        sums = _running(values.where("x is not null"), keys, "part", "x", self.measure.names).join(whole, "node")
-        left = self._stats("run_")
-        right = [t - x for t, x in zip(self._stats("t_"), left)]
-        found.append(self._candidates(
-            sums.where(F.col("next_x").isNotNull()), left, right, self._cut(F.col("x"), F.col("next_x")), F.lit(None)))
+        counter = self._counter([""])
+        coarse = written(self._coarse(counter))
+        classes, totals = self._whole(coarse)
+        found = self._without_values(coarse, classes, totals, self.features)
+        numbers = [c for c in self.features if self.kinds[c] == "continuous"]
+        if numbers:
+            starts, cuts = self._range_sums(coarse, classes, totals)
+            wanted = np.ones((1, len(self.features), self.settings.ranges + 1), bool)
+            found.append(self._between_ranges(cuts))
+            found.append(self._between_values(counter, wanted, starts, classes, cuts))
+        out = found[0]
+        for one in found[1:]:
+            out = out.unionByName(one)
         name = F.element_at(F.array(*[F.lit(c) for c in self.features]), F.col("best.f") + 1)
-        out = found[0].unionByName(found[1]).unionByName(found[2])
-        size = lambda side: self.measure.size([F.col(f"best.{side}")[i] for i in range(len(self.measure.names))])
         return out.select(
             name.alias("feature"), "best.threshold", "best.value", "best.score", "best.own",
-            size("left").cast("long").alias("n_left"), size("right").cast("long").alias("n_right"))
+            F.col("best.left")[0].cast("long").alias("n_left"), F.col("best.right")[0].cast("long").alias("n_right"))
 
     def _may_split(self, path: str) -> bool:
         node = self.nodes[path]
@@ -328,7 +345,7 @@ class _Fit:
         children = []
         for step, side in (("L", "left"), ("R", "right")):
             stats = tuple(found[side])
-            if self.measure.size(stats) > 0:
+            if stats[0] > 0:
                 self.nodes[path + step] = self._node(path + step, stats)
                 children.append(path + step)
         return children
@@ -339,206 +356,203 @@ class _Fit:
         used = {self.nodes[path[:i]].feature for i in range(len(path))}
         return [c for c in self.features if c not in used]
 
-    def _placed(self, wanted: list[str]) -> DataFrame:
-        """Rows of some nodes, with the node's number and the target centred for it."""
-        number = {p: i for i, p in enumerate(wanted)}
-
-        def answer(node: Node) -> Column:
-            if node.path not in number:
-                return F.lit(None).cast("struct<node:int,centre:double>")
-            return F.struct(F.lit(number[node.path]).alias("node"),
-                            F.lit(float(self.measure.centre(node))).alias("centre"))
-
-        route = _route(self.nodes, answer, self.settings.positive, self.settings.negative)
-        return (
-            self.rows.withColumn("_at", route).where(F.col("_at").isNotNull())
-            .withColumns({"node": F.col("_at.node"),
-                          "y": self.measure.centred(F.col("_y"), F.col("_at.centre"))})
-        )
+    # ---- passes over the rows ---------------------------------------------------
+
+    def _counter(self, wanted: list[str]) -> Counter:
+        """Counts the rows whose walk ends in one of some nodes, numbered by their place in the list."""
+        nodes = list(self.nodes.values())
+        tree = FlatTree.of(nodes, self.features, self.kinds, self.settings.positive, self.settings.negative)
+        number = {path: i for i, path in enumerate(wanted)}
+        place = np.array([number.get(node.path, -1) for node in nodes], np.int32)
+        offered = np.zeros((len(wanted), len(self.features)), bool)
+        for i, path in enumerate(wanted):
+            offered[i, [self.features.index(c) for c in self._open_features(path)]] = True
+        centre = np.array([self.measure.centre(self.nodes[p]) for p in wanted], float)
+        kind = to_arrow_type(self.measure.class_type) if self.measure.by_class else None
+        return Counter(tree, place, centre, offered, self.edges, self.measure.by_class, kind)
+
+    def _counted(self, counter: Counter, run) -> DataFrame:
+        mine = f"cls {self.measure.class_type.simpleString()}, n long" if self.measure.by_class else (
+            "n long, s1 double, s2 double")
+        return self.rows.mapInArrow(
+            run, f"node int, f int, range int, category string, x double, {mine}, low double, high double")
+
+    def _raw(self) -> list[str]:
+        """Columns that add up."""
+        return ["n"] if self.measure.by_class else list(self.measure.names)
+
+    def _cls(self) -> list[str]:
+        return ["cls"] if self.measure.by_class else []
+
+    def _coarse(self, counter: Counter) -> DataFrame:
+        return self._counted(counter, counter.coarse).groupBy("node", "f", "range", "category", *self._cls()).agg(
+            *[F.sum(c).alias(c) for c in self._raw()], F.min("low").alias("low"), F.max("high").alias("high"))
+
+    def _whole(self, coarse: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """Class counts of whole nodes, and their statistics: one row per frontier node."""
+        rows = coarse.where("f = -1")
+        if self.measure.by_class:
+            classes = rows.select("node", "cls", F.col("n").cast("double").alias("of_node"))
+            return classes, F.broadcast(self.measure.totals(classes))
+        return None, F.broadcast(rows.select("node", *[F.col(c).alias(f"t_{c}") for c in self.measure.names]))
 
     def _measure_leaves(self) -> None:
         """Squares of the leaves about their own means, in one pass."""
         leaves = [p for p, node in self.nodes.items() if node.feature is None]
-        rows = self._placed(leaves).groupBy("node").agg(*self.measure.aggregates()).collect()
-        for r in rows:
-            squares = max(0.0, r["s2"] - r["s1"] * r["s1"] / r["s0"])
+        counter = replace(self._counter(leaves), offered=np.zeros((len(leaves), len(self.features)), bool))
+        for r in self._coarse(counter).collect():
+            squares = max(0.0, r["s2"] - r["s1"] * r["s1"] / r["n"])
             self.nodes[leaves[r["node"]]] = replace(self.nodes[leaves[r["node"]]], impurity=squares)
 
-    # ---- statistics of one level ------------------------------------------------
-
-    def _long_rows(self, frontier: list[str], features: list[str]) -> DataFrame:
-        """One row per frontier row and feature still open to its node."""
-        number = {p: i for i, p in enumerate(frontier)}
-        offers, closed = [], F.lit(False)
-        for c in features:
-            f = self.features.index(c)
-            numeric = self.kinds[c] == "continuous"
-            offers += [
-                F.lit(f),
-                F.col(f"_r{self.continuous.index(c)}").cast("int") if numeric else F.lit(None).cast("int"),
-                F.col(c) if numeric else F.lit(None).cast("double"),
-                F.lit(None).cast("string") if numeric else F.col(c),
-            ]
-            used = [number[p] for p in frontier if c not in self._open_features(p)]
-            if used:
-                closed = closed | ((F.col("f") == f) & F.col("node").isin(used))
-        return (
-            self._placed(frontier)
-            .select("node", "y",
-                    F.stack(F.lit(len(features)), *offers).alias("f", "range", "x", "category"))
-            .where(~closed)
-        )
+    def _count_classes(self) -> None:
+        """Class counts of all nodes in one pass; the most frequent class is the answer, the first of equals."""
+        paths = list(self.nodes)
+        counter = replace(self._counter(paths), offered=np.zeros((len(paths), len(self.features)), bool))
+        above = [(i, paths[i][:k]) for i in range(len(paths)) for k in range(len(paths[i]) + 1)]
+        spark = self.rows.sparkSession
+        above = spark.createDataFrame(above, "node int, path string")  # each node and those above it
+        self.class_counts = written(self._coarse(counter).join(F.broadcast(above), "node").groupBy("path", "cls").agg(
+            F.sum("n").alias("n")))
+        found = self.class_counts.groupBy("path").agg(F.min(F.struct(-F.col("n"), F.col("cls"))).alias("m"))
+        for r in found.select("path", "m.cls").collect():
+            self.nodes[r["path"]] = replace(self.nodes[r["path"]], prediction=r["cls"])
 
-    def _totals(self, coarse: DataFrame) -> DataFrame:
-        """Statistics of whole nodes: every open feature sees all rows of its node, so one will do."""
-        names = self.measure.names
-        by_feature = coarse.groupBy("node", "f").agg(*[F.sum(n).alias(n) for n in names])
-        one = by_feature.groupBy("node").agg(F.min_by(F.struct(*names), "f").alias("t"))
-        return one.select("node", *[F.col(f"t.{n}").alias(f"t_{n}") for n in names])
+    # ---- statistics of one level ------------------------------------------------
 
     def _stats(self, prefix: str = "") -> list[Column]:
         return [F.col(prefix + n) for n in self.measure.names]
 
-    def _candidates(self, df: DataFrame, left: list[Column], right: list[Column],
-                    threshold: Column, value: Column) -> DataFrame:
-        score = self.measure.score(left, right)
-        own = self.measure.own([a + b for a, b in zip(left, right)])
+    def _candidates(self, df: DataFrame, left: list[Column], threshold: Column, value: Column,
+                    right: list[Column] | None = None) -> DataFrame:
+        total = self._stats("t_")
+        right = right or self.measure.right(left, total)
+        score, own = self.measure.score(left, right, total), self.measure.own(total)
+        numbers = lambda side: F.array(*[c.cast("double") for c in side])
         # ties are judged on rounded scores, as sums in another order differ in the last digits
         return df.select(
             "node",
             F.struct(self.measure.rank(score, own).alias("rank"), F.col("f"),
                      threshold.cast("double").alias("threshold"), value.cast("string").alias("value"),
-                     score.alias("score"), F.array(*left).alias("left"), F.array(*right).alias("right"),
+                     score.alias("score"), numbers(left).alias("left"), numbers(right).alias("right"),
                      own.alias("own"), self.measure.rank(own, own).alias("own_rank")).alias("best"))
 
     def _best_splits(self, frontier: list[str]) -> dict:
         offered = [c for c in self.features if any(c in self._open_features(p) for p in frontier)]
         if not offered:
             return {}
-        coarse = self._long_rows(frontier, offered).groupBy("node", "f", "range", "category").agg(
-            *self.measure.aggregates(), F.min("x").alias("low"), F.max("x").alias("high"))
-        coarse = coarse.persist(StorageLevel.MEMORY_AND_DISK)
+        counter = self._counter(frontier)
+        coarse = self._coarse(counter).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._search(frontier, offered, coarse)
+            classes, totals = self._whole(coarse)
+            known = self._without_values(coarse, classes, totals, offered)
+            numbers = any(self.kinds[c] == "continuous" for c in offered)
+            if numbers:
+                starts, cuts = self._range_sums(coarse, classes, totals)
+                known.append(self._between_ranges(cuts))
+            best = _lowest(known)
+            if numbers:
+                best = _merge(best, self._inside_ranges(frontier, counter, starts, classes, cuts, best))
+            return {frontier[i]: row for i, row in best.items()}
         finally:
             coarse.unpersist()
 
-    def _search(self, frontier, offered, coarse) -> dict:
-        known = []
-        # one small row per frontier node
-        whole = F.broadcast(self._totals(coarse))
-        texts = [self.features.index(c) for c in offered if self.kinds[c] == "categorical"]
-        pairs = [self.features.index(c) for c in offered if self.kinds[c] == "binary"]
-        numbers = [c for c in offered if self.kinds[c] == "continuous"]
-        if texts:
-            known.append(self._one_against_rest(coarse.where(F.col("f").isin(texts)).join(whole, "node")))
-        if pairs:
-            known.append(self._positive_against_negative(coarse.where(F.col("f").isin(pairs))))
-        cuts = None
-        if numbers:
-            cuts = self._range_sums(coarse.where(F.col("low").isNotNull()).join(whole, "node"))
-            known.append(self._between_ranges(cuts))
-        best = _lowest(known)
-        if numbers:
-            best = _merge(best, self._inside_ranges(frontier, numbers, cuts, best))
-        return {frontier[i]: row for i, row in best.items()}
+    def _without_values(self, coarse, classes, totals, offered) -> list[DataFrame]:
+        """Candidates of the features that are not numbers."""
+        of_kind = lambda kind: [self.features.index(c) for c in offered if self.kinds[c] == kind]
+        out = []
+        for kind, build in (("categorical", self._one_against_rest), ("binary", self._positive_against_negative)):
+            if of_kind(kind):
+                rows = self.measure.added(coarse.where(F.col("f").isin(of_kind(kind))), ["node", "f", "category"], classes)
+                out.append(build(rows.join(totals, "node")))
+        return out
 
     def _one_against_rest(self, df: DataFrame) -> DataFrame:
-        left = self._stats()
-        right = [t - s for t, s in zip(self._stats("t_"), left)]
-        rest = df.where(self.measure.size(right) > 0)
-        return self._candidates(rest, left, right, F.lit(None), F.col("category"))
+        rest = df.where(F.col("t_n") > F.col("n"))
+        return self._candidates(rest, self._stats(), F.lit(None), F.col("category"))
 
     def _positive_against_negative(self, df: DataFrame) -> DataFrame:
         s = self.settings
         sides = df.groupBy("node", "f").agg(*[
             F.coalesce(F.sum(F.when(F.col("category") == v, F.col(n))), F.lit(0)).alias(f"{side}_{n}")
             for side, v in (("l", s.positive), ("r", s.negative)) for n in self.measure.names
-        ])
-        left, right = self._stats("l_"), self._stats("r_")
-        return self._candidates(sides, left, right, F.lit(None), F.lit(s.positive))
-
-    def _range_sums(self, df: DataFrame) -> DataFrame:
-        """Statistics of what lies before each range."""
-        w = Window.partitionBy("node", "f").orderBy("low")
+        ], *[F.first(f"t_{n}").alias(f"t_{n}") for n in self.measure.names])
+        return self._candidates(sides, self._stats("l_"), F.lit(None), F.lit(s.positive), self._stats("r_"))
+
+    def _range_sums(self, coarse, classes, totals) -> tuple[DataFrame | None, DataFrame]:
+        """Class counts before each range, and statistics of what lies before it."""
+        rows, starts = coarse.where(F.col("low").isNotNull()), None
+        if self.measure.by_class:
+            w = Window.partitionBy("node", "f", "cls").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+            rows = rows.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+            starts = rows.select("node", "f", "range", "cls", "_before")
+        sums = self.measure.added(rows, ["node", "f", "range"], classes, F.min("low").alias("low"), F.max("high").alias("high"))
+        w = Window.partitionBy("node", "f").orderBy("range")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({
+        return starts, sums.withColumns({
             **{f"b_{n}": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in self.measure.names},
             "next_low": F.lead("low").over(w),
-        })
+        }).join(totals, "node")
 
     def _between_ranges(self, cuts: DataFrame) -> DataFrame:
         left = [b + s for b, s in zip(self._stats("b_"), self._stats())]
-        right = [t - x for t, x in zip(self._stats("t_"), left)]
         return self._candidates(
-            cuts.where(F.col("next_low").isNotNull()), left, right,
-            self._cut(F.col("high"), F.col("next_low")), F.lit(None))
+            cuts.where(F.col("next_low").isNotNull()), left, self._cut(F.col("high"), F.col("next_low")), F.lit(None))
 
     def _cut(self, low: Column, high: Column) -> Column:
         """Midpoint for class trees; regression trees cut at the upper value."""
-        return high if isinstance(self.measure, SquaresMeasure) else (low + high) / 2
+        return (low + high) / 2 if self.measure.inclusive else high
 
-    def _inside_ranges(self, frontier, numbers, cuts: DataFrame, best: dict) -> dict:
+    def _inside_ranges(self, frontier, counter, starts, classes, cuts: DataFrame, best: dict) -> dict:
         """Thresholds between values of one range, where they may beat the known best.
 
         Splitting a range's rows off entirely can only lower the score, so the
         rows before and after the range give a bound for every threshold in it.
         """
-        before = self._stats("b_")
-        after = [t - b - s for t, b, s in zip(self._stats("t_"), before, self._stats())]
-        bound = self.measure.score(before, after)
-        if not isinstance(self.measure, SquaresMeasure):
-            outside = (self.measure.size(before) + self.measure.size(after)).cast("double")
-            bound = F.coalesce(bound, F.lit(0.0)) * outside / self.measure.size(self._stats("t_"))
-        limits = {i: row["score"] for i, row in best.items()}
-        rows = [(i, float(limits.get(i, float("inf")))) for i in range(len(frontier))]
-        limit = cuts.sparkSession.createDataFrame(rows, "node int, limit double")
+        before, total = self._stats("b_"), self._stats("t_")
+        after = self.measure.right([b + s for b, s in zip(before, self._stats())], total)
+        limits = [(i, float(row["score"])) for i, row in best.items()]
+        limit = cuts.sparkSession.createDataFrame(limits, "node int, limit double")
         # scores closer than this are ties
-        room = 10.0 ** -DIGITS * F.greatest(self.measure.own(self._stats("t_")), F.lit(1e-300))
-        keys = ["node", "f", "range"]
-        open_ranges = (
-            cuts.join(F.broadcast(limit), "node")
-            .where((F.col("low") < F.col("high")) & (bound <= F.col("limit") + room))
-            .select(*keys, *[f"b_{n}" for n in self.measure.names], *[f"t_{n}" for n in self.measure.names])
-        )
-        # at most one row per node, feature and range
-        bounded = len(frontier) * len(numbers) * self.settings.ranges <= MAX_BROADCAST_RANGES
-        side = F.broadcast(open_ranges) if bounded else open_ranges
-        carried = [F.first(c).alias(c) for c in side.columns if c[:2] in ("b_", "t_")]
-        values = self._long_rows(frontier, numbers).join(side, keys).groupBy(*keys, "x").agg(
-            *self.measure.aggregates(), *carried)
-        # slices of equal size; their numbers must not change between passes, so they are written down
+        room = 10.0 ** -DIGITS * F.greatest(self.measure.own(total), F.lit(1e-300))
+        may = self.measure.outside(before, after, total) <= F.coalesce("limit", F.lit(float("inf"))) + room
+        open_ = cuts.join(F.broadcast(limit), "node", "left").where((F.col("low") < F.col("high")) & may)
+        # one row per node and feature, with at most ``ranges`` numbers
+        wanted = np.zeros((len(frontier), len(self.features), self.settings.ranges + 1), bool)
+        for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges")).collect():
+            wanted[r["node"], r["f"], r["ranges"]] = True
+        if not wanted.any():
+            return {}
+        return _lowest([self._between_values(counter, wanted, starts, classes, cuts)])
+
+    def _between_values(self, counter: Counter, wanted: np.ndarray, starts, classes, cuts: DataFrame) -> DataFrame:
+        """Candidates between neighbouring values of one range, for the wanted ranges."""
+        keys, names, cls = ["node", "f", "range"], self.measure.names, self._cls()
+        values = self._counted(counter, counter.values(wanted)).groupBy(*keys, "x", *cls).agg(
+            *[F.sum(c).alias(c) for c in self._raw()])
+        # slices of about equal size; their numbers must not change between reads, so they are written down
         values = written(values.repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
-        sums = _running(values, keys, "part", "x", self.measure.names)
-        left = [b + r for b, r in zip(self._stats("b_"), self._stats("run_"))]
-        right = [t - x for t, x in zip(self._stats("t_"), left)]
-        return _lowest([self._candidates(
-            sums.where(F.col("next_x").isNotNull()), left, right,
-            self._cut(F.col("x"), F.col("next_x")), F.lit(None))])
-
-
-def _running(values: DataFrame, keys: list[str], part: str, order: str, names: list[str]) -> DataFrame:
-    """Running sums in ``order`` over each key, one window per (key, part).
-
-    Parts follow the order, so each part adds the totals of the parts before it.
-    """
-    w = Window.partitionBy(*keys, part).orderBy(order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = {n: F.sum(n).over(run) for n in names}
-    by_key = Window.partitionBy(*keys).orderBy(part)
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        values.groupBy(*keys, part)
-        .agg(*[F.sum(n).alias(n) for n in names], F.min(order).alias("_first"))
-        .select(
-            *keys, part,
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
-            F.lead("_first").over(by_key).alias("_next_first"))
-    )
-    return values.join(offsets, [*keys, part]).withColumns({
-        **{f"run_{n}": running[n] + F.col(f"_off_{n}") for n in names},
-        f"next_{order}": F.coalesce(F.lead(order).over(w), F.col("_next_first")),
-    })
+        parts = values.groupBy(*keys, "part", *cls).agg(
+            *[F.sum(c).alias(c) for c in self._raw()], F.min("x").alias("_first"))
+        if self.measure.by_class:
+            w = Window.partitionBy(*keys, "cls").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+            parts = parts.withColumn("_so_far", F.coalesce(F.sum("n").over(w), F.lit(0))).join(
+                starts, [*keys, "cls"]).withColumn("_before", F.col("_so_far") + F.col("_before"))
+            w = Window.partitionBy(*keys, "part", "cls").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+            values = values.join(parts.select(*keys, "part", "cls", "_before"), [*keys, "part", "cls"]).withColumn(
+                "_before", F.col("_before") + F.coalesce(F.sum("n").over(w), F.lit(0)))
+        sums = self.measure.added(values, [*keys, "part", "x"], classes)
+        w = Window.partitionBy(*keys).orderBy("part")
+        begun = self.measure.added(parts, [*keys, "part"], classes, F.min("_first").alias("_first")).select(
+            *keys, "part", F.lead("_first").over(w).alias("_next"),
+            *[F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"o_{n}") for n in names])
+        begun = begun.join(cuts.select(*keys, *[f"b_{n}" for n in names], *[f"t_{n}" for n in names]), keys)
+        w = Window.partitionBy(*keys, "part").orderBy("x")
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = sums.withColumns({f"r_{n}": F.sum(n).over(run) for n in names} | {"_after": F.lead("x").over(w)})
+        sums = sums.join(begun, [*keys, "part"]).withColumn("next_x", F.coalesce("_after", "_next"))
+        left = [F.col(f"b_{n}") + F.col(f"o_{n}") + F.col(f"r_{n}") for n in names]
+        return self._candidates(
+            sums.where(F.col("next_x").isNotNull()), left, self._cut(F.col("x"), F.col("next_x")), F.lit(None))
 
 
 def _lowest(tables: list[DataFrame]) -> dict[int, dict]:
@@ -564,54 +578,46 @@ def _merge(a: dict[int, dict], b: dict[int, dict]) -> dict[int, dict]:
     return out
 
 
-def _route(nodes: dict[str, Node], answer, positive: str, negative: str, path: str = "") -> Column:
-    """Nested CASE that walks a row down the tree and answers with its last node."""
-    node = nodes[path]
-    here = answer(node)
-    if node.feature is None:
-        return here
-    x = F.col(node.feature)
-
-    def child(step: str) -> Column:
-        below = path + step
-        return _route(nodes, answer, positive, negative, below) if below in nodes else here
-
-    if node.kind == "binary":
-        return (F.when(x == F.lit(positive), child("L"))
-                .when(x == F.lit(negative), child("R")).otherwise(here))
-    if node.kind == "categorical":
-        return F.when(x == F.lit(node.value), child("L")).when(x.isNotNull(), child("R")).otherwise(here)
-    x = x.cast("double")
-    goes_left = x <= F.lit(node.threshold) if node.inclusive else x < F.lit(node.threshold)
-    return F.when(x.isNull() | F.isnan(x), here).when(goes_left, child("L")).otherwise(child("R"))
-
-
 @dataclass(frozen=True)
 class TreeModel:
-    """A grown tree: a small node list that applies as one CASE expression."""
+    """A grown tree: a small node list that rows walk in Arrow batches."""
 
     features: tuple[str, ...]
     label: str
     nodes: list[Node] = field(repr=False)
+    kinds: dict[str, str] = field(default_factory=dict)
     positive: str = "Yes"
     negative: str = "No"
     prediction_type: object = None
-    classes: tuple[str, ...] = ()
+    #: path, cls and n of class trees, as a table: there may be many classes
+    class_counts: DataFrame | None = field(default=None, repr=False)
+
+    def _answer(self, answers: list, kind: T.DataType) -> Column:
+        tree = FlatTree.of(self.nodes, self.features, self.kinds, self.positive, self.negative)
+        used = [c for c in self.features if c in {n.feature for n in self.nodes}] or list(self.features[:1])
+        # text made of numbers and Booleans compares as text, as the node table shows it
+        columns = [F.col(c).cast("double" if self.kinds[c] == "continuous" else "string") for c in used]
+        table = np.empty(len(answers), object)
+        table[:] = answers
 
-    def _answer(self, answer) -> Column:
-        return _route({n.path: n for n in self.nodes}, answer, self.positive, self.negative)
+        @F.pandas_udf(kind)
+        def walk(*series: pd.Series) -> pd.Series:
+            arrays = {c: pa.array(one, pa.float64() if tree.kinds[tree.features.index(c)] == "continuous" else pa.string(),
+                                  from_pandas=True) for c, one in zip(used, series)}
+            return pd.Series(table[tree.walk(arrays, len(series[0]))])
+
+        return walk(*columns)
 
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """Predict every row; a missing child or unknown value keeps the node's own answer."""
         require_columns(df, self.features)
-        return df.withColumn(name, self._answer(
-            lambda n: F.lit(n.prediction).cast(self.prediction_type)))
+        return df.withColumn(name, self._answer([n.prediction for n in self.nodes], self.prediction_type))
 
     predict = transform
 
     def node_paths(self, df: DataFrame, name: str = "path") -> DataFrame:
         """Path of the last node each row reaches."""
-        return df.withColumn(name, self._answer(lambda n: F.lit(n.path)))
+        return df.withColumn(name, self._answer([n.path for n in self.nodes], T.StringType()))
 
     def node_table(self, spark: SparkSession) -> DataFrame:
         """All nodes, one row each; ordering by ``path`` is preorder."""
@@ -619,14 +625,20 @@ class TreeModel:
         rows = [
             (
                 n.path, n.depth, n.feature, n.kind, n.threshold, n.value, n.score, n.impurity, n.n,
-                {c: int(v) for c, v in zip(self.classes, n.stats)} if self.classes else {},
                 str(n.prediction), n.path not in parents, n.stop,
             )
             for n in self.nodes
         ]
-        return spark.createDataFrame(
+        table = spark.createDataFrame(
             rows,
             "path string, depth int, feature string, kind string, threshold double, value string, "
-            "score double, impurity double, n long, class_counts map<string,bigint>, "
-            "prediction string, is_leaf boolean, stop string",
-        ).orderBy("path")
+            "score double, impurity double, n long, prediction string, is_leaf boolean, stop string",
+        )
+        counts = F.create_map().cast("map<string,bigint>")
+        if self.class_counts is not None:
+            by_node = self.class_counts.groupBy("path").agg(F.map_from_entries(F.sort_array(F.collect_list(
+                F.struct(F.col("cls").cast("string"), "n")))).alias("class_counts"))
+            table, counts = table.join(by_node, "path"), F.col("class_counts")
+        return table.select(
+            "path", "depth", "feature", "kind", "threshold", "value", "score", "impurity", "n",
+            counts.alias("class_counts"), "prediction", "is_leaf", "stop").orderBy("path")

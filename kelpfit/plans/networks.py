@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.operators.network import (
-    Layer, Network, accuracy, cross_entropy, fit_gradient, search_descent, search_random, squared_error,
+    AdaptiveSteps, Layer, Network, accuracy, cross_entropy, fit_gradient, search_descent, search_random, squared_error,
 )
 from kelpfit.operators.scaling import fit_robust_scaler, principal_components
 from kelpfit.plans.registry import Tables, query, rounded, sql_normal
@@ -213,13 +213,18 @@ def explained_variance(t: Tables) -> DataFrame:
 GRADIENT_RATE = 0.5
 
 
-def _gradient_sql(epochs: int) -> str:
-    """Forward and backward pass of every epoch, written out."""
+def _gradient_sql(epochs: int, adaptive: float | None = None) -> str:
+    """Forward and backward pass of every epoch, written out.
+
+    Plain steps on the squared error, or adaptive ones of a given rate on the cross-entropy.
+    """
     names = [slot_name(s) for s in SLOTS]
-    sql = START + f", k0 AS MATERIALIZED (SELECT {', '.join(names)} FROM start)"
+    moments = "".join(f", 0::DOUBLE AS m_{n}, 0::DOUBLE AS v_{n}" for n in names) if adaptive else ""
+    sql = START + f", k0 AS MATERIALIZED (SELECT {', '.join(names)}{moments} FROM start)"
     for e in range(1, epochs + 1):
         top = len(SHAPE) - 1
-        deltas = f"SELECT *, 2 * (p - y) * p * (1 - p) AS d{top}_0 FROM ({forward_sql(f'SELECT * FROM src, k{e - 1}')})"
+        last = "p - y" if adaptive else "2 * (p - y) * p * (1 - p)"
+        deltas = f"SELECT *, {last} AS d{top}_0 FROM ({forward_sql(f'SELECT * FROM src, k{e - 1}')})"
         for layer in range(top - 1, -1, -1):
             back = ", ".join(
                 f"CASE WHEN h{layer}_{c} > 0 THEN "
@@ -231,8 +236,17 @@ def _gradient_sql(epochs: int) -> str:
             name = slot_name((layer, kind, place))
             out = f"d{layer}_{place[-1]}"
             inner = out if kind == "b" else f"{INPUTS[place[0]] if layer == 0 else f'h{layer - 1}_{place[0]}'} * {out}"
-            moved.append(f"any_value({name}) - {GRADIENT_RATE}::DOUBLE * avg({inner}) AS {name}")
-        sql += f", k{e} AS MATERIALIZED (SELECT {', '.join(moved)} FROM ({deltas}))"
+            if adaptive:
+                moved.append(f"any_value({name}) AS {name}, 0.9::DOUBLE * any_value(m_{name}) + 0.1::DOUBLE * avg({inner}) AS m_{name}, "
+                             f"0.999::DOUBLE * any_value(v_{name}) + 0.001::DOUBLE * pow(avg({inner}), 2) AS v_{name}")
+            else:
+                moved.append(f"any_value({name}) - {GRADIENT_RATE}::DOUBLE * avg({inner}) AS {name}")
+        step = f"SELECT {', '.join(moved)} FROM ({deltas})"
+        if adaptive:
+            step = "SELECT " + ", ".join(
+                f"{n} - {adaptive}::DOUBLE * (m_{n} / (1 - pow(0.9::DOUBLE, {e}))) / (sqrt(v_{n} / (1 - pow(0.999::DOUBLE, {e}))) "
+                f"+ 0.00000001::DOUBLE) AS {n}, m_{n}, v_{n}" for n in names) + f" FROM ({step})"
+        sql += f", k{e} AS MATERIALIZED ({step})"
     return sql + f" SELECT vec_id, round(p, 6) AS prediction FROM ({forward_sql(f'SELECT * FROM src, k{epochs}')})"
 
 
@@ -242,3 +256,11 @@ def gradient(t: Tables) -> DataFrame:
     df = vectors(t)
     trained = fit_gradient(df, INPUTS, "y", network(), 3, GRADIENT_RATE).network
     return trained.transform(df, INPUTS).select("vec_id", rounded("prediction"))
+
+
+@query("mlp_gradient_ce", _gradient_sql(3, 0.05))
+def gradient_cross_entropy(t: Tables) -> DataFrame:
+    """Predictions after three adaptive steps on the cross-entropy."""
+    df = vectors(t)
+    trained = fit_gradient(df, INPUTS, "y", network(loss_function=cross_entropy), 3, steps=AdaptiveSteps(0.05)).network
+    return trained.transform(df, INPUTS).select("vec_id", rounded("prediction"))

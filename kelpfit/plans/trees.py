@@ -32,11 +32,12 @@ SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_e
 
 
 def tree_sql(rows: str, features: Sequence[tuple[str, str]], classes: Sequence[str] | None, depth: int,
-             min_samples: int, answer: str) -> str:
+             min_samples: int, answer: str, reuse: bool = False) -> str:
     """Chained statements growing a tree level by level by trying every split.
 
     ``features`` pairs each name with yesno, text or number; ``classes`` lists the
-    label values as SQL literals, or is None for squared residuals.
+    label values as SQL literals, or is None for squared residuals. With ``reuse``
+    a feature stays on offer below its split.
     """
     names = [f for f, _ in features]
     gini = classes is not None
@@ -108,7 +109,7 @@ WITH src AS MATERIALIZED ({rows}), r0 AS MATERIALIZED (
                 f"CASE WHEN {f} {below} threshold THEN 'L' ELSE 'R' END" if kind == "number"
                 else f"CASE WHEN {f} = value THEN 'L' ELSE 'R' END")
             for f, kind in features)
-        used = ", ".join(f"u_{f} OR feature = '{f}' AS u_{f}" for f in names)
+        used = ", ".join(f"u_{f}" if reuse else f"u_{f} OR feature = '{f}' AS u_{f}" for f in names)
         keep = ", ".join(["id", "y", *names])
         sql += f"""
 , r{level + 1} AS MATERIALIZED (
@@ -248,6 +249,84 @@ def order_nodes(t: Tables) -> DataFrame:
     return _nodes(t, model, numeric=True)
 
 
+DEEP_TREE = (
+    "SELECT o_orderkey AS id, o_totalprice, o_custkey, o_orderpriority, o_orderstatus AS y FROM orders",
+    [("o_totalprice", "number"), ("o_custkey", "number"), ("o_orderpriority", "text")], ["'F'", "'O'", "'P'"], 14, 60)
+
+
+@query("tree_deep_predict", tree_sql(*DEEP_TREE, """
+SELECT id AS o_orderkey, path, prediction FROM ends JOIN nodes USING (path)""", reuse=True))
+def deep_predict(t: Tables) -> DataFrame:
+    """A tree of fourteen levels, grown and walked."""
+    features = ["o_totalprice", "o_custkey", "o_orderpriority"]
+    model = DecisionTree(max_depth=14, num_min_samples=60, reuse_features=True).fit(
+        t.spread("orders"), features, "o_orderstatus")
+    return model.node_paths(model.transform(t.orders)).select("o_orderkey", "path", "prediction")
+
+
+def class_rows_sql(rows: str, features: Sequence[tuple[str, str]], depth: int, min_samples: int) -> str:
+    """Like :func:`tree_sql` for any number of classes: counts by class are rows.
+
+    Features are texts or numbers and are not used twice on a path.
+    """
+    names = [f for f, _ in features]
+    spread = lambda n, s: f"CASE WHEN {n} > 0 THEN {n} - {s} / {n} ELSE 0 END"
+    sql = f"""
+WITH r0 AS MATERIALIZED (SELECT *, '' AS path, {', '.join(f'FALSE AS u_{f}' for f in names)} FROM ({rows}))"""
+    for level in range(depth + 1):
+        sql += f"""
+, c{level} AS MATERIALIZED (SELECT path, y, count(*)::DOUBLE AS t FROM r{level} GROUP BY ALL)
+, node{level} AS MATERIALIZED (SELECT path, sum(t) AS n, sum(t * t) AS s, arg_min(y, (-t, y)) AS prediction, count(*) AS n_classes
+                               FROM c{level} GROUP BY path)"""
+        if level == depth:
+            break
+        options = []
+        for at, (f, kind) in enumerate(features):
+            counts = f"(SELECT path, {f} AS x, y, count(*)::DOUBLE AS n FROM r{level} WHERE NOT u_{f} GROUP BY ALL)"
+            if kind == "text":
+                options.append(f"""
+SELECT path, {at} AS f, '{f}' AS feature, NULL::DOUBLE AS threshold, x AS value, sum(n) AS n_l, sum(n * n) AS s_l,
+       sum(n * t) AS t_l FROM {counts} JOIN c{level} USING (path, y) GROUP BY path, x""")
+            else:
+                options.append(f"""
+SELECT path, {at} AS f, '{f}' AS feature, (x + lead(x) OVER w) / 2 AS threshold, NULL AS value, sum(n) OVER w AS n_l,
+       sum(s) OVER w AS s_l, sum(t) OVER w AS t_l FROM (
+  SELECT path, x, sum(n) AS n, sum(n * n + 2 * n * coalesce(before, 0)) AS s, sum(n * t) AS t FROM (
+    SELECT *, sum(n) OVER (PARTITION BY path, y ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM {counts}) JOIN c{level} USING (path, y) GROUP BY path, x) WINDOW w AS (PARTITION BY path ORDER BY x)""")
+        score = f"({spread('n_l', 's_l')} + {spread('(n - n_l)', '(s - 2 * t_l + s_l)')}) / n"
+        turn = " ".join(f"WHEN feature = '{f}' THEN " + (f"{f} <= threshold" if kind == "number" else f"{f} = value")
+                        for f, kind in features)
+        used = ", ".join(f"u_{f} OR feature = '{f}' AS u_{f}" for f in names)
+        sql += f"""
+, split{level} AS MATERIALIZED (
+  SELECT path, feature, threshold, value, {score} AS score FROM ({' UNION ALL '.join(options)}) JOIN node{level} USING (path)
+  WHERE n >= {min_samples} AND n_l < n AND (value IS NOT NULL OR threshold IS NOT NULL)
+    AND round({score}, 10) <= round(1 - s / n / n, 10)
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY round({score}, 10), f, threshold, value) = 1)
+, r{level + 1} AS MATERIALIZED (
+  SELECT y, {', '.join(names)}, path || CASE WHEN CASE {turn} END THEN 'L' ELSE 'R' END AS path, {used}
+  FROM r{level} JOIN split{level} USING (path))"""
+    every = " UNION ALL ".join(f"SELECT * FROM node{i}" for i in range(depth + 1))
+    splits = " UNION ALL ".join(f"SELECT * FROM split{i}" for i in range(depth))
+    return sql + f"""
+SELECT path, CAST(length(path) AS INTEGER) AS depth, feature, round(threshold, 6) AS threshold, value,
+       round(score, 9) AS score, round(1 - s / n / n, 9) AS impurity, CAST(n AS BIGINT) AS n, n_classes,
+       prediction::VARCHAR AS prediction, feature IS NULL AS is_leaf FROM ({every}) LEFT JOIN ({splits}) USING (path)"""
+
+
+@query("tree_many_classes", class_rows_sql(
+    "SELECT l_extendedprice, l_quantity, l_shipmode, l_orderkey AS y FROM lineitem",
+    [("l_extendedprice", "number"), ("l_quantity", "number"), ("l_shipmode", "text")], 3, 20))
+def many_classes(t: Tables) -> DataFrame:
+    """One class per order."""
+    features = ["l_extendedprice", "l_quantity", "l_shipmode"]
+    model = DecisionTree(max_depth=3).fit(t.spread("lineitem"), features, "l_orderkey")
+    return model.node_table(t.spark).select(
+        "path", "depth", "feature", rounded("threshold"), "value", rounded("score", 9), rounded("impurity", 9), "n",
+        F.size("class_counts").cast("long").alias("n_classes"), "prediction", "is_leaf")
+
+
 def _candidates_sql(rows: str, features: Sequence[tuple[str, str]], classes: Sequence[str] | None) -> str:
     """Every split of all rows with its score, from counts or centred sums of both sides."""
     if classes is not None:

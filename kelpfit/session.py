@@ -51,15 +51,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """Like :func:`cut_lineage`, but as Parquet: rows are computed once and stay columnar."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        cut_lineage(spark.range(0))  # finds or refuses the folder
-    path = f"{context.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, _new_path(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _new_path(spark: SparkSession) -> str:
+    if spark.sparkContext.getCheckpointDir() is None:
+        cut_lineage(spark.range(0))  # finds or refuses the folder
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def dealt(df: DataFrame, column: str) -> Iterator[DataFrame]:
+    """Written with a folder for each value of ``column``, so that a filter on it reads those only; then removed."""
+    spark, path = df.sparkSession, _new_path(df.sparkSession)
+    df.write.partitionBy(column).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _shipped: set[str] = set()
 
 

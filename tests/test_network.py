@@ -119,15 +119,17 @@ def test_gradient_trained_comparison(spark, data):
     assert hits > 70
 
 
-def test_gradients_lower_the_loss_and_match_differences(spark, data):
-    layers = (Layer(2, 3, "tanh"), Layer(3, 2, "relu"), Layer(2, 1, "sigmoid"))
+@pytest.mark.parametrize(("loss", "last", "outputs"), [
+    (nn.squared_error, "sigmoid", 1), (nn.cross_entropy, "sigmoid", 1), (nn.class_cross_entropy, "softmax", 3)])
+def test_gradients_match_differences(loss, last, outputs):
+    layers = (Layer(2, 3, "tanh"), Layer(3, 2, "relu"), Layer(2, outputs, last))
     net = Network.random(layers, 5)
     r = np.random.default_rng(1)
-    x, y = r.normal(size=(20, 2)), r.integers(0, 2, 20).astype(float)
-    got = nn._gradients(layers, net.parameters, x, y)
+    x, y = r.normal(size=(20, 2)), r.integers(0, max(2, outputs), 20).astype(float)
+    got, total = nn._gradients(layers, net.parameters, loss, x, y)
 
-    def loss(parameters):
-        return nn.squared_error(y, nn._forward(layers, parameters, x)).sum()
+    def summed(parameters):
+        return loss(y, nn._forward(layers, parameters, x)).sum()
 
     want = []
     for i, pair in enumerate(net.parameters):
@@ -137,8 +139,34 @@ def test_gradients_lower_the_loss_and_match_differences(spark, data):
                 for step in (1e-6, -1e-6):
                     moved = net.with_parameters(net.parameters).parameters
                     moved[i][j][at] += step
-                    sides.append(loss(moved))
+                    sides.append(summed(moved))
                 want.append((sides[0] - sides[1]) / 2e-6)
-    assert np.allclose(got, want, atol=1e-5)
+    assert np.allclose(got, want, atol=1e-5) and total == pytest.approx(summed(net.parameters))
+
+
+def test_plain_steps_lower_the_loss(data):
     log = nn.fit_gradient(data[2], ["a", "b"], "y", Network.random(LAYERS, 1), 6, 0.05).log
     assert log[-1][1] <= log[0][1]
+
+
+def test_adaptive_mini_batches_learn_classes(spark, data):
+    x, _, df = data
+    df = df.withColumn("y", F.when(F.col("a") > 0.4, 2.0).when(F.col("a") < -0.4, 0.0).otherwise(1.0))
+    start = Network.random((Layer(2, 6, "tanh"), Layer(6, 3, "softmax")), 2,
+                           loss_function=nn.class_cross_entropy, metrics=(nn.class_accuracy,))
+    settings = dict(epochs=12, steps=nn.AdaptiveSteps(0.1), batches=4, key="id", seed=3)
+    result = nn.fit_gradient(df, ["a", "b"], "y", start, **settings)
+    assert result.network.evaluate(df, ["a", "b"], "y").first()["class_accuracy"] > 0.85
+    assert [e for e, _ in result.log] == list(range(1, 13)) and result.log[-1][1] < result.log[0][1]
+    again = nn.fit_gradient(df, ["a", "b"], "y", start, **settings)
+    assert np.allclose([v for _, v in again.log], [v for _, v in result.log])
+
+
+@pytest.mark.parametrize("bad", [
+    dict(network=Network.random((Layer(2, 1, "identity"),), 1, loss_function=nn.cross_entropy)),
+    dict(network=Network.random((Layer(2, 2, "sigmoid"),), 1)),
+    dict(network=Network.random((Layer(2, 1, np.cos),), 1)),
+    dict(network=Network.random(LAYERS, 1), batches=3)])
+def test_untrainable_settings(data, bad):
+    with pytest.raises(ValueError):
+        nn.fit_gradient(data[2], ["a", "b"], "y", epochs=1, **bad)

@@ -137,3 +137,20 @@ def test_bad_settings(bad):
 def test_mini_batches_need_a_key(spark, data):
     with pytest.raises(ValueError):
         Neuron().fit(table(spark, data[0], data[1]), ["x0", "x1"], "y")
+
+
+def test_an_epoch_reads_its_table_once_and_each_batch_its_own_folder(spark, data):
+    from kelpfit.operators.split import epoch_batches, epoch_cutoffs, batch_cutoffs
+
+    df = table(spark, data[0], data[1])
+    assert epoch_cutoffs(df, "id", 5, [3, 4], 7) == {e: batch_cutoffs(df, "id", 5, e, 7) for e in (3, 4)}
+    for epoch, batches in epoch_batches(df, "id", 5, 3, 7):
+        seen, want = [], {}
+        for r in with_batches(df, "id", 5, epoch, 7).collect():
+            want.setdefault(r["batch"], set()).add(r["id"])
+        for i, batch in enumerate(batches):
+            plan = batch._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(_batch" in plan
+            seen.append({r["id"] for r in batch.collect()})
+            assert seen[-1] == want[i]
+        assert len(seen) == len(want)

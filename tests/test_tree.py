@@ -215,3 +215,60 @@ def test_a_heavy_tailed_feature(spark):
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(4)
     root = RegressionTree(max_depth=1, ranges=4).fit(df, ["x"], "y").nodes[0]
     assert root.threshold == 0.001501 and root.score == pytest.approx(0.0, abs=1e-9)
+
+
+def test_more_classes_than_columns_could_hold(spark):
+    rng = np.random.default_rng(8)
+    n = 6000
+    columns = {"x": rng.integers(0, 300, n).astype(float), "z": rng.normal(size=n).round(2),
+               "c": rng.choice(["u", "v", "w"], n)}
+    y = (columns["x"] // 10 * 50 + rng.integers(0, 1500, n)).astype(int)
+    rows = [(float(a), float(b), str(c), int(d)) for a, b, c, d in zip(*columns.values(), y)]
+    df = spark.createDataFrame(rows, "x double, z double, c string, y int").repartition(6).cache()
+    model = DecisionTree(max_depth=2, num_min_samples=20, ranges=8).fit(df, list(columns), "y")
+    assert len(np.unique(y)) > 1400
+
+    def counted(mask):
+        values, counts = np.unique(y[mask], return_counts=True)
+        return dict(zip(values.tolist(), counts.tolist()))
+
+    def impurity(mask):
+        counts = np.array(list(counted(mask).values()), float)
+        return 1 - (counts ** 2).sum() / counts.sum() ** 2
+
+    table = {r["path"]: r for r in model.node_table(spark).collect()}
+    root, every = table[""], np.ones(n, bool)
+    best = min(
+        [(round((m.sum() * impurity(m) + (~m).sum() * impurity(~m)) / n, 10), f, t) for f, t, m in
+         [(0, t, columns["x"] <= t) for t in np.unique(columns["x"])[:-1] + 0.5]
+         + [(1, (a + b) / 2, columns["z"] <= (a + b) / 2) for a, b in zip(np.unique(columns["z"]), np.unique(columns["z"])[1:])]
+         + [(2, v, columns["c"] == v) for v in ("u", "v", "w")]], key=lambda b: b[:2])
+    assert root["feature"] == list(columns)[best[1]] and root["score"] == pytest.approx(best[0], abs=1e-9)
+    assert (root["threshold"] if root["value"] is None else root["value"]) == pytest.approx(best[2])
+    assert root["impurity"] == pytest.approx(impurity(every))
+    assert {int(k): v for k, v in root["class_counts"].items()} == counted(every)
+    for path, r in table.items():
+        most = max(r["class_counts"].values())
+        assert int(r["prediction"]) == min(int(k) for k, v in r["class_counts"].items() if v == most)
+
+
+def test_a_deep_tree_is_walked_without_nested_expressions(spark):
+    n = 4000
+    df = spark.range(n).select(F.col("id").cast("double").alias("x"), (F.xxhash64("id") % 2).cast("string").alias("y")).cache()
+    model = DecisionTree(max_depth=16, num_min_samples=2, reuse_features=True, stop_when_pure=True).fit(df, ["x"], "y")
+    assert max(node.depth for node in model.nodes) >= 14
+    plan = model.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in plan and len(plan) < 5000
+    leaves = [node for node in model.nodes if node.feature is None]
+    right = sum(max(node.n * (1 - node.impurity), 0) > 0 and node.impurity == 0 for node in leaves)
+    got = model.node_paths(model.transform(df)).groupBy("path").agg(F.count("*").alias("n")).collect()
+    assert {r["path"]: r["n"] for r in got} == {node.path: node.n for node in leaves} and right
+
+
+def test_labels_of_other_types(spark):
+    rows = [(float(i), i % 7 < 3, f"2020-01-{1 + i // 20:02d}") for i in range(100)]
+    df = spark.createDataFrame(rows, "x double, b boolean, d string").withColumn("d", F.col("d").cast("date"))
+    for label in ("b", "d"):
+        model = DecisionTree(max_depth=2, num_min_samples=5, reuse_features=True).fit(df, ["x"], label)
+        assert model.transform(df).schema["prediction"].dataType == df.schema[label].dataType
+    assert model.transform(df).where("prediction = d").count() >= 60
