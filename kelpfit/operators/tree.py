@@ -32,12 +32,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
 from kelpfit.operators.aggregates import squared_residuals
-from kelpfit.operators.tree_batches import Counter, FlatTree
+from kelpfit.operators.tree_batches import Counter, FlatTree, SliceScorer
 from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
 RANGES = 128
 DIGITS = 10
+#: Rows whose single values a task looks at together.
+SLICE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -311,7 +313,8 @@ class _Fit:
             starts, cuts = self._range_sums(coarse, classes, totals)
             wanted = np.ones((1, len(self.features), self.settings.ranges + 1), bool)
             found.append(self._between_ranges(cuts))
-            found.append(self._between_values(counter, wanted, starts, classes, cuts))
+            found.append(self._between_values(
+                counter, wanted, self.nodes[""].n * len(numbers), starts, classes, cuts, every=True))
         out = found[0]
         for one in found[1:]:
             out = out.unionByName(one)
@@ -518,41 +521,53 @@ class _Fit:
         open_ = cuts.join(F.broadcast(limit), "node", "left").where((F.col("low") < F.col("high")) & may)
         # one row per node and feature, with at most ``ranges`` numbers
         wanted = np.zeros((len(frontier), len(self.features), self.settings.ranges + 1), bool)
-        for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges")).collect():
+        rows = 0
+        for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges"), F.sum("n").alias("n")).collect():
             wanted[r["node"], r["f"], r["ranges"]] = True
-        if not wanted.any():
+            rows += r["n"]
+        if not rows:
             return {}
-        return _lowest([self._between_values(counter, wanted, starts, classes, cuts)])
+        return _lowest([self._between_values(counter, wanted, int(rows), starts, classes, cuts)])
 
-    def _between_values(self, counter: Counter, wanted: np.ndarray, starts, classes, cuts: DataFrame) -> DataFrame:
-        """Candidates between neighbouring values of one range, for the wanted ranges."""
+    def _between_values(self, counter: Counter, wanted: np.ndarray, rows: int, starts, classes, cuts: DataFrame,
+                        every: bool = False) -> DataFrame:
+        """Candidates between neighbouring values of one range, for the wanted ranges and their number of rows.
+
+        Without ``every`` only those that may be a node's best one.
+        """
         keys, names, cls = ["node", "f", "range"], self.measure.names, self._cls()
         values = self._counted(counter, counter.values(wanted)).groupBy(*keys, "x", *cls).agg(
             *[F.sum(c).alias(c) for c in self._raw()])
         # slices of about equal size; their numbers must not change between reads, so they are written down
-        values = written(values.repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
+        slices = max(1, -(-rows // SLICE_ROWS))
+        values = written(values.repartitionByRange(slices, *keys, "x").withColumn("part", F.spark_partition_id()))
         parts = values.groupBy(*keys, "part", *cls).agg(
             *[F.sum(c).alias(c) for c in self._raw()], F.min("x").alias("_first"))
         if self.measure.by_class:
             w = Window.partitionBy(*keys, "cls").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
             parts = parts.withColumn("_so_far", F.coalesce(F.sum("n").over(w), F.lit(0))).join(
                 starts, [*keys, "cls"]).withColumn("_before", F.col("_so_far") + F.col("_before"))
-            w = Window.partitionBy(*keys, "part", "cls").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-            values = values.join(parts.select(*keys, "part", "cls", "_before"), [*keys, "part", "cls"]).withColumn(
-                "_before", F.col("_before") + F.coalesce(F.sum("n").over(w), F.lit(0)))
-        sums = self.measure.added(values, [*keys, "part", "x"], classes)
         w = Window.partitionBy(*keys).orderBy("part")
-        begun = self.measure.added(parts, [*keys, "part"], classes, F.min("_first").alias("_first")).select(
-            *keys, "part", F.lead("_first").over(w).alias("_next"),
-            *[F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"o_{n}") for n in names])
-        begun = begun.join(cuts.select(*keys, *[f"b_{n}" for n in names], *[f"t_{n}" for n in names]), keys)
-        w = Window.partitionBy(*keys, "part").orderBy("x")
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = sums.withColumns({f"r_{n}": F.sum(n).over(run) for n in names} | {"_after": F.lead("x").over(w)})
-        sums = sums.join(begun, [*keys, "part"]).withColumn("next_x", F.coalesce("_after", "_next"))
-        left = [F.col(f"b_{n}") + F.col(f"o_{n}") + F.col(f"r_{n}") for n in names]
-        return self._candidates(
-            sums.where(F.col("next_x").isNotNull()), left, self._cut(F.col("x"), F.col("next_x")), F.lit(None))
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        side = self.measure.added(parts, [*keys, "part"], classes, F.min("_first").alias("_first")).select(
+            *keys, "part", F.lead("_first").over(w).alias("next"),
+            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{i}") for i, n in enumerate(names)]).join(
+            cuts.select(*keys, *[f"b_{n}" for n in names], *[F.col(f"t_{n}").alias(f"t{i}") for i, n in enumerate(names)]),
+            keys).select(
+            *keys, "part", "next", *[(F.col(f"_o{i}") + F.col(f"b_{n}")).cast("double").alias(f"b{i}")
+                                     for i, n in enumerate(names)], *[F.col(f"t{i}").cast("double").alias(f"t{i}") for i in range(3)])
+        if self.measure.by_class:
+            side = parts.select(*keys, "part", "cls", F.col("_before").alias("before")).join(
+                classes, ["node", "cls"]).join(side, [*keys, "part"])
+        # columns of its own: it descends from the values it meets again
+        side = side.select(*[F.col(c).alias(c) for c in side.columns])
+        score = SliceScorer(self.measure.by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every)
+        found = values.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(
+            lambda left, right: score(left, right), SliceScorer.SCHEMA)
+        return found.select("node", F.struct(
+            self.measure.rank(F.col("score"), F.col("own")).alias("rank"), "f", "threshold",
+            F.lit(None).cast("string").alias("value"), "score", "left", "right", "own",
+            self.measure.rank(F.col("own"), F.col("own")).alias("own_rank")).alias("best"))
 
 
 def _lowest(tables: list[DataFrame]) -> dict[int, dict]:

@@ -250,3 +250,98 @@ class _Values:
         y = self.y[order]
         return {"n": np.diff(np.append(starts, len(order))), "s1": np.add.reduceat(y, starts),
                 "s2": np.add.reduceat(y * y, starts)}
+
+
+@dataclass
+class SliceScorer:
+    """Scores the thresholds between neighbouring values of one slice.
+
+    Values of a slice come with what lies before them in their node, feature and range: in
+    the first table rows by value (and class), in the second one the sums at the start
+    of the slice, those of the node, the first value after the slice and, by class, the
+    counts before the slice and in the node.
+    """
+
+    by_class: bool
+    inclusive: bool
+    #: scores so close may be ties and are all handed on, unless every threshold is wanted
+    tie: float
+    every: bool = False
+
+    SCHEMA = ("node int, f int, threshold double, score double, own double, left array<double>, right array<double>")
+
+    def __call__(self, values: pa.Table, side: pa.Table) -> pa.Table:
+        read = lambda table, name: table.column(name).to_numpy()
+        place = lambda table: (read(table, "node").astype(np.int64) << 40) + (
+            read(table, "f").astype(np.int64) << 20) + read(table, "range")
+        known, first = np.unique(place(side), return_index=True)
+        group, x = np.searchsorted(known, place(values)), read(values, "x")
+        n = read(values, "n").astype(float)
+        if self.by_class:
+            before, of_node, key = self._class_counts(values, side, known, group)
+            order = np.lexsort((x, key))
+            earlier = _before_in_groups(n[order], key[order])
+            before[order] += earlier
+            stats = np.stack([n, n * n + 2 * before * n, n * of_node], axis=1)
+        else:
+            stats = np.stack([n, read(values, "s1"), read(values, "s2")], axis=1)
+        order, starts = _grouped([group, x])
+        stats, group, x = np.add.reduceat(stats[order], starts, axis=0), group[order[starts]], x[order[starts]]
+        begun = np.stack([read(side, f"b{i}") for i in range(3)], axis=1)[first].astype(float)
+        total = np.stack([read(side, f"t{i}") for i in range(3)], axis=1)[first].astype(float)[group]
+        after = np.append(x[1:], np.nan)
+        edges = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+        for low, high in zip(edges[:-1], edges[1:]):
+            stats[low:high] = np.cumsum(stats[low:high], axis=0) + begun[group[low]]
+            after[high - 1] = np.asarray(side.column("next").to_numpy(), float)[first[group[low]]]
+        fits = ~np.isnan(after)
+        left, total, group, x, after = stats[fits], total[fits], group[fits], x[fits], after[fits]
+        score, own, right = self._scored(left, total)
+        node, f = (known[group] >> 40).astype(np.int32), ((known[group] >> 20) & 0xFFFFF).astype(np.int32)
+        threshold = (x + after) / 2 if self.inclusive else after
+        if not self.every:
+            keep = self._nearly_best(node, f, threshold, score, own)
+            node, f, threshold, score, own, left, right = [
+                v[keep] for v in (node, f, threshold, score, own, left, right)]
+        numbers = pa.list_(pa.float64())
+        return pa.table({"node": node, "f": f, "threshold": threshold, "score": score, "own": own,
+                         "left": pa.array(list(left), numbers), "right": pa.array(list(right), numbers)})
+
+    def _class_counts(self, values: pa.Table, side: pa.Table, known: np.ndarray, group: np.ndarray):
+        both = pa.chunked_array([*values.column("cls").chunks, *side.column("cls").chunks]).combine_chunks()
+        codes, classes = _encoded(both)
+        mine, theirs = codes[:len(values)], codes[len(values):]
+        place = (side.column("node").to_numpy().astype(np.int64) << 40) + (
+            side.column("f").to_numpy().astype(np.int64) << 20) + side.column("range").to_numpy()
+        keys = np.searchsorted(known, place) * len(classes) + theirs
+        order = np.argsort(keys)
+        key = group * len(classes) + mine
+        at = order[np.searchsorted(keys[order], key)]
+        return (side.column("before").to_numpy()[at].astype(float), side.column("of_node").to_numpy()[at].astype(float), key)
+
+    def _scored(self, left: np.ndarray, total: np.ndarray):
+        if not self.by_class:
+            right = total - left
+            apart = lambda s: s[:, 2] - np.divide(s[:, 1] * s[:, 1], s[:, 0], out=np.zeros(len(s)), where=s[:, 0] > 0)
+            return apart(left) + apart(right), apart(total), right
+        (n, s, t), (all_n, all_s) = left.T, total.T[:2]
+        right = np.stack([all_n - n, all_s - 2 * t + s, all_s - t], axis=1)
+        share = lambda s: np.divide(s[:, 1], s[:, 0], out=np.zeros(len(s)), where=s[:, 0] > 0)
+        return 1 - (share(left) + share(right)) / all_n, 1 - share(total) / all_n, right
+
+    def _nearly_best(self, node, f, threshold, score, own) -> np.ndarray:
+        """Per node the rows that may have the lowest rounded score, and of equal scores the first."""
+        measure = score if self.by_class else np.divide(score, own, out=np.zeros(len(score)), where=own > 0)
+        order = np.lexsort((threshold, f, measure, node))
+        node, measure = node[order], measure[order]
+        new = np.append(True, node[1:] != node[:-1])[:len(node)]
+        least = measure[np.flatnonzero(new)][np.cumsum(new) - 1]
+        first = new | np.append(True, measure[1:] != measure[:-1])[:len(node)]
+        return order[(measure <= least + self.tie) & first]
+
+
+def _before_in_groups(n: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Sum of the earlier ``n`` with the same key; equal keys lie together. Whole numbers stay exact."""
+    total = np.cumsum(n) - n
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    return total - total[np.flatnonzero(new)][np.cumsum(new) - 1]

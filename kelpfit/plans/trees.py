@@ -316,11 +316,11 @@ SELECT path, CAST(length(path) AS INTEGER) AS depth, feature, round(threshold, 6
 
 
 @query("tree_many_classes", class_rows_sql(
-    "SELECT l_extendedprice, l_quantity, l_shipmode, l_orderkey AS y FROM lineitem",
-    [("l_extendedprice", "number"), ("l_quantity", "number"), ("l_shipmode", "text")], 3, 20))
+    "SELECT l_extendedprice, l_quantity, l_returnflag, l_orderkey AS y FROM lineitem",
+    [("l_extendedprice", "number"), ("l_quantity", "number"), ("l_returnflag", "text")], 3, 20))
 def many_classes(t: Tables) -> DataFrame:
     """One class per order."""
-    features = ["l_extendedprice", "l_quantity", "l_shipmode"]
+    features = ["l_extendedprice", "l_quantity", "l_returnflag"]
     model = DecisionTree(max_depth=3).fit(t.spread("lineitem"), features, "l_orderkey")
     return model.node_table(t.spark).select(
         "path", "depth", "feature", rounded("threshold"), "value", rounded("score", 9), rounded("impurity", 9), "n",
