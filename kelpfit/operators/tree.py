@@ -192,17 +192,12 @@ class GiniMeasure:
     def __init__(self, class_type: T.DataType):
         self.class_type = class_type
 
-    def added(self, df: DataFrame, keys: Sequence[str], classes: DataFrame, *more: Column) -> DataFrame:
-        """Statistics by ``keys`` from counts by class, which come on top of ``_before`` where it is there."""
-        n = F.col("n").cast("double")
-        before = F.col("_before").cast("double") if "_before" in df.columns else F.lit(0.0)
-        return df.join(classes, ["node", "cls"]).groupBy(*keys).agg(
-            F.sum("n").alias("n"), F.sum(n * n + 2 * before * n).alias("s"), F.sum(n * F.col("of_node")).alias("t"), *more)
-
-    def totals(self, classes: DataFrame) -> DataFrame:
-        n = F.col("of_node")
-        return classes.groupBy("node").agg(
-            F.sum(n).cast("long").alias("t_n"), F.sum(n * n).alias("t_s"), F.sum(n * n).alias("t_t"))
+    def added(self, df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+        """Statistics by ``keys`` from counts by class, which come on top of ``before`` where it is there."""
+        square = "n * n + 2 * before * n" if "before" in df.columns else "n * n"
+        return df.withColumn("n", F.col("n").cast("double")).groupBy(*keys).agg(
+            F.expr("cast(sum(n) as bigint)").alias("n"), F.expr(f"sum({square})").alias("s"),
+            F.expr("sum(n * of_node)").alias("t"), *more)
 
     def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
         (n, s, t), (all_n, all_s, _) = left, total
@@ -244,7 +239,7 @@ class SquaresMeasure:
     def __init__(self, mean: float):
         self.mean = mean
 
-    def added(self, df: DataFrame, keys: Sequence[str], classes: DataFrame | None, *more: Column) -> DataFrame:
+    def added(self, df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.names], *more)
 
     def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
@@ -306,15 +301,15 @@ class _Fit:
         """All splits of the root."""
         counter = self._counter([""])
         coarse = written(self._coarse(counter))
-        classes, totals = self._whole(coarse)
-        found = self._without_values(coarse, classes, totals, self.features)
+        totals = self._totals([""], coarse)
+        found = self._without_values(coarse, totals, self.features)
         numbers = [c for c in self.features if self.kinds[c] == "continuous"]
         if numbers:
-            starts, cuts = self._range_sums(coarse, classes, totals)
+            starts, cuts = self._range_sums(coarse, totals)
             wanted = np.ones((1, len(self.features), self.settings.ranges + 1), bool)
             found.append(self._between_ranges(cuts))
             found.append(self._between_values(
-                counter, wanted, self.nodes[""].n * len(numbers), starts, classes, cuts, every=True))
+                counter, wanted, self.nodes[""].n * len(numbers), starts, cuts, every=True))
         out = found[0]
         for one in found[1:]:
             out = out.unionByName(one)
@@ -388,16 +383,20 @@ class _Fit:
         return ["cls"] if self.measure.by_class else []
 
     def _coarse(self, counter: Counter) -> DataFrame:
-        return self._counted(counter, counter.coarse).groupBy("node", "f", "range", "category", *self._cls()).agg(
+        """Counts by range or category; with the node's own count of the class, if there are classes."""
+        rows = self._counted(counter, counter.coarse).groupBy("node", "f", "range", "category", *self._cls()).agg(
             *[F.sum(c).alias(c) for c in self._raw()], F.min("low").alias("low"), F.max("high").alias("high"))
+        if not self.measure.by_class:
+            return rows
+        return rows.withColumn("of_node", F.expr("cast(max(if(f = -1, n, 0)) over (partition by node, cls) as double)"))
 
-    def _whole(self, coarse: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-        """Class counts of whole nodes, and their statistics: one row per frontier node."""
-        rows = coarse.where("f = -1")
+    def _totals(self, frontier: list[str], coarse: DataFrame) -> DataFrame:
+        """Statistics of whole nodes: one row per frontier node."""
         if self.measure.by_class:
-            classes = rows.select("node", "cls", F.col("n").cast("double").alias("of_node"))
-            return classes, F.broadcast(self.measure.totals(classes))
-        return None, F.broadcast(rows.select("node", *[F.col(c).alias(f"t_{c}") for c in self.measure.names]))
+            rows = [(i, float(n), s, s) for i, p in enumerate(frontier) for n, s in [self.nodes[p].stats]]
+            return F.broadcast(coarse.sparkSession.createDataFrame(rows, "node int, t_n double, t_s double, t_t double"))
+        rows = coarse.where("f = -1")
+        return F.broadcast(rows.select("node", *[F.col(c).alias(f"t_{c}") for c in self.measure.names]))
 
     def _measure_leaves(self) -> None:
         """Squares of the leaves about their own means, in one pass."""
@@ -444,28 +443,31 @@ class _Fit:
         if not offered:
             return {}
         counter = self._counter(frontier)
-        coarse = self._coarse(counter).persist(StorageLevel.MEMORY_AND_DISK)
+        coarse, cuts = self._coarse(counter).persist(StorageLevel.MEMORY_AND_DISK), None
         try:
-            classes, totals = self._whole(coarse)
-            known = self._without_values(coarse, classes, totals, offered)
+            totals = self._totals(frontier, coarse)
+            known = self._without_values(coarse, totals, offered)
             numbers = any(self.kinds[c] == "continuous" for c in offered)
             if numbers:
-                starts, cuts = self._range_sums(coarse, classes, totals)
+                starts, cuts = self._range_sums(coarse, totals)
+                cuts = cuts.persist(StorageLevel.MEMORY_AND_DISK)
                 known.append(self._between_ranges(cuts))
             best = _lowest(known)
             if numbers:
-                best = _merge(best, self._inside_ranges(frontier, counter, starts, classes, cuts, best))
+                best = _merge(best, self._inside_ranges(frontier, counter, starts, cuts, best))
             return {frontier[i]: row for i, row in best.items()}
         finally:
             coarse.unpersist()
+            if cuts is not None:
+                cuts.unpersist()
 
-    def _without_values(self, coarse, classes, totals, offered) -> list[DataFrame]:
+    def _without_values(self, coarse, totals, offered) -> list[DataFrame]:
         """Candidates of the features that are not numbers."""
         of_kind = lambda kind: [self.features.index(c) for c in offered if self.kinds[c] == kind]
         out = []
         for kind, build in (("categorical", self._one_against_rest), ("binary", self._positive_against_negative)):
             if of_kind(kind):
-                rows = self.measure.added(coarse.where(F.col("f").isin(of_kind(kind))), ["node", "f", "category"], classes)
+                rows = self.measure.added(coarse.where(F.col("f").isin(of_kind(kind))), ["node", "f", "category"])
                 out.append(build(rows.join(totals, "node")))
         return out
 
@@ -481,20 +483,18 @@ class _Fit:
         ], *[F.first(f"t_{n}").alias(f"t_{n}") for n in self.measure.names])
         return self._candidates(sides, self._stats("l_"), F.lit(None), F.lit(s.positive), self._stats("r_"))
 
-    def _range_sums(self, coarse, classes, totals) -> tuple[DataFrame | None, DataFrame]:
+    def _range_sums(self, coarse, totals) -> tuple[DataFrame, DataFrame]:
         """Class counts before each range, and statistics of what lies before it."""
-        rows, starts = coarse.where(F.col("low").isNotNull()), None
+        rows = coarse.where(F.col("low").isNotNull())
         if self.measure.by_class:
-            w = Window.partitionBy("node", "f", "cls").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-            rows = rows.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-            starts = rows.select("node", "f", "range", "cls", "_before")
-        sums = self.measure.added(rows, ["node", "f", "range"], classes, F.min("low").alias("low"), F.max("high").alias("high"))
-        w = Window.partitionBy("node", "f").orderBy("range")
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        return starts, sums.withColumns({
-            **{f"b_{n}": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in self.measure.names},
-            "next_low": F.lead("low").over(w),
-        }).join(totals, "node")
+            rows = rows.withColumn("before", F.expr(
+                "cast(coalesce(sum(n) over (partition by node, f, cls order by range "
+                "rows between unbounded preceding and 1 preceding), 0) as double)"))
+        sums = self.measure.added(rows, ["node", "f", "range"], F.min("low").alias("low"), F.max("high").alias("high"))
+        w = "(partition by node, f order by range"
+        before = w + " rows between unbounded preceding and 1 preceding)"
+        return rows, sums.select("*", *[F.expr(f"coalesce(sum({n}) over {before}, 0)").alias(f"b_{n}") for n in self.measure.names],
+                                 F.expr(f"lead(low) over {w})").alias("next_low")).join(totals, "node")
 
     def _between_ranges(self, cuts: DataFrame) -> DataFrame:
         left = [b + s for b, s in zip(self._stats("b_"), self._stats())]
@@ -505,7 +505,7 @@ class _Fit:
         """Midpoint for class trees; regression trees cut at the upper value."""
         return (low + high) / 2 if self.measure.inclusive else high
 
-    def _inside_ranges(self, frontier, counter, starts, classes, cuts: DataFrame, best: dict) -> dict:
+    def _inside_ranges(self, frontier, counter, starts, cuts: DataFrame, best: dict) -> dict:
         """Thresholds between values of one range, where they may beat the known best.
 
         Splitting a range's rows off entirely can only lower the score, so the
@@ -527,47 +527,59 @@ class _Fit:
             rows += r["n"]
         if not rows:
             return {}
-        return _lowest([self._between_values(counter, wanted, int(rows), starts, classes, cuts)])
+        return _lowest([self._between_values(counter, wanted, int(rows), starts, cuts)])
 
-    def _between_values(self, counter: Counter, wanted: np.ndarray, rows: int, starts, classes, cuts: DataFrame,
+    def _between_values(self, counter: Counter, wanted: np.ndarray, rows: int, starts: DataFrame, cuts: DataFrame,
                         every: bool = False) -> DataFrame:
         """Candidates between neighbouring values of one range, for the wanted ranges and their number of rows.
 
         Without ``every`` only those that may be a node's best one.
         """
-        keys, names, cls = ["node", "f", "range"], self.measure.names, self._cls()
-        values = self._counted(counter, counter.values(wanted)).groupBy(*keys, "x", *cls).agg(
+        keys, names, by_class = ["node", "f", "range"], self.measure.names, self.measure.by_class
+        values = self._counted(counter, counter.values(wanted)).groupBy(*keys, "x", *self._cls()).agg(
             *[F.sum(c).alias(c) for c in self._raw()])
-        # slices of about equal size; their numbers must not change between reads, so they are written down
+        begun = cuts.select(*keys, *[F.col(f"b_{n}").cast("double").alias(f"b{i}") for i, n in enumerate(names)],
+                            *[F.col(f"t_{n}").cast("double").alias(f"t{i}") for i, n in enumerate(names)])
         slices = max(1, -(-rows // SLICE_ROWS))
+        if slices == 1:  # ranges are whole, and what lies before them is known
+            values, side = values.withColumn("part", F.lit(0)), begun.selectExpr("*", "0 as part", "cast(null as double) as next")
+            classes = starts.select(*keys, "cls", "before", "of_node") if by_class else None
+        else:
+            values, side, classes = self._sliced(values, slices, starts, begun)
+        if by_class:
+            side = classes.join(side, [c for c in classes.columns if c in side.columns])
+        # columns of its own: it descends from the values it meets again
+        side = side.select(*[F.col(c).alias(c) for c in side.columns])
+        score = SliceScorer(by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every)
+        found = values.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(
+            lambda left, right: score(left, right), SliceScorer.SCHEMA)
+        return found.select("node", F.struct(
+            self.measure.rank(F.col("score"), F.col("own")).alias("rank"), "f", "threshold",
+            F.lit(None).cast("string").alias("value"), "score", "left", "right", "own",
+            self.measure.rank(F.col("own"), F.col("own")).alias("own_rank")).alias("best"))
+
+    def _sliced(self, values: DataFrame, slices: int, starts: DataFrame, begun: DataFrame):
+        """Values in slices of about equal size, what lies before each slice, and by class."""
+        keys, cls = ["node", "f", "range"], self._cls()
+        # numbers of slices must not change between reads, so they are written down
         values = written(values.repartitionByRange(slices, *keys, "x").withColumn("part", F.spark_partition_id()))
         parts = values.groupBy(*keys, "part", *cls).agg(
             *[F.sum(c).alias(c) for c in self._raw()], F.min("x").alias("_first"))
+        classes = None
         if self.measure.by_class:
             w = Window.partitionBy(*keys, "cls").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
             parts = parts.withColumn("_so_far", F.coalesce(F.sum("n").over(w), F.lit(0))).join(
-                starts, [*keys, "cls"]).withColumn("_before", F.col("_so_far") + F.col("_before"))
+                starts.select(*keys, "cls", F.col("before").alias("_start"), "of_node"), [*keys, "cls"]).withColumn(
+                "before", F.col("_so_far") + F.col("_start"))
+            classes = parts.select(*keys, "part", "cls", "before", "of_node")
         w = Window.partitionBy(*keys).orderBy("part")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
-        side = self.measure.added(parts, [*keys, "part"], classes, F.min("_first").alias("_first")).select(
+        side = self.measure.added(parts, [*keys, "part"], F.min("_first").alias("_first")).select(
             *keys, "part", F.lead("_first").over(w).alias("next"),
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{i}") for i, n in enumerate(names)]).join(
-            cuts.select(*keys, *[f"b_{n}" for n in names], *[F.col(f"t_{n}").alias(f"t{i}") for i, n in enumerate(names)]),
-            keys).select(
-            *keys, "part", "next", *[(F.col(f"_o{i}") + F.col(f"b_{n}")).cast("double").alias(f"b{i}")
-                                     for i, n in enumerate(names)], *[F.col(f"t{i}").cast("double").alias(f"t{i}") for i in range(3)])
-        if self.measure.by_class:
-            side = parts.select(*keys, "part", "cls", F.col("_before").alias("before")).join(
-                classes, ["node", "cls"]).join(side, [*keys, "part"])
-        # columns of its own: it descends from the values it meets again
-        side = side.select(*[F.col(c).alias(c) for c in side.columns])
-        score = SliceScorer(self.measure.by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every)
-        found = values.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(
-            lambda left, right: score(left, right), SliceScorer.SCHEMA)
-        return found.select("node", F.struct(
-            self.measure.rank(F.col("score"), F.col("own")).alias("rank"), "f", "threshold",
-            F.lit(None).cast("string").alias("value"), "score", "left", "right", "own",
-            self.measure.rank(F.col("own"), F.col("own")).alias("own_rank")).alias("best"))
+            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{i}") for i, n in enumerate(self.measure.names)])
+        side = side.join(begun, keys).select(
+            *keys, "part", "next", *[(F.col(f"_o{i}") + F.col(f"b{i}")).alias(f"b{i}") for i in range(3)], "t0", "t1", "t2")
+        return values, side, classes
 
 
 def _lowest(tables: list[DataFrame]) -> dict[int, dict]:

@@ -274,6 +274,10 @@ class SliceScorer:
         read = lambda table, name: table.column(name).to_numpy()
         place = lambda table: (read(table, "node").astype(np.int64) << 40) + (
             read(table, "f").astype(np.int64) << 20) + read(table, "range")
+        if not len(values):
+            return pa.table({n: pa.nulls(0, t) for n, t in zip(
+                ("node", "f", "threshold", "score", "own", "left", "right"),
+                (pa.int32(), pa.int32(), *[pa.float64()] * 3, *[pa.list_(pa.float64())] * 2))})
         known, first = np.unique(place(side), return_index=True)
         group, x = np.searchsorted(known, place(values)), read(values, "x")
         n = read(values, "n").astype(float)
