@@ -31,14 +31,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+#: Short rows in a file of a stored table whose number of rows is bounded.
+FILE_ROWS = 500_000
+
+
+def stored(df: DataFrame, label: str, most: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: executors lost later read the files again. Unlike
-    ``checkpoint()``, the rows are computed once and stay columnar.
+    ``checkpoint()``, the rows are computed once and stay columnar. Where ``most`` bounds
+    the number of (short) rows, they are written by as few tasks as that many rows need.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // FILE_ROWS)))
     df.write.parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)

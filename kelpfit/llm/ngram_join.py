@@ -295,7 +295,15 @@ def _tree_links(rids: list[int], texts: list[str], groups: list[int], n: int, pe
         yield rids[i], rids[j], overlap, len(sets[i]) + len(sets[j]) - overlap
 
 
-def links_in_blocks(docs: DataFrame, assigned: DataFrame, n: int, percent: int) -> DataFrame:
+def _by_block(rows: DataFrame, most: int | None, per_task: int) -> DataFrame:
+    """Rows of a block together, in no more tasks than ``most`` rows are worth."""
+    rows = rows.repartition("block")
+    if most is not None:
+        rows = rows.coalesce(most // per_task + 1)
+    return rows.sortWithinPartitions("block", "_rid")
+
+
+def links_in_blocks(docs: DataFrame, assigned: DataFrame, n: int, percent: int, most: int | None = None) -> DataFrame:
     """a, b, overlap, total: links inside blocks. ``assigned`` has _rid, block, group (joined before)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,11 +324,10 @@ def links_in_blocks(docs: DataFrame, assigned: DataFrame, n: int, percent: int)
     # texts of documents in no block mostly stop at a table of fixed length
     near = docs.join(F.broadcast(assigned.select(_bucket("_rid")).distinct()), _bucket("_rid") == F.col("_bucket"), "left_semi")
     rows = near.select("_rid", "_text").join(assigned, "_rid").select("block", "_rid", "_text", "group")
-    return rows.repartition("block").sortWithinPartitions("block", "_rid").mapInArrow(
-        scan, "a long, b long, overlap long, total long")
+    return _by_block(rows, most, BLOCK_DOCS).mapInArrow(scan, "a long, b long, overlap long, total long")
 
 
-def sketches_in_blocks(rows: DataFrame, assigned: DataFrame, percent: int) -> DataFrame:
+def sketches_in_blocks(rows: DataFrame, assigned: DataFrame, percent: int, most: int | None = None) -> DataFrame:
     """a, b: pairs inside blocks whose sketches agree in as many places as linked sets must.
 
     Two sets that differ in d n-grams differ in d segments at most, so this drops no
@@ -377,7 +384,7 @@ def sketches_in_blocks(rows: DataFrame, assigned: DataFrame, percent: int) -> Da
 
     near = assigned.join(rows.select("_rid", "n_ngrams", "cls", "sketch", "more_sketch"), "_rid").select(
         "block", "_rid", "n_ngrams", "cls", "sketch", "more_sketch", "group")
-    return near.repartition("block").sortWithinPartitions("block", "_rid").mapInArrow(scan, "a long, b long")
+    return _by_block(near, most, SKETCH_DOCS // 4).mapInArrow(scan, "a long, b long")
 
 
 def _dealt(members: DataFrame, by: list[str], docs_most: int, ngrams_most: int) -> DataFrame:
@@ -388,29 +395,33 @@ def _dealt(members: DataFrame, by: list[str], docs_most: int, ngrams_most: int)
     return members.join(totals, by).withColumn("part", F.pmod(F.xxhash64("_rid"), F.col("parts")))
 
 
-def _linked_in_clusters(members: DataFrame, join: Callable[[DataFrame], DataFrame], block_docs: int,
+def _linked_in_clusters(members: DataFrame, join: Callable[[DataFrame, int | None], DataFrame], block_docs: int,
                         block_ngrams: int) -> DataFrame:
     """Links that connect all that is linked inside each cluster. ``members``: _rid, cluster, n_ngrams.
 
-    ``join`` finds links inside the blocks of a table _rid, block, group, at least
-    enough of them to connect what is linked and in different groups.
+    ``join`` finds links inside the blocks of a table _rid, block, group of a number of
+    rows, at least enough of them to connect what is linked and in different groups.
     """
     members = stored(_dealt(members, ["cluster"], block_docs, block_ngrams), "members")
     links = stored(join(members.select(
-        "_rid", F.xxhash64("cluster", "part").alias("block"), F.col("_rid").alias("group"))), "links")
+        "_rid", F.xxhash64("cluster", "part").alias("block"), F.col("_rid").alias("group")), members.count()), "links")
     large = members.where("parts > 1").drop("part", "parts")
-    if not large.limit(1).count():
+    most = large.count()
+    if not most:
         return links
+    # large clusters are few: only their own links are followed here
+    inside = large.select(F.col("_rid").alias("a"))
 
     def labelled() -> DataFrame:
-        roots = components(links.select("a", "b")).select(F.col("node").alias("_rid"), "root")
+        within = links.select("a", "b").join(inside, "a", "left_semi")
+        roots = components(within, links.count()).select(F.col("node").alias("_rid"), "root")
         found = large.join(roots, "_rid", "left").withColumn("group", F.coalesce("root", "_rid")).drop("root")
         several = found.groupBy("cluster").agg(F.min("group").alias("_x"), F.max("group").alias("_y")).where("_x <> _y")
-        return stored(found.join(several.select("cluster"), "cluster"), "labelled")
+        return stored(found.join(several.select("cluster"), "cluster"), "labelled", most)
 
     # one document of every component first: large groups of near copies fall together here
     heads = _dealt(labelled().where("_rid = group"), ["cluster"], block_docs, block_ngrams)
-    more = join(heads.select("_rid", F.xxhash64("cluster", "part").alias("block"), "group"))
+    more = join(heads.select("_rid", F.xxhash64("cluster", "part").alias("block"), "group"), most)
     links = stored(links.unionByName(more), "links")
     rest = labelled()
     if not rest.limit(1).count():
@@ -419,7 +430,7 @@ def _linked_in_clusters(members: DataFrame, join: Callable[[DataFrame], DataFram
     half = max(1, block_docs // 2)
     sizes = rest.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("_size"))
     rest = rest.join(sizes, ["cluster", "group"]).withColumn("pure", F.when(F.col("_size") >= half, F.col("group")))
-    rest = stored(_dealt_pure(rest, half, block_ngrams // 2), "pieces")
+    rest = stored(_dealt_pure(rest, half, block_ngrams // 2), "pieces", most)
     blocks = rest.select("cluster", "piece", "pure").distinct()
     left, right = blocks.alias("l"), blocks.alias("r")
     pairs = left.join(right, (F.col("l.cluster") == F.col("r.cluster")) & (F.col("l.piece") <= F.col("r.piece"))
@@ -428,7 +439,7 @@ def _linked_in_clusters(members: DataFrame, join: Callable[[DataFrame], DataFram
         "block", F.xxhash64("x", "y")), "pairs")
     sides = pairs.select(F.col("x").alias("piece"), "block").unionByName(
         pairs.where("x <> y").select(F.col("y").alias("piece"), "block"))
-    last = join(rest.join(sides, "piece").select("_rid", "block", "group"))
+    last = join(rest.join(sides, "piece").select("_rid", "block", "group"), pairs.count() * block_docs)
     return stored(links.unionByName(last), "links")
 
 
@@ -437,14 +448,14 @@ def all_links(docs: DataFrame, rows: DataFrame, n: int, percent: int, block_docs
     """Links that connect every component: a, b, overlap, total. ``rows``: one per distinct set."""
     sizes = rows.select("_rid", "n_ngrams")
 
-    def clustered(edges: DataFrame) -> DataFrame:
-        return components(edges.select("a", "b")).select(
+    def clustered(edges: DataFrame, most: int | None = None) -> DataFrame:
+        return components(edges.select("a", "b"), most).select(
             F.col("node").alias("_rid"), F.col("root").alias("cluster")).join(sizes, "_rid")
 
     # clusters by shared segments also hold documents that merely have passages in common
     near = _linked_in_clusters(clustered(candidate_edges(rows)),
-                               lambda b: sketches_in_blocks(rows, b, percent), sketch_docs, SKETCH_NGRAMS)
-    return _linked_in_clusters(clustered(near), lambda b: links_in_blocks(docs, b, n, percent),
+                               lambda b, most: sketches_in_blocks(rows, b, percent, most), sketch_docs, SKETCH_NGRAMS)
+    return _linked_in_clusters(clustered(near, near.count()), lambda b, most: links_in_blocks(docs, b, n, percent, most),
                                block_docs, BLOCK_NGRAMS)
 
 
@@ -480,7 +491,8 @@ def ngram_components(docs: DataFrame, words: int = 3, percent: int = 90, block_d
     firsts = unsure.join(classes.select(F.col("class_rid").alias("_rid")), "_rid", "left_semi")
     single = rows.where("n_ngrams > 0").join(doubled, on, "left_anti")
     links = all_links(texts, single.unionByName(firsts), words, percent, block_docs, 16 * block_docs)
-    roots = components(links.select("a", "b")).select(F.col("node").alias("class_rid"), F.col("root").alias("root_rid"))
+    roots = components(links.select("a", "b"), links.count()).select(
+        F.col("node").alias("class_rid"), F.col("root").alias("root_rid"))
     classes = stored(classes.join(roots, "class_rid", "left").withColumn(
         "root_rid", F.coalesce("root_rid", "class_rid")), "classes")
     smallest = classes.groupBy("root_rid").agg(F.min("_doc").alias("component_id"))
