@@ -6,6 +6,10 @@ language has seen are kept in sorted arrays of hashes, with one column of
 log-probabilities per language. A text goes to the language with the lowest
 cross-entropy per character. How high that may be before the answer counts as
 doubtful is calibrated per language on labelled texts that the models have not seen.
+
+Languages are estimated and looked up in groups of bounded size, one broadcast each, so
+there may be any number of them; a text carries its best language so far from group
+to group. All groups share one alphabet, so their probabilities compare.
 """
 
 from __future__ import annotations
@@ -19,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpfit.llm.common import numbered, text_of
+from kelpfit.llm.common import numbered, stored, text_of
 
 #: Labelled documents per language that the models are fitted on: a hash of the
 #: doc_id picks them, so their number is near this bound for any size of input.
 FIT_DOCS = 2000
 #: The same for calibration, on a part that is not fitted on.
 CALIBRATION_DOCS = 500
-#: Languages that can be learned: the most frequent ones. This bounds the model.
-MAX_LANGUAGES = 256
+#: Languages whose models are held and looked up together; more take further looks.
+GROUP = 64
 DISCOUNT = 0.75
 UNKNOWN = "und"
 _SPACE = 32
@@ -148,8 +152,9 @@ class Model:
         return -totals / np.maximum(counts, 1)[:, None], has
 
 
-def _estimate(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], discount: float) -> Model:
-    """Model from sorted trigram codes and counts of every language."""
+def _estimate(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray]], discount: float,
+              alphabet: np.ndarray | None = None) -> Model:
+    """Model from sorted trigram codes and counts of every language, over the characters of all languages."""
     one, two = _SHIFT, _SHIFT * np.uint64(2)
     mask1, mask2 = (np.uint64(1) << one) - np.uint64(1), (np.uint64(1) << two) - np.uint64(1)
 
@@ -157,7 +162,7 @@ def _estimate(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarr
         return np.unique(np.concatenate(parts))
 
     tri = union([g for g, _ in counts.values()])
-    bi, uni = union([tri & mask2]), union([tri & mask1])
+    bi, uni = union([tri & mask2]), union([tri & mask1]) if alphabet is None else alphabet
     context, single = union([tri >> one]), union([(tri & mask2) >> one])
     shape = len(languages)
     uni_p, bi_p = np.zeros((len(uni), shape)), np.zeros((len(bi), shape))
@@ -194,28 +199,32 @@ def _estimate(languages: list[str], counts: dict[str, tuple[np.ndarray, np.ndarr
                  single, single_back, uni, uni_p, floor)
 
 
-def _picked(lang: str, limits: dict[str, float]) -> Column:
-    """Rows of a language whose doc_id hashes below its share."""
-    share = F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col(lang))
-    return F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30)
+def _picked(share: str) -> Column:
+    """Rows whose doc_id hashes below a share."""
+    return F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < F.col(share) * (1 << 30)
 
 
-def fit(labelled: DataFrame, calibrate: Column, fit_docs: int = FIT_DOCS,
-        calibration_docs: int = CALIBRATION_DOCS, discount: float = DISCOUNT) -> Model | None:
-    """Model of the languages in ``labelled`` (doc_id, _text, lang without nulls); None if there are none.
+def fit(labelled: DataFrame, calibrate: Column, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS,
+        discount: float = DISCOUNT, group: int = GROUP) -> list[Model]:
+    """Models of all languages in ``labelled`` (doc_id, _text, lang without nulls), ``group`` of them in each.
 
-    Rows where ``calibrate`` holds only set the rejection limits. Both parts are
-    bounded in documents per language (see the constants); trigrams are counted by
-    Spark and only the counts of the bounded part reach the driver.
+    Rows where ``calibrate`` holds only set the rejection limits, unless a language has no
+    other rows. Both parts are bounded in documents per language (see the constants);
+    trigrams are counted by Spark and only the counts of one group's bounded part are in
+    the driver at a time. A language without a letter in its part has no model. Without
+    labelled rows the list is empty.
     """
+    labelled = labelled.select("doc_id", "_text", F.col("lang").cast("string").alias("lang"),
+                               F.coalesce(calibrate, F.lit(False)).alias("_check"))
     sizes = labelled.groupBy("lang").agg(
-        F.count(F.when(~calibrate, 1)).alias("n"), F.count(F.when(calibrate, 1)).alias("m")).where("n > 0")
-    sizes = sizes.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return None
-    share = {r["lang"]: min(1.0, fit_docs / r["n"]) for r in sizes}
-    check = {r["lang"]: min(1.0, calibration_docs / max(1, r["m"])) for r in sizes}
-    named = labelled.where(F.col("lang").isin(list(share)))
+        F.count(F.when(~F.col("_check"), 1)).alias("n"), F.count(F.when(F.col("_check"), 1)).alias("m"))
+    sizes = stored(sizes.select(
+        "lang", (F.col("n") == 0).alias("_only"),
+        F.least(F.lit(1.0), fit_docs / F.when(F.col("n") > 0, F.col("n")).otherwise(F.col("m"))).alias("_fit_share"),
+        F.least(F.lit(1.0), calibration_docs / F.greatest(F.col("m"), F.lit(1))).alias("_check_share")), "languages")
+    # one short row per language
+    named = labelled.join(F.broadcast(sizes), "lang")
+    use = (~F.col("_check") | F.col("_only")) & _picked("_fit_share")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,66 +237,87 @@ def fit(labelled: DataFrame, calibrate: Column, fit_docs: int = FIT_DOCS,
                     pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n)],
                     names=["lang", "gram", "n"])
 
-    grams = named.where(~calibrate & _picked("lang", share)).select("_text", "lang").mapInArrow(
-        count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    counts = {}
-    for lang, part in grams.groupby("lang"):
-        order = np.argsort(part["gram"].to_numpy().view(np.uint64))
-        counts[lang] = (part["gram"].to_numpy().view(np.uint64)[order], part["n"].to_numpy()[order])
-    if not counts:
-        return None
-    model = _estimate(sorted(counts), counts, discount)
+    grams = named.where(use).select("_text", "lang").mapInArrow(count, "lang string, gram long, n long")
+    grams = stored(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    languages = [r["lang"] for r in grams.select("lang").distinct().orderBy("lang").collect()]
+    characters = grams.select(F.col("gram").bitwiseAND(F.lit((1 << 21) - 1)).alias("c")).distinct().collect()
+    alphabet = np.array(sorted(r["c"] for r in characters), np.uint64)
+    models = []
+    for first in range(0, len(languages), group):
+        some, counts = languages[first:first + group], {}
+        for lang, part in grams.where(F.col("lang").isin(some)).toPandas().groupby("lang"):
+            order = np.argsort(part["gram"].to_numpy().view(np.uint64))
+            counts[lang] = (part["gram"].to_numpy().view(np.uint64)[order], part["n"].to_numpy()[order])
+        models.append(_estimate(some, counts, discount, alphabet))
+    floor = min((m.floor for m in models), default=0.0)
+    for model in models:
+        model.floor = floor
+        model.limit = _limits(named, model)
+    return models
+
+
+def _limits(named: DataFrame, model: Model) -> np.ndarray:
+    """Entropies beyond which a text is doubtful, from texts of each language that were not fitted on."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits, has = model.entropies(batch.column("_text").to_pylist())
-            own = [model.languages.index(x) if x in model.languages else 0 for x in batch.column("lang").to_pylist()]
+            own = [model.languages.index(x) for x in batch.column("lang").to_pylist()]
             yield pa.record_batch([
                 batch.column("lang"), pa.array(bits[np.arange(len(own)), own]), pa.array(has)], names=["lang", "bits", "has"])
 
-    seen = named.where(calibrate & _picked("lang", check)).select("_text", "lang").mapInArrow(
-        measure, "lang string, bits double, has boolean").where("has").groupBy("lang").agg(
-        F.avg("bits").alias("mean"), F.stddev_pop("bits").alias("sd")).collect()
+    rows = named.where(F.col("_check") & ~F.col("_only") & F.col("lang").isin(model.languages) & _picked("_check_share"))
+    seen = rows.select("_text", "lang").mapInArrow(measure, "lang string, bits double, has boolean").where("has").groupBy(
+        "lang").agg(F.avg("bits").alias("mean"), F.stddev_pop("bits").alias("sd")).collect()
     known = {r["lang"]: r["mean"] + 4 * r["sd"] + 0.25 for r in seen}
-    model.limit = np.array([known.get(x, np.inf) for x in model.languages])
-    return model
+    return np.array([known.get(x, np.inf) for x in model.languages])
 
 
-def predicted(docs: DataFrame, model: Model | None, sharpness: float = 8.0) -> DataFrame:
+def predicted(docs: DataFrame, models: list[Model], sharpness: float = 8.0) -> DataFrame:
     """Language of every text.
 
     Takes ``doc_id`` and ``text``; other columns are ignored, ``lang`` too. Returns
     one row per input row: _rid, doc_id, lang_pred, score, bits, accepted. Texts
     that are null or have no letter, and all texts if there is no model, get
-    ``und``, score 0 and null bits. ``score`` is the share of the winner when
-    entropies are weighed by 2 ^ -(sharpness * bits); ties go to the first language by
-    name. ``accepted`` is false where the entropy is above the winner's calibrated
-    limit. Repeated rows get the same answer; an empty table gives an empty result.
+    ``und``, score 0 and null bits; a very long text is read whole. ``score`` is the share
+    of the winner when entropies are weighed by 2 ^ -(sharpness * bits); ties go to the
+    first language by name. ``accepted`` is false where the entropy is above the winner's
+    calibrated limit. Repeated rows get the same answer; an empty table gives an empty
+    result.
     """
     id_type = dict(docs.dtypes)["doc_id"]
-    rows = numbered(docs.select("doc_id", "text")).select("_rid", "doc_id", text_of("text").alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fitted sample
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                size = part.num_rows
-                names, score = [UNKNOWN] * size, np.zeros(size)
-                bits, fine = [None] * size, np.zeros(size, bool)
-                if m is not None:
+    rows = numbered(docs.select("doc_id", "text")).select(
+        "_rid", "doc_id", text_of("text").alias("_text"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("_weight"),
+        F.lit(None).cast("double").alias("bits"), F.lit(False).alias("accepted"))
+    schema = f"_rid long, doc_id {id_type}, _text string, lang_pred string, _weight double, bits double, accepted boolean"
+
+    def look(shared):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 512):
+                    part = batch.slice(lo, 512)
                     h, has = m.entropies(part.column("_text").to_pylist())
                     best = h.argmin(axis=1)
-                    low = h[np.arange(size), best]
-                    score = np.where(has, 1 / np.exp2(-sharpness * (h - low[:, None])).sum(axis=1), 0.0)
-                    names = [m.languages[b] if ok else UNKNOWN for b, ok in zip(best, has)]
-                    bits = [float(x) if ok else None for x, ok in zip(low, has)]
-                    fine = has & (low <= m.limit[best])
-                yield pa.record_batch([
-                    part.column("_rid"), part.column("doc_id"), pa.array(names, pa.string()), pa.array(score),
-                    pa.array(bits, pa.float64()), pa.array(fine)],
-                    names=["_rid", "doc_id", "lang_pred", "score", "bits", "accepted"])
-
-    return rows.mapInArrow(
-        scan, f"_rid long, doc_id {id_type}, lang_pred string, score double, bits double, accepted boolean")
+                    low = h[np.arange(len(h)), best]
+                    before = np.array([np.inf if x is None else x for x in part.column("bits").to_pylist()])
+                    least = np.minimum(low, before)
+                    # weights are relative to the lowest entropy so far
+                    known = np.where(np.isinf(before), 0.0, part.column("_weight").to_numpy() * np.exp2(
+                        -sharpness * (np.where(np.isinf(before), 0.0, before) - least)))
+                    weight = known + np.exp2(-sharpness * (h - least[:, None])).sum(axis=1)
+                    new = has & (low < before)
+                    names = [m.languages[b] if n else x for n, b, x in zip(new, best, part.column("lang_pred").to_pylist())]
+                    fine = np.where(new, low <= m.limit[best], part.column("accepted").to_numpy(zero_copy_only=False))
+                    yield pa.record_batch([
+                        part.column("_rid"), part.column("doc_id"), part.column("_text"), pa.array(names, pa.string()),
+                        pa.array(np.where(has, weight, 0.0)), pa.array(np.where(has, least, 0.0), mask=~has),
+                        pa.array(fine.astype(bool))],
+                        names=["_rid", "doc_id", "_text", "lang_pred", "_weight", "bits", "accepted"])
+        return scan
+
+    for model in models:
+        # bounded by the fitted sample of a group
+        rows = rows.mapInArrow(look(docs.sparkSession.sparkContext.broadcast(model)), schema)
+    score = F.when(F.col("_weight") > 0, 1 / F.col("_weight")).otherwise(0.0)
+    return rows.select("_rid", "doc_id", "lang_pred", score.alias("score"), "bits", "accepted")

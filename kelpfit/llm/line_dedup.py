@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.llm.common import numbered, stored, text_of
@@ -24,6 +24,10 @@ from kelpfit.llm.common import numbered, stored, text_of
 #: 30 million keys it fills up, and more lines count as suspects; results stay the same.
 FILTER_BITS = 1 << 27
 HASHES = 2
+#: Length of the broadcast table of row numbers, which tells most texts that they lose nothing.
+BUCKETS = 1 << 20
+#: Line keys with more than this share (one in so many) of all suspects are joined by broadcast.
+HOT_KEYS = 1000
 SEGMENT_BITS = 1 << 18
 BLANKS = b" \t\n\v\f\r"
 
@@ -163,6 +167,14 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["_rid", "doc_id", "n_lines", "n_dropped", "kept_text"])
 
 
+def _matched(found: DataFrame, common: DataFrame) -> DataFrame:
+    """Suspects whose key is common. The hottest keys, a bounded number, are joined without a shuffle."""
+    # at most HOT_KEYS keys can have more than one in HOT_KEYS suspects each
+    hot = F.broadcast(common.where(F.col("_keys") > found.count() / HOT_KEYS))
+    rest = found.join(hot.select("key"), "key", "left_anti").join(common, "key")
+    return found.join(hot, "key").unionByName(rest)
+
+
 def drop_repeated_lines(docs: DataFrame, min_count: int = 10, min_chars: int = 1, keep: str = "none",
                         bits: int = FILTER_BITS) -> DataFrame:
     """Remove lines whose key is common.
@@ -172,8 +184,9 @@ def drop_repeated_lines(docs: DataFrame, min_count: int = 10, min_chars: int = 1
     found in ``min_count`` documents or more loses all its lines everywhere; with
     ``keep="first"`` a key with ``min_count`` lines or more keeps the first of them
     (by row, then line). Keys below ``min_chars`` code points are never dropped. A
-    null or empty text is one empty line. Repeated rows are documents of their own,
-    null ids stay null, an empty table gives an empty result.
+    null or empty text is one empty line, a very long one is split whole. Repeated rows
+    are documents of their own, null ids stay null, an empty table gives an empty
+    result. Only suspected keys, and texts that lose a line, are shuffled.
     """
     if keep not in ("none", "first"):
         raise ValueError("keep must be 'none' or 'first'")
@@ -184,11 +197,25 @@ def drop_repeated_lines(docs: DataFrame, min_count: int = 10, min_chars: int = 1
     found = stored(suspects(rows, bitmap, min_chars, bits), "suspects")
     seen = F.count(F.lit(1)) if keep == "none" else F.sum(F.size("lines"))
     first = F.min(F.struct("_rid", F.element_at("lines", 1).alias("line")))
-    common = found.groupBy("key").agg(seen.alias("_n"), first.alias("_first")).where(F.col("_n") >= min_count)
+    common = found.groupBy("key").agg(seen.alias("_n"), first.alias("_first"), F.count(F.lit(1)).alias("_keys")).where(
+        F.col("_n") >= min_count)
+    common = stored(common, "common")
     lines = F.col("lines")
     if keep == "first":
         lines = F.when(F.col("_first._rid") == F.col("_rid"), F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).otherwise(lines)
-    drop = found.join(common, "key").select("_rid", lines.alias("_lines"))
-    drop = drop.groupBy("_rid").agg(F.flatten(F.collect_list("_lines")).alias("_drop"))
-    return rows.join(drop, "_rid", "left").select("_rid", "doc_id", "_text", "_drop").mapInArrow(
-        _rebuild, "_rid long, doc_id " + dict(docs.dtypes)["doc_id"] + ", n_lines long, n_dropped long, kept_text string")
+    drop = _matched(found, common).select("_rid", lines.alias("_lines"))
+    drop = stored(drop.groupBy("_rid").agg(F.flatten(F.collect_list("_lines")).alias("_drop")), "drops")
+    # most texts lose nothing; a table of fixed length lets them stay where they are
+    touched = F.broadcast(drop.select(_bucket()).distinct())
+    on = _bucket() == F.col("_bucket")
+    id_type = dict(docs.dtypes)["doc_id"]
+    cut = rows.join(touched, on, "left_semi").join(drop, "_rid", "left").select("_rid", "doc_id", "_text", "_drop").mapInArrow(
+        _rebuild, f"_rid long, doc_id {id_type}, n_lines long, n_dropped long, kept_text string")
+    whole = rows.join(touched, on, "left_anti").select(
+        "_rid", "doc_id", (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_dropped"), F.col("_text").alias("kept_text"))
+    return cut.unionByName(whole)
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("_rid"), F.lit(BUCKETS)).cast("int").alias("_bucket")

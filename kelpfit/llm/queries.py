@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from kelpfit.llm import (
     bpe, chat, exact_dedup, hard_negatives, html_text, language_id, line_dedup, mixing, ngram_join, packing, periodic,
     quality, sharding)
-from kelpfit.llm.common import WORD, hex_sha256, text_of
+from kelpfit.llm.common import WORD, hex_sha256, shared_folder, text_of
 from kelpfit.plans.registry import sql_uniform
 from kelpfit.session import ship_package
 
@@ -62,7 +63,8 @@ def exact_dedup_query(spark, sf_dir):
 
 @query("op5_shard_by_bytes")
 def shard_query(spark, sf_dir):
-    rows = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
+    folder = f"{shared_folder(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex}"
+    rows = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=24, folder=folder)
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
@@ -136,21 +138,66 @@ j AS (SELECT doc_id, kind, lang, sqrt(greatest(sum(
       FROM (SELECT doc_id, kind, i, n / total AS p FROM h WHERE total > 0) JOIN q USING (kind, i) GROUP BY ALL),
 e AS (SELECT doc_id, min(distance) FILTER (kind = 'class') AS cd, min(distance) FILTER (kind = 'word') AS wd
       FROM j GROUP BY doc_id),
+{_share_sql()},
 f AS (SELECT b.*, CASE WHEN chars >= {quality.MIN_CLASS_CHARS} THEN cd END AS cd,
-             CASE WHEN n_words >= {quality.MIN_COMMON_WORDS} THEN wd END AS wd FROM b LEFT JOIN e USING (doc_id))
+             CASE WHEN n_words >= {quality.MIN_COMMON_WORDS} THEN wd END AS wd, short
+      FROM b LEFT JOIN e USING (doc_id) LEFT JOIN least_short USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       round(cd, 6) AS class_distance, round(wd, 6) AS word_distance,
+       round(cd, 6) AS class_distance, round(wd, 6) AS word_distance, round(short, 6) AS common_shortfall,
        NOT base_failed AND coalesce(cd, 0) <= {quality.MAX_CLASS_DISTANCE}
-       AND coalesce(wd, 0) <= {quality.MAX_WORD_DISTANCE} AS kept
+       AND coalesce(wd, 0) <= {quality.MAX_WORD_DISTANCE} AND coalesce(short, 0) <= {quality.MAX_SHORTFALL} AS kept
 FROM f"""
 
 
+def _short_sql(common: str, share: str, spread: str) -> str:
+    """Standard deviations by which a text has fewer common words than a share of its words."""
+    return (f"CASE WHEN 2 * {common} >= n_words * {share} THEN 0::DOUBLE WHEN n_words > 0 THEN (n_words * {share} - {common}) "
+            f"/ ({spread} * sqrt(n_words * {share} * (1 - {share}))) END")
+
+
+def _share_sql() -> str:
+    """Median share of common words and its spread by language, in rounds, and every text's least shortfall."""
+    at = {w: i for i, w in enumerate(quality.vocabulary())}
+    listed = ", ".join(f"('{k}', {at[w]})" for k, words in quality.COMMON_WORDS.items() for w in words)
+    steps, per = quality.SHARE_STEPS, quality.DEVIATION_STEPS
+    sql = f"""cw(lang, i) AS (VALUES {listed}),
+oc AS MATERIALIZED (
+  SELECT b.doc_id, b.lang AS own, l.lang, n_words, coalesce(sum(m.n), 0)::BIGINT AS c
+  FROM b CROSS JOIN (SELECT DISTINCT lang FROM cw) l
+       LEFT JOIN (SELECT doc_id, cw.lang, n FROM m JOIN cw USING (i)) m ON m.doc_id = b.doc_id AND m.lang = l.lang
+  GROUP BY ALL),
+w0 AS MATERIALIZED (
+  SELECT oc.doc_id, oc.lang, greatest(oc.n_words, 1) AS n, oc.n_words, c FROM oc JOIN b USING (doc_id)
+  WHERE own = oc.lang AND NOT base_failed AND oc.lang IN (SELECT lang FROM q)),
+k0 AS (SELECT NULL::VARCHAR AS lang, NULL::DOUBLE AS share, NULL::DOUBLE AS spread WHERE FALSE)"""
+    for r in range(1, quality.SHARE_ROUNDS + 1):
+        quantile = lambda t, q: f"""(SELECT lang, min(step) AS step FROM (
+    SELECT lang, step, sum(n) OVER (PARTITION BY lang ORDER BY step) AS upto, sum(n) OVER (PARTITION BY lang) AS total
+    FROM (SELECT lang, step, count(*) AS n FROM {t} GROUP BY ALL)) WHERE upto >= {q}::DOUBLE * total GROUP BY lang)"""
+        sql += f""",
+w{r} AS MATERIALIZED (
+  SELECT w0.*, least(greatest(floor(c * {steps} / n), -{steps}), {steps})::INTEGER AS step FROM w0 LEFT JOIN k{r - 1} USING (lang)
+  WHERE coalesce({_short_sql('c', 'share', 'spread')}, 0) <= {quality.MAX_SHORTFALL}),
+s{r} AS MATERIALIZED (
+  SELECT lang, (step + 0.5::DOUBLE) / {steps} AS share FROM {quantile(f'w{r}', 0.5)} WHERE step > 0 AND (step + 0.5::DOUBLE) / {steps} < 1),
+d{r} AS MATERIALIZED (
+  SELECT lang, least(greatest(floor(coalesce((c - n * share) / sqrt(n * share * (1 - share)) * {per}, 0)), -{1000 * per}),
+                     {1000 * per})::INTEGER AS step
+  FROM w{r} LEFT JOIN s{r} USING (lang)),
+k{r} AS MATERIALIZED (
+  SELECT lang, share, greatest(1::DOUBLE, (h.step - l.step)::DOUBLE / {per} / 1.2816::DOUBLE) AS spread
+  FROM s{r} JOIN {quantile(f'd{r}', 0.9)} h USING (lang) JOIN {quantile(f'd{r}', 0.5)} l USING (lang))"""
+    last = f"k{quality.SHARE_ROUNDS}"
+    return sql + f""",
+least_short AS (SELECT doc_id, min({_short_sql('c', 'share', 'spread')}) AS short FROM oc JOIN {last} USING (lang)
+                WHERE own IN (SELECT lang FROM {last}) GROUP BY doc_id)"""
+
+
 @query("op4_quality_rules", _quality_sql())
 def quality_query(spark, sf_dir):
-    # the SQL has no common_shortfall: its verdict is that of the distances alone
-    return quality.judged_by_distance(table(spark, sf_dir, "documents")).select(
+    return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
+        *[F.round(c, 6).alias(c) for c in ("class_distance", "word_distance", "common_shortfall")])
 
 
 @query("op9_line_dedup", """

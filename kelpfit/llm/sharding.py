@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -120,18 +121,42 @@ def slot_of(parts: list[Column], slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(slots)).cast("int")
 
 
-def record_sizes(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """_rid, doc_id, size, text_crc32 and the virtual slot of every record.
-
-    The slot is a hash of doc_id, text checksum, size and, for repeated rows, the
-    row number, so that many rows with one doc_id or one text still spread.
-    """
+def record_sizes(docs: DataFrame) -> DataFrame:
+    """_rid, doc_id, size and text_crc32 of every record."""
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = numbered(docs.select("doc_id", "text")).select(
+    return numbered(docs.select("doc_id", "text")).select(
         "_rid", "doc_id", (F.octet_length(raw) + OVERHEAD).cast("long").alias("size"),
         F.crc32(raw).cast("long").alias("text_crc32"))
-    return rows.withColumn("virtual_slot", slot_of(
-        [F.col("doc_id"), F.col("text_crc32"), F.col("size"), F.col("_rid")], slots))
+
+
+RECORD = ["doc_id", "text_crc32", "size"]
+
+
+def with_slots(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Add ``copy`` and ``virtual_slot`` to stored records: a hash of the record itself.
+
+    ``copy`` counts fully equal records from 0 on, so that many of them still spread; which
+    of them gets which number makes no difference. They are numbered within their input
+    partition first and then across partitions, so that a hot record is no task.
+    """
+    repeated = stored(rows.groupBy(*RECORD).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated")
+    marked = rows.withColumn("copy", F.lit(0).cast("long"))
+    if repeated.limit(1).count():
+        l, r = rows.alias("l"), repeated.alias("r")
+        equal = reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in RECORD])
+        again = l.join(r, equal, "left_semi").withColumn("_part", F.shiftright("_rid", 33))
+        w = Window.partitionBy(*RECORD, "_part").orderBy("_rid")
+        again = again.withColumn("_place", F.row_number().over(w) - 1)
+        parts = again.groupBy(*RECORD, "_part").agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy(*RECORD).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+        parts = parts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(RECORD)], F.col("_part").alias("_p"),
+                             F.coalesce(before, F.lit(0)).alias("_before"))
+        on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(RECORD)])
+        again = again.join(parts, on & (F.col("_part") == F.col("_p"))).withColumn("copy", F.col("_before") + F.col("_place"))
+        single = l.join(r, equal, "left_anti")
+        marked = again.select(*rows.columns, "copy").unionByName(
+            single.select(*rows.columns, F.lit(0).cast("long").alias("copy")))
+    return marked.withColumn("virtual_slot", slot_of([F.col(c) for c in (*RECORD, "copy")], slots))
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 24, slots: int = SLOTS, base: SlotMap | None = None,
@@ -139,28 +164,32 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, slots: int = SLOTS, base:
     """Put records into shards of nearly equal bytes.
 
     Takes ``doc_id`` and ``text``; other columns are ignored. Returns one row per
-    input row: doc_id, size, text_crc32, virtual_slot, map_version, shard, slot. ``slot``
-    numbers the rows of a shard from 0 without gaps, by virtual slot and then by
-    doc_id. A null text has no bytes (checksum 0) and the fixed overhead; null ids,
-    repeated rows and ties are ordinary records. An empty table gives an empty
-    result. ``base`` is the map to edit (default: dealt in turn); ``folder`` stores
-    both versions.
+    input row: doc_id, size, text_crc32, virtual_slot, map_version, shard, slot. The
+    virtual slot depends on the record alone (doc_id, checksum, size, and a count of
+    fully equal records), not on the files it is read from. ``slot`` numbers the rows of
+    a shard from 0 without gaps, by virtual slot and then by doc_id. A null text has no
+    bytes (checksum 0) and the fixed overhead; null ids, repeated rows, ties and very
+    long texts are ordinary records. An empty table gives an empty result. ``base`` is
+    the map to edit (default: dealt in turn); with ``folder`` both versions are stored
+    there, and records are placed by the map that is read back.
     """
     spark = docs.sparkSession
-    rows = stored(record_sizes(docs, slots), "records")
+    rows = stored(with_slots(stored(record_sizes(docs), "sizes"), slots), "records")
     sums = rows.groupBy("virtual_slot").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()  # at most one row per slot
     before = base or SlotMap.dealt(shards, slots)
+    if folder is not None and base is None:
+        before.save(spark, folder)
+        before = SlotMap.load(spark, folder, before.version)
     after = before.rebalanced({r["virtual_slot"]: r["size"] for r in sums})
     if folder is not None:
-        if base is None:
-            before.save(spark, folder)
         after.save(spark, folder)
+        after = SlotMap.load(spark, folder, after.version)
     counts, next_free, first = {r["virtual_slot"]: r["n"] for r in sums}, [0] * shards, []
     for slot, shard in enumerate(after.owners):
         first.append(next_free[shard])
         next_free[shard] += counts.get(slot, 0)
     starts = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "_rid"))
+    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "copy"))
     return rows.select(
         "doc_id", "size", "text_crc32", "virtual_slot", F.lit(after.version).alias("map_version"),
         after.owner_of(F.col("virtual_slot")).alias("shard"),

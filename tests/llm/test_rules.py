@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from kelpfit.llm import mixing, quality, sharding
@@ -120,6 +122,46 @@ def test_shards_are_even_and_gapless(spark, messy, nothing):
     assert sharding.shard_by_bytes(nothing, 3).count() == 0
 
 
+def spark_hash(values):
+    """Chained 64-bit hashes as Spark makes them of longs; nulls leave the seed as it is."""
+    h = 42
+    for v in values:
+        h = h if v is None else xxhash.xxh64_intdigest(struct.pack("<q", v), seed=h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_slots_follow_from_the_record_alone(spark, tmp_path):
+    r = random.Random(6)
+    rows = [(r.choice([None, *range(300)]), r.choice([None, "", "x " * r.randint(1, 9), "same"])) for _ in range(900)]
+    rows += [(5, "copied a third of the time")] * 450
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # without Spark: copies of a record are counted, hashed, dealt, moved and placed
+    seen, records = Counter(), []
+    for doc, text in rows:
+        raw = (text or "").encode()
+        key = (doc, zlib.crc32(raw), len(raw) + 8)
+        records.append((*key, seen[key]))
+        seen[key] += 1
+    slot = {x: spark_hash(x) % 64 for x in records}
+    load = Counter()
+    for x in records:
+        load[slot[x]] += x[2]
+    owners = sharding.SlotMap.dealt(5, 64).rebalanced(load).owners
+    want, free = Counter(), Counter()
+    for x in sorted(records, key=lambda x: (slot[x], x[0] is not None, x[0] or 0, x[1], x[2], x[3])):
+        shard = owners[slot[x]]
+        want[(x[0], x[2], x[1], slot[x], 2, shard, free[shard])] += 1
+        free[shard] += 1
+    for files in (1, 5):
+        path = str(tmp_path / f"docs{files}")
+        df.repartition(files).write.parquet(path)
+        got = sharding.shard_by_bytes(spark.read.parquet(path), 5, 64, folder=str(tmp_path / f"map{files}"))
+        assert Counter(tuple(x) for x in got.select(
+            "doc_id", "size", "text_crc32", "virtual_slot", "map_version", "shard", "slot").collect()) == want
+        maps = [sharding.SlotMap.load(spark, str(tmp_path / f"map{files}"), v) for v in (1, 2)]
+        assert [m.owners for m in maps] == [sharding.SlotMap.dealt(5, 64).owners, owners]
+
+
 def test_slot_map_versions(spark, tmp_path):
     first = sharding.SlotMap.dealt(5, 100)
     second = first.rebalanced({s: 1 + (s % 7) ** 3 for s in range(100)})

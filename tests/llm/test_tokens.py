@@ -150,9 +150,17 @@ def test_no_conversations(spark):
 
 
 def test_pipeline_equals_its_brute_force(spark, tmp_path, library):
+    import duckdb
     import test_dedup as D
     import corpus_pipeline
-    from kelpfit.llm import mixing, quality
+    from kelpfit.llm import quality, queries
+
+    def in_sql(name, docs):
+        con = duckdb.connect()
+        con.register("documents", docs.toPandas())
+        found = con.execute(queries.ORACLES[name])
+        columns = [d[0] for d in found.description]
+        return [dict(zip(columns, r)) for r in found.fetchall()]
 
     r = random.Random(8)
     texts = [t for _, t in D.near_texts(8, 14, [1, 4])]
@@ -162,7 +170,7 @@ def test_pipeline_equals_its_brute_force(spark, tmp_path, library):
     docs = spark.createDataFrame(rows, schema)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    good = {x.doc_id for x in quality.judged(docs).where("kept").collect()}
+    good = {x["doc_id"] for x in in_sql("op4_quality_rules", docs) if x["kept"]}
     rows = [x for x in rows if x[0] in good]
     exact = {}
     for x in rows:
@@ -175,8 +183,34 @@ def test_pipeline_equals_its_brute_force(spark, tmp_path, library):
     assert 0 < len(rows) < len(good)
     left = spark.createDataFrame(rows, schema)
     want = []
-    for x in mixing.sampled_copies(left).collect():
-        ids = ids_of(library, next(t for d, t, *_ in rows if d == x.doc_id))
-        want += [(x.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())] * x.copies
+    for x in in_sql("op8_mix_sources", left):
+        ids = ids_of(library, next(t for d, t, *_ in rows if d == x["doc_id"]))
+        want += [(x["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())] * x["copies"]
     got = [(x.doc_id, x.n_tokens, x.ids_sha256) for x in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_pipeline_stages_take_odd_tables(spark, messy, nothing, tmp_path):
+    import corpus_pipeline
+    from kelpfit.llm import quality
+
+    r = random.Random(2)
+    prose = [" ".join(r.choice(quality.COMMON_WORDS["en"]) + ("" if r.random() < 0.4 else str(r.randint(0, 99)))
+                      for _ in range(90)) for _ in range(6)]
+    rows = [(1, prose[0]), (1, prose[0]), (None, prose[1]), (None, prose[1] + " "), (2, prose[2]), (3, prose[2] + " x"), (4, prose[3])]
+    odd = spark.createDataFrame([(i, t, "en", s, "x", 1.5, "y") for (i, t), s in zip(rows, ["a", None] * 4)],
+                                "doc_id long, text string, lang string, source string, _rid string, name double, level string")
+    for docs in (messy.unionByName(odd, allowMissingColumns=True), nothing):
+        columns = docs.columns
+        docs.write.parquet(str(tmp_path / f"t{len(columns)}"))
+        docs = spark.read.parquet(str(tmp_path / f"t{len(columns)}"))
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}{len(columns)}")
+            stage(spark, docs, "").write.parquet(path)
+            docs = spark.read.parquet(path)
+            if name != "bpe":
+                assert docs.columns == columns
+            if name == "ngram_join" and len(columns) > 4:
+                texts = sorted(x.text.strip().removesuffix(" x") for x in docs.collect())
+                assert texts == sorted(prose[i] for i in range(4))
+        assert (docs.count() > 0) == (len(columns) > 4)
