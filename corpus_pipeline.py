@@ -1,4 +1,9 @@
-"""From raw documents to token ids: a chain of stages, each stored before the next reads it."""
+"""From raw documents to token ids: a chain of stages, each stored before the next reads it.
+
+Stages take any table with doc_id, text, lang and source, whatever other columns it
+has, and an empty one. A null text counts as empty and fails the quality rules; null
+ids are ordinary ids, of which the smallest known one stays; repeated rows are copies.
+"""
 
 from __future__ import annotations
 
