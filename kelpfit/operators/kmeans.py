@@ -1,7 +1,16 @@
-"""K-means with several metrics, one pass over the rows per iteration."""
+"""K-means with several metrics, one pass over the rows per iteration.
+
+Most rows skip their distances. Now and then every row is given its cluster, its
+distance to that centroid and to the second nearest one, for the centroids of that
+moment. However far these have moved since, the triangle inequality bounds both
+distances from the movements alone; where the bounds leave no doubt, the cluster stands.
+Nothing is written between passes, as the bounds start from the kept distances.
+Squared Euclidean distances are no metric: their roots are bounded instead.
+"""
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -16,7 +25,7 @@ from kelpfit.checks import (
     is_array, require_choice, require_columns, require_numeric, require_positive_int, usable_rows,
 )
 from kelpfit.functions.distance import check_metric, pairwise
-from kelpfit.functions.hashing import key_hash
+from kelpfit.functions.hashing import hash_uniform, key_hash
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
 from kelpfit.session import held
 
@@ -27,6 +36,14 @@ ARROW_ROWS = 2048
 # starting rows chosen before the least distances so far are kept as a column
 KEPT_EVERY = 8
 MAX_UNROLLED = 64
+# share of all distances that may be measured before rows get new distances to bound from, and
+# passes between two such moments at least
+STALE = 0.25
+LEAST_PASSES = 3
+# relative room for rounding in the bounds
+SLACK = 1e-9
+# cores from which on partial sums meet in tasks before they reach the driver
+MANY_CORES = 64
 
 Centroids = list[list[float]]
 
@@ -83,18 +100,33 @@ class KMeans:
             base = (scaler.transform(rows) if scaler else rows).select(
                 F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
             start = starting_centroids(base, self)
-            steps, before, previous, centroids = [], None, None, start
+            steps, history, measured = [], [], []
+            before, previous, centroids = None, None, start
             with held(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))) as points:
-                for iteration in range(1, self.max_iter + 1):
-                    used = centroids
-                    centroids, seen, changed = _iterate(
-                        points, self.distance_metric, used, previous if trace else None, trace)
-                    steps += [(iteration, c, used[c], seen[c][0], changed[c]) for c in range(self.k)]
-                    if seen == before:
-                        break
-                    before, previous = seen, used
+                bounded, since = None, 0
+                try:
+                    for iteration in range(1, self.max_iter + 1):
+                        used = centroids
+                        stale = not measured or measured[-1] > STALE * n * self.k
+                        if iteration > 1 and stale and since >= LEAST_PASSES:
+                            old, since = bounded, 0
+                            bounded = (_with_bounds(points, self.distance_metric, used).persist(), used)
+                            if old:
+                                old[0].unpersist()
+                        centroids, seen, changed, number = _iterate(
+                            points, self.distance_metric, used, previous if trace else None, trace, bounded)
+                        measured.append(number)
+                        since += 1
+                        history.append(used)
+                        steps += [(iteration, c, used[c], seen[c][0], changed[c]) for c in range(self.k)]
+                        if seen == before:
+                            break
+                        before, previous = seen, used
+                finally:
+                    if bounded:
+                        bounded[0].unpersist()
         return KMeansModel(tuple(columns), self.distance_metric, centroids, used, start, scaler,
-                           steps if trace else None)
+                           steps if trace else None, history, measured)
 
 
 @dataclass(frozen=True)
@@ -106,19 +138,47 @@ class KMeansModel:
     start: Centroids
     scaler: Scaler | None
     trace: list | None = field(repr=False)
+    #: centroids that each iteration assigned by, and how many distances it measured
+    history: list = field(default_factory=list, repr=False)
+    measured: list = field(default_factory=list, repr=False)
 
-    def _assign(self, df: DataFrame, centroids: Centroids, name: str) -> DataFrame:
+    def _scaled(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """``df`` with the vector ``_x`` as it was clustered, and helper columns to drop again."""
         columns = list(self.columns)
         require_numeric(df, columns)
-        scaled = df.withColumns({f"_s{i}": F.col(c) for i, c in enumerate(columns)})
-        if self.scaler:
-            held = Scaler(tuple(f"_s{i}" for i in range(len(columns))), self.scaler.array,
-                          self.scaler.shift, self.scaler.divisor)
-            scaled = held.transform(scaled)
         names = [f"_s{i}" for i in range(len(columns))]
-        vector = _as_vector(scaled, names)
-        return scaled.withColumn("_x", vector).withColumn(
-            name, nearest("_x", centroids, self.metric)).drop("_x", *names)
+        scaled = df.withColumns({name: F.col(c) for name, c in zip(names, columns)})
+        if self.scaler:
+            scaled = Scaler(tuple(names), self.scaler.array, self.scaler.shift, self.scaler.divisor).transform(scaled)
+        return scaled.withColumn("_x", _as_vector(scaled, names)), ["_x", *names]
+
+    def _assign(self, df: DataFrame, centroids: Centroids, name: str) -> DataFrame:
+        scaled, helpers = self._scaled(df)
+        return scaled.withColumn(name, nearest("_x", centroids, self.metric)).drop(*helpers)
+
+    def iteration_members(self, df: DataFrame, key: str, sample: float | None = None, seed: int = 0) -> DataFrame:
+        """iteration, cluster and key of every row in every iteration, or of a share of rows picked by hash.
+
+        One pass assigns a row under the centroids of all iterations.
+        """
+        require_columns(df, [key])
+        if sample is not None:
+            df = df.where(hash_uniform(seed, key) < sample)
+        scaled, _ = self._scaled(usable_rows(df, list(self.columns)))
+        k, metric = len(self.start), self.metric
+        sent = df.sparkSession.sparkContext.broadcast(np.array(self.history).reshape(len(self.history) * k, -1))
+
+        @F.pandas_udf("array<int>")
+        def assign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for x in batches:
+                out = []
+                for i in range(0, len(x), ARROW_ROWS):
+                    d = pairwise(metric, np.stack(x.iloc[i:i + ARROW_ROWS].to_numpy()), sent.value)
+                    out += list(d.reshape(len(d), -1, k).argmin(axis=2).astype("int32"))
+                yield pd.Series(out, dtype=object)
+
+        return scaled.select(F.col(key), F.posexplode(assign("_x")).alias("_at", "cluster")).select(
+            (F.col("_at") + 1).alias("iteration"), "cluster", key)
 
     def transform(self, df: DataFrame, name: str = "cluster") -> DataFrame:
         """Nearest final centroid for any rows, scaled with the fit-time statistics."""
@@ -274,49 +334,119 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
 
 
-def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool):
-    """Assign rows and average clusters as partial sums: one row per cluster and task.
+def _root(metric: str, d: np.ndarray) -> np.ndarray:
+    return np.sqrt(d) if metric == "squared_euclidean" else d
+
+
+def _with_bounds(points: DataFrame, metric: str, centroids: Centroids) -> DataFrame:
+    """Add every row's cluster and its distances to the nearest and the second nearest of some centroids."""
+    sent = points.sparkSession.sparkContext.broadcast(np.array(centroids))
 
-    Returns the new centroids, (size, checksum) of every cluster and, with
-    ``trace``, how many rows moved into it.
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch)
+            parts = []
+            for i in range(0, len(x), ARROW_ROWS):
+                d = _root(metric, pairwise(metric, x[i:i + ARROW_ROWS], sent.value))
+                cluster = d.argmin(axis=1)
+                own = d[np.arange(len(d)), cluster]
+                d[np.arange(len(d)), cluster] = np.inf
+                parts.append((cluster.astype(np.int32), own, d.min(axis=1)))
+            state = [np.concatenate(v) for v in zip(*parts)] if parts else [np.empty(0, np.int32), np.empty(0), np.empty(0)]
+            yield pa.record_batch([*batch.columns, *map(pa.array, state)],
+                                  names=[*batch.schema.names, "_cluster", "_near", "_next"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
+    return points.mapInArrow(measure, schema + ", _cluster int, _near double, _next double")
+
+
+def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool,
+             bounded: tuple[DataFrame, Centroids] | None = None):
+    """Assign rows and average clusters as partial sums: one row per task.
+
+    ``bounded`` are the rows with distances to earlier centroids, and these centroids.
+    Returns the new centroids, (size, checksum) of every cluster, how many rows moved
+    into it with ``trace``, and the number of distances measured.
     """
     k, d = len(centroids), len(centroids[0])
-    sent = points.sparkSession.sparkContext.broadcast(
-        (np.array(centroids), None if previous is None else np.array(previous)))
+    now, moved = np.array(centroids), None
+    if bounded:
+        points, then = bounded
+        moved = np.array([_root(metric, pairwise(metric, now[c:c + 1], np.array(then[c:c + 1])))[0, 0] for c in range(k)])
+    sent = points.sparkSession.sparkContext.broadcast((now, None if previous is None else np.array(previous), moved))
+
+    def clusters(x: np.ndarray, state, now: np.ndarray, moved) -> tuple[np.ndarray, int]:
+        if moved is None:
+            return pairwise(metric, x, now).argmin(axis=1), x.shape[0] * k
+        cluster, near, second = state
+        # the largest movement of any other centroid
+        order = np.argsort(moved)
+        others = np.full(k, moved[order[-1]])
+        others[order[-1]] = moved[order[-2]] if k > 1 else 0.0
+        doubt = np.flatnonzero((near + moved[cluster]) * (1 + SLACK) >= (second - others[cluster]) * (1 - SLACK))
+        cluster = cluster.astype(np.int64)
+        if len(doubt):
+            cluster[doubt] = pairwise(metric, x[doubt], now).argmin(axis=1)
+        return cluster, len(doubt) * k
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = sent.value
+        now, before, moved = sent.value
+        extra = 0 if moved is None else 3
         n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
-        checksums = np.zeros(k, dtype=np.uint64)
+        checksums, measured = np.zeros(k, dtype=np.uint64), 0
         for batch in batches:
-            points, hashes = _matrix(batch), batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
+            plain = batch.select(list(range(batch.num_columns - extra)))
+            points, hashes = _matrix(plain), plain.column(plain.num_columns - 1).to_numpy().view(np.uint64)
+            state = [batch.column(batch.num_columns - 3 + i).to_numpy() for i in range(extra)]
             for i in range(0, len(points), ARROW_ROWS):
                 x = points[i:i + ARROW_ROWS]
-                cluster = pairwise(metric, x, now).argmin(axis=1)
+                cluster, number = clusters(x, [v[i:i + ARROW_ROWS] for v in state], now, moved)
+                measured += number
                 if trace:
-                    moved = cluster if before is None else cluster[
+                    new = cluster if before is None else cluster[
                         pairwise(metric, x, before).argmin(axis=1) != cluster]
-                    changed += np.bincount(moved, minlength=k)
+                    changed += np.bincount(new, minlength=k)
                 n += np.bincount(cluster, minlength=k)
                 np.add.at(checksums, cluster, hashes[i:i + ARROW_ROWS])
                 for j in range(d):
                     sums[:, j] += np.bincount(cluster, weights=x[:, j], minlength=k)
         # 40 bits of every task's checksum, so that sums of a million tasks stay whole
         checksums = (checksums & np.uint64((1 << 40) - 1)).astype(np.int64)
-        yield pa.record_batch([
-            pa.array(np.arange(k, dtype=np.int32)), pa.array(n), pa.array(changed), pa.array(checksums),
-            pa.array(list(sums), pa.list_(pa.float64()))], names=["cluster", "n", "changed", "checksum", "total"])
-
-    partial = points.mapInArrow(add_up, "cluster int, n long, changed long, checksum long, total array<double>")
-    sums = F.array(*[F.sum(F.col("total")[j]) for j in range(d)])
-    rows = partial.where("n > 0").groupBy("cluster").agg(
-        F.sum("n").alias("n"), F.sum("changed").alias("changed"),
-        (F.sum("checksum") % (1 << 40)).alias("checksum"), sums.alias("total")).collect()
-    means, seen, changed = list(centroids), [(0, 0)] * k, [0] * k
-    for r in rows:  # a cluster that lost all its rows keeps its centroid
-        means[r["cluster"]] = [v / r["n"] for v in r["total"]]
-        seen[r["cluster"]], changed[r["cluster"]] = (r["n"], r["checksum"]), r["changed"]
-    return means, seen, changed
+        yield _sums_row(n, changed, checksums, sums.ravel(), measured)
+
+    partial = points.mapInArrow(add_up, SUMS)
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if cores > MANY_CORES:
+        partial = partial.repartition(math.isqrt(cores)).mapInArrow(_sums_added, SUMS)
+    n, changed, checksums, sums, measured = _add_sums(r.asDict() for r in partial.collect())
+    means = [[float(v / n[c]) for v in sums[c * d:(c + 1) * d]] if n[c] else list(centroids[c])  # an empty cluster stays
+             for c in range(k)]
+    return means, [(int(n[c]), int(checksums[c]) % (1 << 40)) for c in range(k)], [int(c) for c in changed], measured
+
+
+SUMS = "n array<bigint>, changed array<bigint>, checksum array<bigint>, total array<double>, measured bigint"
+
+
+def _sums_row(n, changed, checksums, total, measured: int) -> pa.RecordBatch:
+    longs = pa.list_(pa.int64())
+    return pa.record_batch(
+        [pa.array([n], longs), pa.array([changed], longs), pa.array([checksums], longs),
+         pa.array([total], pa.list_(pa.float64())), pa.array([measured], pa.int64())],
+        names=["n", "changed", "checksum", "total", "measured"])
+
+
+def _add_sums(rows) -> list:
+    out = None
+    for r in rows:
+        one = [np.array(r["n"]), np.array(r["changed"]), np.array(r["checksum"]), np.array(r["total"]), r["measured"]]
+        out = one if out is None else [a + b for a, b in zip(out, one)]
+    return out
+
+
+def _sums_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = _add_sums(r for batch in batches for r in batch.to_pylist())
+    if found:
+        yield _sums_row(*found)
 
 
 def cost(df: DataFrame, vector: str, centroids: Centroids, metric: str) -> float:

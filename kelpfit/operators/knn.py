@@ -1,11 +1,13 @@
 """Exact k-nearest-neighbour joins, voting and averaging.
 
-Training rows are dealt into cells around seeded pivot rows once, when a model is
-fitted. A query first meets the training rows of its own cell, which bounds how far its k-th neighbour can be;
-by the triangle inequality it then visits only those other cells that can hold
-anything closer. Crowded cells are cut further into blocks of bounded size on
-both sides, so no task grows with the data or with a hot cell. Where the bounds
-rule out little, every block of queries meets every block of training rows.
+Training rows are dealt into the cells of seeded pivot rows once, when a model is
+fitted. A query first meets the training rows of its own cell, which bounds how far its
+k-th neighbour can be. By the triangle inequality (and the bisecting plane) no row of another
+cell is nearer than a lower bound; cells are visited in the order of these bounds, in
+rounds that grow, and between rounds the k-th distance so far closes all cells whose
+bound is above it. A query is sent to open cells only. Crowded cells are cut further
+into blocks of bounded size on both sides, so no task grows with the data or with a hot
+cell.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from kelpfit.functions.distance import check_metric, pairwise
 from kelpfit.functions.hashing import key_hash
 from kelpfit.operators.aggregates import heaviest, mode, weighted_mean, weighted_median_of_few
 from kelpfit.operators.scaling import METHODS, Scaler, fit_scaler
-from kelpfit.session import cut_lineage, written
+from kelpfit.session import written
 
 AGGREGATIONS = ("mean", "median", "mode")
 # training rows per block; query blocks hold a quarter of that, to keep more tasks busy
@@ -35,8 +37,11 @@ BLOCK_ROWS = 32768
 CELLS_PER_BLOCK = 16
 # beyond this many pivots their number follows the square root of the rows
 MANY_PIVOTS = 1024
-# share of all cells a query may visit on average before plain blocks are cheaper
-MAX_VISITED = 0.5
+# cells of few rows follow their square root, as a visit has a cost of its own
+ROOT_SHARE = 4
+# cells that a query visits in the first round after its own; each further round takes more
+FIRST_ROUND = 4
+ROUND_GROWTH = 4
 CHUNK = 1024
 WEIGHT_FLOOR = 1e-6
 # rows measured exactly beyond k before near-ties are looked at one by one
@@ -154,7 +159,7 @@ def _assign_cells(df: DataFrame, metric: str, pivots: np.ndarray) -> DataFrame:
 
 def _pivots(train: DataFrame, n: int, block_rows: int) -> np.ndarray:
     """Seeded rows to build cells around: few enough to measure every row against all of them."""
-    wanted = max(1, min(n // max(1, block_rows // CELLS_PER_BLOCK), max(MANY_PIVOTS, math.isqrt(n))))
+    wanted = max(1, math.isqrt(n) // ROOT_SHARE, min(n // max(1, block_rows // CELLS_PER_BLOCK), max(MANY_PIVOTS, math.isqrt(n))))
     rows = train.orderBy(key_hash("pivot", "_t")).limit(wanted).select("_x").collect()
     return np.array([r["_x"] for r in rows], dtype=float)
 
@@ -208,12 +213,12 @@ def _count_by_cell(df: DataFrame) -> dict[int, int]:
 
 
 def _other_cells(metric: str, cells: Cells, features: Column, home: Column, reach: Column) -> Column:
-    """Cells other than home that may hold a row within ``reach`` of the query."""
+    """Cells other than home that may hold a row within ``reach``, with lower bounds, nearest bound first."""
     measure = _metric_for_bounds(metric)
     euclid = measure == "euclidean"
     between = pairwise(measure, cells.pivots, cells.pivots)
 
-    def keep(q: np.ndarray, h: np.ndarray, r: np.ndarray) -> list[np.ndarray]:
+    def bounds(q: np.ndarray, h: np.ndarray, r: np.ndarray) -> tuple[list, list]:
         d = pairwise(measure, q, cells.pivots)
         low = np.maximum(d - cells.outer[None, :], cells.inner[None, :] - d)
         if euclid:
@@ -222,19 +227,23 @@ def _other_cells(metric: str, cells: Cells, features: Column, home: Column, reac
             plane = np.divide(d * d - (own * own)[:, None], 2 * gap,
                               out=np.zeros_like(d), where=gap > 0)
             low = np.maximum(low, plane)
-        room = SLACK * (1.0 + d + np.where(np.isfinite(r), r, 0.0)[:, None])
-        open_cells = (low - room <= r[:, None]) & (cells.rows > 0)[None, :]
+        # a little lower, for rounding
+        low = low - SLACK * (1.0 + d + np.where(np.isfinite(r), r, 0.0)[:, None])
+        open_cells = (low <= r[:, None]) & (cells.rows > 0)[None, :]
         open_cells[np.arange(len(q)), h] = False
-        return [np.flatnonzero(row).astype("int32") for row in open_cells]
+        found = [np.flatnonzero(row) for row in open_cells]
+        found = [f[np.argsort(low[i, f], kind="stable")].astype("int32") for i, f in enumerate(found)]
+        return found, [low[i, f] for i, f in enumerate(found)]
 
-    @F.pandas_udf("array<int>")
-    def visit(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("cells array<int>, lows array<double>")
+    def visit(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for x, h, r in batches:
-            yield pd.Series([
-                visited for i in range(0, len(x), CHUNK)
-                for visited in keep(_stack(x.iloc[i:i + CHUNK]), h.to_numpy()[i:i + CHUNK],
-                                    r.to_numpy()[i:i + CHUNK])
-            ], dtype=object)
+            found, lows = [], []
+            for i in range(0, len(x), CHUNK):
+                some = bounds(_stack(x.iloc[i:i + CHUNK]), h.to_numpy()[i:i + CHUNK], r.to_numpy()[i:i + CHUNK])
+                found += some[0]
+                lows += some[1]
+            yield pd.DataFrame({"cells": pd.Series(found, dtype=object), "lows": pd.Series(lows, dtype=object)})
 
     return visit(features, home, reach)
 
@@ -277,10 +286,11 @@ def build_index(train: DataFrame, key: str, features: Sequence[str], label: str,
                  block_rows)
 
 
-def search(queries: DataFrame, query_key: str, index: Index, k: int) -> DataFrame:
+def search(queries: DataFrame, query_key: str, index: Index, k: int, log: list | None = None) -> DataFrame:
     """The k nearest indexed rows of every usable query, ranked by distance, then key.
 
     Columns: the query key, ``rank`` (1-based), ``neighbour``, ``distance``, ``label``.
+    ``log`` takes the number of (query, cell) visits of every round, the own cells first.
     """
     require_positive_int("k", k)
     features = list(index.features)
@@ -293,38 +303,51 @@ def search(queries: DataFrame, query_key: str, index: Index, k: int) -> DataFram
                     query_type=queries.schema[query_key].dataType.simpleString())
     q = usable_rows(queries, features).select(
         F.col(query_key).alias("_q"), _vector(queries, features).alias("_x"))
-    q = cut_lineage(_assign_cells(q, metric, index.cells.pivots))
-    home = _join_cells(q, index.rows, metric, k, in_cell, _count_by_cell(q), **settings)
-    if len(in_cell) == 1:  # there is nowhere else to look
-        found = home
-    else:
-        found = _search_further(q, index, k, cut_lineage(_best(home, k)), settings)
+    q = written(_assign_cells(q, metric, index.cells.pivots))
+    at_home = _count_by_cell(q)
+    if log is not None:
+        log.append(sum(at_home.values()))
+    found = _join_cells(q, index.rows, metric, k, in_cell, at_home, **settings)
+    if len(in_cell) > 1:
+        found = _search_further(q, index, k, written(_best(found, k)), settings, log)
     return _best(found, k).select(
         F.col("_q").alias(query_key), "rank", "neighbour", "distance", "label")
 
 
-def _search_further(q: DataFrame, index: Index, k: int, home: DataFrame, settings: dict) -> DataFrame:
+def _search_further(q: DataFrame, index: Index, k: int, found: DataFrame, settings: dict, log: list | None) -> DataFrame:
     """Candidates of every query, after the cells that its k-th distance so far cannot rule out."""
-    metric, in_cell = index.cells.metric, index.in_cell
-    kth = home.groupBy("_q").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("reach"))
-    reach = F.coalesce(F.col("reach"), F.lit(float("inf")))
-    if metric == "squared_euclidean":
-        reach = F.sqrt(reach)
-    lists = cut_lineage(
-        q.join(kth, "_q", "left")
-        .withColumn("cells", _other_cells(metric, index.cells, F.col("_x"), F.col("cell"), reach))
-        .select("_q", "_x", "cells"))
-    queries_n, share = lists.agg(F.count(F.lit(1)), F.avg(F.size("cells") / len(in_cell))).first()
-    if queries_n and share > MAX_VISITED:
-        # bounds rule out too little here, as with many dimensions
-        one = F.lit(0).alias("cell")
-        return _join_cells(q.select("_q", "_x", one), index.rows.select("_t", "_y", "_x", one), metric, k,
-                           {0: index.n}, {0: queries_n}, **settings)
-    visits = lists.select("_q", "_x", F.explode("cells").alias("cell"))
-    visited = _count_by_cell(visits)
-    away = _join_cells(visits, index.rows.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
-                       **settings)
-    return home.drop("rank").unionByName(away)
+    metric, in_cell, width = index.cells.metric, index.in_cell, FIRST_ROUND
+
+    def reach(found: DataFrame) -> DataFrame:
+        far = F.sqrt(F.max("distance")) if metric == "squared_euclidean" else F.max("distance")
+        return found.groupBy("_q").agg(F.when(F.count(F.lit(1)) == k, far).alias("reach"))
+
+    far = F.coalesce(F.col("reach"), F.lit(float("inf")))
+    seen = _other_cells(metric, index.cells, F.col("_x"), F.col("cell"), far)
+    lists = written(q.join(reach(found), "_q", "left").withColumn("_o", seen).select("_q", "_x", "_o.cells", "_o.lows"))
+    while True:
+        visits = lists.select("_q", "_x", F.explode(F.slice("cells", 1, width)).alias("cell"))
+        visited = _count_by_cell(visits)
+        if not visited:
+            return found
+        if log is not None:
+            log.append(sum(visited.values()))
+        away = _join_cells(visits, index.rows.where(F.col("cell").isin(list(visited))), metric, k, in_cell, visited,
+                           **settings)
+        found = found.drop("rank").unionByName(away)
+        later = lists.where(F.size("cells") > width)
+        if not later.limit(1).count():
+            return found
+        found = written(_best(found, k))
+        # bounds rise along a list, so what is still open is its beginning
+        rest = later.join(reach(found), "_q", "left").select(
+            "_q", "_x", F.slice("cells", width + 1, F.size("cells")).alias("cells"),
+            F.slice("lows", width + 1, F.size("lows")).alias("lows"), far.alias("_far"))
+        n_open = F.size(F.filter("lows", lambda v: v <= F.col("_far")))
+        rest = rest.withColumn("_n", n_open).where("_n > 0")
+        lists = written(rest.select("_q", "_x", F.expr("slice(cells, 1, _n)").alias("cells"),
+                                    F.expr("slice(lows, 1, _n)").alias("lows")))
+        width *= ROUND_GROWTH
 
 
 def nearest(

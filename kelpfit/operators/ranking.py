@@ -1,7 +1,9 @@
 """Seeded ranks over a whole table without sorting it in one task.
 
 Rows are ordered by the MD5 of their key. Ranks are located by counting hash
-prefixes, so a cut "first r rows" becomes a literal predicate on the hash.
+prefixes, so a cut "first r rows" becomes a literal predicate on the hash. Where a cut
+falls between rows of one key, these are ordered by the MD5 of all their columns, found
+in the same way; the predicate then asks for it at that one hash only.
 """
 
 from __future__ import annotations
@@ -24,16 +26,33 @@ def row_order(seed: object, key: str | Sequence[str], shuffle: int = 0) -> Colum
     return key_hash(f"{seed}" if not shuffle else f"{seed}/{shuffle}", key)
 
 
+def content(df: DataFrame) -> Column:
+    """MD5 of all columns, by name: the order of rows that share a key."""
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x02")) for c in sorted(df.columns)]
+    return F.md5(F.concat_ws("\x01", *texts))
+
+
+def up_to(df: DataFrame, order: Column, cut: str) -> Column:
+    """Whether a row of ``df`` is at or before a cut that :func:`rank_cutoffs` gave."""
+    if "/" not in cut:
+        return order <= cut
+    h, rest = cut.split("/")
+    return (order < h) | ((order == h) & (content(df) <= rest))
+
+
 def rank_cutoffs(
-    df: DataFrame, order: Column, ranks: Sequence[int] | Callable[[int], Sequence[int]], digits: int = PREFIX_DIGITS
+    df: DataFrame, order: Column, ranks: Sequence[int] | Callable[[int], Sequence[int]], digits: int | None = None,
+    by_content: bool = False
 ) -> tuple[int, list[str]]:
     """Row count and, for every rank ``r``, the hash of the r-th row in order.
 
     ``ranks`` may be a function of the row count. The first pass collects a count per
     prefix of ``digits`` digits, every further one at most 4,096 per boundary; only the rows that share a boundary's
-    prefix are ever ranked.
+    prefix are ever ranked. With ``by_content`` a cut may fall between rows of one hash and
+    is then to be read by :func:`up_to`; without it, and for rows that are equal in all
+    columns, such a cut is an error.
     """
-    hashed = df.select(order.alias("h"))
+    hashed, digits = df.select(order.alias("h")), digits or PREFIX_DIGITS
     counts = _prefix_counts(hashed, digits)
     n = sum(counts.values())
     wanted = list(ranks(n) if callable(ranks) else ranks)
@@ -54,8 +73,13 @@ def rank_cutoffs(
                 place[r] = _locate(part, [inside])[0]
         digits += PREFIX_DIGITS
 
-    found = _rows_at(hashed, place)
-    edge = {0: NONE_BELOW, n: ALL_BELOW, **found}
+    edge = {0: NONE_BELOW, n: ALL_BELOW}
+    for r, (h, nth, tied) in _rows_at(hashed, place).items():
+        edge[r] = h
+        if tied and not by_content:
+            raise ValueError("the key columns do not identify rows uniquely")
+        if tied:
+            edge[r] = f"{h}/{rank_cutoffs(df.where(order == h), content(df), [nth])[1][0]}"
     return n, [edge[r] for r in wanted]
 
 
@@ -75,7 +99,8 @@ def _locate(counts: dict[str, int], ranks: Sequence[int]) -> list[tuple[str, int
     return out
 
 
-def _rows_at(hashed: DataFrame, place: dict[int, tuple[str, int, int]]) -> dict[int, str]:
+def _rows_at(hashed: DataFrame, place: dict[int, tuple[str, int, int]]) -> dict[int, tuple[str, int, bool]]:
+    """Per rank the hash, the place among the rows that have it, and whether more of them follow."""
     if not place:
         return {}
     lengths = sorted({len(p) for p, _, _ in place.values()})
@@ -93,6 +118,7 @@ def _rows_at(hashed: DataFrame, place: dict[int, tuple[str, int, int]]) -> dict[
         .where(F.col("p").isNotNull())
         .withColumn("r", F.row_number().over(w))
         .withColumn("next", F.lead("h").over(w))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("p", "h").orderBy("r")))
     )
     spots = {(p, inside): r for r, (p, inside, _) in place.items()}
     wanted = F.struct(F.col("p"), F.col("r")).isin(
@@ -100,9 +126,7 @@ def _rows_at(hashed: DataFrame, place: dict[int, tuple[str, int, int]]) -> dict[
     )
     found = {}
     for row in ranked.where(wanted).collect():
-        if row["h"] == row["next"]:
-            raise ValueError("the key columns do not identify rows uniquely")
-        found[spots[(row["p"], row["r"])]] = row["h"]
+        found[spots[(row["p"], row["r"])]] = (row["h"], row["nth"], row["h"] == row["next"])
     return found
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.checks import require_columns
-from kelpfit.operators.ranking import ALL_BELOW, PREFIX_DIGITS, rank_cutoffs, row_order, with_position
+from kelpfit.operators.ranking import ALL_BELOW, PREFIX_DIGITS, rank_cutoffs, row_order, up_to, with_position
 from kelpfit.session import dealt
 
 #: Epochs whose batch cuts are looked for together, with one hash per row and epoch.
@@ -77,15 +77,16 @@ def split_cutoffs(
     testing_size: Size = None,
     random_state: int = 0,
     num_shuffles: int | None = None,
+    by_content: bool = False,
 ) -> tuple[int, str, str]:
-    """Row count, and the hashes that end the training and the testing part."""
+    """Row count, and the cuts that end the training and the testing part."""
     order = row_order(random_state, key, _shuffle_number(num_shuffles))
 
     def ranks(n: int) -> list[int]:
         train, test = resolve_sizes(n, training_size, testing_size)
         return [train, train + test]
 
-    n, (train_end, test_end) = rank_cutoffs(df, order, ranks)
+    n, (train_end, test_end) = rank_cutoffs(df, order, ranks, by_content=by_content)
     return n, train_end, test_end
 
 
@@ -101,19 +102,20 @@ def train_test_split(
     """Split one table into exactly sized, disjoint parts.
 
     Both parts are filters on the seeded hash of ``key``: no join, no shuffle,
-    and the filter reaches whatever plan ``df`` is.
+    and the filter reaches whatever plan ``df`` is. The key may repeat, as long as rows
+    differ in some column where a part ends between them.
     """
     require_columns(df, [key] if isinstance(key, str) else key)
     check_sizes(training_size, testing_size)
     seed = _seed(random_state)
-    _, train_end, test_end = split_cutoffs(df, key, training_size, testing_size, seed, num_shuffles)
+    _, train_end, test_end = split_cutoffs(df, key, training_size, testing_size, seed, num_shuffles, True)
     return _parts(df, key, seed, num_shuffles, train_end, test_end, sort)
 
 
 def _parts(df, key, seed, num_shuffles, train_end, test_end, sort):
     h = row_order(seed, key, _shuffle_number(num_shuffles))
-    train = df.where(h <= train_end)
-    test = df.where((h > train_end) & (h <= test_end))
+    train = df.where(up_to(df, h, train_end))
+    test = df.where(~up_to(df, h, train_end) & up_to(df, h, test_end))
     if sort:
         keys = [key] if isinstance(key, str) else list(key)
         train, test = train.orderBy(*keys), test.orderBy(*keys)
@@ -158,9 +160,9 @@ def with_split(
 ) -> DataFrame:
     """Mark every row ``train`` or ``test``; rows in neither part get NULL."""
     seed = _seed(random_state)
-    _, train_end, test_end = split_cutoffs(df, key, training_size, testing_size, seed, num_shuffles)
+    _, train_end, test_end = split_cutoffs(df, key, training_size, testing_size, seed, num_shuffles, True)
     h = row_order(seed, key, _shuffle_number(num_shuffles))
-    return df.withColumn(name, F.when(h <= train_end, "train").when(h <= test_end, "test"))
+    return df.withColumn(name, F.when(up_to(df, h, train_end), "train").when(up_to(df, h, test_end), "test"))
 
 
 def permute(df: DataFrame, key: str | Sequence[str], random_state: int | None = None,
@@ -173,8 +175,8 @@ def sample_rows(df: DataFrame, key: str | Sequence[str], k: int,
                 random_state: int | None = None) -> DataFrame:
     """``k`` rows drawn without replacement: those up to the k-th in the seeded order."""
     order = row_order(_seed(random_state), key)
-    n, ends = rank_cutoffs(df, order, lambda n: [min(k, n)] if min(k, n) > 0 else [])
-    return df.where(order <= ends[0]) if ends else df.limit(0)
+    n, ends = rank_cutoffs(df, order, lambda n: [min(k, n)] if min(k, n) > 0 else [], by_content=True)
+    return df.where(up_to(df, order, ends[0])) if ends else df.limit(0)
 
 
 def batch_cutoffs(df: DataFrame, key: str | Sequence[str], seed: int, epoch: int,

@@ -73,7 +73,10 @@ class _Grower:
     """Settings shared by both trees.
 
     ``max_depth`` defaults to the number of features, since a used feature is not
-    offered again below its split unless ``reuse_features`` is set.
+    offered again below its split unless ``reuse_features`` is set. Thresholds are exact
+    unless ``candidates`` is given: then a feature's values are dealt into so many
+    (approximate) quantile ranges of the whole table, a node is split between two of
+    them only, and a level takes one pass.
     """
 
     max_depth: int | None = None
@@ -83,6 +86,7 @@ class _Grower:
     stop_when_pure: bool = False
     reuse_features: bool = False
     ranges: int = RANGES
+    candidates: int | None = None
 
     def __post_init__(self):
         if self.max_depth is not None:
@@ -91,6 +95,9 @@ class _Grower:
             raise ValueError("max_depth is needed when features may be used again")
         require_positive_int("num_min_samples", self.num_min_samples)
         require_positive_int("ranges", self.ranges)
+        if self.candidates is not None:
+            require_positive_int("candidates", self.candidates)
+            object.__setattr__(self, "ranges", self.candidates)
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "TreeModel":
         features = list(features)
@@ -308,8 +315,9 @@ class _Fit:
             starts, cuts = self._range_sums(coarse, totals)
             wanted = np.ones((1, len(self.features), self.settings.ranges + 1), bool)
             found.append(self._between_ranges(cuts))
-            found.append(self._between_values(
-                counter, wanted, self.nodes[""].n * len(numbers), starts, cuts, every=True))
+            if self.settings.candidates is None:
+                found.append(self._between_values(
+                    counter, wanted, self.nodes[""].n * len(numbers), starts, cuts, every=True))
         out = found[0]
         for one in found[1:]:
             out = out.unionByName(one)
@@ -453,7 +461,7 @@ class _Fit:
                 cuts = cuts.persist(StorageLevel.MEMORY_AND_DISK)
                 known.append(self._between_ranges(cuts))
             best = _lowest(known)
-            if numbers:
+            if numbers and self.settings.candidates is None:
                 best = _merge(best, self._inside_ranges(frontier, counter, starts, cuts, best))
             return {frontier[i]: row for i, row in best.items()}
         finally:

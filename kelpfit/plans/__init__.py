@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("regression", "sampling", "preparation", "clustering", "neighbours", "trees",
-           "neurons", "networks")
+           "neurons", "networks", "models")
 
 
 def load():

@@ -193,3 +193,10 @@ def converged(t: Tables) -> DataFrame:
     model = KMeans(k=ITEM_K, max_iter=ITEM_STEPS, random_state=SEED).fit(
         items, ITEM_FEATURES, "item", "min_max", scope="column")
     return model.assignments(items).select("item", "cluster")
+
+
+@query("kmeans_members", farthest_sql() + iterations_sql(3) + " UNION ALL ".join(
+    f"\nSELECT {i} AS iteration, CAST(c AS INTEGER) AS cluster, c_custkey FROM a{i}" for i in (1, 2, 3)))
+def members(t: Tables) -> DataFrame:
+    """Members of every cluster in each of three iterations."""
+    return fitted(t, 3).iteration_members(t.customer, "c_custkey")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpfit.functions.distance import METRICS, array_distance
-from kelpfit.operators import aggregates, metrics, scaling
+from kelpfit.operators import aggregates, metrics, quantiles, scaling
 from kelpfit.plans.registry import Tables, broadcast_if_few, query, rounded, sql_normal, sql_uniform
 from kelpfit.sources import generators, reshape
 
@@ -257,3 +257,10 @@ def union_synthetic_rows(t: Tables) -> DataFrame:
     rows = generators.with_synthetic_rows(
         t.customer, ["c_nationkey", "c_acctbal"], keys, "c_custkey", seed=3)
     return rows.withColumn("c_acctbal", F.round("c_acctbal", 6))
+
+
+@query("group_median", """
+SELECT l_suppkey, round(median(l_extendedprice), 6) AS median FROM lineitem WHERE l_extendedprice IS NOT NULL
+GROUP BY l_suppkey""")
+def group_median(t: Tables) -> DataFrame:
+    return quantiles.group_median(t.lineitem, "l_suppkey", "l_extendedprice").select("l_suppkey", rounded("median"))

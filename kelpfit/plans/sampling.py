@@ -80,6 +80,18 @@ def split_composite_key(t: Tables) -> DataFrame:
     return split.with_split(t.lineitem, key, training_size=0.8, random_state=2).select(*key, "split")
 
 
+@query("split_repeated_key", """
+WITH rows AS (SELECT l_linenumber, l_orderkey, l_partkey, l_suppkey, md5('6:' || l_linenumber) AS h,
+                     md5(concat_ws(chr(1), l_linenumber, l_orderkey, l_partkey, l_suppkey)) AS c FROM lineitem),
+ranked AS (SELECT *, row_number() OVER (ORDER BY h, c) AS r, count(*) OVER () AS n FROM rows)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN r <= floor(0.7::DOUBLE * n) THEN 'train' ELSE 'test' END AS split FROM ranked""")
+def split_repeated_key(t: Tables) -> DataFrame:
+    """A key of seven values: the parts end between rows that share it."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return split.with_split(t.lineitem.select(*columns), "l_linenumber", training_size=0.7, random_state=6)
+
+
 @query("permute_rows", ranked_sql("customer", "c_custkey", "13") + """
 SELECT c_custkey, r - 1 AS position FROM ranked""")
 def permute_rows(t: Tables) -> DataFrame:

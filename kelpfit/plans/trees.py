@@ -264,12 +264,20 @@ def deep_predict(t: Tables) -> DataFrame:
     return model.node_paths(model.transform(t.orders)).select("o_orderkey", "path", "prediction")
 
 
-def class_rows_sql(rows: str, features: Sequence[tuple[str, str]], depth: int, min_samples: int) -> str:
+def class_rows_sql(rows: str, features: Sequence[tuple[str, str]], depth: int, min_samples: int,
+                   candidates: int | None = None) -> str:
     """Like :func:`tree_sql` for any number of classes: counts by class are rows.
 
-    Features are texts or numbers and are not used twice on a path.
+    Features are texts or numbers and are not used twice on a path. With ``candidates``
+    numbers are split between that many quantile ranges of the whole table only.
     """
     names = [f for f, _ in features]
+    if candidates:
+        shares = ", ".join(f"{i / candidates!r}" for i in range(1, candidates))
+        numbers = [f for f, kind in features if kind == "number"]
+        rows = "SELECT s.*, " + ", ".join(
+            f"len(list_filter(list_distinct(k_{f}), lambda k: k <= {f})) AS b_{f}" for f in numbers) + f""" FROM ({rows}) s,
+  (SELECT {', '.join(f'quantile_disc({f}, [{shares}]) AS k_{f}' for f in numbers)} FROM ({rows}))"""
     spread = lambda n, s: f"CASE WHEN {n} > 0 THEN {n} - {s} / {n} ELSE 0 END"
     sql = f"""
 WITH r0 AS MATERIALIZED (SELECT *, '' AS path, {', '.join(f'FALSE AS u_{f}' for f in names)} FROM ({rows}))"""
@@ -282,16 +290,18 @@ WITH r0 AS MATERIALIZED (SELECT *, '' AS path, {', '.join(f'FALSE AS u_{f}' for
             break
         options = []
         for at, (f, kind) in enumerate(features):
-            counts = f"(SELECT path, {f} AS x, y, count(*)::DOUBLE AS n FROM r{level} WHERE NOT u_{f} GROUP BY ALL)"
+            x = f"b_{f}" if kind == "number" and candidates else f
+            ends = f"min({f}) AS low, max({f}) AS high" if kind == "number" else "NULL AS low, NULL AS high"
+            counts = f"(SELECT path, {x} AS x, y, count(*)::DOUBLE AS n, {ends} FROM r{level} WHERE NOT u_{f} GROUP BY path, {x}, y)"
             if kind == "text":
                 options.append(f"""
 SELECT path, {at} AS f, '{f}' AS feature, NULL::DOUBLE AS threshold, x AS value, sum(n) AS n_l, sum(n * n) AS s_l,
        sum(n * t) AS t_l FROM {counts} JOIN c{level} USING (path, y) GROUP BY path, x""")
             else:
                 options.append(f"""
-SELECT path, {at} AS f, '{f}' AS feature, (x + lead(x) OVER w) / 2 AS threshold, NULL AS value, sum(n) OVER w AS n_l,
+SELECT path, {at} AS f, '{f}' AS feature, (high + lead(low) OVER w) / 2 AS threshold, NULL AS value, sum(n) OVER w AS n_l,
        sum(s) OVER w AS s_l, sum(t) OVER w AS t_l FROM (
-  SELECT path, x, sum(n) AS n, sum(n * n + 2 * n * coalesce(before, 0)) AS s, sum(n * t) AS t FROM (
+  SELECT path, x, sum(n) AS n, sum(n * n + 2 * n * coalesce(before, 0)) AS s, sum(n * t) AS t, min(low) AS low, max(high) AS high FROM (
     SELECT *, sum(n) OVER (PARTITION BY path, y ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
     FROM {counts}) JOIN c{level} USING (path, y) GROUP BY path, x) WINDOW w AS (PARTITION BY path ORDER BY x)""")
         score = f"({spread('n_l', 's_l')} + {spread('(n - n_l)', '(s - 2 * t_l + s_l)')}) / n"
@@ -305,7 +315,8 @@ SELECT path, {at} AS f, '{f}' AS feature, (x + lead(x) OVER w) / 2 AS threshold,
     AND round({score}, 10) <= round(1 - s / n / n, 10)
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY round({score}, 10), f, threshold, value) = 1)
 , r{level + 1} AS MATERIALIZED (
-  SELECT y, {', '.join(names)}, path || CASE WHEN CASE {turn} END THEN 'L' ELSE 'R' END AS path, {used}
+  SELECT y, {', '.join(names + [f'b_{f}' for f, kind in features if kind == 'number' and candidates])},
+         path || CASE WHEN CASE {turn} END THEN 'L' ELSE 'R' END AS path, {used}
   FROM r{level} JOIN split{level} USING (path))"""
     every = " UNION ALL ".join(f"SELECT * FROM node{i}" for i in range(depth + 1))
     splits = " UNION ALL ".join(f"SELECT * FROM split{i}" for i in range(depth))
@@ -327,6 +338,17 @@ def many_classes(t: Tables) -> DataFrame:
         F.size("class_counts").cast("long").alias("n_classes"), "prediction", "is_leaf")
 
 
+@query("tree_candidate_cap", class_rows_sql(
+    "SELECT p_retailprice, p_size, p_type, p_brand AS y FROM part",
+    [("p_retailprice", "number"), ("p_size", "number"), ("p_type", "text")], 3, 20, candidates=16))
+def candidate_cap(t: Tables) -> DataFrame:
+    """Sixteen quantile ranges per number instead of all thresholds."""
+    model = DecisionTree(max_depth=3, candidates=16).fit(t.part, ["p_retailprice", "p_size", "p_type"], "p_brand")
+    return model.node_table(t.spark).select(
+        "path", "depth", "feature", rounded("threshold"), "value", rounded("score", 9), rounded("impurity", 9), "n",
+        F.size("class_counts").cast("long").alias("n_classes"), "prediction", "is_leaf")
+
+
 def _candidates_sql(rows: str, features: Sequence[tuple[str, str]], classes: Sequence[str] | None) -> str:
     """Every split of all rows with its score, from counts or centred sums of both sides."""
     if classes is not None:

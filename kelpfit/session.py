@@ -56,10 +56,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _new_path(spark: SparkSession) -> str:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """Path in the folder that the driver and all executors see."""
     if spark.sparkContext.getCheckpointDir() is None:
         cut_lineage(spark.range(0))  # finds or refuses the folder
-    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}"
+
+
+def _new_path(spark: SparkSession) -> str:
+    return shared_path(spark, f"table-{uuid.uuid4().hex}")
 
 
 @contextmanager

@@ -153,3 +153,34 @@ def test_bad_input(spark):
         KMeans().fit(df, ["x0"], "id", "log")
     with pytest.raises(ValueError):
         KMeans(max_iter=1, random_state=1).fit(df, ["x0"], "id").predict(df.drop("x0"))
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "canberra", "squared_euclidean"])
+def test_bounds_save_distances_and_change_nothing(spark, metric, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 1.0, (150, 2)) for c in ((0, 0), (4, 1), (1, 5), (6, 6))])
+    df = table(spark, x)
+    settings = KMeans(k=4, max_iter=60, distance_metric=metric, cluster_method="random", random_state=5)
+    monkeypatch.setattr(km, "LEAST_PASSES", 1000)
+    plain = settings.fit(df, ["x0", "x1"], "id")
+    monkeypatch.setattr(km, "LEAST_PASSES", 2)
+    bounded = settings.fit(df, ["x0", "x1"], "id")
+    assert np.allclose(plain.centroids, bounded.centroids) and len(plain.history) == len(bounded.history)
+    assert plain.measured == [600 * 4] * len(plain.history)
+    if len(plain.history) > 4:
+        assert sum(bounded.measured) < 0.8 * sum(plain.measured)
+
+
+def test_members_of_every_iteration(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60, 2))
+    df = table(spark, x)
+    model = KMeans(k=3, max_iter=5, random_state=4).fit(df, ["x0", "x1"], "id", "standardization", scope="column", trace=True)
+    got = model.iteration_members(df, "id").collect()
+    assert len(got) == 60 * len(model.history)
+    sizes = {}
+    for r in got:
+        sizes[r["iteration"], r["cluster"]] = sizes.get((r["iteration"], r["cluster"]), 0) + 1
+    assert sizes == {(i, c): n for i, c, _, n, _ in model.trace if n}
+    some = model.iteration_members(df, "id", sample=0.4, seed=2).collect()
+    assert 0 < len(some) < len(got) and len(some) % len(model.history) == 0

@@ -37,9 +37,9 @@ def skewed(rng, n, d):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("block_rows, most", [(8192, 0.5), (48, 1.0), (48, 0.0)])
-def test_neighbours_match_brute_force(spark, monkeypatch, metric, block_rows, most):
-    monkeypatch.setattr(knn, "MAX_VISITED", most)
+@pytest.mark.parametrize("block_rows, first", [(8192, 4), (48, 4), (48, 1)])
+def test_neighbours_match_brute_force(spark, monkeypatch, metric, block_rows, first):
+    monkeypatch.setattr(knn, "FIRST_ROUND", first)
     rng = np.random.default_rng(2)
     t, q = skewed(rng, 240, 3), skewed(rng, 60, 3)
     q[0] = t[0]
@@ -51,8 +51,7 @@ def test_neighbours_match_brute_force(spark, monkeypatch, metric, block_rows, mo
 
 
 @pytest.mark.parametrize("k", [1, 50, 130])
-def test_many_neighbours_across_cells(spark, monkeypatch, k):
-    monkeypatch.setattr(knn, "MAX_VISITED", 1.0)
+def test_many_neighbours_across_cells(spark, k):
     rng = np.random.default_rng(4)
     t, q = rng.normal(size=(130, 2)), rng.normal(size=(20, 2)) * 3
     rows, _ = found(nearest(table(spark, q), table(spark, t), "id", "id", ["v"], "y", k, "euclidean", 10), k)
@@ -75,11 +74,31 @@ def test_cells_are_skipped(spark):
     cells = knn.Cells("euclidean", pivots, np.array([5.0, 5.0]), np.zeros(2), np.ones(2))
     df = spark.createDataFrame([([0.5, 0.0], 0, 1.0), ([0.5, 0.0], 0, float("inf"))],
                                "x array<double>, c int, r double")
-    got = [r[0] for r in df.select(
+    got = [r[0]["cells"] for r in df.select(
         knn._other_cells("euclidean", cells, F.col("x"), F.col("c"), F.col("r"))).collect()]
     assert got == [[], [1]]
 
 
+@pytest.mark.parametrize("dimensions", [3, 64])
+def test_rounds_close_cells_and_change_nothing(spark, dimensions, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(30, dimensions)) * 3
+    t = centres[rng.integers(0, 30, 900)] + rng.normal(size=(900, dimensions))
+    q = centres[rng.integers(0, 30, 80)] + rng.normal(size=(80, dimensions))
+    train, asked = table(spark, t), table(spark, q)
+    monkeypatch.setattr(knn, "FIRST_ROUND", 2)
+    monkeypatch.setattr(knn, "ROUND_GROWTH", 2)
+    for metric in ("euclidean", "squared_euclidean", "manhattan", "canberra"):
+        index, log = knn.build_index(train, "id", ["v"], "y", metric, 400), []
+        got = found(knn.search(asked, "id", index, 4, log), 4)
+        want, gaps = brute(metric, q, t, 4)
+        assert (got[0] == want).all() and np.allclose(got[1], gaps)
+        cells = len(index.in_cell)
+        assert cells > 10 and log[0] == 80 and sum(log) <= 80 * cells
+        if metric == "euclidean":
+            assert len(log) > 2 and sum(log) < 0.9 * 80 * cells
+
+
 def test_near_ties_in_one_block():
     rng = np.random.default_rng(0)
     t = 1e6 + rng.integers(0, 3, size=(400, 4)).astype(float)

@@ -219,3 +219,24 @@ def test_principal_components(spark):
     _, _, vt = np.linalg.svd(centred, full_matrices=False)
     assert np.allclose(np.abs(got), np.abs(centred @ vt[:2].T), atol=1e-8)
     assert model.explainedVariance[0] > 0.9
+
+
+def test_quantiles_take_few_passes_whatever_the_spread(spark, monkeypatch):
+    values = [1e300, -1e300, 5e-324, -0.0, 0.0, 1.0, 1.0000000000000002, -3.5, 2.0, 7.25, 1e-300]
+    df = spark.createDataFrame([(v,) for v in values * 3], "a double").repartition(3)
+    passes, count = [], quantiles._count_bits
+    monkeypatch.setattr(quantiles, "_count_bits", lambda *a: passes.append(1) or count(*a))
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    assert quantiles.exact_quantiles(df, ["a"], shares)["a"] == pytest.approx(list(np.quantile(values * 3, shares)))
+    assert len(passes) <= 4
+
+
+def test_group_medians(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 999), (None, 40)) for v in rng.normal(size=n) * 10.0 ** rng.integers(-9, 9)]
+    rows += [("d", None), ("d", float("nan")), ("e", -0.0), ("e", 0.0), ("e", 1e300), ("e", -1e300)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r["g"]: r["median"] for r in quantiles.group_median(df, "g", "v").collect()}
+    want = {g: np.median([v for h, v in rows if h == g]) for g in ("a", "b", "c", "e", None)}
+    assert got.keys() == want.keys() and all(got[g] == pytest.approx(want[g]) for g in want)
+    assert quantiles.group_median(df.limit(0), "g", "v").collect() == []

@@ -93,6 +93,19 @@ def test_duplicate_keys_at_the_cut_are_reported(spark):
         split.train_test_split(df, "id", training_size=0.5, random_state=1)
 
 
+def test_a_cut_may_fall_between_rows_of_one_key(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.lit(None).cast("string").alias("s"))
+    train, test = split.train_test_split(df, "k", training_size=0.55, random_state=4)
+    assert (train.count(), test.count()) == (550, 450)
+    assert {r["v"] for r in train.collect()}.isdisjoint(r["v"] for r in test.collect())
+    keys = [{r["k"] for r in part.collect()} for part in (train, test)]
+    assert len(keys[0] & keys[1]) == 1
+    assert split.with_split(df, "k", training_size=10, random_state=4).where("split = 'train'").count() == 10
+    assert split.sample_rows(df, "k", 77, 4).count() == 77
+    again = split.train_test_split(df.repartition(7), "k", training_size=0.55, random_state=4)[0]
+    assert sorted(r["v"] for r in again.collect()) == sorted(r["v"] for r in train.collect())
+
+
 def test_crowded_prefixes_are_narrowed(spark, monkeypatch):
     monkeypatch.setattr(ranking, "PREFIX_DIGITS", 1)
     monkeypatch.setattr(ranking, "BUCKET_ROWS", 3)
