@@ -209,7 +209,8 @@ def drop_repeated_lines(docs: DataFrame, min_count: int = 10, min_chars: int = 1
     touched = F.broadcast(drop.select(_bucket()).distinct())
     on = _bucket() == F.col("_bucket")
     id_type = dict(docs.dtypes)["doc_id"]
-    cut = rows.join(touched, on, "left_semi").join(drop, "_rid", "left").select("_rid", "doc_id", "_text", "_drop").mapInArrow(
+    # lists of lines grow with the texts: they are not broadcast, however few there are
+    cut = rows.join(touched, on, "left_semi").join(drop.hint("merge"), "_rid", "left").select("_rid", "doc_id", "_text", "_drop").mapInArrow(
         _rebuild, f"_rid long, doc_id {id_type}, n_lines long, n_dropped long, kept_text string")
     whole = rows.join(touched, on, "left_anti").select(
         "_rid", "doc_id", (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
