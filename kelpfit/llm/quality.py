@@ -337,7 +337,7 @@ def _near(max_class_distance: float, max_word_distance: float) -> Column:
 
 
 def judged_by_distance(docs: DataFrame) -> DataFrame:
-    """As :func:`judged`, by the base rules and the two distances only (the verdict that op4's SQL defines)."""
+    """As :func:`judged`, by the base rules and the two distances only."""
     rows = stored(features(docs), "features")
     references = language_references(rows)
     rows, counted = counted_references(docs, rows)

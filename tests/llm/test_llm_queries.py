@@ -29,7 +29,7 @@ def run(spark, folder):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_with_sql(run, folder, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     found = con.execute(queries.ORACLES[name])
     columns = sorted(d[0] for d in found.description)
