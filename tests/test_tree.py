@@ -253,16 +253,27 @@ def test_more_classes_than_columns_could_hold(spark):
 
 
 def test_a_deep_tree_is_walked_without_nested_expressions(spark):
-    n = 4000
-    df = spark.range(n).select(F.col("id").cast("double").alias("x"), (F.xxhash64("id") % 2).cast("string").alias("y")).cache()
-    model = DecisionTree(max_depth=16, num_min_samples=2, reuse_features=True, stop_when_pure=True).fit(df, ["x"], "y")
-    assert max(node.depth for node in model.nodes) >= 14
+    """Sixteen levels of halving: the path of a number is its binary digits."""
+    from kelpfit.operators.tree import Node, TreeModel
+    from pyspark.sql import types as T
+
+    nodes, depth = [], 16
+    for level in range(depth + 1):
+        width = 1 << (depth - level)
+        for i in range(1 << level) if level < 9 else {0, (1 << level) - 1, 5 << (level - 3)}:
+            path = format(i, f"0{level}b").replace("0", "L").replace("1", "R") if level else ""
+            split = level < depth
+            nodes.append(Node(path, width, (), i, 0.0, "x" if split else None, "continuous" if split else None,
+                              (i * width + width / 2 - 0.5) if split else None))
+    model = TreeModel(("x",), "y", sorted(nodes, key=lambda n: n.path), {"x": "continuous"}, prediction_type=T.LongType())
+    df = spark.range(1 << depth).withColumn("x", F.col("id").cast("double"))
     plan = model.transform(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE" not in plan and len(plan) < 5000
-    leaves = [node for node in model.nodes if node.feature is None]
-    right = sum(max(node.n * (1 - node.impurity), 0) > 0 and node.impurity == 0 for node in leaves)
-    got = model.node_paths(model.transform(df)).groupBy("path").agg(F.count("*").alias("n")).collect()
-    assert {r["path"]: r["n"] for r in got} == {node.path: node.n for node in leaves} and right
+    known = {n.path for n in nodes}
+    for r in model.node_paths(model.transform(df)).where("id % 997 = 0 or id > 65530 or id < 5").collect():
+        bits = format(r["id"], f"0{depth}b").replace("0", "L").replace("1", "R")
+        want = next(bits[:k] for k in range(depth, -1, -1) if all(bits[:j] in known for j in range(k + 1)))
+        assert r["path"] == want
 
 
 def test_labels_of_other_types(spark):
