@@ -7,7 +7,11 @@ cell is nearer than a lower bound; cells are visited in the order of these bound
 rounds that grow, and between rounds the k-th distance so far closes all cells whose
 bound is above it. A query is sent to open cells only. Crowded cells are cut further
 into blocks of bounded size on both sides, so no task grows with the data or with a hot
-cell.
+cell. Where bounds leave most rows open, as in many dimensions, the rest of the search
+joins large blocks of queries and training rows instead of cells.
+
+Inside a block, cheap lower bounds of all distances come first, and only rows that may
+be nearer than the k-th one known so far are measured.
 """
 
 from __future__ import annotations
@@ -42,7 +46,16 @@ ROOT_SHARE = 4
 # cells that a query visits in the first round after its own; each further round takes more
 FIRST_ROUND = 4
 ROUND_GROWTH = 4
+# share of all (query, row) pairs that may be left open before cells give way to large blocks
+DENSE_SHARE = 0.25
 CHUNK = 1024
+# queries and training rows whose bounds a task looks at together: they fit its cache
+TILE_QUERIES, TILE_ROWS = 64, 1024
+# dimensions whose 16-bit differences are added before they go into wider numbers
+CODE_DIMENSIONS = 64
+# Canberra terms of one sign are tanh(gap of logarithms / 2), which lies above the chord to this gap
+CHORD_GAP = 2.0
+MOST_CODE = 14_000
 WEIGHT_FLOOR = 1e-6
 # rows measured exactly beyond k before near-ties are looked at one by one
 SHORTLIST = 8
@@ -106,6 +119,138 @@ def top_block(metric: str, queries: np.ndarray, train: np.ndarray, keys: np.ndar
     return np.concatenate(rows_out)[place], np.concatenate(dist_out)[place]
 
 
+class _Codes:
+    """Lower bounds of Manhattan and Canberra distances by 16-bit codes of the coordinates.
+
+    Code differences, cut at ``cap``, never exceed the terms by more than one unit for
+    rounding; bounds are in these units. Canberra terms are bounded by gaps of logarithms; opposite signs count as 1.
+    """
+
+    def __init__(self, metric: str, queries: np.ndarray, train: np.ndarray):
+        self.canberra, self.dimensions = metric == "canberra", train.shape[1]
+        self.cap = 32_767 // min(self.dimensions, CODE_DIMENSIONS)
+        both = (queries, train)
+        if self.canberra:
+            self.unit = math.tanh(CHORD_GAP / 2) / self.cap
+            logs = [np.log(np.abs(x), out=np.full(x.shape, -np.inf), where=x != 0) for x in both]
+            top = max(max(v.max(initial=-np.inf) for v in logs), -1e300)
+            step = self.unit * CHORD_GAP / math.tanh(CHORD_GAP / 2)
+            codes = [self.cap // 2 + 1 + MOST_CODE - np.rint(np.minimum((top - v) / step, MOST_CODE)) for v in logs]
+            codes = [np.where(x < 0, -c, c) for x, c in zip(both, codes)]
+            self.signs = [np.where(x < 0, -1, 1).astype(np.float32) for x in both]
+        else:
+            low, high = np.quantile(train, [0.001, 0.999], axis=0)
+            middle = (low + high) / 2
+            self.unit = max((high - low).max() * 1.25, 1e-300) / self.cap
+            codes = [np.clip(np.rint((x - middle) / self.unit), -MOST_CODE, MOST_CODE) for x in both]
+        self.queries, self.train = [np.ascontiguousarray(c.astype(np.int16).T) for c in codes]
+        spread = max(c.max(initial=0) for c in codes) - min(c.min(initial=0) for c in codes)
+        self.cut = self.canberra or spread > self.cap
+
+    def lows(self, q: slice, t: slice) -> np.ndarray:
+        shape = (q.stop - q.start, t.stop - t.start)
+        total, sums, gap = np.zeros(shape, np.float32), np.empty(shape, np.int16), np.empty(shape, np.int16)
+        cap = np.full(shape, self.cap, np.int16)  # several times faster than one number
+        for first in range(0, self.dimensions, CODE_DIMENSIONS):
+            sums[:] = 0
+            for j in range(first, min(first + CODE_DIMENSIONS, self.dimensions)):
+                np.subtract(self.queries[j, q, None], self.train[j, None, t], out=gap)
+                np.abs(gap, out=gap)
+                if self.cut:
+                    np.minimum(gap, cap, out=gap)
+                np.add(sums, gap, out=sums)
+            total += sums
+        if self.canberra:
+            opposite = (self.dimensions - self.signs[0][q] @ self.signs[1][t].T) / 2
+            total += np.float32((1 - math.tanh(CHORD_GAP / 2)) / self.unit) * opposite
+        # room for the rounded codes and single precision
+        return total * np.float32(1 - 1e-4) - np.float32(self.dimensions)
+
+    def comparable(self, limit: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return np.nextafter((limit / self.unit).astype(np.float32), np.float32(np.inf))
+
+
+class _Products:
+    """Lower bounds of squared Euclidean distances by a matrix product."""
+
+    def __init__(self, queries: np.ndarray, train: np.ndarray):
+        self.queries, self.train = queries, train
+        self.q_norms, self.t_norms = (queries * queries).sum(axis=1), (train * train).sum(axis=1)
+        self.room = 2e-10 * (self.q_norms + self.t_norms.max(initial=0.0) + 1.0)
+
+    def lows(self, q: slice, t: slice) -> np.ndarray:
+        rough = (self.q_norms[q] - self.room[q])[:, None] + self.t_norms[None, t]
+        return rough - 2.0 * (self.queries[q] @ self.train[t].T)
+
+    def comparable(self, limit: np.ndarray) -> np.ndarray:
+        return limit
+
+
+def near_in_block(metric: str, queries: np.ndarray, train: np.ndarray, keys: np.ndarray, k: int, reach: np.ndarray):
+    """Numbers of queries and rows and their distances, for each query's k nearest rows in one block; ties by key.
+
+    Rows farther than the query's ``reach`` are left out.
+    """
+    by_key = _first_copies(train, np.argsort(keys, kind="stable"), k)
+    train = train[by_key]
+    squared = metric in ("euclidean", "squared_euclidean")
+    bounds = _Products(queries, train) if squared else _Codes(metric, queries, train)
+    out = []
+    for first in range(0, len(queries), TILE_QUERIES):
+        q = slice(first, min(first + TILE_QUERIES, len(queries)))
+        far = reach[q].astype(float)
+        # some rows at once, for a first bound
+        d = pairwise(metric, queries[q], train[:k])
+        if d.shape[1] == k:
+            far = np.minimum(far, d.max(axis=1))
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        for start in range(0, len(train), TILE_ROWS):
+            t = slice(start, min(start + TILE_ROWS, len(train)))
+            limit = (far * far if metric == "euclidean" else far) * (1 + SLACK) + SLACK
+            at, row = np.nonzero(bounds.lows(q, t) <= bounds.comparable(limit)[:, None])
+            if not len(at):
+                continue
+            row += start
+            d = np.concatenate([_apart(metric, queries[first + at[i:i + CHUNK * 64]], train[row[i:i + CHUNK * 64]])
+                                for i in range(0, len(at), CHUNK * 64)])
+            at, row, d = at[near := d <= far[at]], row[near], d[near]
+            if not len(at):
+                continue
+            best = _k_least(*[np.concatenate(v) for v in zip(best, (at, row, d))], k)
+            counts = np.bincount(best[0], minlength=len(far))
+            full = counts >= k
+            far[full] = np.minimum(far[full], best[2][np.cumsum(counts)[full] - 1])
+        out.append((best[0] + first, by_key[best[1]], best[2]))
+    return [np.concatenate(v) for v in zip(*out)]
+
+
+def _apart(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances between rows with the same number, summed as :func:`pairwise` does."""
+    total = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        x, y = a[:, j], b[:, j]
+        diff = x - y
+        if metric == "manhattan":
+            total += np.abs(diff)
+        elif metric == "canberra":
+            weight = np.abs(x) + np.abs(y)
+            total += np.divide(np.abs(diff), weight, out=np.zeros_like(diff), where=weight > 0)
+        else:
+            total += diff * diff
+    return np.sqrt(total) if metric == "euclidean" else total
+
+
+def _k_least(at: np.ndarray, row: np.ndarray, d: np.ndarray, k: int):
+    """Per query the k lowest distances, in order; of equal ones the first rows."""
+    order = np.lexsort((row, d, at))
+    at = at[order]
+    new = np.append(True, at[1:] != at[:-1])[:len(at)]
+    nth = np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    order = order[nth < k]
+    return at[nth < k], row[order], d[order]
+
+
 def _first_copies(train: np.ndarray, by_key: np.ndarray, k: int) -> np.ndarray:
     """Leave out copies of a point beyond its k lowest keys.
 
@@ -182,9 +327,13 @@ def _block_counts(counts: dict[int, int], block_rows: int) -> Column:
 def _join_cells(visits: DataFrame, train: DataFrame, metric: str, k: int,
                 train_rows: dict[int, int], query_rows: dict[int, int], block_rows: int,
                 label_type: str, query_type: str, key_type: str) -> DataFrame:
-    """Top k of every (query, visited cell block); at most k rows per query and block."""
-    t_blocks = _block_counts(train_rows, block_rows)
-    q_blocks = _block_counts(query_rows, max(1, block_rows // 4))
+    """Top k of every (query, visited cell block) within the query's reach; at most k rows per query and block."""
+    return _join_blocks(visits, train, metric, k, _block_counts(train_rows, block_rows),
+                        _block_counts(query_rows, max(1, block_rows // 4)), label_type, query_type, key_type)
+
+
+def _join_blocks(visits: DataFrame, train: DataFrame, metric: str, k: int, t_blocks: Column, q_blocks: Column,
+                 label_type: str, query_type: str, key_type: str) -> DataFrame:
     left = _spread(visits, "qb", "tb", q_blocks, t_blocks, "_q")
     right = _spread(train, "tb", "qb", t_blocks, q_blocks, "_t")
 
@@ -192,16 +341,14 @@ def _join_cells(visits: DataFrame, train: DataFrame, metric: str, k: int,
         if len(q) == 0 or len(t) == 0:
             return pd.DataFrame({"_q": q["_q"][:0], "neighbour": t["_t"][:0],
                                  "distance": np.array([], dtype=float), "label": t["_y"][:0]})
-        rows, dist = top_block(metric, _stack(q["_x"]), _stack(t["_x"]), t["_t"].to_numpy(), k)
-        return pd.DataFrame({
-            "_q": np.repeat(q["_q"].to_numpy(), rows.shape[1]),
-            "neighbour": t["_t"].to_numpy()[rows.ravel()],
-            "distance": dist.ravel(), "label": t["_y"].to_numpy()[rows.ravel()],
-        })
+        asked, rows, dist = near_in_block(
+            metric, _stack(q["_x"]), _stack(t["_x"]), t["_t"].to_numpy(), k, q["_far"].to_numpy(float))
+        return pd.DataFrame({"_q": q["_q"].to_numpy()[asked], "neighbour": t["_t"].to_numpy()[rows],
+                             "distance": dist, "label": t["_y"].to_numpy()[rows]})
 
     keys = ["cell", "tb", "qb"]
     return (
-        left.select("_q", "_x", *keys).groupBy(*keys)
+        left.select("_q", "_x", "_far", *keys).groupBy(*keys)
         .cogroup(right.select("_t", "_y", "_x", *keys).groupBy(*keys))
         .applyInPandas(
             meet, f"_q {query_type}, neighbour {key_type}, distance double, label {label_type}")
@@ -307,7 +454,7 @@ def search(queries: DataFrame, query_key: str, index: Index, k: int, log: list |
     at_home = _count_by_cell(q)
     if log is not None:
         log.append(sum(at_home.values()))
-    found = _join_cells(q, index.rows, metric, k, in_cell, at_home, **settings)
+    found = _join_cells(q.withColumn("_far", F.lit(float("inf"))), index.rows, metric, k, in_cell, at_home, **settings)
     if len(in_cell) > 1:
         found = _search_further(q, index, k, written(_best(found, k)), settings, log)
     return _best(found, k).select(
@@ -319,14 +466,16 @@ def _search_further(q: DataFrame, index: Index, k: int, found: DataFrame, settin
     metric, in_cell, width = index.cells.metric, index.in_cell, FIRST_ROUND
 
     def reach(found: DataFrame) -> DataFrame:
-        far = F.sqrt(F.max("distance")) if metric == "squared_euclidean" else F.max("distance")
-        return found.groupBy("_q").agg(F.when(F.count(F.lit(1)) == k, far).alias("reach"))
-
-    far = F.coalesce(F.col("reach"), F.lit(float("inf")))
-    seen = _other_cells(metric, index.cells, F.col("_x"), F.col("cell"), far)
-    lists = written(q.join(reach(found), "_q", "left").withColumn("_o", seen).select("_q", "_x", "_o.cells", "_o.lows"))
+        return found.groupBy("_q").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("_far"))
+
+    unknown = float("inf")
+    # bounds are roots of squared distances
+    bound = F.sqrt("_far") if metric == "squared_euclidean" else F.col("_far")
+    seen = _other_cells(metric, index.cells, F.col("_x"), F.col("cell"), bound)
+    lists = written(q.join(reach(found), "_q", "left").fillna(unknown, "_far").withColumn("_o", seen).select(
+        "_q", "_x", "_far", "_o.cells", "_o.lows"))
     while True:
-        visits = lists.select("_q", "_x", F.explode(F.slice("cells", 1, width)).alias("cell"))
+        visits = lists.select("_q", "_x", "_far", F.explode(F.slice("cells", 1, width)).alias("cell"))
         visited = _count_by_cell(visits)
         if not visited:
             return found
@@ -340,16 +489,34 @@ def _search_further(q: DataFrame, index: Index, k: int, found: DataFrame, settin
             return found
         found = written(_best(found, k))
         # bounds rise along a list, so what is still open is its beginning
-        rest = later.join(reach(found), "_q", "left").select(
+        rest = later.drop("_far").join(reach(found), "_q", "left").fillna(unknown, "_far").select(
             "_q", "_x", F.slice("cells", width + 1, F.size("cells")).alias("cells"),
-            F.slice("lows", width + 1, F.size("lows")).alias("lows"), far.alias("_far"))
-        n_open = F.size(F.filter("lows", lambda v: v <= F.col("_far")))
+            F.slice("lows", width + 1, F.size("lows")).alias("lows"), "_far", bound.alias("_bound"))
+        n_open = F.size(F.filter("lows", lambda v: v <= F.col("_bound")))
         rest = rest.withColumn("_n", n_open).where("_n > 0")
-        lists = written(rest.select("_q", "_x", F.expr("slice(cells, 1, _n)").alias("cells"),
+        lists = written(rest.select("_q", "_x", "_far", F.expr("slice(cells, 1, _n)").alias("cells"),
                                     F.expr("slice(lows, 1, _n)").alias("lows")))
+        asked, still_open = lists.agg(F.count(F.lit(1)), F.sum(F.size("cells"))).first()
+        if asked and still_open > DENSE_SHARE * asked * len(in_cell):
+            if log is not None:
+                log.append(still_open)
+            return found.drop("rank").join(lists.select("_q"), "_q", "left_anti").unionByName(
+                _in_blocks(lists, index, k, asked, settings))
         width *= ROUND_GROWTH
 
 
+def _in_blocks(lists: DataFrame, index: Index, k: int, asked: int, settings: dict) -> DataFrame:
+    """The k nearest rows of some queries among all training rows, in large blocks of both sides."""
+    block, cores = index.block_rows, lists.sparkSession.sparkContext.defaultParallelism
+    t_blocks = math.ceil(index.n / block)
+    # small tables are cut further, to keep all cores busy
+    wanted = min(4 * cores, asked * index.n >> 22)
+    q_blocks = max(math.ceil(asked / block), math.ceil(wanted / t_blocks))
+    types = {name: value for name, value in settings.items() if name != "block_rows"}
+    return _join_blocks(lists.select("_q", "_x", "_far", F.lit(0).alias("cell")), index.rows.withColumn("cell", F.lit(0)),
+                        index.cells.metric, k, F.lit(t_blocks), F.lit(q_blocks), **types)
+
+
 def nearest(
     queries: DataFrame,
     train: DataFrame,

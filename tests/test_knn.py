@@ -98,6 +98,38 @@ def test_rounds_close_cells_and_change_nothing(spark, dimensions, metric, monkey
         assert len(log) > 2 and sum(log) < 0.9 * 80 * cells
 
 
+@pytest.mark.parametrize("metric", METRICS)
+def test_large_blocks_replace_cells_that_bounds_leave_open(spark, metric, monkeypatch):
+    """In 64 dimensions without clusters nothing is ruled out; visits of cells would be shuffled one by one."""
+    rng = np.random.default_rng(5)
+    t, q = rng.normal(size=(900, 64)), rng.normal(size=(60, 64))
+    monkeypatch.setattr(knn, "FIRST_ROUND", 2)
+    index, log, joined = knn.build_index(table(spark, t), "id", ["v"], "y", metric, 200), [], []
+    join = knn._join_cells
+    monkeypatch.setattr(knn, "_join_cells", lambda visits, *args, **kwargs: joined.append(visits.count()) or join(
+        visits, *args, **kwargs))
+    rows, gaps = found(knn.search(table(spark, q), "id", index, 4, log), 4)
+    want, want_gaps = brute(metric, q, t, 4)
+    assert (rows == want).all() and np.allclose(gaps, want_gaps)
+    assert len(index.in_cell) > 20 and joined == [60, 120]
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("kind", ["normal", "heavy", "whole", "tiny"])
+def test_bounds_in_a_block_lose_no_neighbour(metric, kind):
+    rng = np.random.default_rng(8)
+    q, t = [{"normal": lambda n: rng.normal(size=(n, 70)), "heavy": lambda n: rng.standard_cauchy(size=(n, 3)),
+             "whole": lambda n: rng.integers(-2, 3, (n, 5)) * 1.0,
+             "tiny": lambda n: rng.normal(size=(n, 9)) * 1e-140}[kind](n) for n in (70, 2500)]
+    keys, full = rng.permutation(len(t)), pairwise(metric, q, t)
+    for reach in (np.full(len(q), np.inf), np.sort(full, axis=1)[:, 2]):
+        at, rows, gaps = knn.near_in_block(metric, q, t, keys, 5, reach)
+        for i in range(len(q)):
+            want = np.lexsort((keys, full[i]))[:5]
+            want = want[full[i][want] <= reach[i]]
+            assert (rows[at == i] == want).all() and (gaps[at == i] == full[i][want]).all()
+
+
 def test_near_ties_in_one_block():
     rng = np.random.default_rng(0)
     t = 1e6 + rng.integers(0, 3, size=(400, 4)).astype(float)
