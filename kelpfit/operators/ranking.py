@@ -17,6 +17,7 @@ from kelpfit.functions.hashing import key_hash
 
 PREFIX_DIGITS = 3
 BUCKET_ROWS = 1_000_000
+HASH_DIGITS = 36  # an MD5 and what may stand before it
 NONE_BELOW = ""
 ALL_BELOW = "g"  # sorts after every hex digit
 
@@ -48,7 +49,8 @@ def rank_cutoffs(
 
     ``ranks`` may be a function of the row count. The first pass collects a count per
     prefix of ``digits`` digits, every further one at most 4,096 per boundary; only the rows that share a boundary's
-    prefix are ever ranked. With ``by_content`` a cut may fall between rows of one hash and
+    prefix are ever ranked, and never more than ``BUCKET_ROWS`` of them: a prefix with a single hash is not
+    ranked, however many rows have it. With ``by_content`` a cut may fall between rows of one hash and
     is then to be read by :func:`up_to`; without it, and for rows that are equal in all
     columns, such a cut is an error.
     """
@@ -61,9 +63,20 @@ def rank_cutoffs(
     inner = sorted({r for r in wanted if 0 < r < n})
 
     # rank -> (prefix, rank inside the prefix, rows in the prefix)
-    place = dict(zip(inner, _locate(counts, inner)))
-    while any(rows > BUCKET_ROWS for _, _, rows in place.values()) and digits < 36:
+    place, settled = dict(zip(inner, _locate(counts, inner))), {}
+    while digits < HASH_DIGITS:
         wide = {p for p, _, rows in place.values() if rows > BUCKET_ROWS}
+        if not wide:
+            break
+        crowded = hashed.where(F.substring("h", 1, digits).isin(sorted(wide)))
+        single = _single_hashes(crowded, digits)
+        for r, (prefix, inside, rows) in list(place.items()):
+            if prefix in single:
+                settled[r] = (single[prefix], inside, inside < rows)
+                del place[r]
+        wide -= set(single)
+        if not wide:
+            break
         finer = _prefix_counts(
             hashed.where(F.substring("h", 1, digits).isin(sorted(wide))), digits + PREFIX_DIGITS
         )
@@ -74,7 +87,7 @@ def rank_cutoffs(
         digits += PREFIX_DIGITS
 
     edge = {0: NONE_BELOW, n: ALL_BELOW}
-    for r, (h, nth, tied) in _rows_at(hashed, place).items():
+    for r, (h, nth, tied) in (settled | _rows_at(hashed, place)).items():
         edge[r] = h
         if tied and not by_content:
             raise ValueError("the key columns do not identify rows uniquely")
@@ -88,6 +101,13 @@ def _prefix_counts(hashed: DataFrame, digits: int) -> dict[str, int]:
     return {r["p"]: r["count"] for r in rows}
 
 
+def _single_hashes(hashed: DataFrame, digits: int) -> dict[str, str]:
+    """Prefixes all of whose rows have one hash, with that hash."""
+    rows = hashed.groupBy(F.substring("h", 1, digits).alias("p")).agg(
+        F.min("h").alias("low"), F.max("h").alias("high")).where("low = high").collect()
+    return {r["p"]: r["low"] for r in rows}
+
+
 def _locate(counts: dict[str, int], ranks: Sequence[int]) -> list[tuple[str, int, int]]:
     out, seen, position = [], 0, 0
     ordered = sorted(counts.items())

@@ -117,6 +117,21 @@ def test_crowded_prefixes_are_narrowed(spark, monkeypatch):
     assert cuts == ["", hashes[0], hashes[56], hashes[57], hashes[199], hashes[398], "g"]
 
 
+def test_rows_of_one_key_are_never_ranked_in_one_window(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 40)
+    ranked, rows_at = [], ranking._rows_at
+    monkeypatch.setattr(ranking, "_rows_at", lambda hashed, place: ranked.extend(
+        rows for _, _, rows in place.values()) or rows_at(hashed, place))
+    df = spark.range(1500).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    train, test = split.train_test_split(df, "k", training_size=0.55, random_state=4)
+    assert max(ranked) <= 40
+    keys = order(4, range(3))
+    first = [r["v"] for r in train.collect()]
+    assert len(first) == 825 and test.count() == 675 and {v % 3 for v in first} == {keys[0], keys[1]}
+    cut = sorted((v for v in range(1500) if v % 3 == keys[1]), key=lambda v: hashlib.md5(f"{v % 3}\x01{v}".encode()).hexdigest())
+    assert set(first) == {v for v in range(1500) if v % 3 == keys[0]} | set(cut[:325])
+
+
 def test_permutation_and_sample(spark):
     expected = order(4, range(300))
     rows = split.permute(spark.range(300), "id", 4).collect()
