@@ -100,31 +100,35 @@ class KMeans:
             base = (scaler.transform(rows) if scaler else rows).select(
                 F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
             start = starting_centroids(base, self)
-            steps, history, measured = [], [], []
-            before, previous, centroids = None, None, start
-            with held(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))) as points:
-                bounded, since = None, 0
-                try:
-                    for iteration in range(1, self.max_iter + 1):
-                        used = centroids
-                        stale = not measured or measured[-1] > STALE * n * self.k
-                        if iteration > 1 and stale and since >= LEAST_PASSES:
-                            old, since = bounded, 0
-                            bounded = (_with_bounds(points, self.distance_metric, used).persist(), used)
-                            if old:
-                                old[0].unpersist()
-                        centroids, seen, changed, number = _iterate(
-                            points, self.distance_metric, used, previous if trace else None, trace, bounded)
-                        measured.append(number)
-                        since += 1
-                        history.append(used)
-                        steps += [(iteration, c, used[c], seen[c][0], changed[c]) for c in range(self.k)]
-                        if seen == before:
-                            break
-                        before, previous = seen, used
-                finally:
-                    if bounded:
-                        bounded[0].unpersist()
+            points = _packed(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))).persist()
+            points.count()
+        # passes need the points only: the keyed rows are let go, and so is every table once the next one is full
+        steps, history, measured = [], [], []
+        before, previous, centroids = None, None, start
+        bounded, since, kept = None, 0, [points]
+        try:
+            for iteration in range(1, self.max_iter + 1):
+                used = centroids
+                stale = not measured or measured[-1] > STALE * n * self.k
+                if iteration > 1 and stale and since >= LEAST_PASSES:
+                    since = 0
+                    plain = kept[-1].select("x", "h")
+                    bounded = (_with_bounds(plain, self.distance_metric, used).persist(), used)
+                    kept.append(bounded[0])
+                centroids, seen, changed, number = _iterate(
+                    kept[0], self.distance_metric, used, previous if trace else None, trace, bounded)
+                while len(kept) > 1:
+                    kept.pop(0).unpersist()
+                measured.append(number)
+                since += 1
+                history.append(used)
+                steps += [(iteration, c, used[c], seen[c][0], changed[c]) for c in range(self.k)]
+                if seen == before:
+                    break
+                before, previous = seen, used
+        finally:
+            for table in kept:
+                table.unpersist()
         return KMeansModel(tuple(columns), self.distance_metric, centroids, used, start, scaler,
                            steps if trace else None, history, measured)
 
@@ -334,30 +338,58 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
 
 
+PACK = "x binary, h binary"
+STATE = "cluster binary, near binary, second binary"
+
+
+def _packed(points: DataFrame) -> DataFrame:
+    """Points of an Arrow batch as the bytes of one matrix, with those of their hashes.
+
+    Every pass reads all points, and rows of numbers cost far more to hand over than bytes.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                h = batch.column(batch.num_columns - 1).to_numpy()
+                yield _bytes_row(PACK, [np.ascontiguousarray(_matrix(batch), float), h])
+
+    return points.mapInArrow(pack, PACK)
+
+
+def _bytes_row(schema: str, arrays: Sequence[np.ndarray]) -> pa.RecordBatch:
+    names = [one.split()[0] for one in schema.split(", ")]
+    return pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=names)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Points, hashes, and cluster, nearest and second nearest distance where they are kept."""
+    for batch in batches:
+        for row in zip(*batch.columns):
+            x, h, *state = [np.frombuffer(v.as_buffer(), kind) for v, kind in zip(
+                row, (float, np.uint64, np.int32, float, float))]
+            yield x.reshape(-1, d), h, state
+
+
 def _root(metric: str, d: np.ndarray) -> np.ndarray:
     return np.sqrt(d) if metric == "squared_euclidean" else d
 
 
 def _with_bounds(points: DataFrame, metric: str, centroids: Centroids) -> DataFrame:
     """Add every row's cluster and its distances to the nearest and the second nearest of some centroids."""
-    sent = points.sparkSession.sparkContext.broadcast(np.array(centroids))
+    sent, d = points.sparkSession.sparkContext.broadcast(np.array(centroids)), len(centroids[0])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch)
+        for x, h, _ in _unpacked(batches, d):
             parts = []
             for i in range(0, len(x), ARROW_ROWS):
-                d = _root(metric, pairwise(metric, x[i:i + ARROW_ROWS], sent.value))
-                cluster = d.argmin(axis=1)
-                own = d[np.arange(len(d)), cluster]
-                d[np.arange(len(d)), cluster] = np.inf
-                parts.append((cluster.astype(np.int32), own, d.min(axis=1)))
-            state = [np.concatenate(v) for v in zip(*parts)] if parts else [np.empty(0, np.int32), np.empty(0), np.empty(0)]
-            yield pa.record_batch([*batch.columns, *map(pa.array, state)],
-                                  names=[*batch.schema.names, "_cluster", "_near", "_next"])
+                gaps = _root(metric, pairwise(metric, x[i:i + ARROW_ROWS], sent.value))
+                cluster = gaps.argmin(axis=1)
+                own = gaps[np.arange(len(gaps)), cluster]
+                gaps[np.arange(len(gaps)), cluster] = np.inf
+                parts.append((cluster.astype(np.int32), own, gaps.min(axis=1)))
+            yield _bytes_row(f"{PACK}, {STATE}", [x, h, *[np.concatenate(v) for v in zip(*parts)]])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
-    return points.mapInArrow(measure, schema + ", _cluster int, _near double, _next double")
+    return points.mapInArrow(measure, f"{PACK}, {STATE}")
 
 
 def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool,
@@ -391,13 +423,9 @@ def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Cen
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before, moved = sent.value
-        extra = 0 if moved is None else 3
         n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
         checksums, measured = np.zeros(k, dtype=np.uint64), 0
-        for batch in batches:
-            plain = batch.select(list(range(batch.num_columns - extra)))
-            points, hashes = _matrix(plain), plain.column(plain.num_columns - 1).to_numpy().view(np.uint64)
-            state = [batch.column(batch.num_columns - 3 + i).to_numpy() for i in range(extra)]
+        for points, hashes, state in _unpacked(batches, d):
             for i in range(0, len(points), ARROW_ROWS):
                 x = points[i:i + ARROW_ROWS]
                 cluster, number = clusters(x, [v[i:i + ARROW_ROWS] for v in state], now, moved)

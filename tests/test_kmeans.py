@@ -171,6 +171,28 @@ def test_bounds_save_distances_and_change_nothing(spark, metric, monkeypatch):
         assert sum(bounded.measured) < 0.8 * sum(plain.measured)
 
 
+def test_passes_read_packed_points_and_other_tables_are_let_go(spark, monkeypatch):
+    """A pass reads a few rows of bytes; the keyed rows and earlier tables take no memory meanwhile."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 1.0, (150, 2)) for c in ((0, 0), (4, 1), (1, 5), (6, 6))])
+    df = table(spark, x).repartition(3)
+    context, packs, tables, iterate = spark.sparkContext._jsc, [], [], km._iterate
+    earlier = len(context.getPersistentRDDs())
+
+    def spy(points, *args):
+        packs.append(points.count())
+        tables.append(len(context.getPersistentRDDs()) - earlier)
+        return iterate(points, *args)
+
+    monkeypatch.setattr(km, "_iterate", spy)
+    model = KMeans(k=4, max_iter=60, random_state=5).fit(df, ["x0", "x1"], "id")
+    a, c = run_numpy(x, model.start, "euclidean", 60)
+    assert [r["cluster"] for r in model.assignments(df).orderBy("id").collect()] == list(a)
+    assert np.allclose(model.centroids, c)
+    assert len(packs) > 3 and set(packs) == {3} and tables[0] <= 1 and max(tables) <= 2
+    assert len(context.getPersistentRDDs()) <= earlier
+
+
 def test_members_of_every_iteration(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(60, 2))
