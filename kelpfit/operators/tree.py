@@ -10,6 +10,8 @@ before the shuffle, and no window holds more than one slice of a node's values.
 Classes are rows, not columns: a split needs the two sides' sums of squared class
 counts, and both follow from sums over the classes that occur (n for the left side, its
 products with the node's own counts for the right one). So their number is not bounded.
+Many classes, none of them large, are dealt to tasks whole: what a row adds to both sums
+is known there, and only sums by range and value are shuffled.
 
 Regression sums are centred on the mean of the node they belong to, and candidates
 of a node are ranked by their share of that node's own squares, so a split far up
@@ -32,7 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
 from kelpfit.operators.aggregates import squared_residuals
-from kelpfit.operators.tree_batches import Counter, FlatTree, SliceScorer
+from kelpfit.operators.tree_batches import (
+    ClassSums, Counter, FlatTree, SliceScorer, order_statistics, packed_by_class)
 from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
@@ -40,6 +43,12 @@ RANGES = 128
 DIGITS = 10
 #: Rows whose single values a task looks at together.
 SLICE_ROWS = 100_000
+#: More classes than this are dealt by class, if none has more than so many rows.
+FEW_CLASSES = 64
+WHOLE_ROWS = 1 << 20
+#: Ranges of all nodes of a level, by feature, where rows are dealt by class; values from which their edges are taken.
+CELLS = 1 << 17
+EDGE_POINTS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -62,6 +71,7 @@ class Node:
     stop: str | None = None
     # whether rows at the threshold itself go left
     inclusive: bool = True
+    n_classes: int | None = None
 
     @property
     def depth(self) -> int:
@@ -108,9 +118,18 @@ class _Grower:
             self._target(df, label).alias("_y"))
         with held(rows) as rows:
             measure, stats = self._measures(rows)
-            kinds, cuts = self._profile(rows, kinds)
-            job = _Fit(self, rows, features, kinds, cuts, measure, stats)
-            nodes = job.grow()
+            if isinstance(measure, SummedGini):
+                kinds, _ = self._profile(rows, kinds, cut=False)
+                with held(_dealt(rows)) as blocks:
+                    count = blocks.count()
+                    rows.unpersist()
+                    cuts = _edges(blocks, count, features, kinds)
+                    job = _Fit(self, blocks, features, kinds, cuts, measure, stats)
+                    nodes = job.grow()
+            else:
+                kinds, cuts = self._profile(rows, kinds)
+                job = _Fit(self, rows, features, kinds, cuts, measure, stats)
+                nodes = job.grow()
         return TreeModel(tuple(features), label, nodes, kinds, self.positive, self.negative,
                          self._prediction_type(df, label), job.class_counts)
 
@@ -126,14 +145,14 @@ class _Grower:
         rows = usable_rows(df.select(*features, label), [*features, label]).select(
             *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
             self._target(df, label).alias("_y"))
-        measure, stats = self._measures(rows)
+        measure, stats = self._measures(rows, deal=False)
         kinds, cuts = self._profile(rows, kinds)
         return _Fit(self, rows, features, kinds, cuts, measure, stats).candidates()
 
-    def _profile(self, rows: DataFrame, kinds: dict[str, str]):
+    def _profile(self, rows: DataFrame, kinds: dict[str, str], cut: bool = True):
         """Which strings only say positive or negative, and where numbers are cut into ranges."""
         pair = [self.positive, self.negative]
-        shares = [i / self.ranges for i in range(1, self.ranges)]
+        shares = [i / self.ranges for i in range(1, self.ranges)] if cut else []
         aggs = [
             F.max((~F.col(c).isin(pair)).cast("int")).alias(c) if kind == "categorical"
             else F.percentile_approx(c, shares, 10_000).alias(c)
@@ -155,12 +174,13 @@ class DecisionTree(_Grower):
     def _prediction_type(self, df, label):
         return df.schema[label].dataType
 
-    def _measures(self, rows: DataFrame):
-        n, squares = rows.groupBy("_y").count().agg(
-            F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count"))).first()
+    def _measures(self, rows: DataFrame, deal: bool = True):
+        n, squares, classes, most = rows.groupBy("_y").count().agg(
+            F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count")), F.count("count"), F.max("count")).first()
         if not n:
             raise ValueError("there are no rows to grow a tree from")
-        return GiniMeasure(rows.schema["_y"].dataType), (n, squares)
+        summed = deal and self.candidates is None and classes > FEW_CLASSES and most <= WHOLE_ROWS
+        return (SummedGini if summed else GiniMeasure)(rows.schema["_y"].dataType), (n, squares)
 
 
 @dataclass(frozen=True)
@@ -175,13 +195,30 @@ class RegressionTree(_Grower):
     def _prediction_type(self, df, label):
         return T.DoubleType()
 
-    def _measures(self, rows: DataFrame):
+    def _measures(self, rows: DataFrame, deal: bool = True):
         r = rows.agg(F.count("_y"), F.avg("_y"), F.var_pop("_y")).first()
         if r[0] == 0:
             raise ValueError("there are no rows to grow a tree from")
         return SquaresMeasure(r[1]), (r[0], 0.0, r[2] * r[0])
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Blocks of rows that hold classes whole."""
+    kind = rows.schema["_y"].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        rows = rows.withColumn("_y", F.col("_y") + F.lit(0).cast(kind))  # one zero only
+    return rows.repartition("_y").sortWithinPartitions("_y").mapInArrow(packed_by_class, "rows long, data binary")
+
+
+def _edges(blocks: DataFrame, count: int, features: Sequence[str], kinds: dict[str, str]) -> dict[str, list[float]]:
+    """Edges of about equally filled ranges, from values that every block names."""
+    numbers = [(f, c) for f, c in enumerate(features) if kinds[c] == "continuous"]
+    points = max(64, EDGE_POINTS // max(1, count))
+    named = blocks.mapInArrow(order_statistics(numbers, points), "f int, x double").distinct().toArrow()
+    f, x = named.column("f").to_numpy(), named.column("x").to_numpy()
+    return {c: np.unique(x[f == i]) for i, c in numbers}
+
+
 def _share(squares: Column, n: Column) -> Column:
     return F.when(n > 0, squares / n).otherwise(0.0)
 
@@ -194,6 +231,7 @@ class GiniMeasure:
 
     inclusive = True
     by_class = True
+    gini = True
     names = ("n", "s", "t")
 
     def __init__(self, class_type: T.DataType):
@@ -217,6 +255,20 @@ class GiniMeasure:
         """What two parts of a node alone add to the score."""
         return (left[0] - _share(left[1], left[0]) + right[0] - _share(right[1], right[0])) / total[0]
 
+    def least(self, before: Sequence[Column], inside: Sequence[Column], total: Sequence[Column]) -> Column:
+        """What no threshold inside a part of a node scores below.
+
+        A row adds 1 at least to the sum of squares on the side it joins, and takes 1 at least
+        from that of the side it leaves; so both sums are bounded after any number of its rows.
+        """
+        left = [b + i for b, i in zip(before, inside)]
+        rest, rows = self.right(before, total), inside[0]
+        ends = (F.lit(1.0), rows - 1.0)
+        most = [F.greatest(*[sums(i) for i in ends]) for sums in (
+            lambda i: (left[1] - rows + i) / F.greatest(before[0] + i, F.lit(1.0)),
+            lambda i: (rest[1] - i) / F.greatest(rest[0] - i, F.lit(1.0)))]
+        return 1 - (most[0] + most[1]) / total[0]
+
     def own(self, total: Sequence[Column]) -> Column:
         return 1 - _share(total[1], total[0]) / total[0]
 
@@ -232,6 +284,15 @@ class GiniMeasure:
         return 0.0
 
 
+class SummedGini(GiniMeasure):
+    """The same sums, which tasks that hold classes whole have taken over the classes."""
+
+    by_class = False
+
+    def added(self, df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.names], *more)
+
+
 class SquaresMeasure:
     """Count, sum and sum of squares of the target, centred on the node's mean.
 
@@ -240,6 +301,7 @@ class SquaresMeasure:
 
     inclusive = False
     by_class = False
+    gini = False
     class_type = None
     names = ("n", "s1", "s2")
 
@@ -280,6 +342,7 @@ class _Fit:
     def __init__(self, settings, rows, features, kinds, cuts, measure, root_stats):
         self.settings, self.rows, self.features, self.kinds = settings, rows, features, kinds
         self.measure, self.class_counts = measure, None
+        self.dealt = isinstance(measure, SummedGini)
         self.edges = {c: np.array(v, float) for c, v in cuts.items()}
         self.max_depth = settings.max_depth or len(features)
         self.nodes = {}
@@ -298,7 +361,9 @@ class _Fit:
             frontier = []
             for path in ready:
                 frontier += self._split(path, best.get(path))
-        if self.measure.by_class:
+        if self.dealt:
+            self._count_dealt_classes()
+        elif self.measure.gini:
             self._count_classes()
         else:
             self._measure_leaves()
@@ -373,13 +438,20 @@ class _Fit:
         offered = np.zeros((len(wanted), len(self.features)), bool)
         for i, path in enumerate(wanted):
             offered[i, [self.features.index(c) for c in self._open_features(path)]] = True
+        if self.dealt:
+            return ClassSums(tree, place, offered, self._edges_for(len(wanted)))
         centre = np.array([self.measure.centre(self.nodes[p]) for p in wanted], float)
         kind = to_arrow_type(self.measure.class_type) if self.measure.by_class else None
         return Counter(tree, place, centre, offered, self.edges, self.measure.by_class, kind)
 
-    def _counted(self, counter: Counter, run) -> DataFrame:
+    def _edges_for(self, nodes: int) -> dict[str, np.ndarray]:
+        """Fewer edges where there are more nodes, and at least a few dozen rows between two."""
+        most = max(self.settings.ranges, min(CELLS // nodes, self.nodes[""].n // 32))
+        return {c: v[::-(-len(v) // most)] if len(v) else v for c, v in self.edges.items()}
+
+    def _counted(self, counter: Counter | ClassSums, run) -> DataFrame:
         mine = f"cls {self.measure.class_type.simpleString()}, n long" if self.measure.by_class else (
-            "n long, s1 double, s2 double")
+            "n long, " + ", ".join(f"{c} double" for c in self.measure.names[1:]))
         return self.rows.mapInArrow(
             run, f"node int, f int, range int, category string, x double, {mine}, low double, high double")
 
@@ -400,7 +472,7 @@ class _Fit:
 
     def _totals(self, frontier: list[str], coarse: DataFrame) -> DataFrame:
         """Statistics of whole nodes: one row per frontier node."""
-        if self.measure.by_class:
+        if self.measure.gini:
             rows = [(i, float(n), s, s) for i, p in enumerate(frontier) for n, s in [self.nodes[p].stats]]
             return F.broadcast(coarse.sparkSession.createDataFrame(rows, "node int, t_n double, t_s double, t_t double"))
         rows = coarse.where("f = -1")
@@ -423,9 +495,29 @@ class _Fit:
         above = spark.createDataFrame(above, "node int, path string")  # each node and those above it
         self.class_counts = written(self._coarse(counter).join(F.broadcast(above), "node").groupBy("path", "cls").agg(
             F.sum("n").alias("n")))
-        found = self.class_counts.groupBy("path").agg(F.min(F.struct(-F.col("n"), F.col("cls"))).alias("m"))
-        for r in found.select("path", "m.cls").collect():
-            self.nodes[r["path"]] = replace(self.nodes[r["path"]], prediction=r["cls"])
+        found = self.class_counts.groupBy("path").agg(
+            F.min(F.struct(-F.col("n"), F.col("cls"))).alias("m"), F.count("cls").alias("classes"))
+        for r in found.select("path", "m.cls", "classes").collect():
+            self.nodes[r["path"]] = replace(self.nodes[r["path"]], prediction=r["cls"], n_classes=r["classes"])
+
+    def _count_dealt_classes(self) -> None:
+        """The same where tasks hold classes whole: only answers are shuffled, and counts are kept by leaf."""
+        paths = list(self.nodes)
+        counter, kind = self._counter(paths), to_arrow_type(self.measure.class_type)
+        number = {path: i for i, path in enumerate(paths)}
+        above = np.full((len(paths), max(map(len, paths)) + 1), -1, np.int32)
+        for i, path in enumerate(paths):
+            above[i, :len(path) + 1] = [number[path[:k]] for k in range(len(path) + 1)]
+        cls = f"cls {self.measure.class_type.simpleString()}"
+        found = self.rows.mapInArrow(counter.answers(above, kind), f"node int, classes long, n long, {cls}").groupBy("node").agg(
+            F.sum("classes").alias("classes"), F.min(F.struct(-F.col("n"), F.col("cls"))).alias("m"))
+        for r in found.select("node", "classes", "m.cls").collect():
+            path = paths[r["node"]]
+            self.nodes[path] = replace(self.nodes[path], prediction=r["cls"], n_classes=r["classes"])
+        leaves = written(self.rows.mapInArrow(counter.leaves(kind), f"node int, {cls}, n long"))
+        ways = [(i, paths[i][:k]) for i in range(len(paths)) for k in range(len(paths[i]) + 1)]
+        ways = self.rows.sparkSession.createDataFrame(ways, "node int, path string")
+        self.class_counts = leaves.join(F.broadcast(ways), "node").groupBy("path", "cls").agg(F.sum("n").alias("n"))
 
     # ---- statistics of one level ------------------------------------------------
 
@@ -521,14 +613,24 @@ class _Fit:
         """
         before, total = self._stats("b_"), self._stats("t_")
         after = self.measure.right([b + s for b, s in zip(before, self._stats())], total)
-        limits = [(i, float(row["score"])) for i, row in best.items()]
-        limit = cuts.sparkSession.createDataFrame(limits, "node int, limit double")
+        limits = [(i, float(row["score"]), float(row["rank"]), row["f"], row["threshold"]) for i, row in best.items()]
+        limit = cuts.sparkSession.createDataFrame(
+            limits, "node int, limit double, limit_rank double, limit_f int, limit_threshold double")
         # scores closer than this are ties
         room = 10.0 ** -DIGITS * F.greatest(self.measure.own(total), F.lit(1e-300))
-        may = self.measure.outside(before, after, total) <= F.coalesce("limit", F.lit(float("inf"))) + room
+        bound = self.measure.outside(before, after, total)
+        may = bound <= F.coalesce("limit", F.lit(float("inf"))) + room
+        if self.measure.gini:
+            bound = F.greatest(bound, self.measure.least(before, self._stats(), total))
+            # of equal ranks the earlier feature and then the lower threshold wins; sums are whole numbers,
+            # so a score is off by no more than a few last digits
+            least = self.measure.rank(bound - 1e-14, bound)
+            tied = (F.col("f") < F.col("limit_f")) | (
+                (F.col("f") == F.col("limit_f")) & (F.col("low") < F.col("limit_threshold")))
+            may = F.col("limit").isNull() | (least < F.col("limit_rank")) | ((least == F.col("limit_rank")) & tied)
         open_ = cuts.join(F.broadcast(limit), "node", "left").where((F.col("low") < F.col("high")) & may)
-        # one row per node and feature, with at most ``ranges`` numbers
-        wanted = np.zeros((len(frontier), len(self.features), self.settings.ranges + 1), bool)
+        # one row per node and feature, with at most as many numbers as there are ranges
+        wanted = np.zeros((len(frontier), len(self.features), 1 + max(map(len, counter.edges.values()))), bool)
         rows = 0
         for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges"), F.sum("n").alias("n")).collect():
             wanted[r["node"], r["f"], r["ranges"]] = True
@@ -558,7 +660,7 @@ class _Fit:
             side = classes.join(side, [c for c in classes.columns if c in side.columns])
         # columns of its own: it descends from the values it meets again
         side = side.select(*[F.col(c).alias(c) for c in side.columns])
-        score = SliceScorer(by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every)
+        score = SliceScorer(by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every, self.measure.gini)
         found = values.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(
             lambda left, right: score(left, right), SliceScorer.SCHEMA)
         return found.select("node", F.struct(
@@ -660,20 +762,20 @@ class TreeModel:
         rows = [
             (
                 n.path, n.depth, n.feature, n.kind, n.threshold, n.value, n.score, n.impurity, n.n,
-                str(n.prediction), n.path not in parents, n.stop,
+                str(n.prediction), n.path not in parents, n.stop, n.n_classes,
             )
             for n in self.nodes
         ]
         table = spark.createDataFrame(
             rows,
             "path string, depth int, feature string, kind string, threshold double, value string, "
-            "score double, impurity double, n long, prediction string, is_leaf boolean, stop string",
+            "score double, impurity double, n long, prediction string, is_leaf boolean, stop string, n_classes long",
         )
         counts = F.create_map().cast("map<string,bigint>")
         if self.class_counts is not None:
             by_node = self.class_counts.groupBy("path").agg(F.map_from_entries(F.sort_array(F.collect_list(
                 F.struct(F.col("cls").cast("string"), "n")))).alias("class_counts"))
-            table, counts = table.join(by_node, "path"), F.col("class_counts")
+            table, counts = table.join(by_node, "path", "left"), F.col("class_counts")
         return table.select(
             "path", "depth", "feature", "kind", "threshold", "value", "score", "impurity", "n",
-            counts.alias("class_counts"), "prediction", "is_leaf", "stop").orderBy("path")
+            counts.alias("class_counts"), "prediction", "is_leaf", "stop", "n_classes").orderBy("path")

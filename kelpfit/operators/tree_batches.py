@@ -4,6 +4,11 @@ A flat tree holds its nodes as parallel arrays, so a row is routed by a few arra
 look-ups per level, whatever the number of nodes. Counts of a stretch of rows leave a
 task as one row per node, feature, range or value, and class that occurs in it; Spark
 adds them up.
+
+Where there are many classes, none of them large, rows are dealt by class and packed into
+blocks (:func:`packed_by_class`). A block knows the place of a row among those of its node and
+class, so what the row adds to sums over classes is known there, and no row by class
+leaves a task (:class:`ClassSums`).
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ import pyarrow.compute as pc
 
 #: Rows counted together before they are handed on.
 STRETCH = 1 << 17
+#: Rows of a block, about, and ranges of nodes that a task adds up before it hands them on.
+BLOCK = 1 << 17
+DENSE = 1 << 20
 
 
 @dataclass
@@ -267,6 +275,8 @@ class SliceScorer:
     #: scores so close may be ties and are all handed on, unless every threshold is wanted
     tie: float
     every: bool = False
+    #: whether sums are those of a Gini tree, which come by class or added up
+    gini: bool = False
 
     SCHEMA = ("node int, f int, threshold double, score double, own double, left array<double>, right array<double>")
 
@@ -288,7 +298,7 @@ class SliceScorer:
             before[order] += earlier
             stats = np.stack([n, n * n + 2 * before * n, n * of_node], axis=1)
         else:
-            stats = np.stack([n, read(values, "s1"), read(values, "s2")], axis=1)
+            stats = np.stack([n, *[read(values, c) for c in (("s", "t") if self.gini else ("s1", "s2"))]], axis=1)
         order, starts = _grouped([group, x])
         stats, group, x = np.add.reduceat(stats[order], starts, axis=0), group[order[starts]], x[order[starts]]
         begun = np.stack([read(side, f"b{i}") for i in range(3)], axis=1)[first].astype(float)
@@ -324,7 +334,7 @@ class SliceScorer:
         return (side.column("before").to_numpy()[at].astype(float), side.column("of_node").to_numpy()[at].astype(float), key)
 
     def _scored(self, left: np.ndarray, total: np.ndarray):
-        if not self.by_class:
+        if not self.gini:
             right = total - left
             apart = lambda s: s[:, 2] - np.divide(s[:, 1] * s[:, 1], s[:, 0], out=np.zeros(len(s)), where=s[:, 0] > 0)
             return apart(left) + apart(right), apart(total), right
@@ -335,7 +345,7 @@ class SliceScorer:
 
     def _nearly_best(self, node, f, threshold, score, own) -> np.ndarray:
         """Per node the rows that may have the lowest rounded score, and of equal scores the first."""
-        measure = score if self.by_class else np.divide(score, own, out=np.zeros(len(score)), where=own > 0)
+        measure = score if self.gini else np.divide(score, own, out=np.zeros(len(score)), where=own > 0)
         order = np.lexsort((threshold, f, measure, node))
         node, measure = node[order], measure[order]
         new = np.append(True, node[1:] != node[:-1])[:len(node)]
@@ -349,3 +359,209 @@ def _before_in_groups(n: np.ndarray, key: np.ndarray) -> np.ndarray:
     total = np.cumsum(n) - n
     new = np.append(True, key[1:] != key[:-1])[:len(key)]
     return total - total[np.flatnonzero(new)][np.cumsum(new) - 1]
+
+
+# ---- rows in blocks -------------------------------------------------------------
+
+
+def _packed(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    batch = pa.record_batch(list(columns.values()), names=list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return pa.record_batch([pa.array([batch.num_rows], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                           names=["rows", "data"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Array]]:
+    for batch in batches:
+        for data in batch.column("data"):
+            table = pa.ipc.open_stream(data.as_buffer()).read_all()
+            yield {n: table.column(n).chunk(0) for n in table.column_names}
+
+
+def packed_by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows that come in order of class; a class is never cut."""
+    held, rows, goal = [], 0, BLOCK
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < goal:
+            continue
+        columns = _columns(held)
+        codes, _ = _encoded(columns["_y"])
+        cut = int(np.argmax(codes == codes[-1]))
+        if cut:
+            yield _packed({n: c.slice(0, cut) for n, c in columns.items()})
+        rest = pa.record_batch([c.slice(cut) for c in columns.values()], names=list(columns))
+        held, rows = [rest], rest.num_rows
+        goal = rows + BLOCK
+    if rows:
+        yield _packed(_columns(held))
+
+
+def order_statistics(features: Sequence[tuple[int, str]], points: int) -> Callable:
+    """Up to ``points`` values of every block and feature, evenly spaced in its order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in unpacked(batches):
+            for f, name in features:
+                x = np.sort(columns[name].to_numpy(zero_copy_only=False))
+                x = x[np.unique(np.linspace(0, len(x) - 1, min(points, len(x))).astype(np.int64))]
+                yield pa.record_batch([pa.array(np.full(len(x), f, np.int32)), pa.array(x)], names=["f", "x"])
+    return run
+
+
+def _places(*keys: np.ndarray) -> np.ndarray:
+    """Place of each row, from 0, among those with the same first key, in order of the others."""
+    order = np.lexsort(keys[::-1])
+    first = keys[0][order]
+    new = np.append(True, first[1:] != first[:-1])[:len(first)]
+    at = np.arange(len(first))
+    out = np.empty(len(first))
+    out[order] = at - at[new][np.cumsum(new) - 1]
+    return out
+
+
+@dataclass
+class ClassSums:
+    """Sums over classes, from blocks that hold classes whole.
+
+    Rows of a node and class are numbered in order of a feature: the k-th one adds 2k - 1 to the sum
+    of squared class counts, and the node's count of the class to the sum of products.
+    """
+
+    tree: FlatTree
+    place: np.ndarray
+    offered: np.ndarray
+    edges: dict[str, np.ndarray]
+
+    SCHEMA = (("node", pa.int32()), ("f", pa.int32()), ("range", pa.int32()), ("category", pa.string()), ("x", pa.float64()),
+              ("n", pa.int64()), ("s", pa.float64()), ("t", pa.float64()), ("low", pa.float64()), ("high", pa.float64()))
+
+    def coarse(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """By range or category; ranges are added up over all blocks of a task, unless there are too many."""
+        held = {}
+        for columns in unpacked(batches):
+            at, rows, group, of_node = self._open(columns)
+            for f, name in enumerate(self.tree.features):
+                on = np.flatnonzero(self.offered[at, f])
+                if not len(on):
+                    continue
+                mine, known = at[on], of_node[on]
+                if self.tree.kinds[f] != "continuous":
+                    codes, words = _encoded(columns[name].take(pa.array(rows[on])))
+                    s = 2 * _places(group[on] * len(words) + codes) + 1
+                    order, starts = _grouped([mine, codes])
+                    first = order[starts]
+                    yield self._batch(len(starts), node=mine[first], f=np.full(len(starts), f),
+                                      category=words.take(pa.array(codes[first])).cast(pa.string()),
+                                      **self._added(order, starts, s, known))
+                    continue
+                x = columns[name].to_numpy(zero_copy_only=False)[rows[on]]
+                width = len(self.edges[name]) + 1
+                cells = mine * width + np.searchsorted(self.edges[name], x, side="right")
+                order, starts = _grouped([cells])
+                sums = self._added(order, starts, 2 * _places(group[on], x) + 1, known)
+                ordered = x[order]
+                sums |= {"low": np.minimum.reduceat(ordered, starts), "high": np.maximum.reduceat(ordered, starts)}
+                cells, size = cells[order[starts]], len(self.offered) * width
+                if size > DENSE:
+                    yield self._ranges(f, width, cells, sums)
+                    continue
+                if f not in held:
+                    held[f] = {n: np.full(size, {"low": np.inf, "high": -np.inf}.get(n, 0), v.dtype) for n, v in sums.items()}
+                for n, v in sums.items():
+                    old = held[f][n][cells]
+                    held[f][n][cells] = np.minimum(old, v) if n == "low" else np.maximum(old, v) if n == "high" else old + v
+        for f, sums in held.items():
+            cells = np.flatnonzero(sums["n"])
+            yield self._ranges(f, len(self.edges[self.tree.features[f]]) + 1, cells, {n: v[cells] for n, v in sums.items()})
+
+    def values(self, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """By single value, in the ranges that ``wanted`` [open node, feature, range] asks for."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for columns in unpacked(batches):
+                at, rows, group, of_node = self._open(columns)
+                for f, name in enumerate(self.tree.features):
+                    if self.tree.kinds[f] != "continuous" or not wanted[:, f].any():
+                        continue
+                    x = columns[name].to_numpy(zero_copy_only=False)[rows]
+                    ranges = np.searchsorted(self.edges[name], x, side="right")
+                    on = np.flatnonzero(wanted[at, f, ranges])
+                    if not len(on):
+                        continue
+                    # places count the rows of ranges that are not wanted too
+                    whole = np.flatnonzero(np.isin(group, group[on]))
+                    s = np.zeros(len(x))
+                    s[whole] = 2 * _places(group[whole], x[whole]) + 1
+                    mine, ranges, x = at[on], ranges[on], x[on] + 0.0
+                    order, starts = _grouped([mine, ranges, x])
+                    first = order[starts]
+                    yield self._batch(len(starts), node=mine[first], f=np.full(len(starts), f), range=ranges[first],
+                                      x=x[first], **self._added(order, starts, s[on], of_node[on]))
+        return run
+
+    def answers(self, above: np.ndarray, class_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """By block and node the number of classes and the most frequent one, the first of equals.
+
+        ``above`` [node, k] is the k-th node on the way to a node, itself the last, or -1.
+        """
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for columns in unpacked(batches):
+                codes, classes = _encoded(columns["_y"])  # numbered in their order
+                node = self.tree.walk(columns, len(codes))
+                for way in above.T:
+                    mine = way[node]
+                    on = np.flatnonzero(mine >= 0)
+                    if not len(on):
+                        continue
+                    order, starts = _grouped([mine[on], codes[on]])
+                    first = on[order[starts]]
+                    n = np.diff(np.append(starts, len(order)))
+                    order, starts = _grouped([mine[first], -n, codes[first]])
+                    node_of = mine[first][order]
+                    starts = np.flatnonzero(np.append(True, node_of[1:] != node_of[:-1]))
+                    best = order[starts]
+                    yield pa.record_batch([
+                        pa.array(node_of[starts].astype(np.int32)), pa.array(np.diff(np.append(starts, len(order)))),
+                        pa.array(n[best]), classes.take(pa.array(codes[first][best])).cast(class_type)],
+                        names=["node", "classes", "n", "cls"])
+        return run
+
+    def leaves(self, class_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Rows by last node and class."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for columns in unpacked(batches):
+                codes, classes = _encoded(columns["_y"])
+                node = self.tree.walk(columns, len(codes))
+                order, starts = _grouped([node, codes])
+                first = order[starts]
+                yield pa.record_batch([
+                    pa.array(node[first]), classes.take(pa.array(codes[first])).cast(class_type),
+                    pa.array(np.diff(np.append(starts, len(order))))], names=["node", "cls", "n"])
+        return run
+
+    def _open(self, columns: dict[str, pa.Array]):
+        """Places of nodes, rows, numbers of their node and class together, and the count of these."""
+        codes, classes = _encoded(columns["_y"])
+        at = self.place[self.tree.walk(columns, len(codes))]
+        rows = np.flatnonzero(at >= 0)
+        at = at[rows].astype(np.int64)
+        _, group, count = np.unique(codes[rows] * len(self.offered) + at, return_inverse=True, return_counts=True)
+        return at, rows, group, count[group].astype(float)
+
+    def _added(self, order, starts, s, t) -> dict:
+        return {"n": np.diff(np.append(starts, len(order))), "s": np.add.reduceat(s[order], starts),
+                "t": np.add.reduceat(t[order], starts)}
+
+    def _ranges(self, f: int, width: int, cells: np.ndarray, sums: dict) -> pa.RecordBatch:
+        return self._batch(len(cells), node=cells // width, f=np.full(len(cells), f), range=cells % width, **sums)
+
+    def _batch(self, rows: int, **filled) -> pa.RecordBatch:
+        return pa.record_batch([
+            v if isinstance(v := filled.get(n), pa.Array) else pa.nulls(rows, t) if v is None else pa.array(v.astype(t.to_pandas_dtype()), t)
+            for n, t in self.SCHEMA], names=[n for n, _ in self.SCHEMA])

@@ -335,7 +335,7 @@ def many_classes(t: Tables) -> DataFrame:
     model = DecisionTree(max_depth=3).fit(t.spread("lineitem"), features, "l_orderkey")
     return model.node_table(t.spark).select(
         "path", "depth", "feature", rounded("threshold"), "value", rounded("score", 9), rounded("impurity", 9), "n",
-        F.size("class_counts").cast("long").alias("n_classes"), "prediction", "is_leaf")
+        "n_classes", "prediction", "is_leaf")
 
 
 @query("tree_candidate_cap", class_rows_sql(

@@ -4,6 +4,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from kelpfit.operators import tree
 from kelpfit.operators.tree import DecisionTree, RegressionTree
 
 
@@ -283,3 +284,35 @@ def test_labels_of_other_types(spark):
         model = DecisionTree(max_depth=2, num_min_samples=5, reuse_features=True).fit(df, ["x"], label)
         assert model.transform(df).schema["prediction"].dataType == df.schema[label].dataType
     assert model.transform(df).where("prediction = d").count() >= 60
+
+
+@pytest.fixture(scope="module")
+def noise(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    columns = {"x": np.where(rng.random(n) < 0.3, 5.0, rng.normal(size=n).round(3)), "z": rng.integers(0, 40, n).astype(float),
+               "c": rng.choice(["u", "v", "w"], n)}
+    y = rng.integers(0, 700, n)
+    rows = [(float(a), float(b), str(c), f"k{d:04d}") for a, b, c, d in zip(*columns.values(), y)]
+    return columns, y, spark.createDataFrame(rows, "x double, z double, c string, y string").repartition(5).cache()
+
+
+@pytest.mark.parametrize("cells", [8, 1 << 17])
+def test_dealt_classes_match_exhaustive_growth(noise, monkeypatch, cells):
+    columns, y, df = noise
+    monkeypatch.setattr(tree, "CELLS", cells)
+    model = DecisionTree(max_depth=3, num_min_samples=20, ranges=4).fit(df, list(columns), "y")
+    same(shape(model), grow(columns, y, 3, 20))
+    monkeypatch.setattr(tree, "WHOLE_ROWS", 2)  # classes as rows, as for a class too large for one task
+    assert DecisionTree(max_depth=3, num_min_samples=20, ranges=4).fit(df, list(columns), "y").nodes == model.nodes
+
+
+def test_sums_by_range_not_by_class_are_shuffled(noise):
+    columns, y, df = noise
+    measure, _ = DecisionTree()._measures(df.withColumnRenamed("y", "_y"))
+    assert not measure.by_class
+    with_counts = DecisionTree(max_depth=1).fit(df, ["x"], "y").node_table(df.sparkSession)
+    table = with_counts.select("path", "n_classes")
+    assert "collect_list" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["path"]: r["n_classes"] for r in table.collect()} == {
+        r["path"]: len(r["class_counts"]) for r in with_counts.collect()}
