@@ -11,7 +11,8 @@ Classes are rows, not columns: a split needs the two sides' sums of squared clas
 counts, and both follow from sums over the classes that occur (n for the left side, its
 products with the node's own counts for the right one). So their number is not bounded.
 Many classes, none of them large, are dealt to tasks whole: what a row adds to both sums
-is known there, and only sums by range and value are shuffled.
+is known there, and only sums by range and value are shuffled. For up to four classes rows are
+sorted by every number once, and ranges are so fine that few of them are looked into.
 
 Regression sums are centred on the mean of the node they belong to, and candidates
 of a node are ranked by their share of that node's own squares, so a split far up
@@ -35,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from kelpfit.checks import require_columns, require_positive_int, usable_rows
 from kelpfit.operators.aggregates import squared_residuals
 from kelpfit.operators.tree_batches import (
-    ClassSums, Counter, FlatTree, SliceScorer, order_statistics, packed_by_class)
+    ClassSums, Counter, CountSums, FlatTree, SliceScorer, Wanted, order_statistics, packed, packed_by_class)
 from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
@@ -46,6 +47,8 @@ SLICE_ROWS = 100_000
 #: More classes than this are dealt by class, if none has more than so many rows.
 FEW_CLASSES = 64
 WHOLE_ROWS = 1 << 20
+#: Up to so many classes are counted in a column each; a bound costs two to that power of scores.
+COLUMN_CLASSES = 4
 #: Ranges of all nodes of a level, by feature, where rows are dealt by class; values from which their edges are taken.
 CELLS = 1 << 17
 EDGE_POINTS = 1 << 19
@@ -55,7 +58,7 @@ EDGE_POINTS = 1 << 19
 class Node:
     """One node. ``path`` spells the way from the root in L and R steps.
 
-    ``stats`` are rows and the sum of squared class counts, or rows, sum and squares.
+    ``stats`` are rows and the sum of squared class counts, the counts of a few classes, or rows, sum and squares.
     """
 
     path: str
@@ -117,10 +120,10 @@ class _Grower:
             *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
             self._target(df, label).alias("_y"))
         with held(rows) as rows:
-            measure, stats = self._measures(rows)
-            if isinstance(measure, SummedGini):
+            measure, stats = self._measures(rows, "continuous" in kinds.values())
+            if measure.blocks is not None:
                 kinds, _ = self._profile(rows, kinds, cut=False)
-                with held(_dealt(rows)) as blocks:
+                with held(measure.blocks(rows, features, kinds)) as blocks:
                     count = blocks.count()
                     rows.unpersist()
                     cuts = _edges(blocks, count, features, kinds)
@@ -145,7 +148,7 @@ class _Grower:
         rows = usable_rows(df.select(*features, label), [*features, label]).select(
             *[F.col(c).cast("double").alias(c) if kinds[c] == "continuous" else c for c in features],
             self._target(df, label).alias("_y"))
-        measure, stats = self._measures(rows, deal=False)
+        measure, stats = self._measures(rows, blocks=False)
         kinds, cuts = self._profile(rows, kinds)
         return _Fit(self, rows, features, kinds, cuts, measure, stats).candidates()
 
@@ -174,13 +177,17 @@ class DecisionTree(_Grower):
     def _prediction_type(self, df, label):
         return df.schema[label].dataType
 
-    def _measures(self, rows: DataFrame, deal: bool = True):
+    def _measures(self, rows: DataFrame, numbers: bool = True, blocks: bool = True):
         n, squares, classes, most = rows.groupBy("_y").count().agg(
             F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count")), F.count("count"), F.max("count")).first()
         if not n:
             raise ValueError("there are no rows to grow a tree from")
-        summed = deal and self.candidates is None and classes > FEW_CLASSES and most <= WHOLE_ROWS
-        return (SummedGini if summed else GiniMeasure)(rows.schema["_y"].dataType), (n, squares)
+        kind, blocks = rows.schema["_y"].dataType, blocks and self.candidates is None
+        if blocks and numbers and classes <= COLUMN_CLASSES:
+            counts = rows.groupBy("_y").count().orderBy("_y").collect()
+            return CountedGini(kind, [r["_y"] for r in counts]), tuple(r["count"] for r in counts)
+        summed = blocks and classes > FEW_CLASSES and most <= WHOLE_ROWS
+        return (SummedGini if summed else GiniMeasure)(kind), (n, squares)
 
 
 @dataclass(frozen=True)
@@ -195,21 +202,13 @@ class RegressionTree(_Grower):
     def _prediction_type(self, df, label):
         return T.DoubleType()
 
-    def _measures(self, rows: DataFrame, deal: bool = True):
+    def _measures(self, rows: DataFrame, numbers: bool = True, blocks: bool = True):
         r = rows.agg(F.count("_y"), F.avg("_y"), F.var_pop("_y")).first()
         if r[0] == 0:
             raise ValueError("there are no rows to grow a tree from")
         return SquaresMeasure(r[1]), (r[0], 0.0, r[2] * r[0])
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Blocks of rows that hold classes whole."""
-    kind = rows.schema["_y"].dataType
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        rows = rows.withColumn("_y", F.col("_y") + F.lit(0).cast(kind))  # one zero only
-    return rows.repartition("_y").sortWithinPartitions("_y").mapInArrow(packed_by_class, "rows long, data binary")
-
-
 def _edges(blocks: DataFrame, count: int, features: Sequence[str], kinds: dict[str, str]) -> dict[str, list[float]]:
     """Edges of about equally filled ranges, from values that every block names."""
     numbers = [(f, c) for f, c in enumerate(features) if kinds[c] == "continuous"]
@@ -232,6 +231,8 @@ class GiniMeasure:
     inclusive = True
     by_class = True
     gini = True
+    #: how rows are packed for the passes, if they are
+    blocks = None
     names = ("n", "s", "t")
 
     def __init__(self, class_type: T.DataType):
@@ -244,6 +245,9 @@ class GiniMeasure:
             F.expr("cast(sum(n) as bigint)").alias("n"), F.expr(f"sum({square})").alias("s"),
             F.expr("sum(n * of_node)").alias("t"), *more)
 
+    def rows(self, stats: Sequence):
+        return stats[0]
+
     def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
         (n, s, t), (all_n, all_s, _) = left, total
         return [all_n - n, all_s - 2 * t + s, all_s - t]
@@ -267,7 +271,8 @@ class GiniMeasure:
         most = [F.greatest(*[sums(i) for i in ends]) for sums in (
             lambda i: (left[1] - rows + i) / F.greatest(before[0] + i, F.lit(1.0)),
             lambda i: (rest[1] - i) / F.greatest(rest[0] - i, F.lit(1.0)))]
-        return 1 - (most[0] + most[1]) / total[0]
+        apart = self.outside(before, self.right(left, total), total)
+        return F.greatest(apart, 1 - (most[0] + most[1]) / total[0])
 
     def own(self, total: Sequence[Column]) -> Column:
         return 1 - _share(total[1], total[0]) / total[0]
@@ -289,10 +294,84 @@ class SummedGini(GiniMeasure):
 
     by_class = False
 
+    def blocks(self, rows: DataFrame, features: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+        """Blocks of rows that hold classes whole."""
+        if isinstance(self.class_type, (T.DoubleType, T.FloatType)):
+            rows = rows.withColumn("_y", F.col("_y") + F.lit(0).cast(self.class_type))  # one zero only
+        return rows.repartition("_y").sortWithinPartitions("_y").mapInArrow(packed_by_class, "rows long, data binary")
+
     def added(self, df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.names], *more)
 
 
+class CountedGini(SummedGini):
+    """Counts of a few classes as they are."""
+
+    def __init__(self, class_type: T.DataType, classes: Sequence):
+        super().__init__(class_type)
+        self.classes = list(classes)
+        self.names = tuple(f"c{i}" for i in range(len(self.classes)))
+
+    def blocks(self, rows: DataFrame, features: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+        """The rows once for every number, in its order, with the number of their class."""
+        code = F.lit(0)
+        for i, c in enumerate(self.classes[1:], 1):
+            code = F.when(F.col("_y") == F.lit(c).cast(self.class_type), i).otherwise(code)
+        rows = rows.withColumn("_y", code.cast("int"))
+        copies = [rows.sort(c).mapInArrow(packed(f), "f int, rows long, data binary")
+                  for f, c in enumerate(features) if kinds[c] == "continuous"]
+        out = copies[0]
+        for one in copies[1:]:
+            out = out.unionByName(one)
+        return out
+
+    def rows(self, stats: Sequence):
+        return sum(stats[1:], stats[0])
+
+    def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
+        return [t - x for t, x in zip(total, left)]
+
+    def _part(self, counts: Sequence[Column]) -> Column:
+        counts = [c.cast("double") for c in counts]
+        return _share(self.rows([c * c for c in counts]), self.rows(counts))
+
+    def score(self, left: Sequence[Column], right: Sequence[Column], total: Sequence[Column]) -> Column:
+        return 1 - (self._part(left) + self._part(right)) / self.rows(total)
+
+    def least(self, before: Sequence[Column], inside: Sequence[Column], total: Sequence[Column]) -> Column:
+        """The score is concave in the counts of one side, so over a box it is least at a corner."""
+        classes = len(self.classes)
+
+        @F.pandas_udf("double")
+        def lowest(*series: pd.Series) -> pd.Series:
+            before, inside, total = np.stack([s.to_numpy(float) for s in series], axis=1).reshape(-1, 3, classes).transpose(1, 0, 2)
+            size, out = total.sum(axis=1), np.full(len(total), np.inf)
+            for corner in range(2 ** classes):
+                left = before + inside * [corner >> k & 1 for k in range(classes)]
+                shares = 0.0
+                for side in (left, total - left):
+                    n = side.sum(axis=1)
+                    shares = shares + np.divide((side * side).sum(axis=1), n, out=np.zeros(len(n)), where=n > 0)
+                out = np.minimum(out, 1 - shares / size)
+            return pd.Series(out)
+
+        return lowest(*[c.cast("double") for part in (before, inside, total) for c in part])
+
+    def outside(self, left: Sequence[Column], right: Sequence[Column], total: Sequence[Column]) -> Column:
+        n = self.rows(left) + self.rows(right)
+        return (n - self._part(left) - self._part(right)) / self.rows(total)
+
+    def own(self, total: Sequence[Column]) -> Column:
+        return 1 - self._part(total) / self.rows(total)
+
+    def node(self, path: str, stats: tuple, parent: Node | None) -> Node:
+        counts = tuple(map(int, stats))
+        n, most = sum(counts), max(counts)
+        squares = float(sum(c * c for c in counts))
+        return Node(path, n, counts, self.classes[counts.index(most)], 1.0 - squares / n / n,
+                    n_classes=sum(c > 0 for c in counts))
+
+
 class SquaresMeasure:
     """Count, sum and sum of squares of the target, centred on the node's mean.
 
@@ -302,6 +381,7 @@ class SquaresMeasure:
     inclusive = False
     by_class = False
     gini = False
+    blocks = None
     class_type = None
     names = ("n", "s1", "s2")
 
@@ -311,6 +391,9 @@ class SquaresMeasure:
     def added(self, df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.names], *more)
 
+    def rows(self, stats: Sequence):
+        return stats[0]
+
     def right(self, left: Sequence[Column], total: Sequence[Column]) -> list[Column]:
         return [t - x for t, x in zip(total, left)]
 
@@ -342,7 +425,6 @@ class _Fit:
     def __init__(self, settings, rows, features, kinds, cuts, measure, root_stats):
         self.settings, self.rows, self.features, self.kinds = settings, rows, features, kinds
         self.measure, self.class_counts = measure, None
-        self.dealt = isinstance(measure, SummedGini)
         self.edges = {c: np.array(v, float) for c, v in cuts.items()}
         self.max_depth = settings.max_depth or len(features)
         self.nodes = {}
@@ -361,7 +443,9 @@ class _Fit:
             frontier = []
             for path in ready:
                 frontier += self._split(path, best.get(path))
-        if self.dealt:
+        if isinstance(self.measure, CountedGini):
+            self._name_classes()
+        elif isinstance(self.measure, SummedGini):
             self._count_dealt_classes()
         elif self.measure.gini:
             self._count_classes()
@@ -378,7 +462,7 @@ class _Fit:
         numbers = [c for c in self.features if self.kinds[c] == "continuous"]
         if numbers:
             starts, cuts = self._range_sums(coarse, totals)
-            wanted = np.ones((1, len(self.features), self.settings.ranges + 1), bool)
+            wanted = Wanted({self.features.index(c): [(0, range(len(self.edges[c]) + 1))] for c in numbers})
             found.append(self._between_ranges(cuts))
             if self.settings.candidates is None:
                 found.append(self._between_values(
@@ -416,7 +500,7 @@ class _Fit:
         children = []
         for step, side in (("L", "left"), ("R", "right")):
             stats = tuple(found[side])
-            if stats[0] > 0:
+            if self.measure.rows(stats) > 0:
                 self.nodes[path + step] = self._node(path + step, stats)
                 children.append(path + step)
         return children
@@ -438,7 +522,9 @@ class _Fit:
         offered = np.zeros((len(wanted), len(self.features)), bool)
         for i, path in enumerate(wanted):
             offered[i, [self.features.index(c) for c in self._open_features(path)]] = True
-        if self.dealt:
+        if isinstance(self.measure, CountedGini):
+            return CountSums(tree, place, offered, self._edges_met(wanted), len(self.measure.classes))
+        if self.measure.blocks is not None:
             return ClassSums(tree, place, offered, self._edges_for(len(wanted)))
         centre = np.array([self.measure.centre(self.nodes[p]) for p in wanted], float)
         kind = to_arrow_type(self.measure.class_type) if self.measure.by_class else None
@@ -449,9 +535,24 @@ class _Fit:
         most = max(self.settings.ranges, min(CELLS // nodes, self.nodes[""].n // 32))
         return {c: v[::-(-len(v) // most)] if len(v) else v for c, v in self.edges.items()}
 
-    def _counted(self, counter: Counter | ClassSums, run) -> DataFrame:
-        mine = f"cls {self.measure.class_type.simpleString()}, n long" if self.measure.by_class else (
-            "n long, " + ", ".join(f"{c} double" for c in self.measure.names[1:]))
+    def _edges_met(self, wanted: list[str]) -> dict[str, np.ndarray]:
+        """Edges so far apart that nodes meet about one range for some dozens of rows."""
+        most, out = max(CELLS, self.nodes[""].n // 32), {}
+        for c, edges in self.edges.items():
+            met = 0
+            for path in wanted:
+                low, high = -np.inf, np.inf
+                for k, step in enumerate(path):
+                    above = self.nodes[path[:k]]
+                    if above.feature == c:
+                        low, high = (low, min(high, above.threshold)) if step == "L" else (max(low, above.threshold), high)
+                met += 1 + np.searchsorted(edges, high) - np.searchsorted(edges, low)
+            out[c] = edges[::max(1, -(-met // most), len(edges) >> 19)]
+        return out
+
+    def _counted(self, counter: Counter | ClassSums | CountSums, run) -> DataFrame:
+        mine = f"cls {self.measure.class_type.simpleString()}, n long" if self.measure.by_class else ", ".join(
+            f"{c} {'double' if c in ('s', 't', 's1', 's2') else 'long'}" for c in self.measure.names)
         return self.rows.mapInArrow(
             run, f"node int, f int, range int, category string, x double, {mine}, low double, high double")
 
@@ -472,6 +573,10 @@ class _Fit:
 
     def _totals(self, frontier: list[str], coarse: DataFrame) -> DataFrame:
         """Statistics of whole nodes: one row per frontier node."""
+        if isinstance(self.measure, CountedGini):
+            rows = [(i, *map(float, self.nodes[p].stats)) for i, p in enumerate(frontier)]
+            return F.broadcast(coarse.sparkSession.createDataFrame(
+                rows, "node int, " + ", ".join(f"t_{c} double" for c in self.measure.names)))
         if self.measure.gini:
             rows = [(i, float(n), s, s) for i, p in enumerate(frontier) for n, s in [self.nodes[p].stats]]
             return F.broadcast(coarse.sparkSession.createDataFrame(rows, "node int, t_n double, t_s double, t_t double"))
@@ -500,6 +605,13 @@ class _Fit:
         for r in found.select("path", "m.cls", "classes").collect():
             self.nodes[r["path"]] = replace(self.nodes[r["path"]], prediction=r["cls"], n_classes=r["classes"])
 
+    def _name_classes(self) -> None:
+        """The counts that nodes hold, as a table."""
+        rows = [(p, c, n) for p, node in self.nodes.items() for c, n in zip(self.measure.classes, node.stats) if n]
+        kind = T.StructType([T.StructField("path", T.StringType()), T.StructField("cls", self.measure.class_type),
+                             T.StructField("n", T.LongType())])
+        self.class_counts = self.rows.sparkSession.createDataFrame(rows, kind)
+
     def _count_dealt_classes(self) -> None:
         """The same where tasks hold classes whole: only answers are shuffled, and counts are kept by leaf."""
         paths = list(self.nodes)
@@ -572,7 +684,7 @@ class _Fit:
         return out
 
     def _one_against_rest(self, df: DataFrame) -> DataFrame:
-        rest = df.where(F.col("t_n") > F.col("n"))
+        rest = df.where(self.measure.rows(self._stats("t_")) > self.measure.rows(self._stats()))
         return self._candidates(rest, self._stats(), F.lit(None), F.col("category"))
 
     def _positive_against_negative(self, df: DataFrame) -> DataFrame:
@@ -618,28 +730,27 @@ class _Fit:
             limits, "node int, limit double, limit_rank double, limit_f int, limit_threshold double")
         # scores closer than this are ties
         room = 10.0 ** -DIGITS * F.greatest(self.measure.own(total), F.lit(1e-300))
-        bound = self.measure.outside(before, after, total)
-        may = bound <= F.coalesce("limit", F.lit(float("inf"))) + room
         if self.measure.gini:
-            bound = F.greatest(bound, self.measure.least(before, self._stats(), total))
             # of equal ranks the earlier feature and then the lower threshold wins; sums are whole numbers,
             # so a score is off by no more than a few last digits
-            least = self.measure.rank(bound - 1e-14, bound)
+            bound = self.measure.least(before, self._stats(), total) - 1e-14
+            half = 10.0 ** -DIGITS / 2
             tied = (F.col("f") < F.col("limit_f")) | (
                 (F.col("f") == F.col("limit_f")) & (F.col("low") < F.col("limit_threshold")))
-            may = F.col("limit").isNull() | (least < F.col("limit_rank")) | ((least == F.col("limit_rank")) & tied)
+            may = F.col("limit").isNull() | (bound <= F.col("limit_rank") + F.when(tied, half).otherwise(-half) + 1e-14)
+        else:
+            may = self.measure.outside(before, after, total) <= F.coalesce("limit", F.lit(float("inf"))) + room
         open_ = cuts.join(F.broadcast(limit), "node", "left").where((F.col("low") < F.col("high")) & may)
         # one row per node and feature, with at most as many numbers as there are ranges
-        wanted = np.zeros((len(frontier), len(self.features), 1 + max(map(len, counter.edges.values()))), bool)
-        rows = 0
-        for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges"), F.sum("n").alias("n")).collect():
-            wanted[r["node"], r["f"], r["ranges"]] = True
+        wanted, rows, size = {}, 0, self.measure.rows(self._stats())
+        for r in open_.groupBy("node", "f").agg(F.collect_list("range").alias("ranges"), F.sum(size).alias("n")).collect():
+            wanted.setdefault(r["f"], []).append((r["node"], r["ranges"]))
             rows += r["n"]
         if not rows:
             return {}
-        return _lowest([self._between_values(counter, wanted, int(rows), starts, cuts)])
+        return _lowest([self._between_values(counter, Wanted(wanted), int(rows), starts, cuts)])
 
-    def _between_values(self, counter: Counter, wanted: np.ndarray, rows: int, starts: DataFrame, cuts: DataFrame,
+    def _between_values(self, counter, wanted: Wanted, rows: int, starts: DataFrame, cuts: DataFrame,
                         every: bool = False) -> DataFrame:
         """Candidates between neighbouring values of one range, for the wanted ranges and their number of rows.
 
@@ -660,7 +771,7 @@ class _Fit:
             side = classes.join(side, [c for c in classes.columns if c in side.columns])
         # columns of its own: it descends from the values it meets again
         side = side.select(*[F.col(c).alias(c) for c in side.columns])
-        score = SliceScorer(by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every, self.measure.gini)
+        score = SliceScorer(by_class, self.measure.inclusive, 2 * 10.0 ** -DIGITS, every, self.measure.gini, names)
         found = values.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(
             lambda left, right: score(left, right), SliceScorer.SCHEMA)
         return found.select("node", F.struct(
@@ -688,7 +799,8 @@ class _Fit:
             *keys, "part", F.lead("_first").over(w).alias("next"),
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{i}") for i, n in enumerate(self.measure.names)])
         side = side.join(begun, keys).select(
-            *keys, "part", "next", *[(F.col(f"_o{i}") + F.col(f"b{i}")).alias(f"b{i}") for i in range(3)], "t0", "t1", "t2")
+            *keys, "part", "next", *[(F.col(f"_o{i}") + F.col(f"b{i}")).alias(f"b{i}") for i in range(len(self.measure.names))],
+            *[f"t{i}" for i in range(len(self.measure.names))])
         return values, side, classes
 
 

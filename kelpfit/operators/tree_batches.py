@@ -9,6 +9,9 @@ Where there are many classes, none of them large, rows are dealt by class and pa
 blocks (:func:`packed_by_class`). A block knows the place of a row among those of its node and
 class, so what the row adds to sums over classes is known there, and no row by class
 leaves a task (:class:`ClassSums`).
+
+Where there are few classes, rows are sorted once by every number and packed (:func:`packed`),
+so that a block meets few ranges, and counts by class are columns (:class:`CountSums`).
 """
 
 from __future__ import annotations
@@ -136,6 +139,20 @@ def _grouped(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+class Wanted:
+    """Places of open nodes and ranges by feature."""
+
+    def __init__(self, asked: dict[int, list[tuple[int, Sequence[int]]]]):
+        self.keys = {f: np.sort(np.concatenate([(at << 32) + np.asarray(ranges, np.int64) for at, ranges in one]))
+                     for f, one in asked.items()}
+
+    def has(self, f: int, at: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+        if f not in self.keys:
+            return np.zeros(len(at), bool)
+        known, mine = self.keys[f], (at.astype(np.int64) << 32) + ranges
+        return known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
+
+
 @dataclass
 class Counter:
     """Counts the rows of open nodes by feature and range, category or value."""
@@ -175,8 +192,8 @@ class Counter:
                     codes, words = _encoded(columns[name].take(pa.array(some)))
                     yield self._counted(kept, f, ys, {"category": (codes, words)})
 
-    def values(self, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        """By single value, in the ranges that ``wanted`` [open node, feature, range] asks for."""
+    def values(self, wanted: Wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """By single value, in the ranges that ``wanted`` asks for."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for columns in stretches(batches):
@@ -186,7 +203,7 @@ class Counter:
                         continue
                     x = columns[name].to_numpy(zero_copy_only=False)[rows]
                     ranges = self._range(name, x)
-                    on = wanted[at, f, ranges]
+                    on = wanted.has(f, at, ranges)
                     if on.any():
                         yield self._counted(at[on], f, y.take(on), {"range": ranges[on], "x": x[on] + 0.0})
         return run
@@ -260,6 +277,80 @@ class _Values:
                 "s2": np.add.reduceat(y * y, starts)}
 
 
+@dataclass
+class CountSums:
+    """Counts of a few classes, one column each, from blocks sorted by a feature."""
+
+    tree: FlatTree
+    place: np.ndarray
+    offered: np.ndarray
+    edges: dict[str, np.ndarray]
+    classes: int
+
+    def coarse(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """By range in the blocks sorted by the feature, by category in those of the first number."""
+        numbers = [f for f, kind in enumerate(self.tree.kinds) if kind == "continuous"]
+        for sorted_by, columns in _by_feature(batches):
+            at, rows, cls = self._open(columns)
+            for f, name in enumerate(self.tree.features):
+                number = f in numbers
+                if f != sorted_by and (number or sorted_by != numbers[0]):
+                    continue
+                on = np.flatnonzero(self.offered[at, f])
+                if not len(on):
+                    continue
+                if number:
+                    x = columns[name].to_numpy(zero_copy_only=False)[rows[on]]
+                    ranges = np.searchsorted(self.edges[name], x, side="right")
+                    order, starts = _grouped([at[on], ranges])
+                    first, ordered = order[starts], x[order]
+                    by = {"range": ranges[first], "low": np.minimum.reduceat(ordered, starts),
+                          "high": np.maximum.reduceat(ordered, starts)}
+                else:
+                    codes, words = _encoded(columns[name].take(pa.array(rows[on])))
+                    order, starts = _grouped([at[on], codes])
+                    first = order[starts]
+                    by = {"category": words.take(pa.array(codes[first])).cast(pa.string())}
+                yield self._batch(at[on], f, cls[on], order, starts, by)
+
+    def values(self, wanted: Wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """By single value, in the ranges that ``wanted`` asks for."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for f, columns in _by_feature(batches):
+                if f not in wanted.keys:
+                    continue
+                at, rows, cls = self._open(columns)
+                name = self.tree.features[f]
+                x = columns[name].to_numpy(zero_copy_only=False)[rows]
+                ranges = np.searchsorted(self.edges[name], x, side="right")
+                on = np.flatnonzero(wanted.has(f, at, ranges))
+                if not len(on):
+                    continue
+                at, ranges, x = at[on], ranges[on], x[on] + 0.0
+                order, starts = _grouped([at, ranges, x])
+                first = order[starts]
+                yield self._batch(at, f, cls[on], order, starts, {"range": ranges[first], "x": x[first]})
+        return run
+
+    def _open(self, columns: dict[str, pa.Array]):
+        cls = columns["_y"].to_numpy(zero_copy_only=False)
+        at = self.place[self.tree.walk(columns, len(cls))]
+        rows = np.flatnonzero(at >= 0)
+        return at[rows], rows, cls[rows]
+
+    def _batch(self, at, f: int, cls, order, starts, by: dict) -> pa.RecordBatch:
+        groups = len(starts)
+        group = np.repeat(np.arange(groups), np.diff(np.append(starts, len(order))))
+        counts = np.bincount(group * self.classes + cls[order], minlength=groups * self.classes).reshape(groups, -1)
+        filled = {"node": at[order[starts]], "f": np.full(groups, f)} | {f"c{i}": counts[:, i] for i in range(self.classes)} | by
+        schema = [("node", pa.int32()), ("f", pa.int32()), ("range", pa.int32()), ("category", pa.string()), ("x", pa.float64()),
+                  *[(f"c{i}", pa.int64()) for i in range(self.classes)], ("low", pa.float64()), ("high", pa.float64())]
+        return pa.record_batch([
+            v if isinstance(v := filled.get(n), pa.Array) else pa.nulls(groups, t) if v is None else pa.array(v.astype(t.to_pandas_dtype()), t)
+            for n, t in schema], names=[n for n, _ in schema])
+
+
 @dataclass
 class SliceScorer:
     """Scores the thresholds between neighbouring values of one slice.
@@ -275,8 +366,9 @@ class SliceScorer:
     #: scores so close may be ties and are all handed on, unless every threshold is wanted
     tie: float
     every: bool = False
-    #: whether sums are those of a Gini tree, which come by class or added up
+    #: whether sums are those of a Gini tree, and their names
     gini: bool = False
+    names: tuple[str, ...] = ("n", "s1", "s2")
 
     SCHEMA = ("node int, f int, threshold double, score double, own double, left array<double>, right array<double>")
 
@@ -290,19 +382,19 @@ class SliceScorer:
                 (pa.int32(), pa.int32(), *[pa.float64()] * 3, *[pa.list_(pa.float64())] * 2))})
         known, first = np.unique(place(side), return_index=True)
         group, x = np.searchsorted(known, place(values)), read(values, "x")
-        n = read(values, "n").astype(float)
         if self.by_class:
+            n = read(values, "n").astype(float)
             before, of_node, key = self._class_counts(values, side, known, group)
             order = np.lexsort((x, key))
             earlier = _before_in_groups(n[order], key[order])
             before[order] += earlier
             stats = np.stack([n, n * n + 2 * before * n, n * of_node], axis=1)
         else:
-            stats = np.stack([n, *[read(values, c) for c in (("s", "t") if self.gini else ("s1", "s2"))]], axis=1)
+            stats = np.stack([read(values, c).astype(float) for c in self.names], axis=1)
         order, starts = _grouped([group, x])
         stats, group, x = np.add.reduceat(stats[order], starts, axis=0), group[order[starts]], x[order[starts]]
-        begun = np.stack([read(side, f"b{i}") for i in range(3)], axis=1)[first].astype(float)
-        total = np.stack([read(side, f"t{i}") for i in range(3)], axis=1)[first].astype(float)[group]
+        begun = np.stack([read(side, f"b{i}") for i in range(len(self.names))], axis=1)[first].astype(float)
+        total = np.stack([read(side, f"t{i}") for i in range(len(self.names))], axis=1)[first].astype(float)[group]
         after = np.append(x[1:], np.nan)
         edges = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
         for low, high in zip(edges[:-1], edges[1:]):
@@ -338,6 +430,10 @@ class SliceScorer:
             right = total - left
             apart = lambda s: s[:, 2] - np.divide(s[:, 1] * s[:, 1], s[:, 0], out=np.zeros(len(s)), where=s[:, 0] > 0)
             return apart(left) + apart(right), apart(total), right
+        if self.names[0] != "n":  # counts by class
+            right, size = total - left, total.sum(axis=1)
+            share = lambda s: np.divide((s * s).sum(axis=1), s.sum(axis=1), out=np.zeros(len(s)), where=s.sum(axis=1) > 0)
+            return 1 - (share(left) + share(right)) / size, 1 - share(total) / size, right
         (n, s, t), (all_n, all_s) = left.T, total.T[:2]
         right = np.stack([all_n - n, all_s - 2 * t + s, all_s - t], axis=1)
         share = lambda s: np.divide(s[:, 1], s[:, 0], out=np.zeros(len(s)), where=s[:, 0] > 0)
@@ -400,12 +496,31 @@ def packed_by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _packed(_columns(held))
 
 
+def packed(f: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of rows that come in order of feature ``f``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in stretches(batches):
+            block = _packed(columns)
+            yield pa.record_batch([pa.array([f], pa.int32()), *block.columns], names=["f", *block.schema.names])
+    return run
+
+
+def _by_feature(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, dict[str, pa.Array]]]:
+    """Blocks with the feature they are sorted by, if any."""
+    for batch in batches:
+        sorted_by = batch.column("f").to_pylist() if "f" in batch.schema.names else [None] * batch.num_rows
+        yield from zip(sorted_by, unpacked([batch]))
+
+
 def order_statistics(features: Sequence[tuple[int, str]], points: int) -> Callable:
     """Up to ``points`` values of every block and feature, evenly spaced in its order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in unpacked(batches):
+        for sorted_by, columns in _by_feature(batches):
             for f, name in features:
+                if sorted_by not in (None, f):
+                    continue
                 x = np.sort(columns[name].to_numpy(zero_copy_only=False))
                 x = x[np.unique(np.linspace(0, len(x) - 1, min(points, len(x))).astype(np.int64))]
                 yield pa.record_batch([pa.array(np.full(len(x), f, np.int32)), pa.array(x)], names=["f", "x"])
@@ -478,18 +593,18 @@ class ClassSums:
             cells = np.flatnonzero(sums["n"])
             yield self._ranges(f, len(self.edges[self.tree.features[f]]) + 1, cells, {n: v[cells] for n, v in sums.items()})
 
-    def values(self, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        """By single value, in the ranges that ``wanted`` [open node, feature, range] asks for."""
+    def values(self, wanted: Wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """By single value, in the ranges that ``wanted`` asks for."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for columns in unpacked(batches):
                 at, rows, group, of_node = self._open(columns)
                 for f, name in enumerate(self.tree.features):
-                    if self.tree.kinds[f] != "continuous" or not wanted[:, f].any():
+                    if self.tree.kinds[f] != "continuous" or f not in wanted.keys:
                         continue
                     x = columns[name].to_numpy(zero_copy_only=False)[rows]
                     ranges = np.searchsorted(self.edges[name], x, side="right")
-                    on = np.flatnonzero(wanted[at, f, ranges])
+                    on = np.flatnonzero(wanted.has(f, at, ranges))
                     if not len(on):
                         continue
                     # places count the rows of ranges that are not wanted too

@@ -316,3 +316,29 @@ def test_sums_by_range_not_by_class_are_shuffled(noise):
     assert "collect_list" not in table._jdf.queryExecution().optimizedPlan().toString()
     assert {r["path"]: r["n_classes"] for r in table.collect()} == {
         r["path"]: len(r["class_counts"]) for r in with_counts.collect()}
+
+
+@pytest.mark.parametrize("cells", [6, 1 << 17])
+def test_few_classes_match_exhaustive_growth(noise, monkeypatch, cells):
+    columns, y, df = noise
+    monkeypatch.setattr(tree, "CELLS", cells)
+    model = DecisionTree(max_depth=3, num_min_samples=20, reuse_features=True).fit(
+        df.withColumn("y", F.substring("y", 3, 1)).where("y < '4'"), list(columns), "y")
+    on = y // 100 % 10 < 4
+    kept = {c: v[on] for c, v in columns.items()}
+    same(shape(model), grow(kept, y[on] // 100 % 10, 3, 20, reuse=True))
+    assert all(sum(n.stats) == n.n for n in model.nodes)
+
+
+def test_noise_is_not_looked_into_value_by_value(spark, monkeypatch):
+    rows = spark.range(200_000).selectExpr(
+        "xxhash64(id) / 1e18D AS x", "xxhash64(id, 1) / 1e18D AS z", "cast(pmod(xxhash64(id, 2), 3) AS int) AS y")
+    asked, look = [], tree._Fit._between_values
+
+    def spy(self, counter, wanted, rows, *more, **named):
+        asked.append(rows)
+        return look(self, counter, wanted, rows, *more, **named)
+
+    monkeypatch.setattr(tree._Fit, "_between_values", spy)
+    DecisionTree(max_depth=2, num_min_samples=20).fit(rows, ["x", "z"], "y")
+    assert sum(asked) < 40_000  # of 200,000 rows by two features and levels
