@@ -318,7 +318,8 @@ class CountedGini(SummedGini):
         for i, c in enumerate(self.classes[1:], 1):
             code = F.when(F.col("_y") == F.lit(c).cast(self.class_type), i).otherwise(code)
         rows = rows.withColumn("_y", code.cast("int"))
-        copies = [rows.sort(c).mapInArrow(packed(f), "f int, rows long, data binary")
+        # the other features spread a value that many rows share
+        copies = [rows.sort(c, *[o for o in features if o != c]).mapInArrow(packed(f), "f int, rows long, data binary")
                   for f, c in enumerate(features) if kinds[c] == "continuous"]
         out = copies[0]
         for one in copies[1:]:
