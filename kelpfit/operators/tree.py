@@ -12,7 +12,8 @@ counts, and both follow from sums over the classes that occur (n for the left si
 products with the node's own counts for the right one). So their number is not bounded.
 Many classes, none of them large, are dealt to tasks whole: what a row adds to both sums
 is known there, and only sums by range and value are shuffled. For up to four classes rows are
-sorted by every number once, and ranges are so fine that few of them are looked into.
+sorted by every number once, and ranges are so fine that few of them are looked into; a node
+whose rows one task can hold is sent there, and all below it is grown in one job (``tree_subtrees``).
 
 Regression sums are centred on the mean of the node they belong to, and candidates
 of a node are ranked by their share of that node's own squares, so a split far up
@@ -37,6 +38,7 @@ from kelpfit.checks import require_columns, require_positive_int, usable_rows
 from kelpfit.operators.aggregates import squared_residuals
 from kelpfit.operators.tree_batches import (
     ClassSums, Counter, CountSums, FlatTree, SliceScorer, Wanted, order_statistics, packed, packed_by_class)
+from kelpfit.operators.tree_subtrees import Subtrees
 from kelpfit.session import held, written
 from kelpfit.sources.reshape import feature_kinds
 
@@ -52,6 +54,8 @@ COLUMN_CLASSES = 4
 #: Ranges of all nodes of a level, by feature, where rows are dealt by class; values from which their edges are taken.
 CELLS = 1 << 17
 EDGE_POINTS = 1 << 19
+#: Rows by columns of a node that one task holds.
+WHOLE_CELLS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -121,7 +125,11 @@ class _Grower:
             self._target(df, label).alias("_y"))
         with held(rows) as rows:
             measure, stats = self._measures(rows, "continuous" in kinds.values())
-            if measure.blocks is not None:
+            if measure.whole and _fits(measure.rows(stats), features):
+                kinds, _ = self._profile(rows, kinds, cut=False)
+                job = _Fit(self, measure.coded(rows), features, kinds, {}, measure, stats)
+                nodes = job.grow()
+            elif measure.blocks is not None:
                 kinds, _ = self._profile(rows, kinds, cut=False)
                 with held(measure.blocks(rows, features, kinds)) as blocks:
                     count = blocks.count()
@@ -209,6 +217,11 @@ class RegressionTree(_Grower):
         return SquaresMeasure(r[1]), (r[0], 0.0, r[2] * r[0])
 
 
+def _fits(rows: int, features: Sequence[str]) -> bool:
+    """Whether one task holds so many rows."""
+    return rows * (len(features) + 1) <= WHOLE_CELLS
+
+
 def _edges(blocks: DataFrame, count: int, features: Sequence[str], kinds: dict[str, str]) -> dict[str, list[float]]:
     """Edges of about equally filled ranges, from values that every block names."""
     numbers = [(f, c) for f, c in enumerate(features) if kinds[c] == "continuous"]
@@ -233,6 +246,8 @@ class GiniMeasure:
     gini = True
     #: how rows are packed for the passes, if they are
     blocks = None
+    #: whether nodes that fit into a task are grown there
+    whole = False
     names = ("n", "s", "t")
 
     def __init__(self, class_type: T.DataType):
@@ -307,17 +322,23 @@ class SummedGini(GiniMeasure):
 class CountedGini(SummedGini):
     """Counts of a few classes as they are."""
 
+    whole = True
+
     def __init__(self, class_type: T.DataType, classes: Sequence):
         super().__init__(class_type)
         self.classes = list(classes)
         self.names = tuple(f"c{i}" for i in range(len(self.classes)))
 
-    def blocks(self, rows: DataFrame, features: Sequence[str], kinds: dict[str, str]) -> DataFrame:
-        """The rows once for every number, in its order, with the number of their class."""
+    def coded(self, rows: DataFrame) -> DataFrame:
+        """The rows with the number of their class."""
         code = F.lit(0)
         for i, c in enumerate(self.classes[1:], 1):
             code = F.when(F.col("_y") == F.lit(c).cast(self.class_type), i).otherwise(code)
-        rows = rows.withColumn("_y", code.cast("int"))
+        return rows.withColumn("_y", code.cast("int"))
+
+    def blocks(self, rows: DataFrame, features: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+        """The rows once for every number, in its order, with the number of their class."""
+        rows = self.coded(rows)
         # the other features spread a value that many rows share
         copies = [rows.sort(c, *[o for o in features if o != c]).mapInArrow(packed(f), "f int, rows long, data binary")
                   for f, c in enumerate(features) if kinds[c] == "continuous"]
@@ -383,6 +404,7 @@ class SquaresMeasure:
     by_class = False
     gini = False
     blocks = None
+    whole = False
     class_type = None
     names = ("n", "s1", "s2")
 
@@ -435,15 +457,20 @@ class _Fit:
         return self.measure.node(path, tuple(stats), self.nodes[path[:-1]] if path else None)
 
     def grow(self) -> list[Node]:
-        frontier = [""]
+        frontier, small = [""], []
         while frontier:
             ready = [p for p in frontier if self._may_split(p)]
+            if self.measure.whole:
+                small += [p for p in ready if _fits(self.nodes[p].n, self.features)]
+                ready = [p for p in ready if not _fits(self.nodes[p].n, self.features)]
             if not ready:
                 break
             best = self._best_splits(ready)
             frontier = []
             for path in ready:
                 frontier += self._split(path, best.get(path))
+        if small:
+            self._grow_subtrees(small)
         if isinstance(self.measure, CountedGini):
             self._name_classes()
         elif isinstance(self.measure, SummedGini):
@@ -454,6 +481,28 @@ class _Fit:
             self._measure_leaves()
         return sorted(self.nodes.values(), key=lambda node: node.path)
 
+    def _grow_subtrees(self, roots: list[str]) -> None:
+        """All that lies below nodes whose rows one task holds, in one job."""
+        s, open_ = self.settings, {p: self._open_features(p) for p in roots}
+        grower = Subtrees(
+            self.features, [self.kinds[c] for c in self.features],
+            [(p, self.nodes[p].stats, [c in open_[p] for c in self.features]) for p in roots], self.max_depth,
+            s.num_min_samples, s.stop_when_pure, s.reuse_features, s.positive, s.negative, DIGITS)
+        if roots == [""]:
+            rows = self.rows.withColumn("_node", F.lit(0))
+        else:
+            # every row is in the blocks once for each number
+            number = [self.kinds[c] for c in self.features].index("continuous")
+            kind = T.StructType([T.StructField("_node", T.IntegerType()), *[
+                T.StructField(c, T.DoubleType() if self.kinds[c] == "continuous" else T.StringType()) for c in self.features],
+                T.StructField("_y", T.IntegerType())])
+            rows = self.rows.where(F.col("f") == number).mapInArrow(self._counter(roots).routed, kind)
+        found = rows.groupBy("_node").applyInArrow(lambda table: grower(table), Subtrees.SCHEMA).collect()
+        best, frontier = {r["path"]: r.asDict() for r in found}, roots
+        while frontier:
+            ready = [p for p in frontier if self._may_split(p)]
+            frontier = [child for p in ready for child in self._split(p, best.get(p))]
+
     def candidates(self) -> DataFrame:
         """All splits of the root."""
         counter = self._counter([""])

@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 STRETCH = 1 << 17
 #: Rows of a block, about, and ranges of nodes that a task adds up before it hands them on.
 BLOCK = 1 << 17
+#: Rows of a batch that tasks hand on as they are.
+ROUTED = 10_000
 DENSE = 1 << 20
 
 
@@ -333,6 +335,18 @@ class CountSums:
                 yield self._batch(at, f, cls[on], order, starts, {"range": ranges[first], "x": x[first]})
         return run
 
+    def routed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of open nodes with the place of their node."""
+        for columns in unpacked(batches):
+            at = self.place[self.tree.walk(columns, len(columns["_y"]))]
+            rows = np.flatnonzero(at >= 0)
+            on = pa.array(rows)
+            for i in range(0, len(rows), ROUTED):
+                some = on.slice(i, ROUTED)
+                yield pa.record_batch(
+                    [pa.array(at[rows[i:i + ROUTED]], pa.int32()), *[columns[c].take(some) for c in self.tree.features],
+                     columns["_y"].take(some)], names=["_node", *self.tree.features, "_y"])
+
     def _open(self, columns: dict[str, pa.Array]):
         cls = columns["_y"].to_numpy(zero_copy_only=False)
         at = self.place[self.tree.walk(columns, len(cls))]

@@ -342,3 +342,58 @@ def test_noise_is_not_looked_into_value_by_value(spark, monkeypatch):
     monkeypatch.setattr(tree._Fit, "_between_values", spy)
     DecisionTree(max_depth=2, num_min_samples=20).fit(rows, ["x", "z"], "y")
     assert sum(asked) < 40_000  # of 200,000 rows by two features and levels
+
+
+@pytest.mark.parametrize("cells", [0, 1500])
+def test_subtrees_grown_in_one_task_are_those_of_the_levels(noise, monkeypatch, cells):
+    """All levels as passes, and small nodes in tasks; above the whole tree grows in one task."""
+    columns, y, df = noise
+    monkeypatch.setattr(tree, "WHOLE_CELLS", cells)
+    y = y // 100 % 10
+    on = y < 4
+    kept = {c: v[on] for c, v in columns.items()}
+    df = df.withColumn("y", F.substring("y", 3, 1)).where("y < '4'")
+    model = DecisionTree(max_depth=4, num_min_samples=20, reuse_features=True).fit(df, list(columns), "y")
+    same(shape(model), grow(kept, y[on], 4, 20, reuse=True))
+    assert all(sum(n.stats) == n.n for n in model.nodes)
+
+
+def test_nodes_do_not_depend_on_where_they_grow(spark, monkeypatch):
+    """Ties, pure nodes, yes/no features, other words, zeros of both signs and infinite values."""
+    rng = np.random.default_rng(12)
+    n = 900
+    rows = list(zip(rng.choice([0.0, -0.0, 1.0, 2.5, 1e300], n).tolist(), rng.integers(0, 60, n).tolist(),
+                    rng.choice(["Yes", "No"], n).tolist(), rng.choice(["ä", "b", "", "Z"], n).tolist()))
+    rows = [(*r, "p" if r[1] > 50 or r[2] == "Yes" and r[0] > 1 and rng.random() < 0.9 else "q") for r in rows] * 2
+    rows += [(None, 1, "Yes", "b", "p"), (1.0, 2, None, "b", "q"), (float("inf"), 5, "No", "b", "p")]
+    df = spark.createDataFrame(rows, "x double, i int, w string, c string, y string").repartition(3).cache()
+    for settings in (dict(reuse_features=True, max_depth=4), dict(stop_when_pure=True)):
+        grower = DecisionTree(num_min_samples=15, **settings)
+        model = grower.fit(df, ["x", "i", "w", "c"], "y")
+        with monkeypatch.context() as patch:
+            patch.setattr(tree, "WHOLE_CELLS", 0)
+            levels = grower.fit(df, ["x", "i", "w", "c"], "y")
+        assert model.nodes == levels.nodes and len(model.nodes) > 5
+        assert model.node_table(spark).collect() == levels.node_table(spark).collect()
+
+
+def test_a_deep_tree_of_a_small_table_takes_few_jobs(noise):
+    columns, _, df = noise
+    df = df.withColumn("y", F.substring("y", 3, 1)).where("y < '4'")
+    context = df.sparkSession.sparkContext
+    df.count()
+    try:
+        context.setJobGroup("deep", "deep tree")
+        model = DecisionTree(max_depth=10, num_min_samples=20, reuse_features=True).fit(df, list(columns), "y")
+        jobs = len(context.statusTracker().getJobIdsForGroup("deep"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert max(len(n.path) for n in model.nodes) == 10
+    assert jobs < 20  # six a level before
+
+
+def test_large_nodes_are_not_looked_into_value_by_value(spark, monkeypatch):
+    """As above where no task holds a node."""
+    monkeypatch.setattr(tree, "WHOLE_CELLS", 0)
+    test_noise_is_not_looked_into_value_by_value(spark, monkeypatch)
