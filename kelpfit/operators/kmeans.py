@@ -6,6 +6,12 @@ moment. However far these have moved since, the triangle inequality bounds both
 distances from the movements alone; where the bounds leave no doubt, the cluster stands.
 Nothing is written between passes, as the bounds start from the kept distances.
 Squared Euclidean distances are no metric: their roots are bounded instead.
+
+Between passes points lie in an RDD of small packs, bytes of some rows each. Spark hands
+these on one by one, so a task holds a few of them, however long its partition is; an Arrow
+batch of larger packs would hold all that a task reads, in the JVM and once more in Python.
+They lie on disk, from where they are read as a stream: Spark's memory store takes a block that
+did not fit back in one piece, which a full heap has no room for.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +40,10 @@ INIT_METHODS = ("kmeans++", "random")
 # beyond this many literals generated methods grow too large to be compiled well
 MAX_LITERALS = 256
 ARROW_ROWS = 2048
+# bytes of the points of a pack at most
+PACK_BYTES = 1 << 18
+# where tables lie between passes: blocks of a full memory store come back from disk in one piece each
+KEPT = StorageLevel.DISK_ONLY
 # starting rows chosen before the least distances so far are kept as a column
 KEPT_EVERY = 8
 MAX_UNROLLED = 64
@@ -94,13 +105,13 @@ class KMeans:
         if scaling_method is not None:
             require_choice("scaling_method", scaling_method, METHODS)
         rows = usable_rows(df.select(key, *columns), columns)
-        with held(rows) as rows:
+        with held(rows, KEPT) as rows:
             n = rows.count()
             scaler = fit_scaler(rows, columns, scaling_method, scope) if scaling_method else None
             base = (scaler.transform(rows) if scaler else rows).select(
                 F.col(key).alias("_key"), _as_vector(rows, columns).alias("_x"))
             start = starting_centroids(base, self)
-            points = _packed(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))).persist()
+            points = _packed(base.select(*_coordinates(len(start[0])), F.xxhash64("_x").alias("_h"))).persist(KEPT)
             points.count()
         # passes need the points only: the keyed rows are let go, and so is every table once the next one is full
         steps, history, measured = [], [], []
@@ -112,8 +123,7 @@ class KMeans:
                 stale = not measured or measured[-1] > STALE * n * self.k
                 if iteration > 1 and stale and since >= LEAST_PASSES:
                     since = 0
-                    plain = kept[-1].select("x", "h")
-                    bounded = (_with_bounds(plain, self.distance_metric, used).persist(), used)
+                    bounded = (_with_bounds(kept[-1], self.distance_metric, used).persist(KEPT), used)
                     kept.append(bounded[0])
                 centroids, seen, changed, number = _iterate(
                     kept[0], self.distance_metric, used, previous if trace else None, trace, bounded)
@@ -339,62 +349,52 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 PACK = "x binary, h binary"
-STATE = "cluster binary, near binary, second binary"
 
 
-def _packed(points: DataFrame) -> DataFrame:
-    """Points of an Arrow batch as the bytes of one matrix, with those of their hashes.
+def _packed(points: DataFrame) -> RDD:
+    """Bytes of the matrix of some points, with those of their hashes.
 
     Every pass reads all points, and rows of numbers cost far more to hand over than bytes.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                h = batch.column(batch.num_columns - 1).to_numpy()
-                yield _bytes_row(PACK, [np.ascontiguousarray(_matrix(batch), float), h])
-
-    return points.mapInArrow(pack, PACK)
+            x = np.ascontiguousarray(_matrix(batch), float)
+            h = batch.column(batch.num_columns - 1).to_numpy()
+            rows = max(1, min(ARROW_ROWS, PACK_BYTES // max(1, x[:1].nbytes)))
+            for i in range(0, len(x), rows):
+                yield pa.record_batch([pa.array([a[i:i + rows].tobytes()], pa.binary()) for a in (x, h)], names=["x", "h"])
 
+    return points.mapInArrow(pack, PACK).rdd.map(tuple)
 
-def _bytes_row(schema: str, arrays: Sequence[np.ndarray]) -> pa.RecordBatch:
-    names = [one.split()[0] for one in schema.split(", ")]
-    return pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=names)
 
-
-def _unpacked(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+def _unpacked(pack: tuple, d: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Points, hashes, and cluster, nearest and second nearest distance where they are kept."""
-    for batch in batches:
-        for row in zip(*batch.columns):
-            x, h, *state = [np.frombuffer(v.as_buffer(), kind) for v, kind in zip(
-                row, (float, np.uint64, np.int32, float, float))]
-            yield x.reshape(-1, d), h, state
+    x, h, *state = [np.frombuffer(v, kind) for v, kind in zip(pack, (float, np.uint64, np.int32, float, float))]
+    return x.reshape(-1, d), h, state
 
 
 def _root(metric: str, d: np.ndarray) -> np.ndarray:
     return np.sqrt(d) if metric == "squared_euclidean" else d
 
 
-def _with_bounds(points: DataFrame, metric: str, centroids: Centroids) -> DataFrame:
+def _with_bounds(points: RDD, metric: str, centroids: Centroids) -> RDD:
     """Add every row's cluster and its distances to the nearest and the second nearest of some centroids."""
-    sent, d = points.sparkSession.sparkContext.broadcast(np.array(centroids)), len(centroids[0])
+    sent, d = points.context.broadcast(np.array(centroids)), len(centroids[0])
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x, h, _ in _unpacked(batches, d):
-            parts = []
-            for i in range(0, len(x), ARROW_ROWS):
-                gaps = _root(metric, pairwise(metric, x[i:i + ARROW_ROWS], sent.value))
-                cluster = gaps.argmin(axis=1)
-                own = gaps[np.arange(len(gaps)), cluster]
-                gaps[np.arange(len(gaps)), cluster] = np.inf
-                parts.append((cluster.astype(np.int32), own, gaps.min(axis=1)))
-            yield _bytes_row(f"{PACK}, {STATE}", [x, h, *[np.concatenate(v) for v in zip(*parts)]])
+    def measure(pack: tuple) -> tuple:
+        x, _, _ = _unpacked(pack, d)
+        gaps = _root(metric, pairwise(metric, x, sent.value))
+        cluster = gaps.argmin(axis=1)
+        own = gaps[np.arange(len(gaps)), cluster]
+        gaps[np.arange(len(gaps)), cluster] = np.inf
+        return (*pack[:2], *[v.tobytes() for v in (cluster.astype(np.int32), own, gaps.min(axis=1))])
 
-    return points.mapInArrow(measure, f"{PACK}, {STATE}")
+    return points.map(measure)
 
 
-def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool,
-             bounded: tuple[DataFrame, Centroids] | None = None):
-    """Assign rows and average clusters as partial sums: one row per task.
+def _iterate(points: RDD, metric: str, centroids: Centroids, previous: Centroids | None, trace: bool,
+             bounded: tuple[RDD, Centroids] | None = None):
+    """Assign rows and average clusters as partial sums: one tuple per task.
 
     ``bounded`` are the rows with distances to earlier centroids, and these centroids.
     Returns the new centroids, (size, checksum) of every cluster, how many rows moved
@@ -405,7 +405,7 @@ def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Cen
     if bounded:
         points, then = bounded
         moved = np.array([_root(metric, pairwise(metric, now[c:c + 1], np.array(then[c:c + 1])))[0, 0] for c in range(k)])
-    sent = points.sparkSession.sparkContext.broadcast((now, None if previous is None else np.array(previous), moved))
+    sent = points.context.broadcast((now, None if previous is None else np.array(previous), moved))
 
     def clusters(x: np.ndarray, state, now: np.ndarray, moved) -> tuple[np.ndarray, int]:
         if moved is None:
@@ -421,60 +421,47 @@ def _iterate(points: DataFrame, metric: str, centroids: Centroids, previous: Cen
             cluster[doubt] = pairwise(metric, x[doubt], now).argmin(axis=1)
         return cluster, len(doubt) * k
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(packs: Iterator[tuple]) -> Iterator[tuple]:
         now, before, moved = sent.value
         n, changed, sums = np.zeros(k, dtype=int), np.zeros(k, dtype=int), np.zeros((k, d))
         checksums, measured = np.zeros(k, dtype=np.uint64), 0
-        for points, hashes, state in _unpacked(batches, d):
-            for i in range(0, len(points), ARROW_ROWS):
-                x = points[i:i + ARROW_ROWS]
-                cluster, number = clusters(x, [v[i:i + ARROW_ROWS] for v in state], now, moved)
-                measured += number
-                if trace:
-                    new = cluster if before is None else cluster[
-                        pairwise(metric, x, before).argmin(axis=1) != cluster]
-                    changed += np.bincount(new, minlength=k)
-                n += np.bincount(cluster, minlength=k)
-                np.add.at(checksums, cluster, hashes[i:i + ARROW_ROWS])
-                for j in range(d):
-                    sums[:, j] += np.bincount(cluster, weights=x[:, j], minlength=k)
+        for pack in packs:
+            x, hashes, state = _unpacked(pack, d)
+            cluster, number = clusters(x, state, now, moved)
+            measured += number
+            if trace:
+                new = cluster if before is None else cluster[
+                    pairwise(metric, x, before).argmin(axis=1) != cluster]
+                changed += np.bincount(new, minlength=k)
+            n += np.bincount(cluster, minlength=k)
+            np.add.at(checksums, cluster, hashes)
+            for j in range(d):
+                sums[:, j] += np.bincount(cluster, weights=x[:, j], minlength=k)
         # 40 bits of every task's checksum, so that sums of a million tasks stay whole
         checksums = (checksums & np.uint64((1 << 40) - 1)).astype(np.int64)
-        yield _sums_row(n, changed, checksums, sums.ravel(), measured)
+        yield n, changed, checksums, sums.ravel(), measured
 
-    partial = points.mapInArrow(add_up, SUMS)
-    cores = points.sparkSession.sparkContext.defaultParallelism
+    partial = points.mapPartitions(add_up)
+    cores = points.context.defaultParallelism
     if cores > MANY_CORES:
-        partial = partial.repartition(math.isqrt(cores)).mapInArrow(_sums_added, SUMS)
-    n, changed, checksums, sums, measured = _add_sums(r.asDict() for r in partial.collect())
+        partial = partial.repartition(math.isqrt(cores)).mapPartitions(_sums_added)
+    n, changed, checksums, sums, measured = _add_sums(partial.collect())
     means = [[float(v / n[c]) for v in sums[c * d:(c + 1) * d]] if n[c] else list(centroids[c])  # an empty cluster stays
              for c in range(k)]
     return means, [(int(n[c]), int(checksums[c]) % (1 << 40)) for c in range(k)], [int(c) for c in changed], measured
 
 
-SUMS = "n array<bigint>, changed array<bigint>, checksum array<bigint>, total array<double>, measured bigint"
-
-
-def _sums_row(n, changed, checksums, total, measured: int) -> pa.RecordBatch:
-    longs = pa.list_(pa.int64())
-    return pa.record_batch(
-        [pa.array([n], longs), pa.array([changed], longs), pa.array([checksums], longs),
-         pa.array([total], pa.list_(pa.float64())), pa.array([measured], pa.int64())],
-        names=["n", "changed", "checksum", "total", "measured"])
-
-
-def _add_sums(rows) -> list:
+def _add_sums(rows) -> list | None:
     out = None
-    for r in rows:
-        one = [np.array(r["n"]), np.array(r["changed"]), np.array(r["checksum"]), np.array(r["total"]), r["measured"]]
-        out = one if out is None else [a + b for a, b in zip(out, one)]
+    for one in rows:
+        out = list(one) if out is None else [a + b for a, b in zip(out, one)]
     return out
 
 
-def _sums_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = _add_sums(r for batch in batches for r in batch.to_pylist())
+def _sums_added(rows: Iterator[tuple]) -> Iterator[tuple]:
+    found = _add_sums(rows)
     if found:
-        yield _sums_row(*found)
+        yield tuple(found)
 
 
 def cost(df: DataFrame, vector: str, centroids: Centroids, metric: str) -> float:

@@ -99,9 +99,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 @contextmanager
-def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a projected training table in memory, spilling to disk, between passes."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+def held(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep a projected training table between passes; in memory, spilling to disk, if not told otherwise."""
+    cached = df.persist(level)
     try:
         yield cached
     finally:

@@ -206,3 +206,36 @@ def test_members_of_every_iteration(spark):
     assert sizes == {(i, c): n for i, c, _, n, _ in model.trace if n}
     some = model.iteration_members(df, "id", sample=0.4, seed=2).collect()
     assert 0 < len(some) < len(got) and len(some) % len(model.history) == 0
+
+
+@pytest.mark.parametrize("trace", [False, True])
+def test_a_task_holds_small_packs_of_a_long_partition(spark, monkeypatch, trace):
+    """Packs come one by one, with distances kept and without; they do not grow with the partition or the vectors."""
+    x = np.random.default_rng(11).normal(size=(3000, 64)) + np.arange(3000).reshape(-1, 1) % 5
+    df = table(spark, x).select("id", F.array(*names(x)).alias("v")).coalesce(1).cache()
+    sizes, iterate = [], km._iterate
+
+    def spy(points, metric, used, previous, trace, bounded):
+        read = bounded[0] if bounded else points
+        sizes.append(read.mapPartitions(lambda packs: [[sum(map(len, pack)) for pack in packs]]).collect())
+        return iterate(points, metric, used, previous, trace, bounded)
+
+    monkeypatch.setattr(km, "_iterate", spy)
+    monkeypatch.setattr(km, "LEAST_PASSES", 2)
+    model = KMeans(k=5, max_iter=6, random_state=5).fit(df, "v", "id", trace=trace)
+    a, c = run_numpy(x, model.start, "euclidean", 6)
+    assert [r["cluster"] for r in model.assignments(df).orderBy("id").collect()] == list(a)
+    assert np.allclose(model.centroids, c)
+    assert all(len(parts) == 1 and len(parts[0]) >= 6 and max(parts[0]) <= 1.1 * km.PACK_BYTES for parts in sizes)
+    assert sum(sizes[-1][0]) == 3000 * (64 * 8 + 8 + (20 if len(sizes) > 2 else 0))
+
+
+def test_partial_sums_of_many_cores_meet_in_tasks(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(400, 2)).round(2)
+    df = table(spark, x).repartition(5)
+    settings = KMeans(k=3, max_iter=8, random_state=2)
+    plain = settings.fit(df, names(x), "id", trace=True)
+    monkeypatch.setattr(km, "MANY_CORES", 1)
+    met = settings.fit(df, names(x), "id", trace=True)
+    assert np.allclose(plain.centroids, met.centroids) and plain.measured == met.measured
+    assert [(*t[:2], *t[3:]) for t in plain.trace] == [(*t[:2], *t[3:]) for t in met.trace]
